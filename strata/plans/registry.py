@@ -141,3 +141,808 @@ def q_silver_users(spark, sf):
 @register("silver_posts", O.with_ctes(["silver_posts"], "SELECT * FROM silver_posts"))
 def q_silver_posts(spark, sf):
     return silver_frame(spark, sf, "posts")
+
+
+# =========================================================================
+# Operator-level queries. Each reads the whole base tables.
+# =========================================================================
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from strata.functions import expressions as X  # noqa: E402
+from strata.functions.columns import check_contract  # noqa: E402
+from strata.functions.decode import decode_utf8  # noqa: E402
+from strata.operators import upsert  # noqa: E402
+from strata.operators.joins import left_join_fact_dim  # noqa: E402
+from strata.plans import pipeline  # noqa: E402
+from strata.session import scratch_path  # noqa: E402
+from strata.sources import bronze as B  # noqa: E402
+from strata.sources.lakehouse import Lakehouse  # noqa: E402
+
+W = O.with_ctes
+
+
+def _lake(spark) -> Lakehouse:
+    return Lakehouse(spark, scratch_path(spark, "lakehouse"))
+
+
+def _landed_raw(spark, sf, dataset: str) -> str:
+    """Land the string-typed raw role of ``dataset`` into a fresh bronze root."""
+    root = scratch_path(spark, "bronze")
+    B.land(roles.raw(spark, sf, dataset), f"{root}/{dataset}")
+    return root
+
+
+# ---- 2.1 scans, sources, bronze ------------------------------------------
+
+@register("scan_parquet_file", "SELECT * FROM orders")
+def q_scan_parquet_file(spark, sf):
+    return B.scan_parquet_file(spark, f"{sf}/orders.parquet")
+
+
+@register("scan_parquet_glob", "SELECT * FROM orders")
+def q_scan_parquet_glob(spark, sf):
+    return B.scan_parquet_glob(spark, sf, "order*.parquet")
+
+
+@register("read_bronze", W(["bronze_users"], "SELECT * FROM bronze_users"))
+def q_read_bronze(spark, sf):
+    return B.read_bronze(spark, _landed_raw(spark, sf, "users"), "users")
+
+
+@register("normalize_columns_split_caps", W(["bronze_comments"], "SELECT * FROM bronze_comments"))
+def q_normalize_split_caps(spark, sf):
+    return normalize_columns(roles.raw(spark, sf, "comments"), "split_caps")
+
+
+@register("normalize_columns_two_pass", W(["bronze_posts"], "SELECT * FROM bronze_posts"))
+def q_normalize_two_pass(spark, sf):
+    return normalize_columns(roles.raw(spark, sf, "posts"), "two_pass")
+
+
+@register("schema_contract", W(["bronze_badges"], "SELECT * FROM bronze_badges"))
+def q_schema_contract(spark, sf):
+    return check_contract(normalize_columns(roles.raw(spark, sf, "badges")), "badges")
+
+
+@register("bounded_read", W(["bronze_users"], "SELECT * FROM bronze_users ORDER BY id LIMIT 1000"))
+def q_bounded_read(spark, sf):
+    return B.read_bronze(spark, _landed_raw(spark, sf, "users"), "users", limit=1000)
+
+
+@register("bronze_land_replace", "SELECT * FROM orders")
+def q_bronze_land_replace(spark, sf):
+    dest = scratch_path(spark, "bronze", "replace")
+    B.land(spark.read.parquet(f"{sf}/lineitem.parquet"), dest)
+    B.land(spark.read.parquet(f"{sf}/orders.parquet"), dest)  # replaces the first landing
+    return spark.read.parquet(dest)
+
+
+@register("bronze_land_batched", "SELECT * FROM lineitem")
+def q_bronze_land_batched(spark, sf):
+    dest = scratch_path(spark, "bronze", "batched")
+    B.land(spark.read.parquet(f"{sf}/lineitem.parquet"), dest, batch_rows=5000)
+    return spark.read.parquet(dest)
+
+
+@register("bronze_land_bounded", "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10000")
+def q_bronze_land_bounded(spark, sf):
+    dest = scratch_path(spark, "bronze", "bounded")
+    B.land_bounded(spark.read.parquet(f"{sf}/orders.parquet"), dest, "o_orderkey",
+                   batches=2, batch_rows=5000)
+    return spark.read.parquet(dest)
+
+
+LAND_EXCLUDE = frozenset({"documents.parquet", "pages.parquet", "embeddings.parquet",
+                          "conversations.parquet"})
+_LANDED = ["benchmark", "customer", "events", "labels", "lineitem", "nation", "orders",
+           "part", "region", "supplier"]
+
+
+@register("bronze_land_exclude", " UNION ALL ".join(
+    f"SELECT '{t}' AS dataset, COUNT(*) AS n_rows FROM {t}" for t in _LANDED))
+def q_bronze_land_exclude(spark, sf):
+    landed = B.land_folder(spark, sf, scratch_path(spark, "bronze", "folder"),
+                           exclude=LAND_EXCLUDE)
+    return B.landed_counts(spark, landed)
+
+
+@register("scan_table", W(["silver_posts"], "SELECT * FROM silver_posts"))
+def q_scan_table(spark, sf):
+    lake = _lake(spark)
+    lake.create(silver_frame(spark, sf, "posts"), "silver", "posts")
+    return spark.table("silver.posts")
+
+
+@register("browse_limit", W(["silver_badges"],
+                            "SELECT * FROM silver_badges ORDER BY badge_id LIMIT 10"))
+def q_browse_limit(spark, sf):
+    lake = _lake(spark)
+    lake.create(silver_frame(spark, sf, "badges"), "silver", "badges")
+    return analytics.browse(lake.read("silver", "badges"), 10, "badge_id")
+
+
+BROWSE_USER = 7
+
+
+@register("browse_by_key", W(["silver_posts"], f"""
+SELECT * FROM silver_posts WHERE owner_user_id = {BROWSE_USER} ORDER BY post_id LIMIT 10"""))
+def q_browse_by_key(spark, sf):
+    lake = _lake(spark)
+    lake.create(silver_frame(spark, sf, "posts"), "silver", "posts")
+    return analytics.browse_by_key(lake.read("silver", "posts"), "owner_user_id", BROWSE_USER,
+                                   10, "post_id")
+
+
+# ---- 2.2 sinks, upsert, load history --------------------------------------
+
+@register("create_table_if_absent", W(["silver_badges"], "SELECT * FROM silver_badges"))
+def q_create_table_if_absent(spark, sf):
+    lake = _lake(spark)
+    lake.create(silver_frame(spark, sf, "badges"), "silver", "badges")
+    return lake.read("silver", "badges")
+
+
+@register("replace_table", O.GOLD_BADGE_DISTRIBUTION)
+def q_replace_table(spark, sf):
+    lake = _lake(spark)
+    b = silver_frame(spark, sf, "badges")
+    lake.replace(gold.badges_summary(b), "gold", "badges")
+    lake.replace(gold.badge_distribution(b), "gold", "badges")
+    return lake.read("gold", "badges")
+
+
+@register("replace_table_merge_schema", O.GOLD_USER_POST_METRICS)
+def q_replace_table_merge_schema(spark, sf):
+    lake = _lake(spark)
+    m = gold.user_post_metrics(silver_frame(spark, sf, "posts"), run_ts=O.RUN_TS)
+    lake.replace(m.drop("fecha_cargue"), "gold", "user_post_metrics")
+    lake.replace(m, "gold", "user_post_metrics")  # new column appears
+    return lake.read("gold", "user_post_metrics")
+
+
+@register("overwrite_partitioned", W(["silver_comments"], "SELECT * FROM silver_comments"))
+def q_overwrite_partitioned(spark, sf):
+    lake = _lake(spark)
+    lake.replace(silver_frame(spark, sf, "comments"), "silver", "comments",
+                 partition_by=["comment_year"])
+    return lake.read("silver", "comments")
+
+
+RELOAD_TS = "2024-07-01 00:00:00"
+RELOAD_FROM_YEAR = 2000
+
+
+@register("overwrite_dynamic_partitions", W(["silver_comments"], f"""
+SELECT * REPLACE (CASE WHEN comment_year >= {RELOAD_FROM_YEAR}
+                       THEN TIMESTAMP '{RELOAD_TS}' ELSE load_date END AS load_date)
+FROM silver_comments"""))
+def q_overwrite_dynamic_partitions(spark, sf):
+    lake = _lake(spark)
+    lake.create(silver_frame(spark, sf, "comments"), "silver", "comments",
+                partition_by=["comment_year"])
+    reload = silver.comments_to_silver(bronze(spark, sf, "comments"), load_ts=RELOAD_TS)
+    lake.overwrite_partitions(reload.where(F.col("comment_year") >= RELOAD_FROM_YEAR),
+                              "silver", "comments", ["comment_year"])
+    return lake.read("silver", "comments")
+
+
+def upsert_target(spark, sf):
+    return silver_frame(spark, sf, "posts").where(
+        F.col("creation_date") < F.lit(O.UPSERT_SPLIT_OLD).cast("timestamp_ntz"))
+
+
+def upsert_source(spark, sf):
+    return (silver_frame(spark, sf, "posts")
+            .where(F.col("creation_date") >= F.lit(O.UPSERT_SPLIT_NEW).cast("timestamp_ntz"))
+            .withColumn("score", F.col("score") + 1))
+
+
+def upsert_source_dup(spark, sf):
+    again = (silver_frame(spark, sf, "posts").where(F.col("post_year") == O.CONFLICT_YEAR)
+             .withColumn("score", F.col("score") + 2))
+    return upsert_source(spark, sf).unionByName(again)
+
+
+_MERGED_ONE_KEY = W(["upsert_target", "upsert_source"], """
+SELECT * FROM upsert_source UNION ALL
+SELECT * FROM upsert_target t
+WHERE NOT EXISTS (SELECT 1 FROM upsert_source s WHERE s.post_id = t.post_id)""")
+
+_UNMATCHED_TWO_KEYS = """
+SELECT * FROM upsert_target t
+WHERE NOT EXISTS (SELECT 1 FROM upsert_source s
+                  WHERE s.post_id = t.post_id AND s.owner_user_id = t.owner_user_id)"""
+
+
+@register("merge_upsert", _MERGED_ONE_KEY)
+def q_merge_upsert(spark, sf):
+    lake = _lake(spark)
+    lake.create(upsert_target(spark, sf), "silver", "posts")
+    lake.merge(upsert_source(spark, sf), "silver", "posts", ["post_id"])
+    return lake.read("silver", "posts")
+
+
+@register("merge_upsert_composite", W(["upsert_target", "upsert_source"],
+                                      "SELECT * FROM upsert_source UNION ALL"
+                                      + _UNMATCHED_TWO_KEYS))
+def q_merge_upsert_composite(spark, sf):
+    lake = _lake(spark)
+    lake.create(upsert_target(spark, sf), "silver", "posts")
+    lake.merge(upsert_source(spark, sf), "silver", "posts", ["post_id", "owner_user_id"])
+    return lake.read("silver", "posts")
+
+
+@register("merge_cardinality_check", W(["upsert_target", "upsert_source_dup"], """
+SELECT post_id, COUNT(*) AS n_source_rows FROM upsert_source_dup
+WHERE post_id IS NOT NULL GROUP BY post_id
+HAVING COUNT(*) > 1 AND post_id IN (SELECT post_id FROM upsert_target)"""))
+def q_merge_cardinality_check(spark, sf):
+    return upsert.merge_conflicts(upsert_source_dup(spark, sf), upsert_target(spark, sf),
+                                  ["post_id"])
+
+
+@register("join_merge_match", W(["upsert_target", "upsert_source"], _UNMATCHED_TWO_KEYS))
+def q_join_merge_match(spark, sf):
+    return upsert.unmatched_target(upsert_target(spark, sf), upsert_source(spark, sf),
+                                   ["post_id", "owner_user_id"])
+
+
+def _merged_twice(spark, sf) -> Lakehouse:
+    """create(target) → merge(source) → merge(source) again."""
+    lake = _lake(spark)
+    lake.create(upsert_target(spark, sf), "silver", "posts")
+    lake.merge(upsert_source(spark, sf), "silver", "posts", ["post_id"])
+    lake.merge(upsert_source(spark, sf), "silver", "posts", ["post_id"])
+    return lake
+
+
+@register("load_history", W(["upsert_target", "upsert_source"], """
+SELECT CAST(1 AS BIGINT) AS version, 'append' AS operation,
+       CAST((SELECT COUNT(*) FROM upsert_target) AS VARCHAR) AS added_records,
+       '0' AS deleted_records
+UNION ALL
+SELECT 2, 'merge', CAST((SELECT COUNT(*) FROM upsert_source) AS VARCHAR),
+       CAST((SELECT COUNT(*) FROM upsert_target
+             WHERE post_id IN (SELECT post_id FROM upsert_source)) AS VARCHAR)
+UNION ALL
+SELECT 3, 'merge', CAST((SELECT COUNT(*) FROM upsert_source) AS VARCHAR),
+       CAST((SELECT COUNT(*) FROM upsert_source) AS VARCHAR)"""))
+def q_load_history(spark, sf):
+    h = _merged_twice(spark, sf).history("silver", "posts", newest_first=True)
+    return h.select("version", "operation",
+                    F.col("summary")["added-records"].alias("added_records"),
+                    F.col("summary")["deleted-records"].alias("deleted_records"))
+
+
+@register("load_history_chronological")
+def q_load_history_chronological(spark, sf):
+    h = _merged_twice(spark, sf).history("silver", "posts", newest_first=False)
+    return h.select("version", "committed_at", "operation",
+                    F.col("summary")["added-records"].alias("added"),
+                    F.col("summary")["total-records"].alias("total"))
+
+
+@register("load_count", "SELECT 'posts' AS table_name, CAST(3 AS BIGINT) AS n_loads")
+def q_load_count(spark, sf):
+    return _merged_twice(spark, sf).load_counts("silver").select("table_name", "n_loads")
+
+
+_SILVER_WIDTH = {"comments": 14, "badges": 9, "users": 15, "posts": 26}
+
+
+def _verify_sql(tables: dict[str, int], loads: dict[str, int] | None = None) -> str:
+    loads = loads or {}
+    return W([f"silver_{t}" for t in tables], " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST({w} AS BIGINT) AS n_columns, "
+        f"CAST({loads.get(t, 1)} AS BIGINT) AS n_loads, TRUE AS has_load_date, "
+        f"COUNT(*) AS n_rows FROM silver_{t}" for t, w in tables.items()))
+
+
+@register("verify_table", _verify_sql(_SILVER_WIDTH))
+def q_verify_table(spark, sf):
+    lake = _lake(spark)
+    for t in _SILVER_WIDTH:
+        lake.create(silver_frame(spark, sf, t), "silver", t)
+    return lake.verify("silver", list(_SILVER_WIDTH))
+
+
+@register("verify_merge_history", """
+SELECT 'badges' AS table_name, CAST(1 AS BIGINT) AS n_loads, FALSE AS merged UNION ALL
+SELECT 'posts', 2, TRUE UNION ALL SELECT 'users', 1, FALSE""")
+def q_verify_merge_history(spark, sf):
+    lake = _lake(spark)
+    for t in ("badges", "users", "posts"):
+        lake.merge(silver_frame(spark, sf, t), "silver", t, pipeline.SILVER_KEYS[t])
+    lake.merge(silver_frame(spark, sf, "posts"), "silver", "posts", ["post_id"])
+    return lake.merge_report("silver")
+
+
+# ---- 2.3 projections, filters, predicates ---------------------------------
+
+@register("project_rename", W(["bronze_badges"], """
+SELECT id AS badge_id, user_id, name AS badge_name, "date" AS award_date,
+       "class" AS badge_class, tag_based AS is_tag_based FROM bronze_badges"""))
+def q_project_rename(spark, sf):
+    return normalize_columns(roles.raw(spark, sf, "badges")).withColumnsRenamed(
+        {"id": "badge_id", "name": "badge_name", "date": "award_date", "class": "badge_class",
+         "tag_based": "is_tag_based"})
+
+
+@register("project_select", W(["silver_users"],
+                              "SELECT user_id, display_name, load_date FROM silver_users"))
+def q_project_select(spark, sf):
+    return silver_frame(spark, sf, "users").select("user_id", "display_name", "load_date")
+
+
+@register("project_alias", W(["bronze_comments"], """
+SELECT id AS comment_id, post_id, text AS comment_text FROM bronze_comments"""))
+def q_project_alias(spark, sf):
+    b = normalize_columns(roles.raw(spark, sf, "comments"))
+    return b.select(F.col("id").alias("comment_id"), "post_id",
+                    F.col("text").alias("comment_text"))
+
+
+_POSTS_PER_OWNER = ("(SELECT owner_user_id, COUNT(*) AS total_posts FROM silver_posts "
+                    "WHERE owner_user_id IS NOT NULL GROUP BY owner_user_id)")
+
+
+@register("project_drop", W(["silver_users", "silver_posts"], f"""
+SELECT u.user_id, u.display_name, p.total_posts
+FROM silver_users u LEFT JOIN {_POSTS_PER_OWNER} p ON u.user_id = p.owner_user_id"""))
+def q_project_drop(spark, sf):
+    u = silver_frame(spark, sf, "users").select("user_id", "display_name")
+    p = (silver_frame(spark, sf, "posts").where(F.col("owner_user_id").isNotNull())
+         .groupBy("owner_user_id").agg(F.count(F.lit(1)).alias("total_posts")))
+    return u.join(p, u.user_id == p.owner_user_id, "left").drop("owner_user_id")
+
+
+@register("project_derive", W(["silver_comments"], """
+SELECT comment_id, score_category, text_length, has_user_display_name FROM silver_comments"""))
+def q_project_derive(spark, sf):
+    b = normalize_columns(roles.raw(spark, sf, "comments"))
+    return b.withColumns({
+        "score_category": X.score_category("score"),
+        "text_length": X.text_length("text"),
+        "has_user_display_name": X.non_empty_flag("user_display_name"),
+    }).select(F.col("id").alias("comment_id"), "score_category", "text_length",
+              "has_user_display_name")
+
+
+@register("literal_column", W(["bronze_posts"], f"""
+SELECT id AS post_id, 2021 AS post_year, TIMESTAMP '{O.LOAD_TS}' AS load_date
+FROM bronze_posts"""))
+def q_literal_column(spark, sf):
+    b = normalize_columns(roles.raw(spark, sf, "posts"))
+    return b.select(F.col("id").alias("post_id"), F.lit(2021).alias("post_year"),
+                    X.as_timestamp(O.LOAD_TS).alias("load_date"))
+
+
+@register("filter_not_null", W(["silver_posts"], """
+SELECT post_id, owner_user_id FROM silver_posts WHERE owner_user_id IS NOT NULL"""))
+def q_filter_not_null(spark, sf):
+    return (silver_frame(spark, sf, "posts").where(F.col("owner_user_id").isNotNull())
+            .select("post_id", "owner_user_id"))
+
+
+@register("filter_equals", W(["silver_users"],
+                             f"SELECT * FROM silver_users WHERE user_id = {BROWSE_USER}"))
+def q_filter_equals(spark, sf):
+    return silver_frame(spark, sf, "users").where(F.col("user_id") == BROWSE_USER)
+
+
+@register("filter_decoded", W(["silver_comments"], """
+SELECT * FROM silver_comments
+WHERE comment_text IS NOT NULL AND NOT contains(comment_text, '[DECODE_ERROR]')"""))
+def q_filter_decoded(spark, sf):
+    return silver_frame(spark, sf, "comments", decoded_only="reference")
+
+
+@register("predicate_compare", W(["silver_comments"], """
+SELECT comment_id, score FROM silver_comments WHERE score >= 5 OR score <= 0 OR score = 2"""))
+def q_predicate_compare(spark, sf):
+    s = F.col("score")
+    return (silver_frame(spark, sf, "comments").where((s >= 5) | (s <= 0) | (s == 2))
+            .select("comment_id", "score"))
+
+
+@register("predicate_logic", W(["silver_comments"], """
+SELECT comment_id FROM silver_comments
+WHERE (user_display_name IS NULL OR user_display_name = '') AND NOT (score >= 5)"""))
+def q_predicate_logic(spark, sf):
+    d, s = F.col("user_display_name"), F.col("score")
+    return (silver_frame(spark, sf, "comments").where((d.isNull() | (d == "")) & ~(s >= 5))
+            .select("comment_id"))
+
+
+@register("predicate_null", W(["silver_comments"], """
+SELECT comment_id, post_id FROM silver_comments
+WHERE user_id IS NULL AND comment_text IS NOT NULL"""))
+def q_predicate_null(spark, sf):
+    return (silver_frame(spark, sf, "comments")
+            .where(F.col("user_id").isNull() & F.col("comment_text").isNotNull())
+            .select("comment_id", "post_id"))
+
+
+@register("case_bucket", W(["silver_comments"],
+                           "SELECT comment_id, score, score_category FROM silver_comments"))
+def q_case_bucket(spark, sf):
+    return silver_frame(spark, sf, "comments").select("comment_id", "score", "score_category")
+
+
+@register("case_flag", W(["silver_comments"], """
+SELECT comment_id, user_display_name, has_user_display_name FROM silver_comments"""))
+def q_case_flag(spark, sf):
+    return silver_frame(spark, sf, "comments").select(
+        "comment_id", "user_display_name", "has_user_display_name")
+
+
+# ---- 2.4 joins -------------------------------------------------------------
+
+@register("join_left_equi_expr", W(["silver_users", "silver_posts"], f"""
+SELECT u.user_id, u.display_name, p.owner_user_id, p.total_posts
+FROM silver_users u LEFT JOIN {_POSTS_PER_OWNER} p ON u.user_id = p.owner_user_id"""))
+def q_join_left_equi_expr(spark, sf):
+    u = silver_frame(spark, sf, "users").select("user_id", "display_name")
+    p = (silver_frame(spark, sf, "posts").where(F.col("owner_user_id").isNotNull())
+         .groupBy("owner_user_id").agg(F.count(F.lit(1)).alias("total_posts")))
+    return u.join(p, u.user_id == p.owner_user_id, "left")
+
+
+@register("join_left_using", W(["silver_users", "silver_comments", "silver_badges"], """
+SELECT u.user_id, u.display_name, c.total_comments, b.total_badges
+FROM silver_users u
+LEFT JOIN (SELECT user_id, COUNT(*) AS total_comments FROM silver_comments
+           WHERE user_id IS NOT NULL GROUP BY user_id) c USING (user_id)
+LEFT JOIN (SELECT user_id, COUNT(*) AS total_badges FROM silver_badges
+           WHERE user_id IS NOT NULL GROUP BY user_id) b USING (user_id)"""))
+def q_join_left_using(spark, sf):
+    s = silvers(spark, sf)
+    return (s["users"].select("user_id", "display_name")
+            .join(gold._count_per(s["comments"], "user_id", "total_comments"), "user_id", "left")
+            .join(gold._count_per(s["badges"], "user_id", "total_badges"), "user_id", "left"))
+
+
+@register("join_left_fact_dim", W(["silver_comments", "silver_users"], """
+SELECT c.comment_id, c.user_id, u.display_name, u.is_active
+FROM silver_comments c LEFT JOIN silver_users u ON c.user_id = u.user_id"""))
+def q_join_left_fact_dim(spark, sf):
+    s = silvers(spark, sf)
+    return left_join_fact_dim(s["comments"].select("comment_id", "user_id"),
+                              s["users"].select("user_id", "display_name", "is_active"),
+                              "user_id")
+
+
+@register("join_inner_equi", W(["silver_posts", "silver_users"], """
+SELECT p.post_id, u.user_id, u.display_name
+FROM silver_posts p JOIN silver_users u ON p.owner_user_id = u.user_id"""))
+def q_join_inner_equi(spark, sf):
+    s = silvers(spark, sf)
+    p = s["posts"].select("post_id", "owner_user_id")
+    u = s["users"].select("user_id", "display_name")
+    return p.join(u, p.owner_user_id == u.user_id, "inner").select("post_id", "user_id",
+                                                                   "display_name")
+
+
+@register("join_left_derived", W(
+    ["silver_users", "silver_posts", "silver_comments", "silver_badges"], f"""
+SELECT u.user_id, u.display_name, p.total_posts, c.total_comments, b.total_badges
+FROM silver_users u{O._ENGAGEMENT_JOINS}"""))
+def q_join_left_derived(spark, sf):
+    s = silvers(spark, sf)
+    return (s["users"].select("user_id", "display_name")
+            .join(gold._count_per(s["posts"], "owner_user_id", "total_posts"), "user_id", "left")
+            .join(gold._count_per(s["comments"], "user_id", "total_comments"), "user_id", "left")
+            .join(gold._count_per(s["badges"], "user_id", "total_badges"), "user_id", "left"))
+
+
+# ---- 2.5 aggregations ------------------------------------------------------
+
+@register("agg_count_star", W(["silver_comments"], """
+SELECT post_id, COUNT(*) AS total_comments FROM silver_comments GROUP BY post_id"""))
+def q_agg_count_star(spark, sf):
+    return (silver_frame(spark, sf, "comments").groupBy("post_id")
+            .agg(F.count(F.lit(1)).alias("total_comments")))
+
+
+@register("agg_count_if", W(["silver_posts"], """
+SELECT owner_user_id, COUNT(CASE WHEN post_type_id = 1 THEN 1 END) AS question_count
+FROM silver_posts GROUP BY owner_user_id"""))
+def q_agg_count_if(spark, sf):
+    return (silver_frame(spark, sf, "posts").groupBy("owner_user_id")
+            .agg(F.count_if(F.col("post_type_id") == 1).alias("question_count")))
+
+
+@register("agg_sum_case", W(["silver_badges"], """
+SELECT user_id, CAST(SUM(CASE WHEN badge_class = 1 THEN 1 ELSE 0 END) AS BIGINT) AS gold_badges
+FROM silver_badges GROUP BY user_id"""))
+def q_agg_sum_case(spark, sf):
+    return (silver_frame(spark, sf, "badges").groupBy("user_id")
+            .agg(F.sum(F.when(F.col("badge_class") == 1, 1).otherwise(0)).alias("gold_badges")))
+
+
+@register("agg_count_distinct", W(["silver_comments"], """
+SELECT comment_year, COUNT(DISTINCT user_id) AS unique_users FROM silver_comments
+GROUP BY comment_year"""))
+def q_agg_count_distinct(spark, sf):
+    return (silver_frame(spark, sf, "comments").groupBy("comment_year")
+            .agg(F.count_distinct("user_id").alias("unique_users")))
+
+
+@register("agg_avg", W(["silver_comments"], """
+SELECT comment_year, comment_month, AVG(text_length) AS avg_length FROM silver_comments
+GROUP BY comment_year, comment_month"""))
+def q_agg_avg(spark, sf):
+    return (silver_frame(spark, sf, "comments").groupBy("comment_year", "comment_month")
+            .agg(F.avg("text_length").alias("avg_length")))
+
+
+@register("agg_max", W(["silver_comments"], """
+SELECT user_id, MAX(creation_date) AS last_comment_date FROM silver_comments GROUP BY user_id"""))
+def q_agg_max(spark, sf):
+    return (silver_frame(spark, sf, "comments").groupBy("user_id")
+            .agg(F.max("creation_date").alias("last_comment_date")))
+
+
+@register("agg_group_multi_key", W(["silver_posts"], """
+SELECT post_year, post_month, post_type_id, owner_user_id, COUNT(*) AS total_posts
+FROM silver_posts GROUP BY post_year, post_month, post_type_id, owner_user_id"""))
+def q_agg_group_multi_key(spark, sf):
+    return (silver_frame(spark, sf, "posts")
+            .groupBy("post_year", "post_month", "post_type_id", "owner_user_id")
+            .agg(F.count(F.lit(1)).alias("total_posts")))
+
+
+@register("agg_global_count", W(["silver_comments"],
+                                "SELECT COUNT(*) AS n_rows FROM silver_comments"))
+def q_agg_global_count(spark, sf):
+    return silver_frame(spark, sf, "comments").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ---- 2.7 sort, limit, top-k ------------------------------------------------
+
+@register("sort_asc_multi", O.GOLD_COMMENT_ACTIVITY + "\nORDER BY comment_year, comment_month")
+def q_sort_asc_multi(spark, sf):
+    return (gold.comment_activity(silver_frame(spark, sf, "comments"))
+            .orderBy(F.asc_nulls_last("comment_year"), F.asc_nulls_last("comment_month")))
+
+
+@register("sort_desc", O.GOLD_BADGE_DISTRIBUTION
+          + "\nORDER BY total_awards DESC NULLS LAST, badge_name, badge_year")
+def q_sort_desc(spark, sf):
+    return (gold.badge_distribution(silver_frame(spark, sf, "badges"))
+            .orderBy(F.desc_nulls_last("total_awards"), "badge_name", "badge_year"))
+
+
+@register("topk_multi_desc", O.QUERY_POSTS_PER_USER_TOP20)
+def q_topk_multi_desc(spark, sf):
+    return analytics.posts_per_user_top(silver_frame(spark, sf, "posts"), 20)
+
+
+@register("limit_rows", W(["silver_posts"], "SELECT * FROM silver_posts ORDER BY post_id LIMIT 100"))
+def q_limit_rows(spark, sf):
+    return analytics.browse(silver_frame(spark, sf, "posts"), 100, "post_id")
+
+
+# ---- 2.8 set operations ----------------------------------------------------
+
+UNION_SPLIT = "1998-01-01"
+
+
+@register("union_all_sources", W(["silver_comments"], "SELECT * FROM silver_comments"))
+def q_union_all_sources(spark, sf):
+    b = bronze(spark, sf, "comments")
+    cut = F.lit(UNION_SPLIT).cast("timestamp_ntz")
+    df, _ = silver.union_sources([
+        ("early", lambda: silver.comments_to_silver(b.where(F.col("creation_date") < cut),
+                                                    load_ts=O.LOAD_TS)),
+        ("late", lambda: silver.comments_to_silver(b.where(F.col("creation_date") >= cut),
+                                                   load_ts=O.LOAD_TS)),
+    ])
+    return df
+
+
+# ---- 2.9 scalar functions --------------------------------------------------
+
+@register("fn_to_timestamp", """
+SELECT event_id, ts AS parsed, CAST(NULL AS TIMESTAMP) AS unparsable FROM events""")
+def q_fn_to_timestamp(spark, sf):
+    e = spark.read.parquet(f"{sf}/events.parquet").select(
+        "event_id", F.col("ts").cast("string").alias("ts_text"), "props")
+    return e.select("event_id", X.timestamp_col(e, "ts_text").alias("parsed"),
+                    X.timestamp_col(e, "props").alias("unparsable"))
+
+
+@register("fn_year", W(["silver_badges"], "SELECT badge_id, badge_year FROM silver_badges"))
+def q_fn_year(spark, sf):
+    b = normalize_columns(roles.raw(spark, sf, "badges"))
+    return b.select(F.col("id").alias("badge_id"), F.year("date").alias("badge_year"))
+
+
+@register("fn_month", W(["silver_posts"], "SELECT post_id, post_month FROM silver_posts"))
+def q_fn_month(spark, sf):
+    return silver_frame(spark, sf, "posts").select("post_id", "post_month")
+
+
+@register("fn_dayofmonth", W(["silver_posts"], "SELECT post_id, post_day FROM silver_posts"))
+def q_fn_dayofmonth(spark, sf):
+    return silver_frame(spark, sf, "posts").select("post_id", "post_day")
+
+
+@register("fn_datediff_age", W(["silver_users"], "SELECT user_id, user_age_days FROM silver_users"))
+def q_fn_datediff_age(spark, sf):
+    return silver_frame(spark, sf, "users").select("user_id", "user_age_days")
+
+
+@register("fn_is_active", W(["silver_users"],
+                            "SELECT user_id, last_access_date, is_active FROM silver_users"))
+def q_fn_is_active(spark, sf):
+    return silver_frame(spark, sf, "users").select("user_id", "last_access_date", "is_active")
+
+
+@register("fn_current_date")
+def q_fn_current_date(spark, sf):
+    u = silver.users_to_silver(bronze(spark, sf, "users"), load_ts=O.LOAD_TS, as_of=None)
+    return u.select("user_id", "user_age_days", "is_active")
+
+
+@register("fn_current_timestamp")
+def q_fn_current_timestamp(spark, sf):
+    return gold.user_post_metrics(silver_frame(spark, sf, "posts"), run_ts=None)
+
+
+@register("fn_cast_timestamp", W(["silver_badges"], "SELECT badge_id, load_date FROM silver_badges"))
+def q_fn_cast_timestamp(spark, sf):
+    return silver_frame(spark, sf, "badges").select("badge_id", "load_date")
+
+
+@register("fn_length", """
+SELECT doc_id AS id, CAST(LENGTH(text) AS INTEGER) AS text_length FROM documents""")
+def q_fn_length(spark, sf):
+    d = roles.documents_bronze(spark, sf)
+    return d.select("id", X.text_length(decode_utf8("text")).alias("text_length"))
+
+
+@register("fn_contains", W(["silver_comments"], """
+SELECT comment_id, COALESCE(contains(comment_text, 'RR'), FALSE) AS has_rr
+FROM silver_comments"""))
+def q_fn_contains(spark, sf):
+    c = silver_frame(spark, sf, "comments")
+    return c.select("comment_id",
+                    F.coalesce(F.col("comment_text").contains("RR"), F.lit(False)).alias("has_rr"))
+
+
+@register("fn_coalesce_zero", W(["silver_users", "silver_badges"], """
+SELECT u.user_id, COALESCE(b.total_badges, 0) AS total_badges FROM silver_users u
+LEFT JOIN (SELECT user_id, COUNT(*) AS total_badges FROM silver_badges
+           WHERE user_id IS NOT NULL GROUP BY user_id) b ON u.user_id = b.user_id"""))
+def q_fn_coalesce_zero(spark, sf):
+    s = silvers(spark, sf)
+    j = s["users"].select("user_id").join(
+        gold._count_per(s["badges"], "user_id", "total_badges"), "user_id", "left")
+    return j.select("user_id", F.coalesce("total_badges", F.lit(0)).alias("total_badges"))
+
+
+@register("fn_add", "SELECT user_id, engagement_score FROM (" + O.GOLD_USER_ENGAGEMENT + ") g")
+def q_fn_add(spark, sf):
+    return q_gold_user_engagement_score(spark, sf).select("user_id", "engagement_score")
+
+
+@register("fn_map_get")
+def q_fn_map_get(spark, sf):
+    h = _merged_twice(spark, sf).history("silver", "posts")
+    return h.select("version", F.col("summary")["added-records"].alias("added_records"),
+                    F.try_element_at("summary", F.lit("no-such-key")).alias("missing"))
+
+
+@register("fn_case", W(["silver_comments"], """
+SELECT comment_id, score_category, has_user_display_name FROM silver_comments"""))
+def q_fn_case(spark, sf):
+    return silver_frame(spark, sf, "comments").select(
+        "comment_id", "score_category", "has_user_display_name")
+
+
+# ---- 2.11 decode -------------------------------------------------------------
+
+@register("decode_utf8_strict", """
+SELECT doc_id AS id, text, CAST(LENGTH(text) AS INTEGER) AS text_length FROM documents""")
+def q_decode_utf8_strict(spark, sf):
+    d = roles.documents_bronze(spark, sf).select("id", decode_utf8("text").alias("text"))
+    return d.select("id", "text", X.text_length("text").alias("text_length"))
+
+
+@register("decode_utf8_ignore", """
+SELECT doc_id AS id, text, CAST(LENGTH(text) AS INTEGER) AS text_length FROM documents""")
+def q_decode_utf8_ignore(spark, sf):
+    d = roles.documents_bronze(spark, sf).select("id", decode_utf8("text", "ignore").alias("text"))
+    return d.select("id", "text", X.text_length("text").alias("text_length"))
+
+
+# ---- 2.12 composite silver/gold jobs ----------------------------------------
+
+@register("silver_comments_scheduled", W(["silver_comments"], "SELECT * FROM silver_comments"))
+def q_silver_comments_scheduled(spark, sf):
+    return silver_frame(spark, sf, "comments", errors="ignore", decoded_only="none")
+
+
+MISSING_YEAR = 1990
+
+
+@register("silver_comments_multi_source", W(["silver_comments"], "SELECT * FROM silver_comments"))
+def q_silver_comments_multi_source(spark, sf):
+    root = scratch_path(spark, "bronze")
+    b = roles.bronze(spark, sf, "comments").withColumn("year", F.year("CreationDate"))
+    B.land(b, f"{root}/comments", partition_by=["year"])
+    years = B.partition_years(spark, root, "comments") + [MISSING_YEAR]  # one source missing
+    return pipeline.yearly_silver(spark, root, "comments", O.LOAD_TS, years)
+
+
+@register("silver_other_datasets", _verify_sql({"badges": 9, "users": 15, "posts": 26}))
+def q_silver_other_datasets(spark, sf):
+    root = pipeline.land_roles(spark, sf, scratch_path(spark, "bronze"))
+    lake = _lake(spark)
+    years = B.partition_years(spark, root, "posts") + [MISSING_YEAR]
+    jobs = {
+        "badges": lambda: silver.badges_to_silver(B.read_bronze(spark, root, "badges"),
+                                                  load_ts=O.LOAD_TS),
+        "users": lambda: silver.users_to_silver(B.read_bronze(spark, root, "users"),
+                                                load_ts=O.LOAD_TS, as_of=O.AS_OF),
+        "posts": lambda: pipeline.yearly_silver(spark, root, "posts", O.LOAD_TS, years),
+    }
+    for t, make in jobs.items():
+        lake.merge(make(), "silver", t, pipeline.SILVER_KEYS[t],
+                   partition_by=pipeline.SILVER_PARTITIONS.get(t))
+    return lake.verify("silver", list(jobs))
+
+
+def _silver_lake(spark, sf) -> Lakehouse:
+    root = pipeline.land_roles(spark, sf, scratch_path(spark, "bronze"))
+    lake = _lake(spark)
+    pipeline.run_silver(spark, root, lake, O.LOAD_TS, O.AS_OF)
+    return lake
+
+
+@register("run_silver", _verify_sql(_SILVER_WIDTH))
+def q_run_silver(spark, sf):
+    root = pipeline.land_roles(spark, sf, scratch_path(spark, "bronze"))
+    verify, _ = pipeline.run_silver(spark, root, _lake(spark), O.LOAD_TS, O.AS_OF)
+    return verify
+
+
+_GOLD_WIDTH = {"user_post_metrics": 5, "badges_summary": 7, "user_engagement": 8,
+               "comment_activity": 6, "user_comment_engagement": 6, "post_summary": 5,
+               "badge_distribution": 4}
+_GOLD_SQL = {"user_post_metrics": O.GOLD_USER_POST_METRICS,
+             "badges_summary": O.GOLD_BADGES_SUMMARY,
+             "user_engagement": O.GOLD_USER_ENGAGEMENT,
+             "comment_activity": O.GOLD_COMMENT_ACTIVITY,
+             "user_comment_engagement": O.GOLD_USER_COMMENT_ENGAGEMENT,
+             "post_summary": O.GOLD_POST_SUMMARY,
+             "badge_distribution": O.GOLD_BADGE_DISTRIBUTION}
+
+
+def _gold_verify_sql(names: list[str]) -> str:
+    parts = []
+    for n in names:
+        parts.append(
+            f"SELECT '{n}' AS table_name, CAST({_GOLD_WIDTH[n]} AS BIGINT) AS n_columns, "
+            f"CAST(1 AS BIGINT) AS n_loads, "
+            f"{'TRUE' if n == 'user_engagement' else 'FALSE'} AS has_load_date, "
+            f"(SELECT COUNT(*) FROM ({_GOLD_SQL[n]}) g) AS n_rows")
+    return " UNION ALL ".join(parts)
+
+
+@register("run_gold_user_metrics", _gold_verify_sql(pipeline.GOLD_USER_METRICS))
+def q_run_gold_user_metrics(spark, sf):
+    return pipeline.run_gold_user_metrics(_silver_lake(spark, sf), run_ts=O.RUN_TS)
+
+
+@register("run_gold_activity", _gold_verify_sql(pipeline.GOLD_ACTIVITY))
+def q_run_gold_activity(spark, sf):
+    return pipeline.run_gold_activity(_silver_lake(spark, sf), run_ts=O.RUN_TS)
+
+
+@register("run_medallion", _gold_verify_sql(pipeline.GOLD_USER_METRICS + pipeline.GOLD_ACTIVITY))
+def q_run_medallion(spark, sf):
+    return pipeline.run_medallion(spark, sf, scratch_path(spark, "medallion"),
+                                  load_ts=O.LOAD_TS, as_of=O.AS_OF, run_ts=O.RUN_TS)
