@@ -99,8 +99,9 @@ def run_silver(spark: SparkSession, bronze_root: str, lake: Lakehouse, load_ts=N
     done = []
     for ds, make in jobs.items():
         try:
-            res = lake.merge(make(), "silver", ds, SILVER_KEYS[ds],
-                             partition_by=SILVER_PARTITIONS.get(ds))
+            parts = SILVER_PARTITIONS.get(ds)
+            res = lake.merge(make(), "silver", ds, SILVER_KEYS[ds], partition_by=parts,
+                             scope="partitions" if parts else "table")
             report.ok(f"silver.{ds}", f"v{res.version} {res.operation} {res.total_records}")
             done.append(ds)
         except Exception as exc:  # one dataset failing must not stop the rest

@@ -363,6 +363,16 @@ def q_merge_upsert(spark, sf):
     return lake.read("silver", "posts")
 
 
+@register("merge_upsert_partitioned", _MERGED_ONE_KEY)
+def q_merge_upsert_partitioned(spark, sf):
+    """Same upsert on a year-partitioned table, rewriting only touched years."""
+    lake = _lake(spark)
+    lake.create(upsert_target(spark, sf), "silver", "posts", partition_by=["post_year"])
+    lake.merge(upsert_source(spark, sf), "silver", "posts", ["post_id"],
+               partition_by=["post_year"], scope="partitions")
+    return lake.read("silver", "posts")
+
+
 @register("merge_upsert_composite", W(["upsert_target", "upsert_source"],
                                       "SELECT * FROM upsert_source UNION ALL"
                                       + _UNMATCHED_TWO_KEYS))

@@ -66,6 +66,10 @@ class Lakehouse:
         self.register = register
         self.compression = compression
         self._namespaces: set[str] = set()
+        # (layer, table) -> (version, location, total_records); read from the
+        # history once per table, then kept current by this writer's commits
+        self._state: dict[tuple[str, str], tuple[int, str | None, int]] = {}
+        self._history_seen = False
 
     # ---- paths and catalog ------------------------------------------------
 
@@ -87,16 +91,24 @@ class Lakehouse:
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{layer}`")
         self._namespaces.add(layer)
 
-    def _bind(self, layer: str, table: str, location: str) -> None:
+    def _bind(self, layer: str, table: str, location: str, schema=None) -> None:
+        """Point catalog table ``layer.table`` at ``location``; re-create it
+        when the schema changed (a moved location keeps the old schema)."""
         if not self.register:
             return
         self.ensure_namespace(layer)
         name = f"`{layer}`.`{table}`"
         if self.spark.catalog.tableExists(f"{layer}.{table}"):
-            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-            self.spark.sql(f"REFRESH TABLE {name}")
-        else:
-            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
+            have = self.spark.table(f"{layer}.{table}").schema.fields
+            same = schema is None or (sorted((f.name, f.dataType.simpleString()) for f in have)
+                                      == sorted((f.name, f.dataType.simpleString())
+                                                for f in schema.fields))
+            if same:
+                self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+                self.spark.sql(f"REFRESH TABLE {name}")
+                return
+            self.spark.sql(f"DROP TABLE {name}")
+        self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
 
     # ---- history ---------------------------------------------------------
 
@@ -115,7 +127,7 @@ class Lakehouse:
         return h.orderBy(F.asc("layer"), F.asc("table_name"), order)
 
     def _has_history(self) -> bool:
-        if getattr(self, "_history_seen", False):
+        if self._history_seen:
             return True
         jvm = self.spark._jvm
         p = jvm.org.apache.hadoop.fs.Path(self.history_path)
@@ -123,15 +135,23 @@ class Lakehouse:
         self._history_seen = seen
         return seen
 
+    def _load_state(self, layer: str, table: str) -> tuple[int, str | None, int]:
+        key = (layer, table)
+        if key not in self._state and not self._has_history():
+            self._state[key] = (0, None, 0)
+        if key not in self._state:
+            rows = (self.history(layer, table).select("version", "location", "total_records")
+                    .orderBy(F.desc("version")).limit(1).collect())
+            self._state[key] = ((rows[0]["version"], rows[0]["location"],
+                                 int(rows[0]["total_records"])) if rows else (0, None, 0))
+        return self._state[key]
+
     def _current(self, layer: str, table: str):
-        rows = (self.history(layer, table).select("version", "location")
-                .orderBy(F.desc("version")).limit(1).collect())
-        return (rows[0]["version"], rows[0]["location"]) if rows else (0, None)
+        v, loc, _ = self._load_state(layer, table)
+        return v, loc
 
     def _current_total(self, layer: str, table: str) -> int:
-        rows = (self.history(layer, table).select("total_records")
-                .orderBy(F.desc("version")).limit(1).collect())
-        return int(rows[0][0]) if rows else 0
+        return self._load_state(layer, table)[2]
 
     def exists(self, layer: str, table: str) -> bool:
         return self._current(layer, table)[1] is not None
@@ -157,6 +177,8 @@ class Lakehouse:
                res.total_records, res.location, summary)
         (self.spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self.history_path))
+        self._history_seen = True
+        self._state[(res.layer, res.table)] = (res.version, res.location, res.total_records)
 
     # ---- writes ----------------------------------------------------------
 
@@ -178,7 +200,7 @@ class Lakehouse:
         n = obs.get["rows"]
         res = LoadResult(layer, table, version, operation, n, 0, n, path)
         self._append_history(res)
-        self._bind(layer, table, path)
+        self._bind(layer, table, path, df.schema)
         return res
 
     def create(self, df: DataFrame, layer: str, table: str,
@@ -217,10 +239,20 @@ class Lakehouse:
 
     def merge(self, source: DataFrame, layer: str, table: str, keys: str | list[str],
               partition_by: list[str] | None = None, check_cardinality: bool = True,
-              null_keys: str = "insert", use_sql_merge: bool = False) -> LoadResult:
+              null_keys: str = "insert", use_sql_merge: bool = False,
+              scope: str = "table") -> LoadResult:
         """Upsert ``source`` into the table by ``keys``; creates it on first
         load. Matched rows are replaced by the source row, unmatched source
-        rows inserted, other target rows kept."""
+        rows inserted, other target rows kept.
+
+        ``scope='table'`` writes the merged table as a new immutable version.
+        ``scope='partitions'`` (partitioned tables) rewrites only the
+        partitions the source touches, in place — the cost follows the batch,
+        not the table. It requires that no matched key sits in another
+        partition of the target (partition values of a key do not move); that
+        is checked on the key column alone and, if violated, the merge falls
+        back to a full-table version.
+        """
         keys = [keys] if isinstance(keys, str) else list(keys)
         version, loc = self._current(layer, table)
         if loc is None:
@@ -233,6 +265,13 @@ class Lakehouse:
         src = align_source(source, target.columns)
         if null_keys == "reject":
             src = src.where(~any_null_key(keys))
+        if scope == "partitions" and partition_by:
+            res = self._merge_partitions(src, target, layer, table, keys, partition_by,
+                                         version, loc)
+            if res is not None:
+                return res
+        elif scope not in ("table", "partitions"):
+            raise ValueError("scope must be 'table' or 'partitions'")
         new_version = version + 1
         obs_s = Observation(f"merge_s_{layer}_{table}_{new_version}")
         obs_k = Observation(f"merge_k_{layer}_{table}_{new_version}")
@@ -248,7 +287,56 @@ class Lakehouse:
         res = LoadResult(layer, table, new_version, "merge", n_source, updated,
                          n_source + n_kept, path)
         self._append_history(res)
-        self._bind(layer, table, path)
+        self._bind(layer, table, path, merged.schema)
+        return res
+
+    def _merge_partitions(self, src: DataFrame, target: DataFrame, layer: str, table: str,
+                          keys: list[str], parts: list[str], version: int,
+                          loc: str) -> LoadResult | None:
+        touched = [tuple(r) for r in src.select(*parts).distinct().collect()]
+        if not touched:
+            return None
+
+        def in_touched(df: DataFrame):
+            cond = None
+            for vals in touched:
+                c = None
+                for p, v in zip(parts, vals):
+                    e = F.col(p).isNull() if v is None else (F.col(p) == F.lit(v))
+                    c = e if c is None else (c & e)
+                cond = c if cond is None else (cond | c)
+            return cond
+
+        # a matched key outside the touched partitions would be kept twice
+        moved = (target.where(~in_touched(target)).select(*keys)
+                 .join(src.select(*keys).where(~any_null_key(keys)), keys, "left_semi"))
+        if not moved.isEmpty():
+            return None
+        t_touched = target.where(in_touched(target))  # partition-pruned read
+        n_t_touched = t_touched.count()
+        new_version = version + 1
+        obs_s = Observation(f"pmerge_s_{layer}_{table}_{new_version}")
+        obs_k = Observation(f"pmerge_k_{layer}_{table}_{new_version}")
+        kept = unmatched_target(t_touched, src, keys).observe(
+            obs_k, F.count(F.lit(1)).alias("rows"))
+        merged = src.observe(obs_s, F.count(F.lit(1)).alias("rows")).unionByName(kept)
+        staging = self._version_path(layer, table, new_version) + "_staging"
+        obs_w = Observation(f"pmerge_w_{layer}_{table}_{new_version}")
+        self._write(merged, staging, parts, obs_w)
+        # swap the touched partitions of the live folder for the staged ones
+        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:
+            (self.spark.read.parquet(staging).write.mode("overwrite")
+             .option("compression", self.compression).partitionBy(*parts).parquet(loc))
+        finally:
+            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        n_source, n_kept = obs_s.get["rows"], obs_k.get["rows"]
+        total = self._current_total(layer, table) - n_t_touched + n_source + n_kept
+        res = LoadResult(layer, table, new_version, "merge", n_source, n_t_touched - n_kept,
+                         total, loc)
+        self._append_history(res)
+        self._bind(layer, table, loc)
         return res
 
     def _try_sql_merge(self, source: DataFrame, layer: str, table: str,

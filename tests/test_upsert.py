@@ -95,3 +95,32 @@ def test_overwrite_partitions_keeps_other_partitions(lake, spark):
                               "silver", "p", ["y"])
     got = sorted((r.k, r.y, r.v) for r in lake.read("silver", "p").collect())
     assert got == [(1, 2020, "a"), (3, 2021, "c")]
+
+
+def test_partition_scoped_merge_equals_full_merge(spark, tmp_path):
+    from strata.sources.lakehouse import Lakehouse
+    t = spark.range(0, 60).select(F.col("id").alias("k"), (F.col("id") % 3).cast("int").alias("y"),
+                                  F.lit("old").alias("v"))
+    s = spark.range(40, 80).select(F.col("id").alias("k"), (F.col("id") % 3).cast("int").alias("y"),
+                                   F.lit("new").alias("v")).where("y <> 0")
+    full = Lakehouse(spark, str(tmp_path / "full"))
+    part = Lakehouse(spark, str(tmp_path / "part"))
+    for lk, scope in ((full, "table"), (part, "partitions")):
+        lk.create(t, "silver", "t", partition_by=["y"])
+        r = lk.merge(s, "silver", "t", "k", partition_by=["y"], scope=scope)
+    a = sorted(map(tuple, full.read("silver", "t").select("k", "y", "v").collect()))
+    b = sorted(map(tuple, part.read("silver", "t").select("k", "y", "v").collect()))
+    assert a == b
+    assert r.total_records == len(b)
+
+
+def test_partition_scoped_merge_falls_back_when_key_moves(spark, tmp_path):
+    from strata.sources.lakehouse import Lakehouse
+    lk = Lakehouse(spark, str(tmp_path / "mv"))
+    lk.create(spark.createDataFrame([(1, 2020, "a"), (2, 2021, "b")], "k long, y int, v string"),
+              "silver", "t", partition_by=["y"])
+    r = lk.merge(spark.createDataFrame([(1, 2021, "moved")], "k long, y int, v string"),
+                 "silver", "t", "k", partition_by=["y"], scope="partitions")
+    got = sorted(map(tuple, lk.read("silver", "t").select("k", "y", "v").collect()))
+    assert got == [(1, 2021, "moved"), (2, 2021, "b")]
+    assert r.location.endswith("v000002")  # full-table version
