@@ -352,6 +352,25 @@ class Lakehouse:
         except Exception:
             return False
 
+    # ---- catalog helpers ---------------------------------------------------
+
+    def table_exists(self, layer: str, table: str) -> bool:
+        """Catalog check (``spark.catalog.tableExists``), falling back to the
+        load history when tables are not registered."""
+        if self.register:
+            return self.spark.catalog.tableExists(f"{layer}.{table}")
+        return self.exists(layer, table)
+
+    def list_tables(self, layer: str) -> DataFrame:
+        """``SHOW TABLES IN layer`` as a DataFrame."""
+        return self.spark.sql(f"SHOW TABLES IN `{layer}`")
+
+    def describe(self, layer: str, table: str) -> DataFrame:
+        """Column listing (name, type) of the current version."""
+        return self.spark.createDataFrame(
+            [(f.name, f.dataType.simpleString()) for f in self.read(layer, table).schema.fields],
+            "col_name string, data_type string")
+
     # ---- reports ---------------------------------------------------------
 
     def load_counts(self, layer: str | None = None) -> DataFrame:

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The pipeline this library re-expresses is bounded batch end to end — it has
+no stream source or sink, trigger, watermark, windowed state or late-data
+handling ("streaming" there meant chunked downloads, re-aimed as batched
+landing in ``strata.sources.bronze.land``). Nothing is added here that the
+source system does not do.
+"""
