@@ -1,30 +1,66 @@
-"""Join helpers for fact ⟕ dimension shapes.
-
-A left join keeps fact rows whose key is NULL, but those rows can never
-match; in a shuffled join they all hash to one partition, and NULL is often
-the largest "key" of a fact table (deleted users, anonymous rows). Routing
-them around the join keeps that hot group out of the shuffle entirely; the
-non-NULL part is an ordinary equi-join whose strategy (broadcast when the
-dimension's measured size allows, sort-merge otherwise, AQE skew splitting
-for hot non-NULL keys) is left to the planner.
+"""Equi-joins that keep a NULL-key hot group out of one task.
+
+A left (or anti) join keeps left rows whose key is NULL, but those rows can
+never match; in a shuffled join they all hash to one partition, and NULL is
+often the largest "key" of a fact table (deleted users, anonymous rows).
+
+The join below adds one extra join key, ``_salt``: 0 on the right side and
+for non-NULL left keys (so real matches are unchanged), and a deterministic
+hash bucket of the row for NULL-key left rows — those still match nothing,
+but now spread over all shuffle partitions. One scan of each side, no
+re-union. The salt is a hash of the row, not ``rand()``, so a recomputed map
+task routes every row exactly as before (safe under executor loss). The
+join strategy itself (broadcast when the planner's size check allows,
+sort-merge otherwise, AQE skew splitting for hot non-NULL keys) is left to
+Spark.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SALT = "_salt"
+
+
+def _keys(keys: str | list[str]) -> list[str]:
+    return [keys] if isinstance(keys, str) else list(keys)
+
+
+def any_null(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
+def null_salt(df: DataFrame, keys: list[str], buckets: int) -> Column:
+    """0 for rows with every key set, else a stable bucket in [1, buckets]."""
+    return (F.when(any_null(keys), F.pmod(F.xxhash64(*df.columns), F.lit(buckets)) + 1)
+            .otherwise(F.lit(0)).cast("int"))
+
+
+def _buckets(spark: SparkSession, buckets: int | None) -> int:
+    if buckets:
+        return buckets
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: str | list[str], how: str,
+                buckets: int | None = None) -> DataFrame:
+    """``left JOIN right USING (keys)`` for ``how`` in left / left_anti /
+    left_semi with NULL-key left rows salted across partitions. Output
+    columns as for the plain USING join."""
+    ks = _keys(keys)
+    n = _buckets(left.sparkSession, buckets)
+    lft = left.withColumn(SALT, null_salt(left, ks, n))
+    rgt = right.withColumn(SALT, F.lit(0))
+    return lft.join(rgt, ks + [SALT], how).drop(SALT)
+
 
-def left_join_fact_dim(fact: DataFrame, dim: DataFrame, keys: str | list[str]) -> DataFrame:
-    """``fact LEFT JOIN dim USING (keys)`` with NULL-key fact rows routed
-    around the exchange. Output columns: fact columns, then the dimension's
-    non-key columns (NULL for unmatched rows)."""
-    ks = [keys] if isinstance(keys, str) else list(keys)
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in ks])
-    dim_cols = [f for f in dim.schema.fields if f.name not in ks]
-    matched = fact.where(~null_key).join(dim, ks, "left")
-    nulls = fact.where(null_key).select(
-        *fact.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in dim_cols])
-    return matched.select(*fact.columns, *[f.name for f in dim_cols]).unionByName(nulls)
+def left_join_fact_dim(fact: DataFrame, dim: DataFrame, keys: str | list[str],
+                       buckets: int | None = None) -> DataFrame:
+    """``fact LEFT JOIN dim USING (keys)``: fact columns, then the
+    dimension's non-key columns (NULL for unmatched rows)."""
+    ks = _keys(keys)
+    dim_cols = [c for c in dim.columns if c not in ks]
+    return salted_join(fact, dim, ks, "left", buckets).select(*fact.columns, *dim_cols)

@@ -12,8 +12,8 @@ Cost: the anti-join moves only the source *keys*; source payload columns are
 not shuffled. The planner broadcasts the key set when its measured size is
 under the broadcast threshold (then the target is filtered map-side and
 never shuffled); otherwise both sides hash-partition on the keys. NULL-key
-target rows cannot match and are routed around the join, so a hot NULL key
-does not pile into one task.
+target rows cannot match and are salted across partitions, so a hot NULL
+key does not pile into one task.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.operators.joins import salted_join
+
 
 class MergeCardinalityError(ValueError):
     """Several source rows match one target row."""
@@ -79,12 +81,14 @@ def check_merge_cardinality(source: DataFrame, target: DataFrame,
 
 def unmatched_target(target: DataFrame, source: DataFrame,
                      keys: str | list[str]) -> DataFrame:
-    """Target rows no source row matches (NULL keys never match)."""
+    """Target rows no source row matches (NULL keys never match).
+
+    One scan of the target; NULL-key target rows are salted across the
+    anti-join's partitions instead of hashing into one (``joins.salted_join``).
+    """
     ks = _keys(keys)
     src_keys = source.select(*ks).where(~any_null_key(ks))
-    with_null = target.where(any_null_key(ks))
-    no_null = target.where(~any_null_key(ks)).join(src_keys, ks, "left_anti")
-    return no_null.unionByName(with_null)
+    return salted_join(target, src_keys, ks, "left_anti")
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: str | list[str],
