@@ -838,7 +838,14 @@ def q_fn_add(spark, sf):
     return q_gold_user_engagement_score(spark, sf).select("user_id", "engagement_score")
 
 
-@register("fn_map_get")
+@register("fn_map_get", W(["upsert_target", "upsert_source"], """
+SELECT CAST(3 AS BIGINT) AS version,
+       CAST((SELECT COUNT(*) FROM upsert_source) AS VARCHAR) AS added_records,
+       CAST(NULL AS VARCHAR) AS missing
+UNION ALL
+SELECT 2, CAST((SELECT COUNT(*) FROM upsert_source) AS VARCHAR), NULL
+UNION ALL
+SELECT 1, CAST((SELECT COUNT(*) FROM upsert_target) AS VARCHAR), NULL"""))
 def q_fn_map_get(spark, sf):
     h = _merged_twice(spark, sf).history("silver", "posts")
     return h.select("version", F.col("summary")["added-records"].alias("added_records"),
@@ -956,3 +963,45 @@ def q_run_gold_activity(spark, sf):
 def q_run_medallion(spark, sf):
     return pipeline.run_medallion(spark, sf, scratch_path(spark, "medallion"),
                                   load_ts=O.LOAD_TS, as_of=O.AS_OF, run_ts=O.RUN_TS)
+
+
+# ---- console queries through spark.sql over the silver catalog tables -----
+
+def _silver_catalog(spark, sf) -> Lakehouse:
+    """Silver tables written to a fresh lakehouse and registered as
+    ``silver.<table>`` for SQL."""
+    lake = _lake(spark)
+    for t, df in silvers(spark, sf).items():
+        lake.create(df, "silver", t)
+    return lake
+
+
+@register("query_posts_per_user_top20_sql", O.QUERY_POSTS_PER_USER_TOP20)
+def q_posts_per_user_top20_sql(spark, sf):
+    _silver_catalog(spark, sf)
+    return analytics.console_sql(spark, "posts_per_user_top20")
+
+
+@register("query_posts_per_named_user_top20_sql", O.QUERY_POSTS_PER_NAMED_USER_TOP20)
+def q_posts_per_named_user_top20_sql(spark, sf):
+    _silver_catalog(spark, sf)
+    return analytics.console_sql(spark, "posts_per_named_user_top20")
+
+
+@register("query_badge_statistics_sql", O.QUERY_BADGE_STATISTICS)
+def q_badge_statistics_sql(spark, sf):
+    _silver_catalog(spark, sf)
+    return analytics.console_sql(spark, "badge_statistics")
+
+
+@register("query_user_engagement_sql", O.QUERY_USER_ENGAGEMENT)
+def q_user_engagement_sql(spark, sf):
+    _silver_catalog(spark, sf)
+    return analytics.console_sql(spark, "user_engagement")
+
+
+@register("browse_by_key_sql", W(["silver_posts"], f"""
+SELECT * FROM silver_posts WHERE owner_user_id = {BROWSE_USER} ORDER BY post_id LIMIT 10"""))
+def q_browse_by_key_sql(spark, sf):
+    _silver_catalog(spark, sf)
+    return analytics.console_sql(spark, "browse_posts_by_owner", key=BROWSE_USER)
