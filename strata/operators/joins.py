@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SALT = "_salt"
@@ -45,22 +45,67 @@ def _buckets(spark: SparkSession, buckets: int | None) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
+def heavy_keys(df: DataFrame, keys: str | list[str], min_share: float = 0.02,
+               max_keys: int = 16, fraction: float = 0.01, seed: int = 17) -> list[tuple]:
+    """Non-NULL key values holding at least ``min_share`` of the rows,
+    estimated from a Bernoulli sample of the key columns (the scan reads only
+    those columns; only sampled keys are shuffled). At most ``max_keys`` are
+    returned, so what reaches the driver is bounded whatever the data size."""
+    ks = _keys(keys)
+    obs = Observation()
+    s = (df.select(*ks).sample(fraction=fraction, seed=seed)
+         .observe(obs, F.count(F.lit(1)).alias("n")).where(~any_null(ks)))
+    top = s.groupBy(*ks).count().orderBy(F.desc("count")).limit(max_keys).collect()
+    n = obs.get["n"] or 0
+    return [tuple(r[k] for k in ks) for r in top if n and r["count"] >= n * min_share]
+
+
+def _in_hot(keys: list[str], hot: list[tuple]) -> Column:
+    """TRUE for rows whose key tuple is one of the ``hot`` tuples."""
+    if len(keys) == 1:
+        return F.col(keys[0]).isin([h[0] for h in hot])
+    return reduce(lambda a, b: a | b, [
+        reduce(lambda x, y: x & y, [F.col(k) == F.lit(v) for k, v in zip(keys, h)])
+        for h in hot])
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: str | list[str], how: str,
-                buckets: int | None = None) -> DataFrame:
-    """``left JOIN right USING (keys)`` for ``how`` in left / left_anti /
-    left_semi with NULL-key left rows salted across partitions. Output
-    columns as for the plain USING join."""
+                buckets: int | None = None, hot_keys: list | None = None,
+                hot_buckets: int = 32) -> DataFrame:
+    """``left JOIN right USING (keys)`` for ``how`` in inner / left /
+    left_anti / left_semi. Output columns as for the plain USING join.
+
+    NULL-key left rows are salted across partitions. ``hot_keys`` (known heavy
+    key values, e.g. from a previous run's statistics) are split too: their
+    left rows take a row-hash bucket in ``[1, hot_buckets]`` and the right
+    rows of those keys — one per key in a keyed dimension — are replicated
+    once per bucket, so each hot key is joined by ``hot_buckets`` tasks
+    instead of one. All other keys join on salt 0, unchanged.
+    """
     ks = _keys(keys)
     n = _buckets(left.sparkSession, buckets)
-    lft = left.withColumn(SALT, null_salt(left, ks, n))
+    salt = null_salt(left, ks, n)
     rgt = right.withColumn(SALT, F.lit(0))
+    if isinstance(hot_keys, str) and hot_keys == "auto":
+        hot_keys = heavy_keys(left, ks)
+    if hot_keys:
+        hot = [h if isinstance(h, (tuple, list)) else (h,) for h in hot_keys]
+        row_bucket = F.pmod(F.xxhash64(*left.columns), F.lit(hot_buckets)) + 1
+        salt = F.when(_in_hot(ks, hot), row_bucket.cast("int")).otherwise(salt)
+        # one pass over the right side: hot-key rows fan out to every bucket
+        rgt = right.withColumn(SALT, F.explode(
+            F.when(_in_hot(ks, hot), F.sequence(F.lit(1), F.lit(hot_buckets)))
+             .otherwise(F.array(F.lit(0)))))
+    lft = left.withColumn(SALT, salt)
     return lft.join(rgt, ks + [SALT], how).drop(SALT)
 
 
 def left_join_fact_dim(fact: DataFrame, dim: DataFrame, keys: str | list[str],
-                       buckets: int | None = None) -> DataFrame:
+                       buckets: int | None = None, hot_keys: list | None = None,
+                       hot_buckets: int = 32) -> DataFrame:
     """``fact LEFT JOIN dim USING (keys)``: fact columns, then the
     dimension's non-key columns (NULL for unmatched rows)."""
     ks = _keys(keys)
     dim_cols = [c for c in dim.columns if c not in ks]
-    return salted_join(fact, dim, ks, "left", buckets).select(*fact.columns, *dim_cols)
+    return (salted_join(fact, dim, ks, "left", buckets, hot_keys, hot_buckets)
+            .select(*fact.columns, *dim_cols))

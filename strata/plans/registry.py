@@ -620,7 +620,7 @@ def q_join_left_fact_dim(spark, sf):
     s = silvers(spark, sf)
     return left_join_fact_dim(s["comments"].select("comment_id", "user_id"),
                               s["users"].select("user_id", "display_name", "is_active"),
-                              "user_id")
+                              "user_id", hot_keys="auto")
 
 
 @register("join_inner_equi", W(["silver_posts", "silver_users"], """
