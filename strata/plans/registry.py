@@ -247,11 +247,18 @@ def q_bronze_land_exclude(spark, sf):
     return B.landed_counts(spark, landed)
 
 
+def _private_layer(name: str = "silver") -> str:
+    """A namespace of its own for queries that read through the session
+    catalog, so no other query can re-point their tables meanwhile."""
+    import uuid
+    return f"{name}_{uuid.uuid4().hex[:10]}"
+
+
 @register("scan_table", W(["silver_posts"], "SELECT * FROM silver_posts"))
 def q_scan_table(spark, sf):
-    lake = _lake(spark)
-    lake.create(silver_frame(spark, sf, "posts"), "silver", "posts")
-    return spark.table("silver.posts")
+    lake, ns = _lake(spark), _private_layer()
+    lake.create(silver_frame(spark, sf, "posts"), ns, "posts")
+    return spark.table(f"{ns}.posts")
 
 
 @register("browse_limit", W(["silver_badges"],
@@ -967,41 +974,37 @@ def q_run_medallion(spark, sf):
 
 # ---- console queries through spark.sql over the silver catalog tables -----
 
-def _silver_catalog(spark, sf) -> Lakehouse:
-    """Silver tables written to a fresh lakehouse and registered as
-    ``silver.<table>`` for SQL."""
-    lake = _lake(spark)
+def _silver_catalog(spark, sf) -> str:
+    """Silver tables written to a fresh lakehouse and registered in a
+    namespace of their own; returns the namespace for the SQL text."""
+    lake, ns = _lake(spark), _private_layer()
     for t, df in silvers(spark, sf).items():
-        lake.create(df, "silver", t)
-    return lake
+        lake.create(df, ns, t)
+    return ns
 
 
 @register("query_posts_per_user_top20_sql", O.QUERY_POSTS_PER_USER_TOP20)
 def q_posts_per_user_top20_sql(spark, sf):
-    _silver_catalog(spark, sf)
-    return analytics.console_sql(spark, "posts_per_user_top20")
+    return analytics.console_sql(spark, "posts_per_user_top20", _silver_catalog(spark, sf))
 
 
 @register("query_posts_per_named_user_top20_sql", O.QUERY_POSTS_PER_NAMED_USER_TOP20)
 def q_posts_per_named_user_top20_sql(spark, sf):
-    _silver_catalog(spark, sf)
-    return analytics.console_sql(spark, "posts_per_named_user_top20")
+    return analytics.console_sql(spark, "posts_per_named_user_top20", _silver_catalog(spark, sf))
 
 
 @register("query_badge_statistics_sql", O.QUERY_BADGE_STATISTICS)
 def q_badge_statistics_sql(spark, sf):
-    _silver_catalog(spark, sf)
-    return analytics.console_sql(spark, "badge_statistics")
+    return analytics.console_sql(spark, "badge_statistics", _silver_catalog(spark, sf))
 
 
 @register("query_user_engagement_sql", O.QUERY_USER_ENGAGEMENT)
 def q_user_engagement_sql(spark, sf):
-    _silver_catalog(spark, sf)
-    return analytics.console_sql(spark, "user_engagement")
+    return analytics.console_sql(spark, "user_engagement", _silver_catalog(spark, sf))
 
 
 @register("browse_by_key_sql", W(["silver_posts"], f"""
 SELECT * FROM silver_posts WHERE owner_user_id = {BROWSE_USER} ORDER BY post_id LIMIT 10"""))
 def q_browse_by_key_sql(spark, sf):
-    _silver_catalog(spark, sf)
-    return analytics.console_sql(spark, "browse_posts_by_owner", key=BROWSE_USER)
+    return analytics.console_sql(spark, "browse_posts_by_owner", _silver_catalog(spark, sf),
+                                 key=BROWSE_USER)

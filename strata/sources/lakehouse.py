@@ -92,22 +92,18 @@ class Lakehouse:
         self._namespaces.add(layer)
 
     def _bind(self, layer: str, table: str, location: str, schema=None) -> None:
-        """Point catalog table ``layer.table`` at ``location``; re-create it
-        when the schema changed (a moved location keeps the old schema)."""
+        """Point catalog table ``layer.table`` at ``location``.
+
+        The entry is re-created on every commit: a moved location would keep
+        the old schema and, for partitioned tables, the old partition list;
+        creating over the location infers both (and recovers partitions).
+        DataFrames analysed earlier keep reading the version they resolved.
+        """
         if not self.register:
             return
         self.ensure_namespace(layer)
         name = f"`{layer}`.`{table}`"
-        if self.spark.catalog.tableExists(f"{layer}.{table}"):
-            have = self.spark.table(f"{layer}.{table}").schema.fields
-            same = schema is None or (sorted((f.name, f.dataType.simpleString()) for f in have)
-                                      == sorted((f.name, f.dataType.simpleString())
-                                                for f in schema.fields))
-            if same:
-                self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-                self.spark.sql(f"REFRESH TABLE {name}")
-                return
-            self.spark.sql(f"DROP TABLE {name}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
 
     # ---- history ---------------------------------------------------------
