@@ -91,7 +91,7 @@ class Lakehouse:
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{layer}`")
         self._namespaces.add(layer)
 
-    def _bind(self, layer: str, table: str, location: str, schema=None) -> None:
+    def _bind(self, layer: str, table: str, location: str) -> None:
         """Point catalog table ``layer.table`` at ``location``.
 
         The entry is re-created on every commit: a moved location would keep
@@ -196,7 +196,7 @@ class Lakehouse:
         n = obs.get["rows"]
         res = LoadResult(layer, table, version, operation, n, 0, n, path)
         self._append_history(res)
-        self._bind(layer, table, path, df.schema)
+        self._bind(layer, table, path)
         return res
 
     def create(self, df: DataFrame, layer: str, table: str,
@@ -236,7 +236,7 @@ class Lakehouse:
     def merge(self, source: DataFrame, layer: str, table: str, keys: str | list[str],
               partition_by: list[str] | None = None, check_cardinality: bool = True,
               null_keys: str = "insert", use_sql_merge: bool = False,
-              scope: str = "table") -> LoadResult:
+              scope: str = "table", verify_partition_keys: bool = True) -> LoadResult:
         """Upsert ``source`` into the table by ``keys``; creates it on first
         load. Matched rows are replaced by the source row, unmatched source
         rows inserted, other target rows kept.
@@ -247,7 +247,10 @@ class Lakehouse:
         not the table. It requires that no matched key sits in another
         partition of the target (partition values of a key do not move); that
         is checked on the key column alone and, if violated, the merge falls
-        back to a full-table version.
+        back to a full-table version. ``verify_partition_keys=False`` skips
+        that check for tables whose partition column derives from an
+        immutable attribute (e.g. the creation year). An empty batch changes
+        nothing and writes no version.
         """
         keys = [keys] if isinstance(keys, str) else list(keys)
         version, loc = self._current(layer, table)
@@ -263,7 +266,7 @@ class Lakehouse:
             src = src.where(~any_null_key(keys))
         if scope == "partitions" and partition_by:
             res = self._merge_partitions(src, target, layer, table, keys, partition_by,
-                                         version, loc)
+                                         version, loc, verify_partition_keys)
             if res is not None:
                 return res
         elif scope not in ("table", "partitions"):
@@ -283,15 +286,16 @@ class Lakehouse:
         res = LoadResult(layer, table, new_version, "merge", n_source, updated,
                          n_source + n_kept, path)
         self._append_history(res)
-        self._bind(layer, table, path, merged.schema)
+        self._bind(layer, table, path)
         return res
 
     def _merge_partitions(self, src: DataFrame, target: DataFrame, layer: str, table: str,
                           keys: list[str], parts: list[str], version: int,
-                          loc: str) -> LoadResult | None:
+                          loc: str, verify_keys: bool = True) -> LoadResult | None:
         touched = [tuple(r) for r in src.select(*parts).distinct().collect()]
-        if not touched:
-            return None
+        if not touched:  # empty batch: nothing to change
+            total = self._current_total(layer, table)
+            return LoadResult(layer, table, version, "merge", 0, 0, total, loc)
 
         def in_touched(df: DataFrame):
             cond = None
@@ -304,10 +308,11 @@ class Lakehouse:
             return cond
 
         # a matched key outside the touched partitions would be kept twice
-        moved = (target.where(~in_touched(target)).select(*keys)
-                 .join(src.select(*keys).where(~any_null_key(keys)), keys, "left_semi"))
-        if not moved.isEmpty():
-            return None
+        if verify_keys:
+            moved = (target.where(~in_touched(target)).select(*keys)
+                     .join(src.select(*keys).where(~any_null_key(keys)), keys, "left_semi"))
+            if not moved.isEmpty():
+                return None
         t_touched = target.where(in_touched(target))  # partition-pruned read
         n_t_touched = t_touched.count()
         new_version = version + 1

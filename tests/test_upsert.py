@@ -124,3 +124,14 @@ def test_partition_scoped_merge_falls_back_when_key_moves(spark, tmp_path):
     got = sorted(map(tuple, lk.read("silver", "t").select("k", "y", "v").collect()))
     assert got == [(1, 2021, "moved"), (2, 2021, "b")]
     assert r.location.endswith("v000002")  # full-table version
+
+
+def test_partition_merge_of_empty_batch_is_a_noop(spark, tmp_path):
+    from strata.sources.lakehouse import Lakehouse
+    lk = Lakehouse(spark, str(tmp_path / "e"))
+    lk.create(spark.createDataFrame([(1, 2020, "a")], "k long, y int, v string"), "silver", "t",
+              partition_by=["y"])
+    empty = spark.createDataFrame([], "k long, y int, v string")
+    r = lk.merge(empty, "silver", "t", "k", partition_by=["y"], scope="partitions")
+    assert (r.version, r.added_records, r.total_records) == (1, 0, 1)
+    assert lk.read("silver", "t").count() == 1
