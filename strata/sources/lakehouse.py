@@ -70,6 +70,7 @@ class Lakehouse:
         # history once per table, then kept current by this writer's commits
         self._state: dict[tuple[str, str], tuple[int, str | None, int]] = {}
         self._history_seen = False
+        self._props: dict[tuple[str, str], dict[str, str]] = {}
 
     # ---- paths and catalog ------------------------------------------------
 
@@ -103,8 +104,13 @@ class Lakehouse:
             return
         self.ensure_namespace(layer)
         name = f"`{layer}`.`{table}`"
+        props = self._props.get((layer, table))
+        tbl = ""
+        if props:
+            tbl = " TBLPROPERTIES (" + ", ".join(
+                f"'{k}' = '{v}'" for k, v in sorted(props.items())) + ")"
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
+        self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'{tbl}")
 
     # ---- history ---------------------------------------------------------
 
@@ -200,10 +206,14 @@ class Lakehouse:
         return res
 
     def create(self, df: DataFrame, layer: str, table: str,
-               partition_by: list[str] | None = None) -> LoadResult:
-        """Create a table from a frame; error if it exists."""
+               partition_by: list[str] | None = None,
+               properties: dict[str, str] | None = None) -> LoadResult:
+        """Create a table from a frame; error if it exists. ``properties``
+        become catalog table properties (kept across later commits)."""
         if self.exists(layer, table):
             raise ValueError(f"{layer}.{table} already exists")
+        if properties:
+            self._props[(layer, table)] = {str(k): str(v) for k, v in properties.items()}
         return self._commit(df, layer, table, "append", partition_by)
 
     def replace(self, df: DataFrame, layer: str, table: str,

@@ -84,3 +84,10 @@ def test_catalog_helpers(lake, spark):
     assert lake.table_exists("silver", "nums")
     assert "nums" in [r.tableName for r in lake.list_tables("silver").collect()]
     assert [r.col_name for r in lake.describe("silver", "nums").collect()] == ["id"]
+
+
+def test_table_properties_survive_commits(lake, spark):
+    lake.create(spark.range(3), "silver", "props", properties={"layer": "silver", "format-version": "2"})
+    lake.replace(spark.range(5), "silver", "props")
+    props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES silver.props").collect()}
+    assert props["layer"] == "silver" and props["format-version"] == "2"

@@ -45,3 +45,28 @@ def test_contract_accepts_alternates_and_extras(spark):
                                "creationdate string, extra int")
     assert check_contract(df, "comments") is df
     assert check_contract(df, "unknown_dataset") is df
+
+
+RAW_NAMES = {
+    "comments": ["Id", "PostId", "Score", "Text", "CreationDate", "UserId", "UserDisplayName"],
+    "posts": ["Id", "PostTypeId", "AcceptedAnswerId", "CreationDate", "Score", "ViewCount",
+              "Body", "OwnerUserId", "OwnerDisplayName", "LastEditorUserId",
+              "LastEditorDisplayName", "LastEditDate", "LastActivityDate", "Title", "Tags",
+              "AnswerCount", "CommentCount", "FavoriteCount", "ContentLicense", "ParentId",
+              "CommunityOwnedDate", "ClosedDate"],
+    "badges": ["Id", "UserId", "Name", "Date", "Class", "TagBased"],
+    "users": ["Id", "Reputation", "CreationDate", "DisplayName", "LastAccessDate", "AboutMe",
+              "Views", "UpVotes", "DownVotes", "WebsiteUrl", "Location", "AccountId"],
+}
+
+
+@pytest.mark.parametrize("mode", ["split_caps", "two_pass", "standard"])
+def test_dump_names_normalise_identically_in_every_mode(mode):
+    from strata.functions.columns import missing_columns
+    for ds, names in RAW_NAMES.items():
+        out = normalized_names(names, mode)
+        assert out == normalized_names(names, "standard")
+        assert all(n == n.lower() and " " not in n for n in out)
+        assert missing_columns(out, ds) == []
+    assert normalized_names(RAW_NAMES["posts"], mode)[:3] == [
+        "id", "post_type_id", "accepted_answer_id"]
