@@ -28,8 +28,18 @@ TEXT_FIELDS = {
 }
 
 
+_READERS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table. The test tables are read-only, so the resolved reader
+    (file listing + footer schema) is reused within a session; no data is
+    cached."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _READERS:
+        _READERS[key] = spark.read.parquet(path)
+    return _READERS[key]
 
 
 def _null(t: str):
