@@ -28,18 +28,18 @@ TEXT_FIELDS = {
 }
 
 
-_READERS: dict[tuple[int, str], DataFrame] = {}
+_READERS: dict[str, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table. The test tables are read-only, so the resolved reader
-    (file listing + footer schema) is reused within a session; no data is
-    cached."""
+    (file listing + footer schema) is reused while the same session is in
+    use; no data is cached."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _READERS:
-        _READERS[key] = spark.read.parquet(path)
-    return _READERS[key]
+    df = _READERS.get(path)
+    if df is None or df.sparkSession is not spark:
+        df = _READERS[path] = spark.read.parquet(path)
+    return df
 
 
 def _null(t: str):
