@@ -26,7 +26,10 @@ ORACLES: dict[str, str] = {}
 
 def register(name: str, oracle: str | None = None):
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return fn(spark, str(sf_dir).rstrip("/"))
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn

@@ -35,3 +35,10 @@ def test_matches_oracle(spark, name):
     from tools.check_oracle import compare
     ok, msg = compare(spark, name, SMALL)
     assert ok, msg
+
+
+def test_trailing_slash_in_sf_dir(spark):
+    q = E.queries()
+    a = q["scan_parquet_file"](spark, SMALL + "/").count()
+    b = q["silver_posts"](spark, SMALL + "/").count()
+    assert a == b > 0
