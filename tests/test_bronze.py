@@ -91,3 +91,11 @@ def test_table_properties_survive_commits(lake, spark):
     lake.replace(spark.range(5), "silver", "props")
     props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES silver.props").collect()}
     assert props["layer"] == "silver" and props["format-version"] == "2"
+
+
+def test_resolver_finds_loader_nested_folder(spark, tmp_path):
+    base = str(tmp_path / "bronze")
+    _comments(spark).write.parquet(f"{base}/comments_2021/comments_2021")
+    p = B.resolve_bronze_path(spark, base, "comments", 2021)
+    assert p.endswith("comments_2021/comments_2021")
+    assert B.read_bronze(spark, base, "comments", 2021).count() == 3
