@@ -10,13 +10,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
 
-from strata.functions.columns import normalize_columns
-from strata.operators import gold, silver
-from strata.plans import analytics
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strata.functions import expressions as X
+from strata.functions.columns import check_contract, normalize_columns
+from strata.functions.decode import decode_utf8
+from strata.operators import gold, silver, upsert
+from strata.operators.joins import left_join_fact_dim
+from strata.plans import analytics, pipeline
 from strata.plans import oracle_sql as O
+from strata.session import scratch_path
+from strata.sources import bronze as B
 from strata.sources import roles
+from strata.sources.lakehouse import Lakehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -150,18 +159,6 @@ def q_silver_posts(spark, sf):
 # Operator-level queries. Each reads the whole base tables.
 # =========================================================================
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from strata.functions import expressions as X  # noqa: E402
-from strata.functions.columns import check_contract  # noqa: E402
-from strata.functions.decode import decode_utf8  # noqa: E402
-from strata.operators import upsert  # noqa: E402
-from strata.operators.joins import left_join_fact_dim  # noqa: E402
-from strata.plans import pipeline  # noqa: E402
-from strata.session import scratch_path  # noqa: E402
-from strata.sources import bronze as B  # noqa: E402
-from strata.sources.lakehouse import Lakehouse  # noqa: E402
-
 W = O.with_ctes
 
 
@@ -253,7 +250,6 @@ def q_bronze_land_exclude(spark, sf):
 def _private_layer(name: str = "silver") -> str:
     """A namespace of its own for queries that read through the session
     catalog, so no other query can re-point their tables meanwhile."""
-    import uuid
     return f"{name}_{uuid.uuid4().hex[:10]}"
 
 
