@@ -38,3 +38,21 @@ def test_engagement_aggregates_before_joins(spark):
     p = df._jdf.queryExecution().optimizedPlan().toString()
     # each measure is aggregated below its join (no join below an aggregate)
     assert p.count("Aggregate") >= 3
+
+
+def test_sort_merge_shapes_exchange_each_side_once(spark):
+    """With broadcast off (the large-data shape), no exchange is keyed on a
+    grouping column beyond the join key, and the per-user groupings after a
+    join reuse the join's partitioning."""
+    import re
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for q in (R.q_user_engagement, R.q_gold_user_comment_engagement,
+                  R.q_posts_per_named_user_top20):
+            p = plan(q(spark, SF))
+            keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
+            assert not [k for k in keys if "display_name" in k or "is_active" in k], keys
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
