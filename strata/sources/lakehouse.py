@@ -148,7 +148,26 @@ class Lakehouse:
                                  int(rows[0]["total_records"])) if rows else (0, None, 0))
         return self._state[key]
 
+    def _path_exists(self, path: str) -> bool:
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p))
+
+    def _refresh_if_stale(self, layer: str, table: str) -> None:
+        """Re-read the history when the next version folder already exists:
+        either another writer committed it (then it is listed and becomes
+        current) or a killed attempt left it behind (then it is not listed
+        and the next commit overwrites it). One filesystem call."""
+        key = (layer, table)
+        if key not in self._state:
+            return
+        nxt = self._version_path(layer, table, self._state[key][0] + 1)
+        if self._path_exists(nxt):
+            self._state.pop(key, None)
+            self._history_seen = False
+
     def _current(self, layer: str, table: str):
+        self._refresh_if_stale(layer, table)
         v, loc, _ = self._load_state(layer, table)
         return v, loc
 
@@ -260,7 +279,9 @@ class Lakehouse:
         back to a full-table version. ``verify_partition_keys=False`` skips
         that check for tables whose partition column derives from an
         immutable attribute (e.g. the creation year). An empty batch changes
-        nothing and writes no version.
+        nothing and writes no version. Being in place, partition-scoped
+        merges assume one writer per table at a time; versioned commits
+        detect a concurrent writer by the next version folder.
         """
         keys = [keys] if isinstance(keys, str) else list(keys)
         version, loc = self._current(layer, table)

@@ -135,3 +135,28 @@ def test_partition_merge_of_empty_batch_is_a_noop(spark, tmp_path):
     r = lk.merge(empty, "silver", "t", "k", partition_by=["y"], scope="partitions")
     assert (r.version, r.added_records, r.total_records) == (1, 0, 1)
     assert lk.read("silver", "t").count() == 1
+
+
+def test_two_writers_do_not_clobber_versions(spark, tmp_path):
+    from strata.sources.lakehouse import Lakehouse
+    root = str(tmp_path / "shared")
+    a, b = Lakehouse(spark, root, register=False), Lakehouse(spark, root, register=False)
+    t = spark.range(0, 10).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    a.create(t, "silver", "t")
+    b.read("silver", "t")  # b caches version 1
+    a.merge(spark.range(10, 12).select(F.col("id").alias("k"), F.lit("a2").alias("v")),
+            "silver", "t", "k")  # version 2 by writer a
+    r = b.merge(spark.range(20, 21).select(F.col("id").alias("k"), F.lit("b").alias("v")),
+                "silver", "t", "k")
+    assert r.version == 3
+    got = sorted(x.k for x in a.read("silver", "t").collect())
+    assert got == list(range(12)) + [20]  # b merged onto a's version 2
+
+
+def test_leftover_of_a_killed_attempt_is_overwritten(spark, tmp_path):
+    from strata.sources.lakehouse import Lakehouse
+    lk = Lakehouse(spark, str(tmp_path / "k"), register=False)
+    lk.create(spark.range(3), "silver", "t")
+    spark.range(99).write.parquet(lk._version_path("silver", "t", 2))  # partial, never committed
+    r = lk.replace(spark.range(5), "silver", "t")
+    assert r.version == 2 and lk.read("silver", "t").count() == 5
