@@ -160,3 +160,13 @@ def test_leftover_of_a_killed_attempt_is_overwritten(spark, tmp_path):
     spark.range(99).write.parquet(lk._version_path("silver", "t", 2))  # partial, never committed
     r = lk.replace(spark.range(5), "silver", "t")
     assert r.version == 2 and lk.read("silver", "t").count() == 5
+
+
+def test_history_commit_times_follow_versions(lake, spark):
+    for i in range(3):
+        lake.replace(spark.range(i + 1), "gold", "h")
+    h = lake.history("gold", "h", newest_first=False).collect()
+    assert [r.version for r in h] == [1, 2, 3]
+    assert [r.committed_at for r in h] == sorted(r.committed_at for r in h)
+    assert [r.operation for r in h] == ["overwrite"] * 3
+    assert [r.summary["total-records"] for r in h] == ["1", "2", "3"]
