@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import (
     CONTRACTS, SchemaContractError, check_contract, missing_columns, normalize_columns,
 )
+from strata.sources import fs
 
 YEARLY = {"comments", "posts", "post"}
 SINGLE = {"badges", "users"}
@@ -161,20 +162,12 @@ def land_bounded(df: DataFrame, dest: str, order_by: str | list[str], batches: i
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+    return fs.exists(spark, path)
 
 
 def list_names(spark: SparkSession, folder: str) -> list[str]:
-    """Entry names directly in ``folder`` through the Hadoop filesystem of
-    the path (driver-side metadata listing; no data is read)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(p))
+    """Entry names directly in ``folder`` (driver-side metadata listing)."""
+    return fs.list_names(spark, folder)
 
 
 def _list_parquet(spark: SparkSession, folder: str) -> list[str]:

@@ -31,6 +31,7 @@ from pyspark.sql import types as T
 from strata.operators.upsert import (
     align_source, any_null_key, check_merge_cardinality, unmatched_target,
 )
+from strata.sources import fs
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("layer", T.StringType()),
@@ -131,11 +132,8 @@ class Lakehouse:
     def _has_history(self) -> bool:
         if self._history_seen:
             return True
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.history_path)
-        seen = bool(p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p))
-        self._history_seen = seen
-        return seen
+        self._history_seen = fs.exists(self.spark, self.history_path)
+        return self._history_seen
 
     def _load_state(self, layer: str, table: str) -> tuple[int, str | None, int]:
         key = (layer, table)
@@ -149,9 +147,7 @@ class Lakehouse:
         return self._state[key]
 
     def _path_exists(self, path: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p))
+        return fs.exists(self.spark, path)
 
     def _refresh_if_stale(self, layer: str, table: str) -> None:
         """Re-read the history when the next version folder already exists:

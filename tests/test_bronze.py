@@ -99,3 +99,16 @@ def test_resolver_finds_loader_nested_folder(spark, tmp_path):
     p = B.resolve_bronze_path(spark, base, "comments", 2021)
     assert p.endswith("comments_2021/comments_2021")
     assert B.read_bronze(spark, base, "comments", 2021).count() == 3
+
+
+def test_fs_fallback_without_jvm_gateway(spark, tmp_path, monkeypatch):
+    from strata.sources import fs
+    base = str(tmp_path / "ds")
+    spark.range(3).write.parquet(f"{base}/year=2020")
+    spark.range(3).write.parquet(f"{base}/year=2021")
+    want = fs.list_names(spark, base)
+    monkeypatch.setattr(fs, "_hadoop", lambda s, p: (None, None))
+    assert fs.exists(spark, base) and not fs.exists(spark, base + "_missing")
+    got = fs.list_names(spark, base)
+    assert [n for n in got if n.startswith("year=")] == ["year=2020", "year=2021"]
+    assert [n for n in want if n.startswith("year=")] == ["year=2020", "year=2021"]
