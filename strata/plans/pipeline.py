@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions.columns import normalize_columns
 from strata.operators import gold, silver
 from strata.sources import roles
 from strata.sources.bronze import land, read_bronze
@@ -151,7 +150,3 @@ def run_medallion(spark: SparkSession, sf_dir: str, root: str, load_ts=None, as_
     lake = Lakehouse(spark, f"{root}/lakehouse")
     run_silver(spark, bronze_root, lake, load_ts, as_of)
     return _run_gold(lake, GOLD_USER_METRICS + GOLD_ACTIVITY, run_ts)
-
-
-def normalized_bronze(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
-    return normalize_columns(roles.bronze(spark, sf_dir, dataset))
