@@ -59,6 +59,21 @@ class LoadResult:
     location: str
 
 
+def _partition_filter(parts: list[str], values: list[tuple]):
+    """TRUE for rows in one of the given partitions (NULL-safe); a single
+    partition column becomes an IN list, which prunes partitions."""
+    if len(parts) == 1 and all(v[0] is not None for v in values):
+        return F.col(parts[0]).isin([v[0] for v in values])
+    cond = None
+    for vals in values:
+        c = None
+        for p, v in zip(parts, vals):
+            e = F.col(p).isNull() if v is None else (F.col(p) == F.lit(v))
+            c = e if c is None else (c & e)
+        cond = c if cond is None else (cond | c)
+    return cond
+
+
 class Lakehouse:
     def __init__(self, spark: SparkSession, root: str, register: bool = True,
                  compression: str = "snappy"):
@@ -244,6 +259,11 @@ class Lakehouse:
         version, loc = self._current(layer, table)
         if loc is None:
             return self._commit(df, layer, table, "append", partition_by)
+        # rows about to be replaced: only the touched partitions are counted
+        # (partition-pruned), never the whole table
+        touched = [tuple(r) for r in df.select(*partition_by).distinct().collect()]
+        old = self.spark.read.parquet(loc)
+        replaced = old.where(_partition_filter(partition_by, touched)).count() if touched else 0
         obs = Observation(f"ovw_{layer}_{table}_{version + 1}")
         prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -252,8 +272,8 @@ class Lakehouse:
         finally:
             self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
         n = obs.get["rows"]
-        total = self.spark.read.parquet(loc).count()
-        res = LoadResult(layer, table, version + 1, "overwrite", n, 0, total, loc)
+        total = self._current_total(layer, table) - replaced + n
+        res = LoadResult(layer, table, version + 1, "overwrite", n, replaced, total, loc)
         self._append_history(res)
         self._bind(layer, table, loc)
         return res
@@ -325,14 +345,7 @@ class Lakehouse:
             return LoadResult(layer, table, version, "merge", 0, 0, total, loc)
 
         def in_touched(df: DataFrame):
-            cond = None
-            for vals in touched:
-                c = None
-                for p, v in zip(parts, vals):
-                    e = F.col(p).isNull() if v is None else (F.col(p) == F.lit(v))
-                    c = e if c is None else (c & e)
-                cond = c if cond is None else (cond | c)
-            return cond
+            return _partition_filter(parts, touched)
 
         # a matched key outside the touched partitions would be kept twice
         if verify_keys:

@@ -170,3 +170,12 @@ def test_history_commit_times_follow_versions(lake, spark):
     assert [r.committed_at for r in h] == sorted(r.committed_at for r in h)
     assert [r.operation for r in h] == ["overwrite"] * 3
     assert [r.summary["total-records"] for r in h] == ["1", "2", "3"]
+
+
+def test_overwrite_partitions_history_counts(lake, spark):
+    df = spark.createDataFrame([(1, 2020), (2, 2021), (3, 2021), (4, 2022)], "k long, y int")
+    lake.create(df, "silver", "pc", partition_by=["y"])
+    r = lake.overwrite_partitions(spark.createDataFrame([(9, 2021)], "k long, y int"),
+                                  "silver", "pc", ["y"])
+    assert (r.added_records, r.deleted_records, r.total_records) == (1, 2, 3)
+    assert lake.read("silver", "pc").count() == 3
