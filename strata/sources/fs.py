@@ -52,4 +52,12 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(names)
 
 
-__all__ = ["exists", "list_names"]
+def delete(spark: SparkSession, path: str) -> bool:
+    """Remove a folder (recursively) on the path's filesystem."""
+    fs, p = _hadoop(spark, path)
+    if fs is None:
+        raise RuntimeError(f"cannot delete {path}: no filesystem gateway in this session")
+    return bool(fs.delete(p, True))
+
+
+__all__ = ["delete", "exists", "list_names"]

@@ -289,12 +289,14 @@ class Lakehouse:
         ``scope='table'`` writes the merged table as a new immutable version.
         ``scope='partitions'`` (partitioned tables) rewrites only the
         partitions the source touches, in place — the cost follows the batch,
-        not the table. It requires that no matched key sits in another
-        partition of the target (partition values of a key do not move); that
-        is checked on the key column alone and, if violated, the merge falls
-        back to a full-table version. ``verify_partition_keys=False`` skips
-        that check for tables whose partition column derives from an
-        immutable attribute (e.g. the creation year). An empty batch changes
+        not the table. A matched key may sit in another partition of the
+        target (its partition value moved); that is found on the key and
+        partition columns alone, and the partitions it vacates are rewritten
+        too (removed if left empty). With several partition columns or
+        non-integral ones such a batch falls back to a full-table version.
+        ``verify_partition_keys=False`` skips that search for tables whose
+        partition column derives from an immutable attribute (e.g. the
+        creation year). An empty batch changes
         nothing and writes no version. Being in place, partition-scoped
         merges assume one writer per table at a time; versioned commits
         detect a concurrent writer by the next version folder.
@@ -344,15 +346,24 @@ class Lakehouse:
             total = self._current_total(layer, table)
             return LoadResult(layer, table, version, "merge", 0, 0, total, loc)
 
+        # matched keys living in other partitions: those partitions are
+        # rewritten too (their matched rows go away); only for one integral or
+        # date partition column, whose folder names need no escaping
+        vacated: list[tuple] = []
+        if verify_keys:
+            moved = (target.where(~_partition_filter(parts, touched))
+                     .join(src.select(*keys).where(~any_null_key(keys)), keys, "left_semi")
+                     .select(*parts).distinct().collect())
+            vacated = [tuple(r) for r in moved]
+            simple = len(parts) == 1 and target.schema[parts[0]].dataType.typeName() in (
+                "integer", "long", "short", "byte", "date")
+            if vacated and (not simple or any(v[0] is None for v in vacated)):
+                return None  # full-table version instead
+        touched = touched + [v for v in vacated if v not in touched]
+
         def in_touched(df: DataFrame):
             return _partition_filter(parts, touched)
 
-        # a matched key outside the touched partitions would be kept twice
-        if verify_keys:
-            moved = (target.where(~in_touched(target)).select(*keys)
-                     .join(src.select(*keys).where(~any_null_key(keys)), keys, "left_semi"))
-            if not moved.isEmpty():
-                return None
         t_touched = target.where(in_touched(target))  # partition-pruned read
         n_t_touched = t_touched.count()
         new_version = version + 1
@@ -364,6 +375,10 @@ class Lakehouse:
         staging = self._version_path(layer, table, new_version) + "_staging"
         obs_w = Observation(f"pmerge_w_{layer}_{table}_{new_version}")
         self._write(merged, staging, parts, obs_w)
+        # a vacated partition left without rows is not in the staged output,
+        # so dynamic overwrite would keep it: remove it explicitly
+        staged = set(fs.list_names(self.spark, staging))
+        emptied = [f"{parts[0]}={v[0]}" for v in vacated if f"{parts[0]}={v[0]}" not in staged]
         # swap the touched partitions of the live folder for the staged ones
         prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
@@ -372,6 +387,8 @@ class Lakehouse:
              .option("compression", self.compression).partitionBy(*parts).parquet(loc))
         finally:
             self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        for name in emptied:
+            fs.delete(self.spark, f"{loc}/{name}")
         n_source, n_kept = obs_s.get["rows"], obs_k.get["rows"]
         total = self._current_total(layer, table) - n_t_touched + n_source + n_kept
         res = LoadResult(layer, table, new_version, "merge", n_source, n_t_touched - n_kept,

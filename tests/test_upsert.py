@@ -114,15 +114,31 @@ def test_partition_scoped_merge_equals_full_merge(spark, tmp_path):
     assert r.total_records == len(b)
 
 
-def test_partition_scoped_merge_falls_back_when_key_moves(spark, tmp_path):
+def test_partition_scoped_merge_handles_moved_keys(spark, tmp_path):
     from strata.sources.lakehouse import Lakehouse
     lk = Lakehouse(spark, str(tmp_path / "mv"))
-    lk.create(spark.createDataFrame([(1, 2020, "a"), (2, 2021, "b")], "k long, y int, v string"),
+    lk.create(spark.createDataFrame([(1, 2020, "a"), (2, 2021, "b"), (3, 2019, "c"),
+                                     (4, 2019, "d")], "k long, y int, v string"),
               "silver", "t", partition_by=["y"])
-    r = lk.merge(spark.createDataFrame([(1, 2021, "moved")], "k long, y int, v string"),
+    # key 1 moves 2020 → 2021 (2020 becomes empty), key 3 moves 2019 → 2021
+    r = lk.merge(spark.createDataFrame([(1, 2021, "m1"), (3, 2021, "m3")],
+                                       "k long, y int, v string"),
                  "silver", "t", "k", partition_by=["y"], scope="partitions")
     got = sorted(map(tuple, lk.read("silver", "t").select("k", "y", "v").collect()))
-    assert got == [(1, 2021, "moved"), (2, 2021, "b")]
+    assert got == [(1, 2021, "m1"), (2, 2021, "b"), (3, 2021, "m3"), (4, 2019, "d")]
+    assert r.location.endswith("v000001")  # still in place, partition-scoped
+    assert (r.added_records, r.deleted_records, r.total_records) == (2, 2, 4)
+
+
+def test_partition_scoped_merge_falls_back_for_string_partitions(spark, tmp_path):
+    from strata.sources.lakehouse import Lakehouse
+    lk = Lakehouse(spark, str(tmp_path / "mvs"))
+    lk.create(spark.createDataFrame([(1, "a/x", "a"), (2, "b", "b")], "k long, y string, v string"),
+              "silver", "t", partition_by=["y"])
+    r = lk.merge(spark.createDataFrame([(1, "b", "moved")], "k long, y string, v string"),
+                 "silver", "t", "k", partition_by=["y"], scope="partitions")
+    got = sorted(map(tuple, lk.read("silver", "t").select("k", "y", "v").collect()))
+    assert got == [(1, "b", "moved"), (2, "b", "b")]
     assert r.location.endswith("v000002")  # full-table version
 
 
