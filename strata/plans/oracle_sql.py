@@ -249,3 +249,8 @@ cte("upsert_source_dup", ["silver_posts", "upsert_source"],
     f"SELECT * FROM upsert_source UNION ALL "
     f"SELECT * REPLACE (score + 2 AS score) FROM silver_posts "
     f"WHERE post_year = {CONFLICT_YEAR}")
+
+# the same batch with its 1999 posts re-dated into 2000: matched keys move partition
+cte("upsert_source_moved", ["upsert_source"],
+    f"SELECT * REPLACE (CASE WHEN post_year = {CONFLICT_YEAR} THEN post_year + 1 "
+    f"ELSE post_year END AS post_year) FROM upsert_source")

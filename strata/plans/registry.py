@@ -379,6 +379,22 @@ def q_merge_upsert_partitioned(spark, sf):
     return lake.read("silver", "posts")
 
 
+@register("merge_upsert_partitioned_moved", W(["upsert_target", "upsert_source_moved"], """
+SELECT * FROM upsert_source_moved UNION ALL
+SELECT * FROM upsert_target t
+WHERE NOT EXISTS (SELECT 1 FROM upsert_source_moved s WHERE s.post_id = t.post_id)"""))
+def q_merge_upsert_partitioned_moved(spark, sf):
+    """Partition-scoped upsert whose batch moves matched keys to another year."""
+    moved = upsert_source(spark, sf).withColumn(
+        "post_year", F.when(F.col("post_year") == O.CONFLICT_YEAR, F.col("post_year") + 1)
+                      .otherwise(F.col("post_year")))
+    lake = _lake(spark)
+    lake.create(upsert_target(spark, sf), "silver", "posts", partition_by=["post_year"])
+    lake.merge(moved, "silver", "posts", ["post_id"], partition_by=["post_year"],
+               scope="partitions")
+    return lake.read("silver", "posts")
+
+
 @register("merge_upsert_composite", W(["upsert_target", "upsert_source"],
                                       "SELECT * FROM upsert_source UNION ALL"
                                       + _UNMATCHED_TWO_KEYS))
