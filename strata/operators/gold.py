@@ -60,10 +60,29 @@ def _count_per(df: DataFrame, key: str, name: str) -> DataFrame:
 def user_engagement_score(users: DataFrame, posts: DataFrame, comments: DataFrame,
                           badges: DataFrame, run_ts=None) -> DataFrame:
     """Every user with post/comment/badge counts (0 when none) and their sum."""
+    return _engagement(users, _count_per(posts, "owner_user_id", "total_posts"),
+                       _count_per(comments, "user_id", "total_comments"),
+                       _count_per(badges, "user_id", "total_badges"), run_ts)
+
+
+def user_engagement_from_parts(users: DataFrame, post_metrics: DataFrame,
+                               comments_by_user: DataFrame, badge_summary: DataFrame,
+                               run_ts=None) -> DataFrame:
+    """The same table from per-user aggregates another gold job already
+    produced: ``user_post_metrics`` (total_posts), ``comments_per_user`` (n)
+    and ``badges_summary`` (total_badges). A gold run that writes those
+    tables anyway then needs no further scan of posts, comments or badges."""
+    return _engagement(
+        users, post_metrics.select("user_id", "total_posts"),
+        comments_by_user.where(F.col("user_id").isNotNull())
+                        .select("user_id", F.col("n").alias("total_comments")),
+        badge_summary.select("user_id", "total_badges"), run_ts)
+
+
+def _engagement(users: DataFrame, p: DataFrame, c: DataFrame, b: DataFrame,
+                run_ts) -> DataFrame:
     u = users.select("user_id", "display_name", "load_date")
-    j = (u.join(_count_per(posts, "owner_user_id", "total_posts"), "user_id", "left")
-          .join(_count_per(comments, "user_id", "total_comments"), "user_id", "left")
-          .join(_count_per(badges, "user_id", "total_badges"), "user_id", "left"))
+    j = u.join(p, "user_id", "left").join(c, "user_id", "left").join(b, "user_id", "left")
     tp = F.coalesce(F.col("total_posts"), F.lit(0))
     tc = F.coalesce(F.col("total_comments"), F.lit(0))
     tb = F.coalesce(F.col("total_badges"), F.lit(0))
@@ -94,12 +113,21 @@ def user_comment_engagement(comments: DataFrame, users: DataFrame) -> DataFrame:
     Comments are reduced per user_id first; the NULL-user group — often the
     largest — is thus one row per task before any exchange.
     """
-    per_user = (comments
-                .groupBy("user_id")
-                .agg(F.count(F.lit(1)).alias("n"),
-                     F.sum("text_length").alias("len_sum"),
-                     F.count("text_length").alias("len_n"),
-                     F.max("creation_date").alias("last_date")))
+    return user_comment_engagement_from(comments_per_user(comments), users)
+
+
+def comments_per_user(comments: DataFrame) -> DataFrame:
+    """Per user_id (NULL included): count, length sum/count, newest date —
+    the partial aggregate both per-user comment measures are built from."""
+    return (comments
+            .groupBy("user_id")
+            .agg(F.count(F.lit(1)).alias("n"),
+                 F.sum("text_length").alias("len_sum"),
+                 F.count("text_length").alias("len_n"),
+                 F.max("creation_date").alias("last_date")))
+
+
+def user_comment_engagement_from(per_user: DataFrame, users: DataFrame) -> DataFrame:
     u = users.select("user_id", "display_name", "is_active")
     return (per_user.join(u, "user_id", "left")
             .groupBy("user_id", "display_name", "is_active")

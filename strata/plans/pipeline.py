@@ -128,10 +128,39 @@ def gold_frames(s: dict[str, DataFrame], run_ts=None) -> dict[str, DataFrame]:
 
 
 def _run_gold(lake: Lakehouse, names: list[str], run_ts) -> DataFrame:
+    """Write the named gold tables in order; the first error aborts.
+
+    Per-user pieces are shared instead of recomputed: the engagement score
+    is built from the written ``user_post_metrics`` / ``badges_summary``
+    tables (when this run writes them) and from one per-user comment
+    aggregate, which is itself written once (a lineage cut) when both
+    per-user comment tables need it. A full run thus scans each large
+    silver table twice, not three times.
+    """
     lake.ensure_namespace("gold")
-    frames = gold_frames(_silver(lake), run_ts)
-    for name in names:  # first error aborts the run
-        lake.replace(frames[name], "gold", name)
+    s = _silver(lake)
+    frames = gold_frames(s, run_ts)
+    cpu = None
+    if "user_engagement" in names or "user_comment_engagement" in names:
+        cpu = gold.comments_per_user(s["comments"])
+        if "user_engagement" in names and "user_comment_engagement" in names:
+            lake.replace(cpu, "work", "comments_per_user")
+            cpu = lake.read("work", "comments_per_user")
+    order = sorted(names, key=lambda n: n == "user_engagement")  # engagement last
+    written: dict[str, DataFrame] = {}
+    for name in order:
+        if name == "user_engagement":
+            pm = written.get("user_post_metrics")
+            bs = written.get("badges_summary")
+            df = gold.user_engagement_from_parts(
+                s["users"], pm if pm is not None else gold.user_post_metrics(s["posts"], run_ts),
+                cpu, bs if bs is not None else gold.badges_summary(s["badges"]), run_ts)
+        elif name == "user_comment_engagement":
+            df = gold.user_comment_engagement_from(cpu, s["users"])
+        else:
+            df = frames[name]
+        lake.replace(df, "gold", name)
+        written[name] = lake.read("gold", name)
     return lake.verify("gold", names)
 
 

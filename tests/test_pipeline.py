@@ -27,3 +27,24 @@ def test_cli_medallion(spark, tmp_path, capsys):
     main(["medallion", "--source", SF, "--root", str(tmp_path), "--as-of", "2001-12-31"])
     out = capsys.readouterr().out
     assert "user_engagement" in out and "badge_distribution" in out
+
+
+def test_gold_run_shares_per_user_pieces_exactly(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from strata.operators import gold
+    root = str(tmp_path)
+    bronze = pipeline.land_roles(spark, SF, f"{root}/bronze")
+    lake = Lakehouse(spark, f"{root}/lake")
+    pipeline.run_silver(spark, bronze, lake, "2024-06-01 00:00:00", "2001-12-31")
+    pipeline._run_gold(lake, pipeline.GOLD_USER_METRICS + pipeline.GOLD_ACTIVITY,
+                       "2024-06-02 00:00:00")
+    s = pipeline._silver(lake)
+    direct = {
+        "user_engagement": gold.user_engagement_score(s["users"], s["posts"], s["comments"],
+                                                      s["badges"], "2024-06-02 00:00:00"),
+        "user_comment_engagement": gold.user_comment_engagement(s["comments"], s["users"]),
+    }
+    for name, want in direct.items():
+        got = lake.read("gold", name).select(*want.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, name
+    assert lake.read("work", "comments_per_user").where(F.col("user_id").isNull()).count() == 1
