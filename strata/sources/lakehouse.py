@@ -134,7 +134,9 @@ class Lakehouse:
                 newest_first: bool = True) -> DataFrame:
         """Load history rows (all tables, or one), newest or oldest first."""
         if self._has_history():
-            h = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+            # one row per (table, version) even while a compaction is half done
+            h = (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+                 .dropDuplicates(["layer", "table_name", "version"]))
         else:
             h = self.spark.createDataFrame([], HISTORY_SCHEMA)
         if layer is not None:
@@ -410,6 +412,23 @@ class Lakehouse:
         except Exception:
             return False
 
+    def compact_history(self) -> int:
+        """Rewrite the load history (one small file per commit) as one file:
+        append the consolidated rows, then delete the files they came from.
+        Reads ignore the duplicates a crash between the two steps would
+        leave. Returns the number of files removed."""
+        if not self._has_history():
+            return 0
+        raw = self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+        files = raw.inputFiles()
+        if len(files) <= 1:
+            return 0
+        (raw.dropDuplicates(["layer", "table_name", "version"]).coalesce(1)
+         .write.mode("append").parquet(self.history_path))
+        for f in files:
+            fs.delete(self.spark, f)
+        return len(files)
+
     # ---- catalog helpers ---------------------------------------------------
 
     def table_exists(self, layer: str, table: str) -> bool:

@@ -195,3 +195,16 @@ def test_overwrite_partitions_history_counts(lake, spark):
                                   "silver", "pc", ["y"])
     assert (r.added_records, r.deleted_records, r.total_records) == (1, 2, 3)
     assert lake.read("silver", "pc").count() == 3
+
+
+def test_compact_history_keeps_every_commit(lake, spark):
+    for i in range(4):
+        lake.replace(spark.range(i + 1), "gold", "c")
+    before = [(r.version, r.total_records) for r in lake.history("gold", "c").collect()]
+    removed = lake.compact_history()
+    assert removed >= 4
+    after = [(r.version, r.total_records) for r in lake.history("gold", "c").collect()]
+    assert after == before == [(4, 4), (3, 3), (2, 2), (1, 1)]
+    assert len(spark.read.parquet(lake.history_path).inputFiles()) == 1
+    lake.replace(spark.range(9), "gold", "c")  # commits continue after compaction
+    assert lake.history("gold", "c").first().version == 5
