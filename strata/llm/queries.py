@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bitpack, packing
+from strata.llm import bitpack, fingerprints, packing, urls
 from strata.llm.common import importable, table
 from strata.session import scratch_path
 
@@ -39,3 +39,18 @@ def op9_token_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     bitpack.write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"),
                       vocabulary=49_408, end_id=2)
     return bitpack.read_documents(spark, path)
+
+
+URL_RULES = [urls.Rule("allow", "org", "/"), urls.Rule("block", "example.org", "/es/"),
+             urls.Rule("block", "example.org", "/en/1"), urls.Rule("allow", "com", "/fr/"),
+             urls.Rule("block", "com", "/de/")]
+
+
+@register("op4_url_filter")
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@register("op8_imatch_fingerprints")
+def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
