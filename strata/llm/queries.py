@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bitpack, fingerprints, packing, urls
+from strata.llm import bitpack, fingerprints, packing, ppm, urls
 from strata.llm.common import importable, table
 from strata.session import scratch_path
 
@@ -54,3 +54,8 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_imatch_fingerprints")
 def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+@register("op2_ppm_scoring")
+def op2_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_documents(table(spark, sf_dir, "documents"))
