@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bitpack, fingerprints, packing, ppm, urls
+from strata.llm import bitpack, fingerprints, packing, ppm, toxicity, urls
 from strata.llm.common import importable, table
 from strata.session import scratch_path
 
@@ -59,3 +59,8 @@ def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_ppm_scoring")
 def op2_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op7_toxicity")
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
