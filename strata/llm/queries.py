@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bitpack, fingerprints, packing, ppm, toxicity, urls
+from strata.llm import bitpack, fingerprints, jaccard, packing, ppm, toxicity, urls
 from strata.llm.common import importable, table
 from strata.session import scratch_path
 
@@ -64,3 +64,8 @@ def op2_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_toxicity")
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op3_jaccard_join")
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_groups(table(spark, sf_dir, "documents"), width=3, percent=90)
