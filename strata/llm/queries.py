@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import bitpack, fingerprints, jaccard, packing, ppm, toxicity, urls
+from strata.llm import bitpack, fingerprints, jaccard, nndescent, packing, ppm, toxicity, urls
 from strata.llm.common import importable, table
 from strata.session import scratch_path
 
@@ -69,3 +69,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_jaccard_join")
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_groups(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
+@register("op5_nn_descent")
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.near_duplicates(table(spark, sf_dir, "embeddings"))
