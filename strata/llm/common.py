@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,3 +70,33 @@ def importable(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def bitmap(ids: DataFrame, bits: int) -> bytes:
+    """Bitmap of ``bits`` bits with those of ``id`` modulo ``bits`` set (column id).
+    Tasks make its pieces; only the bitmap reaches the driver, however many ids
+    there are."""
+    piece = min(bits, 1 << 15)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[int, np.ndarray] = {}
+        for b in batches:
+            at, own = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for p in np.unique(at).tolist():
+                here = own[at == p]
+                np.bitwise_or.at(made.setdefault(p, np.zeros(piece // 8, np.uint8)), here >> 3, (1 << (here & 7)).astype(np.uint8))
+        yield pa.record_batch([pa.array(list(made), pa.int64()), pa.array([x.tobytes() for x in made.values()], pa.binary())],
+                              names=["piece", "bits"])
+
+    slot = F.pmod(F.col("id"), F.lit(bits))
+    slots = ids.select((slot / piece).cast("long").alias("piece"), (slot % piece).alias("at")).distinct()
+    whole = bytearray(bits // 8)
+    for r in slots.repartition("piece").mapInArrow(run, "piece long, bits binary").collect():
+        whole[r.piece * piece // 8:(r.piece + 1) * piece // 8] = r.bits
+    return bytes(whole)
+
+
+def in_bitmap(ids: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which ids may be in the bitmap (uint8 view)."""
+    slot = ids % (8 * len(bits))
+    return (bits[slot >> 3] >> (slot & 7)) & 1 == 1

@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strata.llm import bitpack, fingerprints, jaccard, nndescent, packing, ppm, toxicity, urls
+from strata.llm import (bitpack, fingerprints, jaccard, lines, mixing, nndescent, oracle_sql, packing, ppm, toxicity,
+                        urls)
 from strata.llm.common import importable, table
 from strata.session import scratch_path
 
@@ -74,3 +76,24 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_nn_descent")
 def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nndescent.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+#: Whole-number weights by level and name (1 where none is given).
+MIX_WEIGHTS = {"domain": {"domain0": 3, "domain1": 2}, "lang": {"en": 4, "de": 2}, "source": {"src0": 2}}
+
+
+def mix_levels() -> dict:
+    """Domain (four groups of sources), language, source."""
+    number = F.try_to_number(F.regexp_extract("source", "([0-9]{1,9})", 1), F.lit("999999999"))
+    return {"domain": F.concat(F.lit("domain"), (number.cast("long") % 4).cast("string")), "lang": F.col("lang"),
+            "source": F.col("source")}
+
+
+@register("op6_source_mixing", oracle_sql.SOURCE_MIXING)
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), mix_levels(), MIX_WEIGHTS, share_of_tokens=0.6, epochs=3, seed=1)
+
+
+@register("op10_fuzzy_line_dedup")
+def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
