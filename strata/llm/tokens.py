@@ -19,20 +19,40 @@ from array import array
 
 _RUN_AND_WORD = re.compile(r"\s*\S+|\s+")
 _OTHER_SPACE = re.compile(r"[^\S \n\t\r]")
+_LAST_SIMPLE = "\u012f"  # up to here letters are single NFC characters with plain lower case
 _ENCODERS: dict[tuple, "ChunkEncoder"] = {}
 
 
+class _Cache(dict):
+    """Ids of the first ``room`` distinct chunks; others are made anew each time."""
+
+    def __init__(self, make, room: int):
+        super().__init__({"": b""})
+        self.make, self.room = make, room
+
+    def __missing__(self, chunk: str) -> bytes | None:
+        ids = self.make(chunk)
+        if len(self) < self.room:
+            self[chunk] = ids
+        return ids
+
+
 class ChunkEncoder:
     """Texts to little-endian unsigned 32-bit ids, with a bounded chunk cache."""
 
-    def __init__(self, path: str, joined: bool, max_cached: int = 250_000):
+    def __init__(self, path: str, joined: bool, max_cached: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
-        self.joined, self.max_cached = joined, max_cached
-        self.cache: dict[str, bytes | None] = {"": b""}
+        self.pieces, self.joined, self.max_cached = self.tokenizer.model.tokenize, joined, max_cached
+        self.cache = _Cache(self._chunk, max_cached)
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {i: as_bytes.pre_tokenize_str(chr(i))[0][0] for i in range(0x80, ord(_LAST_SIMPLE) + 1)}
+        self.blank = as_bytes.pre_tokenize_str(" ")[0][0]
+        self.marks = {c: self._whole(c) for c in ".,;:!?"}
+        self.newline = self._whole("\n")
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -51,22 +71,34 @@ class ChunkEncoder:
         body = chunk[1:] if chunk[0] in " \n" else chunk
         return body.split() == [body]
 
-    def _learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self.cache]
-        if not new:
-            return
-        if len(self.cache) + len(new) > self.max_cached:
-            self.cache.clear()
-            self.cache[""] = b""
-            new = list(chunks - {""})
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.cache[c] = array("I", e.ids).tobytes() if self._safe(c) else None
+    def _word(self, chunk: str) -> bytes | None:
+        """Ids of [white space] letters [mark], which the pre-tokenizer cuts into just
+        these parts; None for any other chunk."""
+        mark = self.marks.get(chunk[-1], b"")
+        word, before, lead = chunk[:-1] if mark else chunk, b"", ""
+        if self.joined:
+            if word[:1] == " ":
+                word, lead = word[1:], self.blank
+            elif word[:1] == "\n":
+                word, before = word[1:], self.newline
+        if not word.isalpha():
+            return None
+        if not word.isascii():
+            if max(word) > _LAST_SIMPLE:
+                return None
+            word = (word if self.joined else word.lower()).translate(self.letters)
+        elif not self.joined:
+            word = word.lower()
+        return before + array("I", [t.id for t in self.pieces(lead + word)]).tobytes() + mark
+
+    def _chunk(self, chunk: str) -> bytes | None:
+        ids = self._word(chunk)
+        return ids if ids is not None else self._whole(chunk) if self._safe(chunk) else None
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._chunks(t) for t in texts]
-        self._learn(set().union(*(c for c in cut if c is not None)))
         get, out = self.cache.__getitem__, []
-        for text, chunks in zip(texts, cut):
+        for text in texts:
+            chunks = self._chunks(text)
             try:
                 out.append(b"".join(map(get, chunks)) if chunks is not None else self._slow(text))
             except TypeError:  # a chunk that may not stand alone
