@@ -1,7 +1,7 @@
 """Command line: run the pipeline stages as Spark jobs.
 
-    spark-submit -m strata medallion --source <dir> --root <path>
-    python -m strata silver --bronze <path> --root <path>
+    python -m strata medallion --source <dir> --root <path>
+    python -m strata silver --bronze <path> --root <path> [--errors ignore --decoded-only none]
     python -m strata gold --root <path> [--set user_metrics|activity|all]
 
 ``--root`` is the lakehouse location (any Hadoop path); by default a fresh
@@ -24,6 +24,8 @@ def main(argv: list[str] | None = None) -> None:
     m.add_argument("--source", required=True)
     s = sub.add_parser("silver", help="bronze layout → silver tables")
     s.add_argument("--bronze", required=True)
+    s.add_argument("--errors", default="strict", choices=["strict", "ignore"])
+    s.add_argument("--decoded-only", default="valid", choices=["valid", "reference", "none"])
     g = sub.add_parser("gold", help="silver tables → gold tables")
     g.add_argument("--set", default="all", choices=["user_metrics", "activity", "all"])
     for p in (m, s, g):
@@ -40,7 +42,7 @@ def main(argv: list[str] | None = None) -> None:
         out = pipeline.run_medallion(spark, a.source, root, a.load_ts, a.as_of, a.run_ts)
     elif a.cmd == "silver":
         out, report = pipeline.run_silver(spark, a.bronze, Lakehouse(spark, root), a.load_ts,
-                                          a.as_of)
+                                          a.as_of, errors=a.errors, decoded_only=a.decoded_only)
         for name, ok, note in report.stages:
             print(f"{'ok ' if ok else 'ERR'} {name} {note}")
     else:

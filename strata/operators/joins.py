@@ -11,15 +11,16 @@ but now spread over all shuffle partitions. One scan of each side, no
 re-union. The salt is a hash of the row, not ``rand()``, so a recomputed map
 task routes every row exactly as before (safe under executor loss). The
 join strategy itself (broadcast when the planner's size check allows,
-sort-merge otherwise, AQE skew splitting for hot non-NULL keys) is left to
-Spark.
+sort-merge otherwise) is left to Spark, and so are hot non-NULL keys: AQE
+splits their partitions from the sizes it measured, without a limit on how
+many there are.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SALT = "_salt"
@@ -45,21 +46,6 @@ def _buckets(spark: SparkSession, buckets: int | None) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
 
 
-def heavy_keys(df: DataFrame, keys: str | list[str], min_share: float = 0.02,
-               max_keys: int = 16, fraction: float = 0.01, seed: int = 17) -> list[tuple]:
-    """Non-NULL key values holding at least ``min_share`` of the rows,
-    estimated from a Bernoulli sample of the key columns (the scan reads only
-    those columns; only sampled keys are shuffled). At most ``max_keys`` are
-    returned, so what reaches the driver is bounded whatever the data size."""
-    ks = _keys(keys)
-    obs = Observation()
-    s = (df.select(*ks).sample(fraction=fraction, seed=seed)
-         .observe(obs, F.count(F.lit(1)).alias("n")).where(~any_null(ks)))
-    top = s.groupBy(*ks).count().orderBy(F.desc("count")).limit(max_keys).collect()
-    n = obs.get["n"] or 0
-    return [tuple(r[k] for k in ks) for r in top if n and r["count"] >= n * min_share]
-
-
 def _in_hot(keys: list[str], hot: list[tuple]) -> Column:
     """TRUE for rows whose key tuple is one of the ``hot`` tuples."""
     if len(keys) == 1:
@@ -86,8 +72,6 @@ def salted_join(left: DataFrame, right: DataFrame, keys: str | list[str], how: s
     n = _buckets(left.sparkSession, buckets)
     salt = null_salt(left, ks, n)
     rgt = right.withColumn(SALT, F.lit(0))
-    if isinstance(hot_keys, str) and hot_keys == "auto":
-        hot_keys = heavy_keys(left, ks)
     if hot_keys:
         hot = [h if isinstance(h, (tuple, list)) else (h,) for h in hot_keys]
         row_bucket = F.pmod(F.xxhash64(*left.columns), F.lit(hot_buckets)) + 1

@@ -7,7 +7,6 @@ and command-line runs.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -18,55 +17,61 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "strata") -> SparkSession:
-    """Local/dev session with the settings the jobs are tuned for.
+    """The running session, or a new one.
 
-    On a cluster the same settings come from ``spark-defaults.conf``: AQE on
-    (partition coalescing + skew-join splitting), UTC session zone so NTZ
-    input timestamps are never shifted, and a shuffle-partition count that
-    AQE coalesces down from.
+    Without arguments nothing is tuned: shuffle partitions, AQE and scratch
+    locations come from the session or ``spark-defaults.conf``. Only the two
+    semantic settings the jobs rely on are set: the UTC session zone (NTZ
+    input timestamps are never shifted) and dynamic partition overwrite.
+    ``master`` and ``shuffle_partitions`` are for tests and the bench.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
-        builder = builder.master(master)
-    parts = shuffle_partitions or int(os.environ.get("STRATA_SHUFFLE_PARTITIONS", "8"))
-    builder = (
-        builder
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        # no Python call-site capture per DataFrame call (error context only);
-        # it costs several JVM round-trips for every function applied
-        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-    )
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+        builder = (builder.master(master)
+                   .config("spark.ui.enabled", "false")
+                   .config("spark.ui.showConsoleProgress", "false")
+                   # no Python call-site capture per DataFrame call (error context only);
+                   # it costs several JVM round-trips for every function applied
+                   .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    spark = (builder.config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.sources.partitionOverwriteMode", "dynamic").getOrCreate())
+    if master:
+        spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (tests, a bare local run) a
-    fresh temporary folder is set, so a cluster always uses the shared
-    location it configured.
+    A cluster must name one: an executor's own disk is not visible to the
+    others. Only a local master (tests, a bare local run) gets a fresh
+    temporary folder when it is unset.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
+        if not _is_local(spark):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set: name a folder that every "
+                               "executor can reach")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     try:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # Spark Connect has no SparkContext; checkpoint() then uses the conf
+    except AttributeError:  # Spark Connect has no SparkContext; checkpoint() then uses the conf
         pass
     return root.rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder under the shared checkpoint root.
 
@@ -74,4 +79,16 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     never overwrite what another run reads.
     """
     base = checkpoint_root(spark)
-    return "/".join([base, "strata", *parts, uuid.uuid4().hex])
+    path = "/".join([base, "strata", *parts, uuid.uuid4().hex])
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders this process made and returned results no
+    longer read; how many there were."""
+    from strata.sources import fs
+    n = 0
+    while _SCRATCH:
+        n += fs.delete(spark, _SCRATCH.pop())
+    return n

@@ -9,6 +9,7 @@ its ``path`` column selected reads no content).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 
@@ -21,10 +22,13 @@ def _hadoop(spark: SparkSession, path: str):
 
 
 def _listed(spark: SparkSession, path: str) -> list[str]:
+    """Every file below ``path``; only a path that is not there gives none."""
     try:
         rows = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                .load(path).select("path").limit(100_000).collect())
-    except Exception:
+                .load(path).select("path").collect())
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return []
     return [r.path for r in rows]
 
@@ -52,6 +56,15 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(names)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file or folder within one filesystem."""
+    fs, p = _hadoop(spark, source)
+    if fs is None:
+        raise RuntimeError(f"cannot move {source}: no filesystem gateway in this session")
+    if not fs.rename(p, _hadoop(spark, target)[1]):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     """Remove a folder (recursively) on the path's filesystem."""
     fs, p = _hadoop(spark, path)
@@ -60,4 +73,4 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-__all__ = ["delete", "exists", "list_names"]
+__all__ = ["delete", "exists", "list_names", "rename"]

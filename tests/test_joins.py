@@ -46,13 +46,3 @@ def test_null_and_hot_rows_spread_over_partitions(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-
-
-def test_heavy_keys_finds_the_hot_key(spark):
-    from strata.operators.joins import heavy_keys
-    fact, dim = _skewed(spark)
-    big = fact.unionByName(fact).unionByName(fact)  # more rows for a stable sample
-    hot = heavy_keys(big, "k", min_share=0.2, fraction=0.5)
-    assert hot == [(7,)]
-    got = left_join_fact_dim(fact, dim, "k", hot_keys="auto")
-    assert got.count() == fact.count()
