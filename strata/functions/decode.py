@@ -17,7 +17,12 @@ from pyspark.sql.types import BinaryType
 DECODE_ERROR_MARKER = "[DECODE_ERROR: invalid UTF-8]"
 DECODE_ERROR_TOKEN = "[DECODE_ERROR]"
 
-_REPLACEMENT_CHAR = "�"
+# Fixed rule: the well-formed UTF-8 byte sequences (Unicode standard, table 3-7),
+# over bytes seen as ISO-8859-1 characters; any other byte is dropped.
+_WELL_FORMED = (r"(?s)([\x00-\x7F]|[\xC2-\xDF][\x80-\xBF]|\xE0[\xA0-\xBF][\x80-\xBF]"
+                r"|[\xE1-\xEC\xEE\xEF][\x80-\xBF]{2}|\xED[\x80-\x9F][\x80-\xBF]"
+                r"|\xF0[\x90-\xBF][\x80-\xBF]{2}|[\xF1-\xF3][\x80-\xBF]{3}"
+                r"|\xF4[\x80-\x8F][\x80-\xBF]{2})|.")
 
 
 def decode_utf8(col: Column | str, errors: str = "strict") -> Column:
@@ -25,8 +30,8 @@ def decode_utf8(col: Column | str, errors: str = "strict") -> Column:
 
     ``strict``: NULL stays NULL, valid bytes become their text, invalid bytes
     become ``DECODE_ERROR_MARKER``.
-    ``ignore``: invalid byte sequences are dropped (Python's ``errors='ignore'``);
-    a genuine U+FFFD inside an otherwise invalid value is dropped as well.
+    ``ignore``: bytes outside well-formed sequences are dropped (Python's
+    ``errors='ignore'``); everything else stays, a genuine U+FFFD too.
     """
     b = F.col(col) if isinstance(col, str) else col
     if errors == "strict":
@@ -34,8 +39,9 @@ def decode_utf8(col: Column | str, errors: str = "strict") -> Column:
                 .when(F.is_valid_utf8(b), b.cast("string"))
                 .otherwise(F.lit(DECODE_ERROR_MARKER)))
     if errors == "ignore":
+        kept = F.regexp_replace(F.decode(b, "ISO-8859-1"), _WELL_FORMED, "$1")
         return (F.when(F.is_valid_utf8(b), b.cast("string"))
-                .otherwise(F.regexp_replace(F.make_valid_utf8(b), _REPLACEMENT_CHAR, "")))
+                .otherwise(F.encode(kept, "ISO-8859-1").cast("string")))
     raise ValueError(f"errors must be 'strict' or 'ignore', got {errors!r}")
 
 
@@ -50,26 +56,31 @@ def decode_text_columns(df: DataFrame, names: list[str], errors: str = "strict")
     return df.withColumns(todo) if todo else df
 
 
-def decode_failed(col: Column | str) -> Column:
-    """TRUE where a strict decode produced the error marker."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c == F.lit(DECODE_ERROR_MARKER)
+def undecodable(df: DataFrame, name: str) -> Column:
+    """TRUE for rows whose ``name`` holds bytes that are not UTF-8 (FALSE for NULL
+    and for text columns, which were decoded before)."""
+    if not isinstance(df.schema[name].dataType, BinaryType):
+        return F.lit(False)
+    return ~F.coalesce(F.is_valid_utf8(F.col(name)), F.lit(True))
 
 
-def decoded_filter(col: Column | str, mode: str = "valid") -> Column:
-    """Row filter applied after a strict decode.
+def decoded_filter(df: DataFrame, name: str, mode: str = "valid") -> Column:
+    """Rows to keep of a frame whose ``name`` is still in bytes, before a strict decode.
 
-    ``valid`` (default): drop rows whose text failed to decode; NULL text stays.
-    ``reference``: keep rows where ``NOT contains(text, '[DECODE_ERROR]')`` is
-    TRUE — NULL text is dropped and rows carrying the marker survive, exactly
-    as the original job behaved.
+    ``valid`` (default): drop rows whose bytes are not UTF-8; NULL text stays,
+    and so does text that happens to read like the marker.
+    ``reference``: keep rows where ``NOT contains(decoded text,
+    '[DECODE_ERROR]')`` is TRUE — NULL text is dropped and rows carrying the
+    marker survive, exactly as the original job behaved.
     ``none``: keep every row.
     """
-    c = F.col(col) if isinstance(col, str) else col
     if mode == "valid":
-        return ~F.coalesce(decode_failed(c), F.lit(False))
+        return ~undecodable(df, name)
     if mode == "reference":
-        return F.coalesce(~c.contains(DECODE_ERROR_TOKEN), F.lit(False))
+        text = F.col(name)
+        if isinstance(df.schema[name].dataType, BinaryType):
+            text = decode_utf8(name)
+        return F.coalesce(~text.contains(DECODE_ERROR_TOKEN), F.lit(False))
     if mode == "none":
         return F.lit(True)
     raise ValueError(f"mode must be 'valid', 'reference' or 'none', got {mode!r}")

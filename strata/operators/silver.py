@@ -86,9 +86,11 @@ def comments_to_silver(df: DataFrame, year=None, load_ts=None, errors: str = "st
     ``decoded_only``: see ``functions.decode.decoded_filter``; the scheduled
     job corresponds to ``errors='ignore', decoded_only='none'``.
     """
+    if errors == "strict":
+        df = df.where(decoded_filter(df, "text", decoded_only))
     d = decode_text_columns(df, TEXT_COLUMNS["comments"], errors)
     ts = timestamp_col(d, "creation_date")
-    out = d.select(
+    return d.select(
         F.col("id").cast("long").alias("comment_id"),
         F.col("post_id").cast("long"),
         F.col("score").cast("long"),
@@ -104,9 +106,6 @@ def comments_to_silver(df: DataFrame, year=None, load_ts=None, errors: str = "st
         non_empty_flag("user_display_name").alias("has_user_display_name"),
         as_timestamp(load_ts).alias("load_date"),
     )
-    if errors == "strict":
-        out = out.where(decoded_filter("comment_text", decoded_only))
-    return out
 
 
 def badges_to_silver(df: DataFrame, load_ts=None, errors: str = "strict") -> DataFrame:
@@ -166,19 +165,23 @@ class SourceOutcome:
 
 
 def union_sources(sources: Iterable[tuple[str, Callable[[], DataFrame]]],
-                  empty: Callable[[], DataFrame] | None = None
+                  empty: Callable[[], DataFrame] | None = None,
+                  stage: Callable[[DataFrame, str], DataFrame] | None = None
                   ) -> tuple[DataFrame | None, list[SourceOutcome]]:
     """Union the frames of several sources by column name, keeping duplicates.
 
     A source whose reader raises (missing path, failed contract) is skipped
     and reported; when every source fails the ``empty`` frame is returned.
-    Only plans are built here: no source is counted or collected.
+    Without ``stage`` only plans are built. With ``stage`` (frame, source name)
+    -> frame, each source is written and read back first, so one that fails
+    while it is read (a corrupt file) is skipped and reported as well.
     """
     frames: list[DataFrame] = []
     outcomes: list[SourceOutcome] = []
     for name, make in sources:
         try:
-            frames.append(make())
+            df = make()
+            frames.append(stage(df, name) if stage else df)
             outcomes.append(SourceOutcome(name, True))
         except Exception as exc:  # a failing source must not stop the others
             outcomes.append(SourceOutcome(name, False, f"{type(exc).__name__}: {exc}"))

@@ -16,7 +16,8 @@ def test_strict_decode(spark):
 
 def test_ignore_decode_matches_python(spark):
     cases = [b"a\xffb\xe2\x82", b"\xc0\x80x", b"\xed\xa0\x80y", b"q\xf0\x9f\x98",
-             "日本語 ok".encode(), b""]
+             "日本語 ok".encode(), b"", b"\xef\xbf\xbd real \xff", b"\xe2\xc3\xa9", b"\xf4\x90\x80\x80\n\xff",
+             "é\n😀".encode() + b"\x80"]
     got = [r[0] for r in _bin(spark, cases).select(decode_utf8("b", "ignore")).collect()]
     assert got == [c.decode("utf-8", "ignore") for c in cases]
     assert got[:4] == ["ab", "x", "y", "q"]
@@ -25,14 +26,15 @@ def test_ignore_decode_matches_python(spark):
 def test_reference_filter_keeps_rows_1_and_3(spark):
     df = spark.createDataFrame([("ok",), (None,), ("[DECODE_ERROR: x]",), ("[DECODE_ERROR]",)],
                                "t string")
-    kept = [r.t for r in df.where(decoded_filter("t", "reference")).collect()]
+    kept = [r.t for r in df.where(decoded_filter(df, "t", "reference")).collect()]
     assert kept == ["ok", "[DECODE_ERROR: x]"]
 
 
 def test_valid_filter_drops_only_failures(spark):
-    df = _bin(spark, [b"ok", None, b"a\xffb"]).select(decode_utf8("b").alias("t"))
-    kept = [r.t for r in df.where(decoded_filter("t", "valid")).collect()]
-    assert kept == ["ok", None]
+    marker = DECODE_ERROR_MARKER.encode()  # a text that only reads like a failure stays
+    df = _bin(spark, [b"ok", None, b"a\xffb", marker])
+    kept = [r.t for r in df.where(decoded_filter(df, "b", "valid")).select(decode_utf8("b").alias("t")).collect()]
+    assert kept == ["ok", None, DECODE_ERROR_MARKER]
 
 
 def test_decode_is_native(spark):
