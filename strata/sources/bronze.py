@@ -13,17 +13,21 @@ footers only (schema inference), never data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import (
     CONTRACTS, SchemaContractError, check_contract, missing_columns, normalize_columns,
 )
+from strata.session import scratch_path
 from strata.sources import fs
 
 YEARLY = {"comments", "posts", "post"}
 SINGLE = {"badges", "users"}
-DEFAULT_BATCH_ROWS = 200_000
+#: Fixed value: rows per batch of the bounded (test-mode) landing.
+BOUNDED_BATCH_ROWS = 200_000
 
 
 def scan_parquet_file(spark: SparkSession, path: str) -> DataFrame:
@@ -41,68 +45,84 @@ def scan_parquet_glob(spark: SparkSession, folder: str, pattern: str = "*.parque
 
 
 def candidate_paths(base: str, dataset: str, year: int | None = None) -> list[str]:
-    """Name variants tried, in order, for a dataset (and year)."""
-    base = base.rstrip("/")
-    ds = dataset.lower()
+    """Names tried, in order, for a dataset (and year): the landed layout, then
+    upload names — {plural, singular} x {capitalised, as is} x {file, folder} —
+    with the folder a loader nests inside its own."""
+    base, ds = base.rstrip("/"), dataset.lower()
     if year is None:
         return [f"{base}/{ds}", f"{base}/{ds}.parquet", f"{base}/{ds.capitalize()}.parquet"]
-    singular = ds[:-1] if ds.endswith("s") else ds
-    return [
-        f"{base}/{ds}/year={year}",
-        f"{base}/{ds.capitalize()}_{year}.parquet",
-        f"{base}/{ds.title()}_{year}.parquet",
-        f"{base}/{ds}_{year}.parquet",
-        f"{base}/{ds}_{year}",
-        f"{base}/{ds}_{year}/{ds}_{year}",          # loader output: dataset folder inside
-        f"{base}/{singular.capitalize()}_{year}.parquet",
-        f"{base}/{singular}_{year}.parquet",
-        f"{base}/{singular}_{year}",
-    ]
-
-
-def _probe(spark: SparkSession, path: str, dataset: str, mode: str):
-    """(ok, note) for a candidate: exists, readable, satisfies the contract."""
+    out = [f"{base}/{ds}/year={year}"]
+    for noun in dict.fromkeys((ds, ds.removesuffix("s"))):
+        plain = f"{noun}_{year}"
+        out += [f"{base}/{plain.capitalize()}.parquet", f"{base}/{plain}.parquet",
+                f"{base}/{plain}/{plain}", f"{base}/{plain}"]
+    return out
+
+
+def _fits(df: DataFrame, dataset: str, mode: str) -> list[str]:
+    """Contract columns that the frame lacks."""
+    return missing_columns(normalize_columns(df, mode).columns, dataset)
+
+
+def conforming_files(spark: SparkSession, path: str, dataset: str, mode: str = "standard"
+                     ) -> tuple[list[str], list[str]]:
+    """(files whose own columns satisfy the contract, reports on the others), in name
+    order. Only footers are read, by small Spark jobs, several at a time."""
+    files = sorted(spark.read.option("pathGlobFilter", "*.parquet").parquet(path).inputFiles())
+    good, other = [], []
+    with ThreadPoolExecutor(16) as pool:
+        missing = list(pool.map(lambda f: _fits(spark.read.parquet(f), dataset, mode), files))
+    for f, miss in zip(files, missing):
+        if miss:
+            other.append(f"(contract: missing {miss}) {f}")
+        else:
+            good.append(f)
+    return good, other
+
+
+def _probe(spark: SparkSession, path: str, dataset: str, mode: str) -> tuple[list[str], list[str]]:
+    """(paths to read, reports) for a candidate: the path itself if it is a partitioned
+    folder or all of its files conform, else its conforming files."""
     if not path_exists(spark, path):
-        return False, f"(missing) {path}"
-    try:
-        cols = normalize_columns(spark.read.parquet(path), mode).columns
-    except Exception as exc:
-        return False, f"(unreadable) {path}: {type(exc).__name__}"
-    miss = missing_columns(cols, dataset)
-    if miss:
-        return False, f"(contract: missing {miss}) {path}"
-    return True, path
+        return [], [f"(missing) {path}"]
+    if any("=" in n for n in list_names(spark, path)):
+        miss = _fits(spark.read.parquet(path), dataset, mode)
+        return ([], [f"(contract: missing {miss}) {path}"]) if miss else ([path], [])
+    if not any(n.endswith(".parquet") for n in [path, *list_names(spark, path)]):
+        return [], [f"(no Parquet file) {path}"]
+    good, other = conforming_files(spark, path, dataset, mode)
+    if good and not other:
+        return [path], []
+    return good, other
 
 
 def resolve_bronze_path(spark: SparkSession, base: str, dataset: str,
                         year: int | None = None, mode: str = "standard") -> str:
-    """First candidate path that exists and satisfies the dataset contract;
+    """First candidate path that holds a file satisfying the dataset contract;
     the error lists every attempt. For a per-year dataset without a year the
     whole dataset folder is read (every ``year=`` partition)."""
     tried = []
     for cand in candidate_paths(base, dataset, year):
-        ok, note = _probe(spark, cand, dataset, mode)
-        if ok:
+        good, other = _probe(spark, cand, dataset, mode)
+        if good:
             return cand
-        tried.append(note)
+        tried += other
     raise FileNotFoundError(
         f"no bronze path for dataset={dataset!r} year={year} under {base}:\n  - "
         + "\n  - ".join(tried))
 
 
 def first_valid_file(spark: SparkSession, folder: str, dataset: str,
-                     mode: str = "standard", max_files: int = 100) -> str:
+                     mode: str = "standard") -> str:
     """The first file of ``folder`` (in name order) whose columns satisfy the
-    contract — for loader folders that mix file kinds. Lists files via the
-    scan's own file index (driver metadata only)."""
-    files = sorted(spark.read.option("pathGlobFilter", "*.parquet").parquet(folder)
-                   .inputFiles())[:max_files]
+    contract — for loader folders that mix file kinds. Reads footers only, up to
+    the file found."""
     notes = []
-    for f in files:
-        ok, note = _probe(spark, f, dataset, mode)
-        if ok:
+    for f in sorted(spark.read.option("pathGlobFilter", "*.parquet").parquet(folder).inputFiles()):
+        miss = _fits(spark.read.parquet(f), dataset, mode)
+        if not miss:
             return f
-        notes.append(note)
+        notes.append(f"(contract: missing {miss}) {f}")
     raise FileNotFoundError(f"no valid {dataset} file in {folder}: {notes[:3]}")
 
 
@@ -113,7 +133,8 @@ def read_bronze(spark: SparkSession, base: str, dataset: str, year: int | None =
     """Resolve → read → normalise names → check contract → optional cap.
 
     ``pick='first'`` reads only the first valid file of a folder (the
-    notebook behaviour); the default reads every file. ``limit`` keeps the
+    notebook behaviour); the default reads every file that satisfies the
+    contract and leaves out the others of a mixed folder. ``limit`` keeps the
     first ``limit`` rows in ``order_by`` order (default: the ``id`` column
     when present), so the cap is deterministic.
     """
@@ -123,11 +144,12 @@ def read_bronze(spark: SparkSession, base: str, dataset: str, year: int | None =
             raise ValueError(f"dataset {dataset!r} takes no year")
         path = resolve_bronze_path(spark, base, ds, year, mode)
     if pick == "first":
-        try:
-            path = first_valid_file(spark, path, ds, mode)
-        except Exception:
-            pass  # a single file already
-    df = check_contract(normalize_columns(spark.read.parquet(path), mode), ds, path)
+        paths = [first_valid_file(spark, path, ds, mode)]
+    else:
+        paths, others = _probe(spark, path, ds, mode)
+        if not paths:
+            raise SchemaContractError(f"{path}: {'; '.join(others)}")
+    df = check_contract(normalize_columns(spark.read.parquet(*paths), mode), ds, path)
     if limit is not None:
         keys = order_by or (["id"] if "id" in df.columns else df.columns[:1])
         keys = [keys] if isinstance(keys, str) else keys
@@ -137,12 +159,15 @@ def read_bronze(spark: SparkSession, base: str, dataset: str, year: int | None =
 
 # ---- landing ----------------------------------------------------------------
 
-def land(df: DataFrame, dest: str, batch_rows: int | None = DEFAULT_BATCH_ROWS,
+def land(df: DataFrame, dest: str, batch_rows: int | None = None,
          partition_by: list[str] | None = None, mode: str = "overwrite",
          compression: str = "snappy") -> str:
     """Write a source into bronze with disposition ``replace`` (default) or
-    ``append``. ``batch_rows`` caps rows per output file, so memory per
-    writer task stays bounded however large the source."""
+    ``append``. ``batch_rows`` caps rows per output file (default: none, files
+    follow the tasks). Rows of a partitioned landing are brought together by
+    partition first, with large partitions split and small ones merged by AQE."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).option("compression", compression)
     if batch_rows:
         w = w.option("maxRecordsPerFile", int(batch_rows))
@@ -152,13 +177,41 @@ def land(df: DataFrame, dest: str, batch_rows: int | None = DEFAULT_BATCH_ROWS,
     return dest
 
 
+def first_rows(df: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """The first ``n`` rows in the order of ``keys`` (unique per row, NULLs last) as a
+    filter on the n-th key, found without a single-task sort: the keys are
+    range-partitioned, the partitions counted, and only the one that holds row ``n``
+    is ranked."""
+    spark, order = df.sparkSession, [F.asc_nulls_last(k) for k in keys]
+    path = scratch_path(spark, "first_rows")
+    (df.select(*keys).repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+     .write.parquet(path))
+    placed = spark.read.parquet(path)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    parts = (placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+             .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+             .where((F.col("_before") < n) & (F.col("_before") + F.col("_n") >= n)).collect())
+    if not parts:  # fewer than n rows
+        fs.delete(spark, path)
+        return df
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    last = (placed.where(F.col("_part") == parts[0]["_part"]).withColumn("_rank", rank)
+            .where(F.col("_rank") == n - parts[0]["_before"]).first())
+    fs.delete(spark, path)
+    upto, same = F.lit(False), F.lit(True)
+    for k in keys:
+        c, v = F.col(k), F.lit(last[k]).cast(df.schema[k].dataType)
+        lower = c.isNotNull() if last[k] is None else F.coalesce(c < v, F.lit(False))
+        upto, same = upto | (same & lower), same & c.eqNullSafe(v)
+    return df.where(upto | same)
+
+
 def land_bounded(df: DataFrame, dest: str, order_by: str | list[str], batches: int = 2,
-                 batch_rows: int = DEFAULT_BATCH_ROWS) -> str:
+                 batch_rows: int = BOUNDED_BATCH_ROWS) -> str:
     """Test-mode landing: only the first ``batches`` batches of
-    ``batch_rows`` rows in ``order_by`` order."""
+    ``batch_rows`` rows in ``order_by`` order (which must be unique per row)."""
     keys = [order_by] if isinstance(order_by, str) else order_by
-    bounded = df.orderBy(*[F.asc_nulls_last(k) for k in keys]).limit(batches * batch_rows)
-    return land(bounded, dest, batch_rows=batch_rows)
+    return land(first_rows(df, keys, batches * batch_rows), dest, batch_rows=batch_rows)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -182,7 +235,7 @@ def partition_years(spark: SparkSession, base: str, dataset: str) -> list[int]:
 
 def land_folder(spark: SparkSession, src_folder: str, bronze: str,
                 exclude: set[str] | frozenset[str] = frozenset(),
-                batch_rows: int | None = DEFAULT_BATCH_ROWS) -> list[tuple[str, str]]:
+                batch_rows: int | None = None) -> list[tuple[str, str]]:
     """Land every ``*.parquet`` dataset of a folder except ``exclude``; one
     Spark read/write per dataset. Returns (dataset, destination) pairs."""
     out = []
@@ -207,7 +260,7 @@ def landed_counts(spark: SparkSession, landed: list[tuple[str, str]]) -> DataFra
 
 
 __all__ = [
-    "CONTRACTS", "SchemaContractError", "candidate_paths", "first_valid_file", "land",
-    "land_bounded", "land_folder", "landed_counts", "read_bronze", "resolve_bronze_path",
+    "CONTRACTS", "SchemaContractError", "candidate_paths", "conforming_files", "first_rows",
+    "first_valid_file", "land", "land_bounded", "land_folder", "landed_counts", "read_bronze", "resolve_bronze_path",
     "scan_parquet_file", "scan_parquet_glob",
 ]

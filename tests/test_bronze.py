@@ -112,3 +112,39 @@ def test_fs_fallback_without_jvm_gateway(spark, tmp_path, monkeypatch):
     got = fs.list_names(spark, base)
     assert [n for n in got if n.startswith("year=")] == ["year=2020", "year=2021"]
     assert [n for n in want if n.startswith("year=")] == ["year=2020", "year=2021"]
+
+
+def test_mixed_loader_folder_reads_the_conforming_files(spark, tmp_path):
+    import pytest
+    folder = tmp_path / "Users"
+    cols = ["Id", "Reputation", "CreationDate", "DisplayName", "LastAccessDate", "AboutMe", "Views", "UpVotes",
+            "DownVotes", "WebsiteUrl", "Location", "AccountId"]
+    good = spark.createDataFrame([tuple("1" for _ in cols)], cols)
+    other = spark.createDataFrame([("x",)], ["_dlt_id"])
+    for i in range(150):  # the only valid file is the last of many
+        (folder / "many").mkdir(parents=True, exist_ok=True)
+        if i < 3 or i == 149:
+            (good if i == 149 else other).coalesce(1).write.parquet(str(tmp_path / f"part{i}"))
+            src = next((tmp_path / f"part{i}").glob("*.parquet"))
+        (folder / "many" / f"f{i:03d}.parquet").write_bytes(src.read_bytes())
+    path = str(folder / "many")
+    assert B.read_bronze(spark, None, "users", path=path).count() == 1
+    assert B.read_bronze(spark, None, "users", path=path, pick="first").count() == 1
+    fine, others = B.conforming_files(spark, path, "users")
+    assert (len(fine), len(others)) == (1, 149)
+    with pytest.raises(Exception):
+        B.read_bronze(spark, None, "comments", path=path)
+
+
+def test_candidate_names_have_no_repeats():
+    names = B.candidate_paths("/b", "comments", 2021)
+    assert len(set(names)) == len(names)
+    assert "/b/Comments_2021.parquet" in names and "/b/comment_2021" in names
+    assert "/b/comments_2021/comments_2021" in names
+
+
+def test_first_rows_is_exact_over_any_partitioning(spark):
+    df = spark.range(0, 1000).repartition(7).selectExpr("(id * 37) % 1000 as k", "id")
+    for n in (1, 10, 999, 1000, 5000):
+        got = sorted(r.k for r in B.first_rows(df, ["k"], n).collect())
+        assert got == list(range(min(n, 1000)))
