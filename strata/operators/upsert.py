@@ -79,6 +79,15 @@ def check_merge_cardinality(source: DataFrame, target: DataFrame,
             f"{[r.asDict() for r in bad]}")
 
 
+def check_unique_keys(df: DataFrame, keys: str | list[str]) -> None:
+    """Raise ``MergeCardinalityError`` when a non-NULL key occurs more than once."""
+    ks = _keys(keys)
+    twice = (df.where(~any_null_key(ks)).groupBy(*ks).agg(F.count(F.lit(1)).alias("n_source_rows"))
+             .where(F.col("n_source_rows") > 1).limit(5).collect())
+    if twice:
+        raise MergeCardinalityError(f"keys {ks} occur more than once: {[r.asDict() for r in twice]}")
+
+
 def unmatched_target(target: DataFrame, source: DataFrame,
                      keys: str | list[str]) -> DataFrame:
     """Target rows no source row matches (NULL keys never match).

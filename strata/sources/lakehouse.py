@@ -2,34 +2,37 @@
 
 Layout under ``root`` (any Hadoop path: hdfs://, s3a://, file:)::
 
-    <root>/<layer>/<table>/v000001/   one immutable folder per commit
-    <root>/_history/                   append-only load history (Parquet)
-
-* **create / replace / merge** write a *new* version folder, so a merge
-  never overwrites what it reads, a failed or killed job leaves the current
-  version untouched (the history row is appended only after the data
-  commit), and old versions stay readable.
-* **overwrite_partitions** replaces, in place, only the partitions present in
-  the frame (dynamic partition overwrite) and records a history row.
-* Counts for the history come from an ``Observation`` on the single write —
-  no second pass over the data.
+    <root>/<layer>/<table>/v000001_<commit>/   one folder per full commit
+    <root>/_history/                           append-only load history (Parquet)
+
+* **create / replace / merge** write a *new* version folder named after a
+  unique commit id, so a merge never overwrites what it reads, a failed or
+  killed job leaves the current version untouched (the history row is appended
+  only after the data commit), and two writers never share a folder.
+* The current version is read from the history before every commit.
+* **overwrite_partitions** and ``merge(scope='partitions')`` replace partitions
+  of the current folder in place: the cost follows the batch, no older state is
+  kept (``read(version=...)`` of a rewritten folder raises), one writer per table
+  at a time, and a job killed during the swap leaves some partitions replaced;
+  running it again completes it.
+* Counts for the history come from ``Observation``s on the single write.
 * Each table is also registered in the session catalog as ``<layer>.<table>``
-  (external, pointing at the current version) so ``spark.table`` and SQL
-  work; where the catalog offers row-level ``MERGE INTO`` (a table-format
-  catalog), ``merge(..., use_sql_merge=True)`` uses it instead of a rewrite.
+  (external, pointing at the current version) so ``spark.table`` and SQL work.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.upsert import (
-    align_source, any_null_key, check_merge_cardinality, unmatched_target,
+    align_source, any_null_key, check_merge_cardinality, check_unique_keys, unmatched_target,
 )
 from strata.sources import fs
 
@@ -44,6 +47,7 @@ HISTORY_SCHEMA = T.StructType([
     T.StructField("total_records", T.LongType()),
     T.StructField("location", T.StringType()),
     T.StructField("summary", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("commit_id", T.StringType()),
 ])
 
 
@@ -59,19 +63,18 @@ class LoadResult:
     location: str
 
 
-def _partition_filter(parts: list[str], values: list[tuple]):
-    """TRUE for rows in one of the given partitions (NULL-safe); a single
-    partition column becomes an IN list, which prunes partitions."""
-    if len(parts) == 1 and all(v[0] is not None for v in values):
-        return F.col(parts[0]).isin([v[0] for v in values])
-    cond = None
-    for vals in values:
-        c = None
-        for p, v in zip(parts, vals):
-            e = F.col(p).isNull() if v is None else (F.col(p) == F.lit(v))
-            c = e if c is None else (c & e)
-        cond = c if cond is None else (cond | c)
-    return cond
+def _any_null(parts: list[str]):
+    return reduce(lambda a, b: a | b, [F.col(p).isNull() for p in parts])
+
+
+def in_partitions(df: DataFrame, scope: DataFrame, parts: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows of ``df`` that are (``left_semi``) or are not (``left_anti``) in one of the
+    partitions of ``scope``; NULL is a partition like any other. The equality branch
+    lets Spark prune partitions from the (measured-small) scope at run time."""
+    named = df.where(~_any_null(parts)).join(scope.where("in_scope = true"), parts, how)
+    again = scope.select(*(F.col(p).alias(f"_{p}") for p in parts))
+    same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in parts])
+    return named.unionByName(df.where(_any_null(parts)).join(again, same, how))
 
 
 class Lakehouse:
@@ -82,11 +85,7 @@ class Lakehouse:
         self.register = register
         self.compression = compression
         self._namespaces: set[str] = set()
-        # (layer, table) -> (version, location, total_records); read from the
-        # history once per table, then kept current by this writer's commits
-        self._state: dict[tuple[str, str], tuple[int, str | None, int]] = {}
         self._history_seen = False
-        self._props: dict[tuple[str, str], dict[str, str]] = {}
 
     # ---- paths and catalog ------------------------------------------------
 
@@ -94,33 +93,39 @@ class Lakehouse:
     def history_path(self) -> str:
         return f"{self.root}/_history"
 
-    def _version_path(self, layer: str, table: str, version: int) -> str:
-        return f"{self.root}/{layer}/{table}/v{version:06d}"
+    def _version_path(self, layer: str, table: str, version: int, commit: str) -> str:
+        return f"{self.root}/{layer}/{table}/v{version:06d}_{commit}"
 
     def ensure_namespace(self, layer: str) -> None:
         """``CREATE NAMESPACE IF NOT EXISTS`` with its folder under the root."""
         if layer in self._namespaces:
             return
-        try:
-            self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS `{layer}` "
-                           f"LOCATION '{self.root}/{layer}'")
-        except Exception:
-            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{layer}`")
+        self.spark.sql(f"CREATE NAMESPACE IF NOT EXISTS `{layer}` "
+                       f"LOCATION '{self.root}/{layer}'")
         self._namespaces.add(layer)
 
-    def _bind(self, layer: str, table: str, location: str) -> None:
+    def properties(self, layer: str, table: str) -> dict[str, str]:
+        """The table properties given at creation, as the catalog has them."""
+        if not self.register or not self.spark.catalog.tableExists(f"{layer}.{table}"):
+            return {}
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES `{layer}`.`{table}`").collect()
+        return {r["key"]: r["value"] for r in rows if not r["key"].startswith("spark.")}
+
+    def _bind(self, layer: str, table: str, location: str,
+              properties: dict[str, str] | None = None) -> None:
         """Point catalog table ``layer.table`` at ``location``.
 
         The entry is re-created on every commit: a moved location would keep
         the old schema and, for partitioned tables, the old partition list;
-        creating over the location infers both (and recovers partitions).
-        DataFrames analysed earlier keep reading the version they resolved.
+        creating over the location infers both (and recovers partitions). Its
+        properties are read back first. DataFrames analysed earlier keep
+        reading the version they resolved.
         """
         if not self.register:
             return
         self.ensure_namespace(layer)
         name = f"`{layer}`.`{table}`"
-        props = self._props.get((layer, table))
+        props = self.properties(layer, table) | (properties or {})
         tbl = ""
         if props:
             tbl = " TBLPROPERTIES (" + ", ".join(
@@ -134,9 +139,9 @@ class Lakehouse:
                 newest_first: bool = True) -> DataFrame:
         """Load history rows (all tables, or one), newest or oldest first."""
         if self._has_history():
-            # one row per (table, version) even while a compaction is half done
+            # one row per commit even while a compaction is half done
             h = (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
-                 .dropDuplicates(["layer", "table_name", "version"]))
+                 .dropDuplicates(["commit_id"]))
         else:
             h = self.spark.createDataFrame([], HISTORY_SCHEMA)
         if layer is not None:
@@ -152,89 +157,89 @@ class Lakehouse:
         self._history_seen = fs.exists(self.spark, self.history_path)
         return self._history_seen
 
-    def _load_state(self, layer: str, table: str) -> tuple[int, str | None, int]:
-        key = (layer, table)
-        if key not in self._state and not self._has_history():
-            self._state[key] = (0, None, 0)
-        if key not in self._state:
-            rows = (self.history(layer, table).select("version", "location", "total_records")
-                    .orderBy(F.desc("version")).limit(1).collect())
-            self._state[key] = ((rows[0]["version"], rows[0]["location"],
-                                 int(rows[0]["total_records"])) if rows else (0, None, 0))
-        return self._state[key]
-
-    def _path_exists(self, path: str) -> bool:
-        return fs.exists(self.spark, path)
-
-    def _refresh_if_stale(self, layer: str, table: str) -> None:
-        """Re-read the history when the next version folder already exists:
-        either another writer committed it (then it is listed and becomes
-        current) or a killed attempt left it behind (then it is not listed
-        and the next commit overwrites it). One filesystem call."""
-        key = (layer, table)
-        if key not in self._state:
-            return
-        nxt = self._version_path(layer, table, self._state[key][0] + 1)
-        if self._path_exists(nxt):
-            self._state.pop(key, None)
-            self._history_seen = False
-
-    def _current(self, layer: str, table: str):
-        self._refresh_if_stale(layer, table)
-        v, loc, _ = self._load_state(layer, table)
-        return v, loc
+    def _commits(self, layer: str, table: str) -> list:
+        """(version, location, committed_at) of a table's commits, newest first."""
+        if not self._has_history():
+            return []
+        return (self.history(layer, table).select("version", "location", "committed_at")
+                .orderBy(F.desc("version"), F.desc("committed_at")).collect())
 
-    def _current_total(self, layer: str, table: str) -> int:
-        return self._load_state(layer, table)[2]
+    def _current(self, layer: str, table: str) -> tuple[int, str | None]:
+        """Newest version and its folder, read from the history each time, so
+        commits of other writers are seen."""
+        if not self._has_history():
+            return 0, None
+        rows = (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
+                .where((F.col("layer") == layer) & (F.col("table_name") == table))
+                .orderBy(F.desc("version"), F.desc("committed_at"))
+                .select("version", "location").limit(1).collect())
+        return (rows[0]["version"], rows[0]["location"]) if rows else (0, None)
 
     def exists(self, layer: str, table: str) -> bool:
         return self._current(layer, table)[1] is not None
 
     def read(self, layer: str, table: str, version: int | None = None) -> DataFrame:
-        """Current (or a given) version of a table."""
+        """Current (or a given) version of a table. A version whose folder a later
+        partition-scoped commit rewrote in place no longer exists and raises."""
         if version is None:
-            v, loc = self._current(layer, table)
+            loc = self._current(layer, table)[1]
         else:
-            rows = (self.history(layer, table).where(F.col("version") == version)
-                    .select("location").limit(1).collect())
-            v, loc = version, (rows[0]["location"] if rows else None)
+            commits = self._commits(layer, table)
+            loc = next((r["location"] for r in commits if r["version"] == version), None)
+            later = [r["version"] for r in commits if r["location"] == loc and r["version"] > version]
+            if loc and later:
+                raise ValueError(f"version {version} of {layer}.{table} was rewritten in place by "
+                                 f"version {min(later)}")
         if loc is None:
             raise FileNotFoundError(f"{layer}.{table} has no version {version or ''}".strip())
         return self.spark.read.parquet(loc)
 
-    def _append_history(self, res: LoadResult) -> None:
+    def _append_history(self, res: LoadResult, commit: str) -> None:
         summary = {"added-records": str(res.added_records),
                    "deleted-records": str(res.deleted_records),
                    "total-records": str(res.total_records)}
         row = (res.layer, res.table, res.version, dt.datetime.now(dt.timezone.utc)
                .replace(tzinfo=None), res.operation, res.added_records, res.deleted_records,
-               res.total_records, res.location, summary)
+               res.total_records, res.location, summary, commit)
         (self.spark.createDataFrame([row], HISTORY_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self.history_path))
         self._history_seen = True
-        self._state[(res.layer, res.table)] = (res.version, res.location, res.total_records)
 
     # ---- writes ----------------------------------------------------------
 
     def _write(self, df: DataFrame, path: str, partition_by: list[str] | None,
-               obs: Observation, mode: str = "overwrite") -> DataFrame:
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        w = observed.write.mode(mode).option("compression", self.compression)
+               obs: Observation) -> None:
+        """One write. Rows of a partitioned table are first brought together by
+        partition (AQE splits large partitions and merges small ones), so a
+        partition gets a few large files, not one from every task."""
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)
+        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        w = w.option("compression", self.compression)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
-        return observed
+
+    def _staged(self, df: DataFrame, commit: str, name: str) -> DataFrame:
+        """``df`` written once under the table root, for plans that read it several times."""
+        path = f"{self.root}/_batches/{commit}/{name}"
+        df.write.mode("overwrite").option("compression", self.compression).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def _clear(self, commit: str) -> None:
+        fs.delete(self.spark, f"{self.root}/_batches/{commit}")
 
     def _commit(self, df: DataFrame, layer: str, table: str, operation: str,
-                partition_by: list[str] | None) -> LoadResult:
-        version = self._current(layer, table)[0] + 1
-        path = self._version_path(layer, table, version)
-        obs = Observation(f"write_{layer}_{table}_{version}")
+                partition_by: list[str] | None, version: int,
+                properties: dict[str, str] | None = None) -> LoadResult:
+        commit = uuid.uuid4().hex[:12]
+        path = self._version_path(layer, table, version, commit)
+        obs = Observation(f"write_{layer}_{table}_{commit}")
         self._write(df, path, partition_by, obs)
         n = obs.get["rows"]
         res = LoadResult(layer, table, version, operation, n, 0, n, path)
-        self._append_history(res)
-        self._bind(layer, table, path)
+        self._append_history(res, commit)
+        self._bind(layer, table, path, properties)
         return res
 
     def create(self, df: DataFrame, layer: str, table: str,
@@ -244,173 +249,147 @@ class Lakehouse:
         become catalog table properties (kept across later commits)."""
         if self.exists(layer, table):
             raise ValueError(f"{layer}.{table} already exists")
-        if properties:
-            self._props[(layer, table)] = {str(k): str(v) for k, v in properties.items()}
-        return self._commit(df, layer, table, "append", partition_by)
+        return self._commit(df, layer, table, "append", partition_by, 1,
+                            {str(k): str(v) for k, v in (properties or {}).items()})
 
     def replace(self, df: DataFrame, layer: str, table: str,
                 partition_by: list[str] | None = None) -> LoadResult:
         """Full rebuild; the new version takes the frame's schema (so added
         columns appear — the merge-schema request of a full replace)."""
-        return self._commit(df, layer, table, "overwrite", partition_by)
+        return self._commit(df, layer, table, "overwrite", partition_by,
+                            self._current(layer, table)[0] + 1)
 
     def overwrite_partitions(self, df: DataFrame, layer: str, table: str,
                              partition_by: list[str]) -> LoadResult:
-        """Replace only the partitions present in ``df``; others are kept.
-        First load creates the table."""
+        """Replace only the partitions present in ``df``, in place; others are
+        kept. First load creates the table."""
         version, loc = self._current(layer, table)
         if loc is None:
-            return self._commit(df, layer, table, "append", partition_by)
-        # rows about to be replaced: only the touched partitions are counted
-        # (partition-pruned), never the whole table
-        touched = [tuple(r) for r in df.select(*partition_by).distinct().collect()]
-        old = self.spark.read.parquet(loc)
-        replaced = old.where(_partition_filter(partition_by, touched)).count() if touched else 0
-        obs = Observation(f"ovw_{layer}_{table}_{version + 1}")
-        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            self._write(df, loc, partition_by, obs)
-        finally:
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-        n = obs.get["rows"]
-        total = self._current_total(layer, table) - replaced + n
-        res = LoadResult(layer, table, version + 1, "overwrite", n, replaced, total, loc)
-        self._append_history(res)
+            return self._commit(df, layer, table, "append", partition_by, 1)
+        commit = uuid.uuid4().hex[:12]
+        batch = self._staged(df, commit, "rows")
+        scope = self._staged(batch.select(*partition_by).distinct()
+                             .withColumn("in_scope", F.lit(True)), commit, "partitions")
+        replaced = in_partitions(self.spark.read.parquet(loc), scope, partition_by).count()
+        obs = Observation(f"ovw_{layer}_{table}_{commit}")
+        self._swap(batch, scope, loc, partition_by, commit, obs)
+        return self._committed_in_place(layer, table, version + 1, "overwrite", obs.get["rows"],
+                                        replaced, loc, commit)
+
+    def _swap(self, rows: DataFrame, scope: DataFrame, loc: str, parts: list[str], commit: str,
+              obs: Observation) -> None:
+        """Put ``rows`` in the place of the partitions of ``scope``: one write beside
+        the table, then a folder move per partition; partitions left empty go."""
+        beside = f"{self.root}/_batches/{commit}/new"
+        self._write(rows, beside, parts, obs)
+        folders = [""]
+        for _ in parts:
+            folders = [f"{f}/{n}" for f in folders for n in fs.list_names(self.spark, beside + f)
+                       if "=" in n]
+        left = scope.drop("in_scope")
+        if folders:
+            made = self.spark.read.parquet(beside).select(*parts).distinct()
+            left = in_partitions(left, made.withColumn("in_scope", F.lit(True)), parts, "left_anti")
+        utils = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        emptied = ["/".join(utils.getPartitionPathString(p, r[p]) for p in parts) for r in left.select(
+            *(F.col(p).cast("string").alias(p) for p in parts)).collect()]  # folders to delete
+        for f in folders:
+            fs.delete(self.spark, loc + f)
+            self._make_folder((loc + f).rsplit("/", 1)[0])
+            fs.rename(self.spark, beside + f, loc + f)
+        for f in emptied:
+            fs.delete(self.spark, f"{loc}/{f}")
+        self._clear(commit)
+
+    def _make_folder(self, path: str) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+    def _committed_in_place(self, layer: str, table: str, version: int, operation: str, added: int,
+                            deleted: int, loc: str, commit: str) -> LoadResult:
+        total = self.spark.read.parquet(loc).count()  # from footers
+        res = LoadResult(layer, table, version, operation, added, deleted, total, loc)
+        self._append_history(res, commit)
         self._bind(layer, table, loc)
         return res
 
     def merge(self, source: DataFrame, layer: str, table: str, keys: str | list[str],
               partition_by: list[str] | None = None, check_cardinality: bool = True,
-              null_keys: str = "insert", use_sql_merge: bool = False,
-              scope: str = "table", verify_partition_keys: bool = True) -> LoadResult:
+              null_keys: str = "insert", scope: str = "table",
+              verify_partition_keys: bool = True) -> LoadResult:
         """Upsert ``source`` into the table by ``keys``; creates it on first
         load. Matched rows are replaced by the source row, unmatched source
-        rows inserted, other target rows kept.
+        rows inserted, other target rows kept. The batch is written once and
+        every check and join reads that copy.
 
+        ``check_cardinality`` raises when several source rows match one target
+        row, and on the first load when a key occurs twice.
         ``scope='table'`` writes the merged table as a new immutable version.
-        ``scope='partitions'`` (partitioned tables) rewrites only the
-        partitions the source touches, in place — the cost follows the batch,
-        not the table. A matched key may sit in another partition of the
-        target (its partition value moved); that is found on the key and
-        partition columns alone, and the partitions it vacates are rewritten
-        too (removed if left empty). With several partition columns or
-        non-integral ones such a batch falls back to a full-table version.
-        ``verify_partition_keys=False`` skips that search for tables whose
-        partition column derives from an immutable attribute (e.g. the
-        creation year). An empty batch changes
-        nothing and writes no version. Being in place, partition-scoped
-        merges assume one writer per table at a time; versioned commits
-        detect a concurrent writer by the next version folder.
+        ``scope='partitions'`` (partitioned tables) replaces in place only the
+        partitions the source touches and those that matched keys leave (their
+        partition value moved, to or from NULL as well); that search reads key
+        and partition columns alone. ``verify_partition_keys=False`` skips it for
+        tables whose partition column derives from an immutable attribute. An
+        empty batch changes nothing and writes no version.
         """
         keys = [keys] if isinstance(keys, str) else list(keys)
+        if scope not in ("table", "partitions"):
+            raise ValueError("scope must be 'table' or 'partitions'")
         version, loc = self._current(layer, table)
-        if loc is None:
-            return self._commit(source, layer, table, "append", partition_by)
-        target = self.spark.read.parquet(loc)
-        if check_cardinality:
-            check_merge_cardinality(source, target, keys)
-        if use_sql_merge and self._try_sql_merge(source, layer, table, keys):
-            return LoadResult(layer, table, version + 1, "merge", -1, -1, -1, loc)
-        src = align_source(source, target.columns)
+        commit = uuid.uuid4().hex[:12]
+        src = source if loc is None else align_source(source, self.spark.read.parquet(loc).columns)
         if null_keys == "reject":
             src = src.where(~any_null_key(keys))
-        if scope == "partitions" and partition_by:
-            res = self._merge_partitions(src, target, layer, table, keys, partition_by,
-                                         version, loc, verify_partition_keys)
-            if res is not None:
-                return res
-        elif scope not in ("table", "partitions"):
-            raise ValueError("scope must be 'table' or 'partitions'")
-        new_version = version + 1
-        obs_s = Observation(f"merge_s_{layer}_{table}_{new_version}")
-        obs_k = Observation(f"merge_k_{layer}_{table}_{new_version}")
-        kept = unmatched_target(target, src, keys).observe(
-            obs_k, F.count(F.lit(1)).alias("rows"))
-        merged = src.observe(obs_s, F.count(F.lit(1)).alias("rows")).unionByName(kept)
-        path = self._version_path(layer, table, new_version)
-        obs_w = Observation(f"merge_w_{layer}_{table}_{new_version}")
-        self._write(merged, path, partition_by, obs_w)
-        n_source, n_kept = obs_s.get["rows"], obs_k.get["rows"]
-        n_target = self._current_total(layer, table)
-        updated = n_target - n_kept
-        res = LoadResult(layer, table, new_version, "merge", n_source, updated,
+        src = self._staged(src, commit, "rows")
+        try:
+            if loc is None:
+                if check_cardinality:
+                    check_unique_keys(src, keys)
+                return self._commit(src, layer, table, "append", partition_by, 1)
+            target = self.spark.read.parquet(loc)
+            if check_cardinality:
+                check_merge_cardinality(src, target, keys)
+            if scope == "partitions" and partition_by:
+                return self._merge_partitions(src, target, layer, table, keys, partition_by,
+                                              version, loc, commit, verify_partition_keys)
+            return self._merge_table(src, target, layer, table, keys, partition_by, version, commit)
+        finally:
+            self._clear(commit)
+
+    def _merge_table(self, src: DataFrame, target: DataFrame, layer: str, table: str, keys: list[str],
+                     partition_by: list[str] | None, version: int, commit: str) -> LoadResult:
+        seen = [Observation(f"merge_{x}_{commit}") for x in ("source", "target", "kept", "all")]
+        count = F.count(F.lit(1)).alias("rows")
+        kept = unmatched_target(target.observe(seen[1], count), src, keys).observe(seen[2], count)
+        path = self._version_path(layer, table, version + 1, commit)
+        self._write(src.observe(seen[0], count).unionByName(kept), path, partition_by, seen[3])
+        n_source, n_target, n_kept = (o.get["rows"] for o in seen[:3])
+        res = LoadResult(layer, table, version + 1, "merge", n_source, n_target - n_kept,
                          n_source + n_kept, path)
-        self._append_history(res)
+        self._append_history(res, commit)
         self._bind(layer, table, path)
         return res
 
     def _merge_partitions(self, src: DataFrame, target: DataFrame, layer: str, table: str,
-                          keys: list[str], parts: list[str], version: int,
-                          loc: str, verify_keys: bool = True) -> LoadResult | None:
-        touched = [tuple(r) for r in src.select(*parts).distinct().collect()]
-        if not touched:  # empty batch: nothing to change
-            total = self._current_total(layer, table)
-            return LoadResult(layer, table, version, "merge", 0, 0, total, loc)
-
-        # matched keys living in other partitions: those partitions are
-        # rewritten too (their matched rows go away); only for one integral or
-        # date partition column, whose folder names need no escaping
-        vacated: list[tuple] = []
-        if verify_keys:
-            moved = (target.where(~_partition_filter(parts, touched))
-                     .join(src.select(*keys).where(~any_null_key(keys)), keys, "left_semi")
-                     .select(*parts).distinct().collect())
-            vacated = [tuple(r) for r in moved]
-            simple = len(parts) == 1 and target.schema[parts[0]].dataType.typeName() in (
-                "integer", "long", "short", "byte", "date")
-            if vacated and (not simple or any(v[0] is None for v in vacated)):
-                return None  # full-table version instead
-        touched = touched + [v for v in vacated if v not in touched]
-
-        def in_touched(df: DataFrame):
-            return _partition_filter(parts, touched)
-
-        t_touched = target.where(in_touched(target))  # partition-pruned read
-        n_t_touched = t_touched.count()
-        new_version = version + 1
-        obs_s = Observation(f"pmerge_s_{layer}_{table}_{new_version}")
-        obs_k = Observation(f"pmerge_k_{layer}_{table}_{new_version}")
-        kept = unmatched_target(t_touched, src, keys).observe(
-            obs_k, F.count(F.lit(1)).alias("rows"))
-        merged = src.observe(obs_s, F.count(F.lit(1)).alias("rows")).unionByName(kept)
-        staging = self._version_path(layer, table, new_version) + "_staging"
-        obs_w = Observation(f"pmerge_w_{layer}_{table}_{new_version}")
-        self._write(merged, staging, parts, obs_w)
-        # a vacated partition left without rows is not in the staged output,
-        # so dynamic overwrite would keep it: remove it explicitly
-        staged = set(fs.list_names(self.spark, staging))
-        emptied = [f"{parts[0]}={v[0]}" for v in vacated if f"{parts[0]}={v[0]}" not in staged]
-        # swap the touched partitions of the live folder for the staged ones
-        prev = self.spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            (self.spark.read.parquet(staging).write.mode("overwrite")
-             .option("compression", self.compression).partitionBy(*parts).parquet(loc))
-        finally:
-            self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-        for name in emptied:
-            fs.delete(self.spark, f"{loc}/{name}")
-        n_source, n_kept = obs_s.get["rows"], obs_k.get["rows"]
-        total = self._current_total(layer, table) - n_t_touched + n_source + n_kept
-        res = LoadResult(layer, table, new_version, "merge", n_source, n_t_touched - n_kept,
-                         total, loc)
-        self._append_history(res)
-        self._bind(layer, table, loc)
-        return res
-
-    def _try_sql_merge(self, source: DataFrame, layer: str, table: str,
-                       keys: list[str]) -> bool:
-        """Row-level ``MERGE INTO`` when the catalog supports it."""
-        view = f"_merge_src_{layer}_{table}"
-        source.createOrReplaceTempView(view)
-        cond = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-        try:
-            self.spark.sql(f"MERGE INTO `{layer}`.`{table}` t USING {view} s ON {cond} "
-                           "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
-            return True
-        except Exception:
-            return False
+                          keys: list[str], parts: list[str], version: int, loc: str, commit: str,
+                          verify_keys: bool) -> LoadResult:
+        touched = src.select(*parts).distinct().withColumn("in_scope", F.lit(True))
+        if touched.isEmpty():  # empty batch: nothing to change
+            return LoadResult(layer, table, version, "merge", 0, 0, target.count(), loc)
+        touched = self._staged(touched, commit, "touched")
+        if verify_keys:  # partitions that matched keys leave
+            elsewhere = in_partitions(target.select(*dict.fromkeys([*keys, *parts])), touched, parts, "left_anti")
+            left = (elsewhere.join(src.select(*keys).where(~any_null_key(keys)), keys, "left_semi")
+                    .select(*parts).distinct().withColumn("in_scope", F.lit(True)))
+            touched = self._staged(touched.unionByName(left), commit, "partitions")
+        seen = [Observation(f"pmerge_{x}_{commit}") for x in ("source", "target", "kept", "all")]
+        count = F.count(F.lit(1)).alias("rows")
+        within = in_partitions(target, touched, parts).observe(seen[1], count)
+        kept = unmatched_target(within, src, keys).observe(seen[2], count)
+        self._swap(src.observe(seen[0], count).unionByName(kept), touched, loc, parts, commit, seen[3])
+        n_source, n_target, n_kept = (o.get["rows"] for o in seen[:3])
+        return self._committed_in_place(layer, table, version + 1, "merge", n_source,
+                                        n_target - n_kept, loc, commit)
 
     def compact_history(self) -> int:
         """Rewrite the load history (one small file per commit) as one file:
@@ -423,7 +402,7 @@ class Lakehouse:
         files = raw.inputFiles()
         if len(files) <= 1:
             return 0
-        (raw.dropDuplicates(["layer", "table_name", "version"]).coalesce(1)
+        (raw.dropDuplicates(["commit_id"]).coalesce(1)
          .write.mode("append").parquet(self.history_path))
         for f in files:
             fs.delete(self.spark, f)
@@ -438,6 +417,10 @@ class Lakehouse:
             return self.spark.catalog.tableExists(f"{layer}.{table}")
         return self.exists(layer, table)
 
+    def list_namespaces(self) -> DataFrame:
+        """``SHOW NAMESPACES`` as a DataFrame."""
+        return self.spark.sql("SHOW NAMESPACES")
+
     def list_tables(self, layer: str) -> DataFrame:
         """``SHOW TABLES IN layer`` as a DataFrame."""
         return self.spark.sql(f"SHOW TABLES IN `{layer}`")

@@ -126,11 +126,67 @@ def test_partition_scoped_merge_handles_moved_keys(spark, tmp_path):
                  "silver", "t", "k", partition_by=["y"], scope="partitions")
     got = sorted(map(tuple, lk.read("silver", "t").select("k", "y", "v").collect()))
     assert got == [(1, 2021, "m1"), (2, 2021, "b"), (3, 2021, "m3"), (4, 2019, "d")]
-    assert r.location.endswith("v000001")  # still in place, partition-scoped
+    assert "/v000001_" in r.location  # still in place, partition-scoped
+    with pytest.raises(ValueError, match="rewritten in place"):
+        lk.read("silver", "t", version=1)
     assert (r.added_records, r.deleted_records, r.total_records) == (2, 2, 4)
 
 
-def test_partition_scoped_merge_falls_back_for_string_partitions(spark, tmp_path):
+def test_partition_scoped_merge_sees_null_partitions(spark, tmp_path):
+    from strata.sources.lakehouse import Lakehouse
+    lk = Lakehouse(spark, str(tmp_path / "np"))
+    ddl = "k long, y int, v string"
+    lk.create(spark.createDataFrame([(1, None, "old"), (2, 2021, "b"), (3, 2020, "c"), (4, None, "d")], ddl),
+              "silver", "t", partition_by=["y"])
+    r = lk.merge(spark.createDataFrame([(1, 2021, "NEW"), (3, None, "x")], ddl), "silver", "t", "k",
+                 partition_by=["y"], scope="partitions")
+    got = sorted(map(tuple, lk.read("silver", "t").select("k", "y", "v").collect()))
+    assert got == [(1, 2021, "NEW"), (2, 2021, "b"), (3, None, "x"), (4, None, "d")]
+    assert (r.added_records, r.deleted_records, r.total_records) == (2, 2, 4)
+
+
+def test_partition_scoped_merge_of_several_partition_columns(spark, tmp_path):
+    from strata.sources.lakehouse import Lakehouse
+    lk = Lakehouse(spark, str(tmp_path / "two"), register=False)
+    ddl = "k long, y int, c string, v string"
+    lk.create(spark.createDataFrame([(1, 2020, "a b", "o"), (2, 2021, "c", "o"), (3, 2020, None, "o")], ddl),
+              "silver", "t", partition_by=["y", "c"])
+    lk.merge(spark.createDataFrame([(1, 2021, "c", "n"), (3, 2022, "d", "n")], ddl), "silver", "t", "k",
+             partition_by=["y", "c"], scope="partitions")
+    got = sorted(map(tuple, lk.read("silver", "t").select("k", "y", "c", "v").collect()))
+    assert got == [(1, 2021, "c", "n"), (2, 2021, "c", "o"), (3, 2022, "d", "n")]
+
+
+def test_sequential_writers_lose_no_commit(spark, tmp_path):
+    from strata.sources.lakehouse import Lakehouse
+    root, ddl = str(tmp_path / "seq"), "k long, y int, v string"
+    a, b = Lakehouse(spark, root, register=False), Lakehouse(spark, root, register=False)
+    a.create(spark.createDataFrame([(1, 2020, "a")], ddl), "silver", "t", partition_by=["y"])
+    for lk, k in ((a, 2), (b, 3), (a, 4)):
+        lk.merge(spark.createDataFrame([(k, 2020, "m")], ddl), "silver", "t", "k", partition_by=["y"],
+                 scope="partitions")
+    h = [(r.version, r.total_records) for r in b.history("silver", "t").collect()]
+    assert h == [(4, 4), (3, 3), (2, 2), (1, 1)]
+
+
+def test_properties_survive_a_commit_of_another_writer(spark, tmp_path):
+    from strata.sources.lakehouse import Lakehouse
+    root = str(tmp_path / "props")
+    Lakehouse(spark, root).create(spark.range(3), "props_ns", "t", properties={"owner": "data team"})
+    Lakehouse(spark, root).replace(spark.range(4), "props_ns", "t")
+    assert Lakehouse(spark, root).properties("props_ns", "t")["owner"] == "data team"
+    names = [r[0] for r in Lakehouse(spark, root).list_namespaces().collect()]
+    assert "props_ns" in names
+
+
+def test_first_load_rejects_duplicate_keys(lake, spark):
+    with pytest.raises(MergeCardinalityError):
+        lake.merge(spark.createDataFrame([(1, "x"), (1, "y"), (None, "z")], SCHEMA), "silver", "first", "k")
+    lake.merge(spark.createDataFrame([(1, "x"), (None, "y"), (None, "z")], SCHEMA), "silver", "first", "k")
+    assert lake.read("silver", "first").count() == 3
+
+
+def test_partition_scoped_merge_of_string_partitions(spark, tmp_path):
     from strata.sources.lakehouse import Lakehouse
     lk = Lakehouse(spark, str(tmp_path / "mvs"))
     lk.create(spark.createDataFrame([(1, "a/x", "a"), (2, "b", "b")], "k long, y string, v string"),
@@ -139,7 +195,8 @@ def test_partition_scoped_merge_falls_back_for_string_partitions(spark, tmp_path
                  "silver", "t", "k", partition_by=["y"], scope="partitions")
     got = sorted(map(tuple, lk.read("silver", "t").select("k", "y", "v").collect()))
     assert got == [(1, "b", "moved"), (2, "b", "b")]
-    assert r.location.endswith("v000002")  # full-table version
+    assert "/v000001_" in r.location
+    assert not any("a%2Fx" in f for f in lk.read("silver", "t").inputFiles())
 
 
 def test_partition_merge_of_empty_batch_is_a_noop(spark, tmp_path):
@@ -169,11 +226,11 @@ def test_two_writers_do_not_clobber_versions(spark, tmp_path):
     assert got == list(range(12)) + [20]  # b merged onto a's version 2
 
 
-def test_leftover_of_a_killed_attempt_is_overwritten(spark, tmp_path):
+def test_leftover_of_a_killed_attempt_is_ignored(spark, tmp_path):
     from strata.sources.lakehouse import Lakehouse
     lk = Lakehouse(spark, str(tmp_path / "k"), register=False)
     lk.create(spark.range(3), "silver", "t")
-    spark.range(99).write.parquet(lk._version_path("silver", "t", 2))  # partial, never committed
+    spark.range(99).write.parquet(lk._version_path("silver", "t", 2, "dead"))  # never committed
     r = lk.replace(spark.range(5), "silver", "t")
     assert r.version == 2 and lk.read("silver", "t").count() == 5
 
