@@ -37,6 +37,10 @@ def user_post_metrics(posts: DataFrame, run_ts=None) -> DataFrame:
             .withColumn("fecha_cargue", as_timestamp(run_ts)))
 
 
+#: Badge classes 1, 2, 3.
+METALS = ("gold", "silver", "bronze")
+
+
 def badges_summary(badges: DataFrame) -> DataFrame:
     """Badge counts per non-null user; ``fecha_cargue`` = newest load_date."""
     cls = F.col("badge_class")
@@ -45,9 +49,7 @@ def badges_summary(badges: DataFrame) -> DataFrame:
             .groupBy("user_id")
             .agg(F.count(F.lit(1)).alias("total_badges"),
                  F.count_distinct("badge_name").alias("distinct_badge_types"),
-                 F.sum(F.when(cls == 1, 1).otherwise(0)).alias("gold_badges"),
-                 F.sum(F.when(cls == 2, 1).otherwise(0)).alias("silver_badges"),
-                 F.sum(F.when(cls == 3, 1).otherwise(0)).alias("bronze_badges"),
+                 *(F.count_if(cls == i + 1).alias(f"{metal}_badges") for i, metal in enumerate(METALS)),
                  F.max("load_date").alias("fecha_cargue")))
 
 
@@ -152,13 +154,3 @@ def badge_distribution(badges: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("total_awards"),
                  F.count_distinct("user_id").alias("unique_users")))
 
-
-GOLD_TABLES = {
-    "user_post_metrics": "user_post_metrics",
-    "badges_summary": "badges_summary",
-    "user_engagement": "user_engagement_score",
-    "comment_activity": "comment_activity",
-    "user_comment_engagement": "user_comment_engagement",
-    "post_summary": "post_summary",
-    "badge_distribution": "badge_distribution",
-}

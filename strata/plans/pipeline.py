@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import gold, silver
+from strata.session import scratch_path
 from strata.sources import roles
 from strata.sources.bronze import land, read_bronze
 from strata.sources.lakehouse import Lakehouse
@@ -51,16 +52,28 @@ def land_roles(spark: SparkSession, sf_dir: str, bronze_root: str) -> str:
 
 
 def yearly_silver(spark: SparkSession, bronze_root: str, dataset: str, load_ts,
-                  years: list[int] | None = None, report: StageReport | None = None
-                  ) -> DataFrame:
+                  years: list[int] | None = None, report: StageReport | None = None,
+                  stage_root: str | None = None, **options) -> DataFrame:
     """Silver frame of a per-year dataset (``comments`` or ``posts``).
 
     Without ``years``: one scan of the whole dataset, the source year taken
     from the ``year=`` partition column (one file listing, one scan however
     many years). With ``years``: one source per year, each with its year as
     a literal, unioned; missing or invalid years are skipped and reported.
+    With ``stage_root`` each of these sources is written there first, so one
+    that fails while it is read is skipped too. ``options`` go to the transform
+    (``errors``, and ``decoded_only`` for comments).
     """
-    to_silver = silver.comments_to_silver if dataset == "comments" else silver.posts_to_silver
+    transform = silver.comments_to_silver if dataset == "comments" else silver.posts_to_silver
+
+    def to_silver(df, **kw):
+        return transform(df, **kw, **options)
+
+    def stage(df, name):
+        path = f"{stage_root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
     if years is None:
         df = to_silver(read_bronze(spark, bronze_root, dataset), year="year", load_ts=load_ts)
         if report is not None:
@@ -72,7 +85,8 @@ def yearly_silver(spark: SparkSession, bronze_root: str, dataset: str, load_ts,
                                  load_ts=load_ts)
 
     empty = (lambda: silver.empty_comments(spark)) if dataset == "comments" else None
-    df, outcomes = silver.union_sources(((f"{dataset}_{y}", source(y)) for y in years), empty)
+    df, outcomes = silver.union_sources(((f"{dataset}_{y}", source(y)) for y in years), empty,
+                                        stage if stage_root else None)
     if report is not None:
         for o in outcomes:
             report.stages.append((o.name, o.ok, o.error or ""))
@@ -82,18 +96,25 @@ def yearly_silver(spark: SparkSession, bronze_root: str, dataset: str, load_ts,
 
 
 def run_silver(spark: SparkSession, bronze_root: str, lake: Lakehouse, load_ts=None,
-               as_of=None, years: list[int] | None = None) -> tuple[DataFrame, StageReport]:
+               as_of=None, years: list[int] | None = None, errors: str = "strict",
+               decoded_only: str = "valid") -> tuple[DataFrame, StageReport]:
     """Comments (multi-year) then badges, users, posts, each merged into
-    ``silver``; returns the verification frame and the stage report."""
+    ``silver``; returns the verification frame and the stage report.
+
+    The scheduled comments job is ``errors='ignore', decoded_only='none'``.
+    """
     report = StageReport()
+    sources = scratch_path(spark, "silver_sources") if years is not None else None
     lake.ensure_namespace("silver")
     jobs = {
-        "comments": lambda: yearly_silver(spark, bronze_root, "comments", load_ts, years, report),
+        "comments": lambda: yearly_silver(spark, bronze_root, "comments", load_ts, years, report,
+                                          sources, errors=errors, decoded_only=decoded_only),
         "badges": lambda: silver.badges_to_silver(
-            read_bronze(spark, bronze_root, "badges"), load_ts=load_ts),
+            read_bronze(spark, bronze_root, "badges"), load_ts=load_ts, errors=errors),
         "users": lambda: silver.users_to_silver(
-            read_bronze(spark, bronze_root, "users"), load_ts=load_ts, as_of=as_of),
-        "posts": lambda: yearly_silver(spark, bronze_root, "posts", load_ts, years, report),
+            read_bronze(spark, bronze_root, "users"), load_ts=load_ts, as_of=as_of, errors=errors),
+        "posts": lambda: yearly_silver(spark, bronze_root, "posts", load_ts, years, report,
+                                       sources, errors=errors),
     }
     done = []
     for ds, make in jobs.items():
@@ -174,8 +195,12 @@ def run_gold_activity(lake: Lakehouse, run_ts=None) -> DataFrame:
 
 def run_medallion(spark: SparkSession, sf_dir: str, root: str, load_ts=None, as_of=None,
                   run_ts=None) -> DataFrame:
-    """Land → silver → all gold tables; returns the gold verification."""
+    """Land → silver → all gold tables; returns the gold verification. Every gold
+    table needs silver, so a failed silver stage ends the run."""
     bronze_root = land_roles(spark, sf_dir, f"{root}/bronze")
     lake = Lakehouse(spark, f"{root}/lakehouse")
-    run_silver(spark, bronze_root, lake, load_ts, as_of)
+    _, report = run_silver(spark, bronze_root, lake, load_ts, as_of)
+    failed = [f"{name}: {note}" for name, ok, note in report.stages if not ok]
+    if failed:
+        raise RuntimeError(f"silver failed, gold not built: {failed}")
     return _run_gold(lake, GOLD_USER_METRICS + GOLD_ACTIVITY, run_ts)

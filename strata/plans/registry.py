@@ -8,11 +8,11 @@ transforms with fixed load time / as-of date, so results are reproducible.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+import datetime as dt
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions import expressions as X
@@ -37,7 +37,7 @@ def register(name: str, oracle: str | None = None):
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(spark, str(sf_dir).rstrip("/"))
-        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        run.__name__, run.__doc__, run.__wrapped__ = fn.__name__, fn.__doc__, fn
         QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
@@ -395,6 +395,31 @@ def q_merge_upsert_partitioned_moved(spark, sf):
     return lake.read("silver", "posts")
 
 
+@register("merge_upsert_null_partition", W(["null_year_target", "null_year_source"], """
+SELECT * FROM null_year_source UNION ALL
+SELECT * FROM null_year_target t
+WHERE NOT EXISTS (SELECT 1 FROM null_year_source s WHERE s.post_id = t.post_id)"""))
+def q_merge_upsert_null_partition(spark, sf):
+    """Partition-scoped upsert that moves keys out of and into the NULL year."""
+    def undated(df, some):
+        return df.withColumn("post_year", F.when(some, F.lit(None).cast("int")).otherwise(F.col("post_year")))
+    lake = _lake(spark)
+    lake.create(undated(upsert_target(spark, sf), F.col("post_id") % 3 == 0), "silver", "posts",
+                partition_by=["post_year"])
+    lake.merge(undated(upsert_source(spark, sf), F.col("post_id") % 5 == 1), "silver", "posts",
+               ["post_id"], partition_by=["post_year"], scope="partitions")
+    return lake.read("silver", "posts")
+
+
+@register("read_bronze_mixed_folder", W(["bronze_comments"], "SELECT * FROM bronze_comments"))
+def q_read_bronze_mixed_folder(spark, sf):
+    """A loader folder with conforming files and a foreign one: exactly the former."""
+    root = scratch_path(spark, "bronze")
+    B.land(roles.raw(spark, sf, "badges"), f"{root}/comments_2021")
+    B.land(roles.raw(spark, sf, "comments"), f"{root}/comments_2021", mode="append")
+    return B.read_bronze(spark, root, "comments", 2021)
+
+
 @register("merge_upsert_composite", W(["upsert_target", "upsert_source"],
                                       "SELECT * FROM upsert_source UNION ALL"
                                       + _UNMATCHED_TWO_KEYS))
@@ -447,15 +472,25 @@ def q_load_history(spark, sf):
                     F.col("summary")["deleted-records"].alias("deleted_records"))
 
 
-@register("load_history_chronological")
+@register("load_history_chronological", W(["upsert_target", "upsert_source"], """
+SELECT CAST(1 AS BIGINT) AS version, 'append' AS operation, (SELECT COUNT(*) FROM upsert_target) AS added,
+       (SELECT COUNT(*) FROM upsert_target) AS total, TRUE AS times_ascend
+UNION ALL
+SELECT v, 'merge', (SELECT COUNT(*) FROM upsert_source),
+       (SELECT COUNT(*) FROM silver_posts), TRUE FROM (VALUES (2), (3)) later(v)"""))
 def q_load_history_chronological(spark, sf):
+    """Oldest first; commit times themselves differ by run, so their order is returned."""
     h = _merged_twice(spark, sf).history("silver", "posts", newest_first=False)
-    return h.select("version", "committed_at", "operation",
-                    F.col("summary")["added-records"].alias("added"),
-                    F.col("summary")["total-records"].alias("total"))
+    earlier = F.lag("committed_at").over(Window.partitionBy("table_name").orderBy("version"))
+    return h.select("version", "operation", F.col("summary")["added-records"].cast("long").alias("added"),
+                    F.col("summary")["total-records"].cast("long").alias("total"),
+                    F.coalesce(F.col("committed_at") > earlier, F.lit(True)).alias("times_ascend"))
 
 
-@register("load_count", "SELECT 'posts' AS table_name, CAST(3 AS BIGINT) AS n_loads")
+@register("load_count", W(["upsert_target", "upsert_source"], """
+SELECT 'posts' AS table_name, CAST(COUNT(*) AS BIGINT) AS n_loads
+FROM (SELECT 1 WHERE EXISTS (FROM upsert_target)
+      UNION ALL SELECT 1 FROM (VALUES (2), (3)) again WHERE EXISTS (FROM upsert_source)) loads"""))
 def q_load_count(spark, sf):
     return _merged_twice(spark, sf).load_counts("silver").select("table_name", "n_loads")
 
@@ -642,7 +677,7 @@ def q_join_left_fact_dim(spark, sf):
     s = silvers(spark, sf)
     return left_join_fact_dim(s["comments"].select("comment_id", "user_id"),
                               s["users"].select("user_id", "display_name", "is_active"),
-                              "user_id", hot_keys="auto")
+                              "user_id")
 
 
 @register("join_inner_equi", W(["silver_posts", "silver_users"], """
@@ -656,10 +691,10 @@ def q_join_inner_equi(spark, sf):
                                                                    "display_name")
 
 
-@register("join_left_derived", W(
-    ["silver_users", "silver_posts", "silver_comments", "silver_badges"], f"""
-SELECT u.user_id, u.display_name, p.total_posts, c.total_comments, b.total_badges
-FROM silver_users u{O._ENGAGEMENT_JOINS}"""))
+@register("join_left_derived", W(["silver_users", "activity"], """
+SELECT u.user_id, u.display_name, NULLIF(a.total_posts, 0) AS total_posts,
+       NULLIF(a.total_comments, 0) AS total_comments, NULLIF(a.total_badges, 0) AS total_badges
+FROM silver_users u LEFT JOIN activity a ON a.user_id = u.user_id"""))
 def q_join_left_derived(spark, sf):
     s = silvers(spark, sf)
     return (s["users"].select("user_id", "display_name")
@@ -733,17 +768,34 @@ def q_agg_global_count(spark, sf):
 
 # ---- 2.7 sort, limit, top-k ------------------------------------------------
 
-@register("sort_asc_multi", O.GOLD_COMMENT_ACTIVITY + "\nORDER BY comment_year, comment_month")
+def _ranked(sql: str, order: str) -> str:
+    return f"SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) AS place FROM ({sql}) g"
+
+
+def _with_place(spark, df, order) -> DataFrame:
+    """The sorted rows with the place they come in: the sort is written and read back
+    in order, one file per range partition, and the partitions' rows are counted up."""
+    path = scratch_path(spark, "sorted")
+    (df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()).write.parquet(path))
+    back = spark.read.parquet(path)  # id = partition * 2^33 + row, ascending in the sort's order
+    part = F.shiftright("_id", 33)
+    counts = back.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return (back.withColumn("_part", part).join(starts, "_part")
+            .select(*df.columns, (F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1).alias("place")))
+
+
+@register("sort_asc_multi", _ranked(O.GOLD_COMMENT_ACTIVITY, "comment_year NULLS LAST, comment_month NULLS LAST"))
 def q_sort_asc_multi(spark, sf):
-    return (gold.comment_activity(silver_frame(spark, sf, "comments"))
-            .orderBy(F.asc_nulls_last("comment_year"), F.asc_nulls_last("comment_month")))
+    return _with_place(spark, gold.comment_activity(silver_frame(spark, sf, "comments")),
+                       [F.asc_nulls_last("comment_year"), F.asc_nulls_last("comment_month")])
 
 
-@register("sort_desc", O.GOLD_BADGE_DISTRIBUTION
-          + "\nORDER BY total_awards DESC NULLS LAST, badge_name, badge_year")
+@register("sort_desc", _ranked(O.GOLD_BADGE_DISTRIBUTION, "total_awards DESC NULLS LAST, badge_name, badge_year"))
 def q_sort_desc(spark, sf):
-    return (gold.badge_distribution(silver_frame(spark, sf, "badges"))
-            .orderBy(F.desc_nulls_last("total_awards"), "badge_name", "badge_year"))
+    return _with_place(spark, gold.badge_distribution(silver_frame(spark, sf, "badges")),
+                       [F.desc_nulls_last("total_awards"), F.asc_nulls_last("badge_name"), F.asc_nulls_last("badge_year")])
 
 
 @register("topk_multi_desc", O.QUERY_POSTS_PER_USER_TOP20)
@@ -812,15 +864,24 @@ def q_fn_is_active(spark, sf):
     return silver_frame(spark, sf, "users").select("user_id", "last_access_date", "is_active")
 
 
-@register("fn_current_date")
+@register("fn_current_date", W(["bronze_users"], """
+SELECT id AS user_id, CAST(date_diff('day', CAST(creation_date AS DATE), today) AS INTEGER) AS user_age_days,
+       date_diff('day', CAST(last_access_date AS DATE), today) <= 365 AS is_active
+FROM bronze_users CROSS JOIN (SELECT CAST(now() AT TIME ZONE 'UTC' AS DATE) AS today)"""))
 def q_fn_current_date(spark, sf):
     u = silver.users_to_silver(bronze(spark, sf, "users"), load_ts=O.LOAD_TS, as_of=None)
     return u.select("user_id", "user_age_days", "is_active")
 
 
-@register("fn_current_timestamp")
+@register("fn_current_timestamp", "SELECT * EXCLUDE (fecha_cargue), TRUE AS stamped_in_run FROM ("
+          + O.GOLD_USER_POST_METRICS + ") g")
 def q_fn_current_timestamp(spark, sf):
-    return gold.user_post_metrics(silver_frame(spark, sf, "posts"), run_ts=None)
+    """The stamp differs by run, so whether it lies within the run is returned."""
+    began = dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=1)
+    m = gold.user_post_metrics(silver_frame(spark, sf, "posts"), run_ts=None)
+    stamp = F.col("fecha_cargue").cast("timestamp")
+    within = (stamp >= F.lit(began)) & (stamp <= F.current_timestamp())
+    return m.withColumn("stamped_in_run", within).drop("fecha_cargue")
 
 
 @register("fn_cast_timestamp", W(["silver_badges"], "SELECT badge_id, load_date FROM silver_badges"))
@@ -883,20 +944,44 @@ def q_fn_case(spark, sf):
 
 # ---- 2.11 decode -------------------------------------------------------------
 
-@register("decode_utf8_strict", """
-SELECT doc_id AS id, text, CAST(LENGTH(text) AS INTEGER) AS text_length FROM documents""")
+def _decoded_sql(mode: str) -> str:
+    return (f"SELECT id, text, CAST(COALESCE(LENGTH(text), 0) AS INTEGER) AS text_length "
+            f"FROM (SELECT doc_id AS id, {O.bad_bytes_text(mode)} AS text FROM documents) d")
+
+
+@register("decode_utf8_strict", _decoded_sql("strict"))
 def q_decode_utf8_strict(spark, sf):
-    d = roles.documents_bronze(spark, sf).select("id", decode_utf8("text").alias("text"))
+    d = roles.documents_bad_bytes(spark, sf).select("id", decode_utf8("text").alias("text"))
     return d.select("id", "text", X.text_length("text").alias("text_length"))
 
 
-@register("decode_utf8_ignore", """
-SELECT doc_id AS id, text, CAST(LENGTH(text) AS INTEGER) AS text_length FROM documents""")
+@register("decode_utf8_ignore", _decoded_sql("ignore"))
 def q_decode_utf8_ignore(spark, sf):
-    d = roles.documents_bronze(spark, sf).select("id", decode_utf8("text", "ignore").alias("text"))
+    d = roles.documents_bad_bytes(spark, sf).select("id", decode_utf8("text", "ignore").alias("text"))
     return d.select("id", "text", X.text_length("text").alias("text_length"))
 
 
+def _bad_comments(spark, sf, **kw) -> DataFrame:
+    return silver.comments_to_silver(roles.comments_bad_bytes(spark, sf), load_ts=O.LOAD_TS, **kw)
+
+
+@register("silver_comments_bad_bytes", O.bad_comments_sql("strict", " WHERE doc_id % 3 <> 0"))
+def q_silver_comments_bad_bytes(spark, sf):
+    """Undecodable comments go; text with a genuine U+FFFD stays."""
+    return _bad_comments(spark, sf)
+
+
+@register("filter_decoded_bad_bytes", O.bad_comments_sql("strict", """
+WHERE decoded IS NOT NULL AND NOT contains(decoded, '[DECODE_ERROR]')"""))
+def q_filter_decoded_bad_bytes(spark, sf):
+    return _bad_comments(spark, sf, decoded_only="reference")
+
+
+@register("silver_comments_scheduled_bad_bytes", O.bad_comments_sql("ignore"))
+def q_silver_comments_scheduled_bad_bytes(spark, sf):
+    return _bad_comments(spark, sf, errors="ignore", decoded_only="none")
+
+
 # ---- 2.12 composite silver/gold jobs ----------------------------------------
 
 @register("silver_comments_scheduled", W(["silver_comments"], "SELECT * FROM silver_comments"))
@@ -934,13 +1019,43 @@ def q_silver_other_datasets(spark, sf):
     return lake.verify("silver", list(jobs))
 
 
-def _silver_lake(spark, sf) -> Lakehouse:
+def _silver_lake(spark, sf, loads: tuple[str, ...] = (O.LOAD_TS,)) -> Lakehouse:
+    """A lakehouse after the silver job has run once per load time."""
     root = pipeline.land_roles(spark, sf, scratch_path(spark, "bronze"))
     lake = _lake(spark)
-    pipeline.run_silver(spark, root, lake, O.LOAD_TS, O.AS_OF)
+    for ts in loads:
+        _, report = pipeline.run_silver(spark, root, lake, ts, O.AS_OF)
+        assert all(ok for _, ok, _ in report.stages), report.stages
     return lake
 
 
+def _register_silver_rows() -> None:
+    """The rows of every silver table through the job, after one and after two loads."""
+    for t in _SILVER_WIDTH:
+        register(f"run_silver_{t}", W([f"silver_{t}"], f"SELECT * FROM silver_{t}"))(
+            lambda spark, sf, t=t: _silver_lake(spark, sf).read("silver", t))
+        register(f"run_silver_twice_{t}", W(
+            [f"silver_{t}"], f"SELECT * REPLACE (TIMESTAMP '{RELOAD_TS}' AS load_date) FROM silver_{t}"))(
+            lambda spark, sf, t=t: _silver_lake(spark, sf, (O.LOAD_TS, RELOAD_TS)).read("silver", t))
+
+
+_register_silver_rows()
+
+
+@register("load_history_partitioned", " UNION ALL ".join(
+    W([f"silver_{t}"], f"SELECT '{t}' AS table_name, CAST(v AS BIGINT) AS version, "
+      f"CASE v WHEN 1 THEN 'append' ELSE 'merge' END AS operation, n AS added_records, "
+      f"CASE v WHEN 1 THEN 0 ELSE n END AS deleted_records, n AS total_records "
+      f"FROM (SELECT COUNT(*) AS n FROM silver_{t}) c CROSS JOIN (VALUES (1), (2)) loads(v)")
+    for t in ("comments", "posts")).replace("WITH", "SELECT * FROM (WITH", 1).replace(
+        " UNION ALL WITH", ") a UNION ALL SELECT * FROM (WITH", 1) + ") b")
+def q_load_history_partitioned(spark, sf):
+    """Two silver loads of the year-partitioned tables: no commit is lost."""
+    h = _silver_lake(spark, sf, (O.LOAD_TS, RELOAD_TS)).history("silver")
+    return h.where(F.col("table_name").isin("comments", "posts")).select(
+        "table_name", "version", "operation", "added_records", "deleted_records", "total_records")
+
+
 @register("run_silver", _verify_sql(_SILVER_WIDTH))
 def q_run_silver(spark, sf):
     root = pipeline.land_roles(spark, sf, scratch_path(spark, "bronze"))
@@ -981,6 +1096,21 @@ def q_run_gold_activity(spark, sf):
     return pipeline.run_gold_activity(_silver_lake(spark, sf), run_ts=O.RUN_TS)
 
 
+def _register_gold_rows() -> None:
+    """The rows of every gold table through the whole chain."""
+    def make(name):
+        def query(spark, sf):
+            root = scratch_path(spark, "medallion")
+            pipeline.run_medallion(spark, sf, root, load_ts=O.LOAD_TS, as_of=O.AS_OF, run_ts=O.RUN_TS)
+            return Lakehouse(spark, f"{root}/lakehouse").read("gold", name)
+        return query
+    for name, sql in _GOLD_SQL.items():
+        register(f"run_medallion_{name}", sql)(make(name))
+
+
+_register_gold_rows()
+
+
 @register("run_medallion", _gold_verify_sql(pipeline.GOLD_USER_METRICS + pipeline.GOLD_ACTIVITY))
 def q_run_medallion(spark, sf):
     return pipeline.run_medallion(spark, sf, scratch_path(spark, "medallion"),
@@ -989,37 +1119,41 @@ def q_run_medallion(spark, sf):
 
 # ---- console queries through spark.sql over the silver catalog tables -----
 
-def _silver_catalog(spark, sf) -> str:
-    """Silver tables written to a fresh lakehouse and registered in a
-    namespace of their own; returns the namespace for the SQL text."""
+def _silver_catalog(spark, sf, query: str) -> str:
+    """The silver tables that a console query names, written to a fresh lakehouse and
+    registered in a namespace of their own; returns the namespace for the SQL text."""
     lake, ns = _lake(spark), _private_layer()
-    for t, df in silvers(spark, sf).items():
-        lake.create(df, ns, t)
+    for t in analytics.CONSOLE_SQL[query][0]:
+        lake.create(silver_frame(spark, sf, t), ns, t)
     return ns
 
 
 @register("query_posts_per_user_top20_sql", O.QUERY_POSTS_PER_USER_TOP20)
 def q_posts_per_user_top20_sql(spark, sf):
-    return analytics.console_sql(spark, "posts_per_user_top20", _silver_catalog(spark, sf))
+    return analytics.console_sql(spark, "posts_per_user_top20",
+                                 _silver_catalog(spark, sf, "posts_per_user_top20"))
 
 
 @register("query_posts_per_named_user_top20_sql", O.QUERY_POSTS_PER_NAMED_USER_TOP20)
 def q_posts_per_named_user_top20_sql(spark, sf):
-    return analytics.console_sql(spark, "posts_per_named_user_top20", _silver_catalog(spark, sf))
+    return analytics.console_sql(spark, "posts_per_named_user_top20",
+                                 _silver_catalog(spark, sf, "posts_per_named_user_top20"))
 
 
 @register("query_badge_statistics_sql", O.QUERY_BADGE_STATISTICS)
 def q_badge_statistics_sql(spark, sf):
-    return analytics.console_sql(spark, "badge_statistics", _silver_catalog(spark, sf))
+    return analytics.console_sql(spark, "badge_statistics",
+                                 _silver_catalog(spark, sf, "badge_statistics"))
 
 
 @register("query_user_engagement_sql", O.QUERY_USER_ENGAGEMENT)
 def q_user_engagement_sql(spark, sf):
-    return analytics.console_sql(spark, "user_engagement", _silver_catalog(spark, sf))
+    return analytics.console_sql(spark, "user_engagement",
+                                 _silver_catalog(spark, sf, "user_engagement"))
 
 
 @register("browse_by_key_sql", W(["silver_posts"], f"""
 SELECT * FROM silver_posts WHERE owner_user_id = {BROWSE_USER} ORDER BY post_id LIMIT 10"""))
 def q_browse_by_key_sql(spark, sf):
-    return analytics.console_sql(spark, "browse_posts_by_owner", _silver_catalog(spark, sf),
-                                 key=BROWSE_USER)
+    return analytics.console_sql(spark, "browse_posts_by_owner",
+                                 _silver_catalog(spark, sf, "browse_posts_by_owner"), key=BROWSE_USER)

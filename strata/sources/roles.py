@@ -10,7 +10,7 @@ its whole base table; nothing is sampled.
 | role     | base                         | key        |
 | users    | customer ⟕ orders-per-customer ⟕ nation | Id = c_custkey |
 | posts    | orders                       | Id = o_orderkey |
-| comments | lineitem (key not unique)    | Id = l_orderkey * 10 + l_linenumber |
+| comments | lineitem                     | Id = order, line, part, supplier and ship day in one number |
 | badges   | events                       | Id = event_id |
 """
 
@@ -106,8 +106,13 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     n = F.col("l_linenumber")
+    # (order, line) repeats in the test tables; part, supplier and day tell the rows apart
+    day = F.datediff(F.col("l_shipdate").cast("date"), F.lit("1992-01-01").cast("date"))
+    key = F.col("l_orderkey") * 10 + n
+    for part, radix in ((F.col("l_partkey"), 20011), (F.col("l_suppkey"), 1009), (day, 3001)):
+        key = key * radix + part
     return li.select(
-        (F.col("l_orderkey") * 10 + n).alias("Id"),
+        key.alias("Id"),
         F.col("l_orderkey").alias("PostId"),
         F.when(F.col("l_orderkey") % 23 == 0, _null("long"))
          .otherwise(F.floor(F.col("l_quantity") / 5).cast("long")).alias("Score"),
@@ -157,3 +162,26 @@ def documents_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decode input: documents with their whole text as UTF-8 bytes."""
     d = table(spark, sf_dir, "documents")
     return d.select(F.col("doc_id").alias("id"), F.encode("text", "UTF-8").alias("text"))
+
+
+def documents_bad_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decode input with invalid bytes: every third document gets the bytes FF, C3 28
+    (a lead byte without its continuation) and EF BF BD (a genuine U+FFFD) in the
+    middle of its text, every third only the genuine U+FFFD; the rest is clean."""
+    d = table(spark, sf_dir, "documents")
+    text, at = F.col("text"), F.floor(F.length("text") / 2).cast("int")
+    left, right = F.encode(F.substring(text, F.lit(1), at), "UTF-8"), F.encode(F.substr(text, at + 1), "UTF-8")
+    kind = F.col("doc_id") % 3
+    bad = F.concat(left, F.lit(bytearray(b"\xff\xc3(\xef\xbf\xbd")), right)
+    genuine = F.concat(left, F.lit(bytearray(b"\xef\xbf\xbd")), right)
+    return d.select(F.col("doc_id").alias("id"), F.col("source"),
+                    F.when(kind == 0, bad).when(kind == 1, genuine).otherwise(F.encode("text", "UTF-8")).alias("text"))
+
+
+def comments_bad_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normalised comments whose text holds invalid bytes (one row per document)."""
+    made = F.timestamp_add("DAY", (F.col("id") % 1000).cast("int"), F.lit("2020-01-01").cast("timestamp_ntz"))
+    return (documents_bad_bytes(spark, sf_dir)
+            .select("id", (F.col("id") % 100).alias("post_id"), (F.col("id") % 7).alias("score"), "text",
+                    made.alias("creation_date"), (F.col("id") % 50).alias("user_id"),
+                    F.encode("source", "UTF-8").alias("user_display_name")))

@@ -13,15 +13,78 @@ def test_run_silver_then_gold_then_rerun_merges(spark, tmp_path):
     counts = {r.table_name: r.n_rows for r in v1.collect()}
     assert counts["posts"] == spark.read.parquet(f"{SF}/orders.parquet").count()
     # a second run merges the same batch: keyed tables keep their size
-    v2, _ = pipeline.run_silver(spark, bronze, lake, "2024-06-02 00:00:00", "2001-12-31")
+    v2, report = pipeline.run_silver(spark, bronze, lake, "2024-06-02 00:00:00", "2001-12-31")
+    assert all(ok for _, ok, _ in report.stages), report.stages
     again = {r.table_name: (r.n_rows, r.n_loads) for r in v2.collect()}
-    for t in ("users", "badges", "posts"):
+    for t in ("comments", "users", "badges", "posts"):
         assert again[t] == (counts[t], 2)
+        dates = {str(r.load_date) for r in lake.read("silver", t).select("load_date").distinct().collect()}
+        assert dates == {"2024-06-02 00:00:00"}, t
     gold = {r.table_name: r.n_rows for r in pipeline.run_gold_activity(lake).collect()}
     assert set(gold) == set(pipeline.GOLD_ACTIVITY) and all(n > 0 for n in gold.values())
     assert spark.table("gold.post_summary").count() == gold["post_summary"]
 
 
+def test_medallion_raises_when_a_silver_stage_fails(spark, tmp_path, monkeypatch):
+    import pytest
+    from pyspark.sql import functions as F
+
+    def twice(bronze_root, make=pipeline.land_roles):
+        out = make(spark, SF, bronze_root)
+        users = spark.read.parquet(f"{out}/users").limit(1).withColumn("DisplayName", F.lit(b"again"))
+        users.select(*spark.read.parquet(f"{out}/users").columns).write.mode("append").parquet(f"{out}/users")
+        return out
+
+    monkeypatch.setattr(pipeline, "land_roles", lambda spark, sf, root: twice(root))
+    with pytest.raises(RuntimeError, match="silver.users"):
+        pipeline.run_medallion(spark, SF, str(tmp_path / "m"), "2024-06-01 00:00:00", "2001-12-31")
+
+
+def test_a_corrupt_source_is_skipped_and_reported(spark, tmp_path):
+    from strata.operators import silver
+    good = spark.createDataFrame([(1,)], "k long")
+    good.write.parquet(str(tmp_path / "bad"))
+    bad = spark.read.parquet(str(tmp_path / "bad"))
+    for f in (tmp_path / "bad").glob("*.parquet"):
+        f.write_bytes(b"PAR1 not a footer PAR1")
+
+    def stage(df, name):
+        df.write.mode("overwrite").parquet(str(tmp_path / f"staged_{name}"))
+        return spark.read.parquet(str(tmp_path / f"staged_{name}"))
+
+    out, outcomes = silver.union_sources([("good", lambda: good), ("bad", lambda: bad)], stage=stage)
+    assert [(o.name, o.ok) for o in outcomes] == [("good", True), ("bad", False)]
+    assert out.count() == 1
+
+
+def test_cli_keeps_the_sessions_settings(spark):
+    from strata.session import get_session
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        assert get_session().conf.get("spark.sql.shuffle.partitions") == "400"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from strata import session
+    monkeypatch.setattr(session, "_is_local", lambda spark: False)
+    monkeypatch.setattr(session, "CHECKPOINT_CONF", "spark.checkpoint.dir.unset")
+    with pytest.raises(RuntimeError, match="not set"):
+        session.checkpoint_root(spark)
+
+
+def test_listing_errors_are_raised(spark, monkeypatch):
+    import pytest
+    from strata.sources import fs
+    monkeypatch.setattr(fs, "_hadoop", lambda spark, path: (None, None))
+    assert not fs.exists(spark, "/tmp/no-such-folder-here")
+    with pytest.raises(Exception):
+        fs.exists(spark, "noscheme://somewhere/else")
+
+
 def test_cli_medallion(spark, tmp_path, capsys):
     from strata.__main__ import main
     main(["medallion", "--source", SF, "--root", str(tmp_path), "--as-of", "2001-12-31"])
