@@ -135,7 +135,34 @@ def log_probabilities(grams: np.ndarray, counts: np.ndarray, order: int, shallow
 
 # ---- Spark ------------------------------------------------------------------
 
-_ASK = pa.schema([("bundle", pa.int32()), ("word", pa.bool_()), ("key", pa.int64()), ("n", pa.int64())])
+GRAMS, WORDS, PAIRS, DOCS = 0, 1, 2, 3  # what a row between stages is about
+_ASK = pa.schema([("bundle", pa.int32()), ("part", pa.int32()), ("kind", pa.int32()), ("keys", pa.binary()), ("n", pa.binary())])
+_ASK_DDL = "bundle int, part int, kind int, keys binary, n binary"
+
+
+def _pack(x: np.ndarray, rising: bool = False) -> bytes:
+    """Compressed little-endian column; rising integers as their differences."""
+    x = np.diff(x, prepend=x.dtype.type(0)) if rising else x
+    lanes = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes()
+    return len(x).to_bytes(4, "little") + pa.compress(lanes, codec="zstd", asbytes=True)
+
+
+def _unpack(blob: bytes, dtype: type, rising: bool = False) -> np.ndarray:
+    n, width = int.from_bytes(blob[:4], "little"), np.dtype(dtype).itemsize
+    lanes = pa.decompress(blob[4:], decompressed_size=n * width, codec="zstd", asbytes=True) if n else b""
+    x = np.frombuffer(lanes, np.uint8).reshape(width, n).T.copy().view(dtype).reshape(n)
+    return np.cumsum(x) if rising else x
+
+
+def _sum_by_key(keys: list[np.ndarray], n: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    every, back = np.unique(np.concatenate(keys), return_inverse=True)
+    return every, np.bincount(back, np.concatenate(n), len(every)).astype(np.int64)
+
+
+def _part_of(keys: np.ndarray, kind: int, parts: int) -> np.ndarray:
+    """Grams are dealt by their last two context bytes, words by their key."""
+    at = (keys >> BITS) & ((1 << 2 * BITS) - 1) if kind == GRAMS else keys
+    return ((at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)).astype(np.int64) % parts
 
 
 def _bundles_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,28 +175,34 @@ def _bundles_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield b.slice(i, j - i)
 
 
-def asked(bundled: DataFrame, order: int) -> DataFrame:
-    """(bundle, word, key, n): the distinct grams and words of every bundle, with
-    their occurrences in its training documents."""
+def asked(bundled: DataFrame, order: int, parts: int) -> DataFrame:
+    """The distinct grams and words of every bundle with their occurrences in its
+    training documents, one row per bundle, kind and part; and its order-1 counts."""
+
+    def rows(bundle: int, kind: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        to = _part_of(keys, kind, parts) if kind != PAIRS else np.zeros(len(keys), np.int64)
+        by = np.argsort(to, kind="stable")  # keys stay rising within a part
+        keys, n, to = keys[by], n[by], to[by]
+        cuts = [0, *(np.nonzero(np.diff(to))[0] + 1).tolist(), len(to)]
+        spans = [(i, j) for i, j in zip(cuts, cuts[1:]) if j > i]
+        return pa.record_batch([pa.array([bundle] * len(spans), pa.int32()), pa.array([int(to[i]) for i, _ in spans], pa.int32()),
+                                pa.array([kind] * len(spans), pa.int32()), pa.array([_pack(keys[i:j], True) for i, j in spans], pa.binary()),
+                                pa.array([_pack(n[i:j].astype(np.int32)) for i, j in spans], pa.binary())], schema=_ASK)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bundle, parts, words = None, [], Counter()
+        bundle, keys, n, words = None, [], [], Counter()
 
         def flush() -> Iterator[pa.RecordBatch]:
-            at = np.concatenate([p[0] for p in parts])
-            keys, back = np.unique(at, return_inverse=True)
-            n = np.bincount(back, np.concatenate([p[1] for p in parts]), len(keys)).astype(np.int64)
-            for word, k, c in ((False, keys, n), (True, np.fromiter(words.keys(), np.int64, len(words)),
-                                                 np.fromiter(words.values(), np.int64, len(words)))):
-                for i in range(0, len(k), 100_000):
-                    m = len(k[i:i + 100_000])
-                    yield pa.record_batch([pa.array(np.full(m, bundle, np.int32)), pa.array([word] * m),
-                                           pa.array(k[i:i + m]), pa.array(c[i:i + m])], schema=_ASK)
+            grams, count = _sum_by_key(keys, n)
+            yield rows(bundle, GRAMS, grams, count)
+            yield rows(bundle, PAIRS, *_sum_by_key([low(grams, 1)], [count]))
+            yield rows(bundle, WORDS, *_sum_by_key([np.fromiter(words.keys(), np.int64, len(words))],
+                                                   [np.fromiter(words.values(), np.int64, len(words))]))
 
         for b in text_slices(_bundles_in(batches)):
             if bundle is not None and b.column(0)[0].as_py() != bundle:
                 yield from flush()
-                parts, words = [], Counter()
+                keys, n, words = [], [], Counter()
             bundle = b.column(0)[0].as_py()
             held = b.column(1).to_pylist()
             texts = [(t or "").encode().lower() for t in b.column(3).to_pylist()]
@@ -177,51 +210,74 @@ def asked(bundled: DataFrame, order: int) -> DataFrame:
                 some = [t for t, h in zip(texts, held) if h != training]
                 if not some:
                     continue
-                grams, _ = grams_of(some, order)
-                keys, n = np.unique(grams, return_counts=True)
-                parts.append((keys, n if training else np.zeros(len(keys))))
-                own = Counter(w for t in some for w in t.split())
-                for w, c in own.items():
+                own, count = np.unique(grams_of(some, order)[0], return_counts=True)
+                keys.append(own)
+                n.append(count if training else np.zeros(len(own), np.int64))
+                for w, c in Counter(w for t in some for w in t.split()).items():
                     words[word_key(w)] += c if training else 0
                 words[END_WORD] += len(some) if training else 0
-            if len(parts) > 16:
-                at = np.concatenate([p[0] for p in parts])
-                keys, back = np.unique(at, return_inverse=True)
-                parts = [(keys, np.bincount(back, np.concatenate([p[1] for p in parts]), len(keys)))]
+            if len(keys) > 4:
+                keys, n = ([x] for x in _sum_by_key(keys, n))
         if bundle is not None:
             yield from flush()
 
-    return bundled.mapInArrow(run, "bundle int, word boolean, key long, n long")
+    return bundled.mapInArrow(run, _ASK_DDL)
 
 
-def answered(asks: DataFrame, order: int, shallow: Shallow) -> DataFrame:
-    """(bundle, word, key, value): log10 probability of every gram asked for, or the
-    training count of every word. Grams are dealt by their last two context bytes."""
-    spark = asks.sparkSession
-    shared = spark.sparkContext.broadcast(shallow)
+def totals(asks: DataFrame, kind: int) -> DataFrame:
+    """(key, n) over all bundles: order-1 counts, or (-, tokens) and (-, distinct) of words."""
+    schema = pa.schema([("key", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(list(batches), _ASK) if batches else None
-        bundle, word, key, n = (held.column(i).to_numpy() for i in range(4))
-        del held
-        for is_word in (False, True):
-            at = np.nonzero(word == is_word)[0]
-            if not len(at):
-                continue
-            if is_word:
-                keys, back = np.unique(key[at], return_inverse=True)
-                values = np.bincount(back, n[at], len(keys))[back]
-            else:
-                keys, values = log_probabilities(key[at], n[at], order, shared.value)
-                values = values[np.searchsorted(keys, key[at])]
-            for i in range(0, len(at), 100_000):
-                own = at[i:i + 100_000]
-                yield pa.record_batch([pa.array(bundle[own]), pa.array(word[own]), pa.array(key[own]),
-                                       pa.array(values[i:i + 100_000])], names=["bundle", "word", "key", "value"])
-
-    last_two = F.shiftright("key", BITS).bitwiseAND(F.lit((1 << 2 * BITS) - 1))
-    dealt = asks.repartition("word", F.when(F.col("word"), F.col("key")).otherwise(last_two))
-    return dealt.mapInArrow(run, "bundle int, word boolean, key long, value double")
+        keys, n, at = [], [], []
+        for b in batches:
+            for part, k, c in zip(b.column(1).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist()):
+                keys.append(_unpack(k, np.int64, True))
+                n.append(_unpack(c, np.int32).astype(np.int64))
+            if len(keys) > 64:
+                keys, n = ([x] for x in _sum_by_key(keys, n))
+        if keys:
+            every, count = _sum_by_key(keys, n)
+            if kind == WORDS:
+                every, count = np.array([0, 1]), np.array([count.sum(), (count > 0).sum()])
+            yield pa.record_batch([pa.array(every), pa.array(count)], schema=schema)
+
+    rows = asks.where(F.col("kind") == kind)
+    rows = rows.repartition("part") if kind == WORDS else rows
+    return rows.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def answered(asks: DataFrame, order: int, shallow: Shallow, parts: int) -> DataFrame:
+    """Every ask with, instead of the counts, the log10 probability of its grams or
+    the training count of its words."""
+    shared = asks.sparkSession.sparkContext.broadcast(shallow)  # at most 258 * 257 counts
+
+    def answer(kind: int, rows: list) -> Iterator[pa.RecordBatch]:
+        keys = [_unpack(r[3], np.int64, True) for r in rows]
+        n = [_unpack(r[4], np.int32) for r in rows]
+        if kind == GRAMS:
+            every, values = log_probabilities(np.concatenate(keys), np.concatenate(n), order, shared.value)
+        else:
+            every, values = _sum_by_key(keys, n)
+        values = values.astype(np.float32 if kind == GRAMS else np.int64)
+        for r, k in zip(rows, keys):
+            yield pa.record_batch([pa.array([x], t.type) for x, t in zip(
+                [*r[:4], _pack(values[np.searchsorted(every, k)])], _ASK)], schema=_ASK)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+        for b in batches:
+            for r in zip(*(c.to_pylist() for c in b.columns)):
+                if now != r[1:3] and held:
+                    yield from answer(now[1], held)
+                    held = []
+                now = r[1:3]
+                held.append(r)
+        if held:
+            yield from answer(now[1], held)
+
+    dealt = asks.where(F.col("kind") != PAIRS).repartition(parts, "part").sortWithinPartitions("part", "kind")
+    return dealt.mapInArrow(run, _ASK_DDL)
 
 
 def score_documents(docs: DataFrame, held_out: Column | None = None, *, key: str = "doc_id", text: str = "text",
@@ -243,20 +299,17 @@ def score_documents(docs: DataFrame, held_out: Column | None = None, *, key: str
     bundles = max(1, -(-size // bundle_bytes))
     bundled = own.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(bundles)).cast("int").alias("bundle"),
                          "held_out", "doc_id", "text")
-    asks = staged(asked(bundled.repartition(bundles, "bundle").sortWithinPartitions("bundle"), order), "ppm_asks")
-    words = asks.where("word").groupBy("key").agg(F.sum("n").alias("n"))
-    total, kinds = words.agg(F.sum("n"), F.count_if(F.col("n") > 0)).first()
-    total, kinds = int(total or 0), int(kinds or 0)
-    pairs = (asks.where("not word").groupBy(F.col("key").bitwiseAND(F.lit((1 << 2 * BITS) - 1)).alias("key"))
-             .agg(F.sum("n").alias("n")).toPandas())  # at most 258 * 257 rows
+    asks = staged(asked(bundled.repartition(bundles, "bundle").sortWithinPartitions("bundle"), order, bundles), "ppm_asks")
+    words = {r.key: int(r.n) for r in totals(asks, WORDS).collect()}
+    total, kinds = words.get(0, 0), words.get(1, 0)
+    pairs = totals(asks, PAIRS).toPandas()  # at most 258 * 257 rows
     shallow = Shallow(pairs["key"].to_numpy(np.int64), pairs["n"].to_numpy(np.float64))
-    values = answered(asks, order, shallow)
     nothing = F.lit(None)
-    rows = (values.select("bundle", F.when(F.col("word"), 0).otherwise(1).alias("kind"), "key", "value",
-                          nothing.cast("long").alias("doc_id"), nothing.cast("boolean").alias("held_out"),
-                          nothing.cast("string").alias("text"))
-            .unionByName(bundled.select("bundle", F.lit(2).alias("kind"), nothing.cast("long").alias("key"),
-                                        nothing.cast("double").alias("value"), "doc_id", "held_out", "text")))
+    rows = (answered(asks, order, shallow, bundles)
+            .select("bundle", "kind", "keys", F.col("n").alias("value"), nothing.cast("long").alias("doc_id"),
+                    nothing.cast("boolean").alias("held_out"), nothing.cast("string").alias("text"))
+            .unionByName(bundled.select("bundle", F.lit(DOCS).alias("kind"), nothing.cast("binary").alias("keys"),
+                                        nothing.cast("binary").alias("value"), "doc_id", "held_out", "text")))
     ordered = rows.repartition(bundles, "bundle").sortWithinPartitions("bundle", "kind")
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                         ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
@@ -266,26 +319,24 @@ def score_documents(docs: DataFrame, held_out: Column | None = None, *, key: str
         bundle, tables = None, {}
         for b in text_slices(_bundles_in(batches)):
             if b.column(0)[0].as_py() != bundle:
-                bundle, tables = b.column(0)[0].as_py(), {0: [], 1: []}
+                bundle, tables = b.column(0)[0].as_py(), {GRAMS: [], WORDS: []}
             kind = b.column(1).to_numpy()
-            for k in (0, 1):
-                some = b.filter(pa.array(kind == k))
-                if some.num_rows:
-                    tables[k].append((some.column(2).to_numpy(), some.column(3).to_numpy()))
-            some = b.filter(pa.array(kind == 2))
+            for k, keys, value in zip(kind.tolist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
+                if k != DOCS:
+                    tables[k].append((_unpack(keys, np.int64, True), _unpack(value, np.float32 if k == GRAMS else np.int64)))
+            some = b.filter(pa.array(kind == DOCS))
             if not some.num_rows:
                 continue
-            for k in (0, 1):
+            for k in (GRAMS, WORDS):
                 if not isinstance(tables[k], tuple):
-                    tables[k] = (pd.Index(np.concatenate([x for x, _ in tables[k]])),
-                                 np.concatenate([x for _, x in tables[k]]))
+                    tables[k] = (pd.Index(np.concatenate([x for x, _ in tables[k]])), np.concatenate([x for _, x in tables[k]]))
             texts = [t.encode().lower() for t in some.column(6).to_pylist()]
             grams, first = grams_of(texts, order)
-            score = np.add.reduceat(tables[1][1][tables[1][0].get_indexer(grams)], first)
+            score = np.add.reduceat(tables[GRAMS][1][tables[GRAMS][0].get_indexer(grams)].astype(np.float64), first)
             words = [t.split() for t in texts]
             vocabulary = {w: i for i, w in enumerate(set().union(*words))}
             keys = np.fromiter((word_key(w) for w in vocabulary), np.int64, len(vocabulary))
-            known = tables[0][1][tables[0][0].get_indexer(np.append(keys, END_WORD))]
+            known = tables[WORDS][1][tables[WORDS][0].get_indexer(np.append(keys, END_WORD))]
             codes = np.fromiter((c for own in words for c in (*map(vocabulary.__getitem__, own), len(vocabulary))), np.int64)
             n = np.array([len(w) + 1 for w in words], np.int64)
             at = np.cumsum(n) - n
