@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import text_slices
+from strata.llm.common import bitmap, drop, in_bitmap, staged, text_slices
 
 PUNCTUATION = ".,;:!?\"'()[]{}<>*_-`~/\\|"
 BUCKETS = 1 << 22
@@ -65,7 +65,7 @@ class Lexicon:
         no order or repetition of words changes. A text without lexicon terms is
         hashed over all its terms."""
         ids = term_ids(terms_of(text))
-        own = ids[(self.bits[ids >> 3] >> (ids & 7)) & 1 == 1]
+        own = ids[in_bitmap(ids, self.bits)]
         if not len(own):
             own = ids
         own = own.astype(np.uint64)
@@ -111,15 +111,13 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
 
 def fit_lexicon(docs: DataFrame, least_df: int, most_share: float) -> tuple[Lexicon, int]:
     """Lexicon of the ids with ``least_df`` <= df <= ``most_share`` of the
-    documents, and the characters of the table. At most BUCKETS ids reach the driver."""
-    counts = document_frequencies(docs)
-    n = F.max(F.when(F.col("id") == -1, F.col("df")))
-    sums = counts.where("id < 0").agg(n.alias("n"), F.max(F.when(F.col("id") == -2, F.col("df"))).alias("chars")).first()
-    band = counts.where((F.col("id") >= 0) & (F.col("df") >= least_df) & (F.col("df") <= most_share * (sums.n or 0)))
-    bits = np.zeros(BUCKETS // 8, np.uint8)
-    ids = band.select("id").toPandas()["id"].to_numpy(np.int64)
-    np.bitwise_or.at(bits, ids >> 3, (1 << (ids & 7)).astype(np.uint8))
-    return Lexicon(bits.tobytes()), int(sums.chars or 0)
+    documents, and the characters of the table."""
+    counts = staged(document_frequencies(docs), "document_frequencies")
+    sums = {r.id: r.df for r in counts.where("id < 0").collect()}
+    band = counts.where((F.col("id") >= 0) & (F.col("df") >= least_df) & (F.col("df") <= most_share * sums.get(-1, 0)))
+    bits = bitmap(band.select("id"), BUCKETS)
+    drop(counts)
+    return Lexicon(bits), int(sums.get(-2, 0))
 
 
 def in_key_order(docs: DataFrame, buckets: int) -> DataFrame:
@@ -160,7 +158,7 @@ def fingerprint_edits(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     shared = spark.sparkContext.broadcast(lexicon)  # a bitmap of BUCKETS bits
     keyed = own.withColumn("order_key", F.coalesce("doc_id", F.lit(-(1 << 62))))
     rows = in_key_order(keyed, max(1, -(-chars // bucket_chars)))
-    ordered = (rows.repartition(max(1, -(-chars // bucket_chars)), "bucket")
+    ordered = (rows.repartitionById(max(1, -(-chars // bucket_chars)), "bucket")
                .sortWithinPartitions("bucket", "tail", "order_key", "text"))
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
                         ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
