@@ -166,9 +166,9 @@ def best_fit(classes: list[tuple[int, Contents]], small: dict[int, int], capacit
     return [x for room in sorted(by_room) for x in by_room[room]]
 
 
-def plan_slots(hist: dict[int, int], capacity: int, groups: int = 64, small: int | None = None) -> dict[str, np.ndarray]:
+def plan_slots(hist: dict[int, int], capacity: int, groups: int = 512, small: int | None = None) -> dict[str, np.ndarray]:
     """Slots sorted by (length, first rank) for every piece of the histogram."""
-    small = capacity // 8 if small is None else small
+    small = capacity // 4 if small is None else small
     classes: list[tuple[int, Contents]] = []
     if hist.get(capacity):
         classes.append((hist[capacity], ((capacity, 1),)))
@@ -236,7 +236,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, *, key: str = "doc_id",
-         text: str = "text", groups: int = 64, small: int | None = None, keep_ids: bool = False) -> DataFrame:
+         text: str = "text", groups: int = 512, small: int | None = None, keep_ids: bool = False) -> DataFrame:
     """Pack whole documents into sequences of at most ``capacity`` ids.
 
     Rows: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ``ids``
