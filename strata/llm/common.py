@@ -6,6 +6,7 @@ import os
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,6 +60,36 @@ def text_slices(batches: Iterator[pa.RecordBatch], max_bytes: int = 2 << 20,
                 begin, held = i, 0
             held += int(size)
         yield batch.slice(begin)
+        del batch, col, sizes
+        pa.default_memory_pool().release_unused()
+
+
+def member(ids: DataFrame, bits: int = 1 << 25):
+    """Column function: may the id be among ``ids`` (column id)? Never false for one
+    that is. What is broadcast is a bitmap of ``bits`` bits, however many ids there are."""
+    shared = ids.sparkSession.sparkContext.broadcast(bitmap(ids, bits))
+
+    @F.pandas_udf("boolean")
+    def maybe(column: pd.Series) -> pd.Series:
+        return pd.Series(in_bitmap(column.to_numpy(np.int64), np.frombuffer(shared.value, np.uint8)))
+
+    return maybe
+
+
+NO_KEY = -(1 << 63)  # stands for a NULL key
+
+
+def keyed(column: Column) -> Column:
+    return F.coalesce(column.cast("long"), F.lit(NO_KEY))
+
+
+def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose key is in ``gone`` (column id, see ``keyed``). Only rows
+    that may be there are moved; the others stay where they were read."""
+    there = member(gone)(keyed(F.col(key)))
+    ids = gone.select(F.col("id").alias("_gone_key")).distinct().hint("merge")
+    moved = docs.where(there).join(ids, keyed(F.col(key)) == F.col("_gone_key"), "left_anti")
+    return docs.where(~there).unionByName(moved)
 
 
 def importable(spark: SparkSession) -> None:

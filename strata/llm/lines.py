@@ -15,56 +15,87 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import bitmap, in_bitmap, staged, text_slices
+from strata.llm.common import member, staged, text_slices
 from strata.llm.linking import compare, linked_groups
 
 PUNCTUATION = ".,;:!?\"'()[]{}<>*_-`~/\\|#$%&@^+="
-BITMAP_BITS = 1 << 25
 
 
-def words_of(line: str) -> list[str]:
-    """Normalised words of a line; none for a blank line or one of punctuation only."""
-    return [x for x in (w.strip(PUNCTUATION) for w in line.lower().split()) if x]
-
-
-def normalised(line: str) -> str:
-    return " ".join(words_of(line))
-
-
-def describe_lines(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words, class id (63-bit hash of the normalised words in order) and SimHash of
-    every line; lines without words have class -1."""
-    split = [line.lower().split() for line in lines]
-    code = {w: i for i, w in enumerate(set().union(*split))}
-    plain = [w if w.isalnum() else w.strip(PUNCTUATION) for w in code]
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) if w else 0 for w in plain), np.uint64, len(plain))
-    some = np.fromiter(map(bool, plain), bool, len(plain))
-    line_codes = np.fromiter((code[w] for own in split for w in own), np.int64, sum(map(len, split)))
-    of_line = np.repeat(np.arange(len(split)), [len(x) for x in split])
-    keep = some[line_codes]
-    line_codes, of_line = line_codes[keep], of_line[keep]
-    n = np.bincount(of_line, minlength=len(split))
-    first = np.cumsum(n) - n
+def split_words(lines: pa.Array | list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Normalised words of lines: the distinct ones ('' for punctuation only), and for
+    every word of every line its place among them and its line. Words are lower-cased,
+    between ASCII white space, without surrounding punctuation."""
+    if isinstance(lines, list):
+        lines = pa.array(lines, pa.string())
+    split = pc.ascii_split_whitespace(pc.utf8_lower(lines))
+    words = split.flatten().dictionary_encode()
+    plain = [w if w.isalnum() else w.strip(PUNCTUATION) for w in words.dictionary.to_pylist()]
+    lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    return plain, words.indices.to_numpy(), np.repeat(np.arange(len(lines), dtype=np.int32), lengths)
+
+
+def normalised(lines: list[str]) -> list[str]:
+    """The normalised words of each line, joined by blanks."""
+    plain, words, line = split_words(lines)
+    out: list[list[str]] = [[] for _ in lines]
+    for i, w in zip(line.tolist(), words.tolist()):
+        if plain[w]:
+            out[i].append(plain[w])
+    return [" ".join(x) for x in out]
+
+
+def _simhash(hashes: np.ndarray, words: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """64-bit majority vote over the word hashes of every line (``words`` index
+    ``hashes``; a line's words are n from first). Votes are byte counters, eight to a
+    machine word, so lines are summed in runs of at most 255 words."""
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
+    lanes = np.ascontiguousarray(bits).view(np.uint64)  # (words, 8): a byte for each bit
+    runs = -(-n // 255)
+    line = np.repeat(np.arange(len(n)), runs)
+    inside = np.arange(len(line)) - np.repeat(np.cumsum(runs) - runs, runs)
+    sums = np.add.reduceat(lanes[words], first[line] + 255 * inside, axis=0).view(np.uint8)
+    votes = np.add.reduceat(sums, np.cumsum(runs) - runs, axis=0, dtype=np.int32) if len(line) > len(n) else sums
+    return np.packbits(votes.astype(np.int32) * 2 > n[:, None], axis=1).view(np.int64).ravel()
+
+
+def describe_lines(lines: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, length when normalised, class id (63-bit hash of the normalised words in order) and SimHash of
+    every line; lines without words have class -1. The SimHash is over the words of
+    four and more letters, which tell lines apart, where a line has four of these."""
+    plain, words, line = split_words(lines)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, plain), np.uint64, len(plain))
+    size = np.fromiter(map(len, plain), np.int32, len(plain))
+    keep = size[words] > 0
+    if not keep.all():
+        words, line = words[keep], line[keep]
+    n = np.bincount(line, minlength=len(lines))
+    length = (np.bincount(line, size[words], len(lines)) + np.maximum(n - 1, 0)).astype(np.int64)
     full = np.nonzero(n)[0]
-    cid, sim = np.full(len(split), -1, np.int64), np.zeros(len(split), np.int64)
+    cid, sim = np.full(len(lines), -1, np.int64), np.zeros(len(lines), np.int64)
     if len(full):
-        place = (np.arange(len(of_line)) - first[of_line]).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-        mixed = hashes[line_codes] * place
+        first = np.cumsum(n) - n
+        place = (np.arange(len(line)) - first[line]).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        mixed = hashes[words] * place
         mixed = (mixed ^ (mixed >> np.uint64(29))) * (place * np.uint64(0xBF58476D1CE4E5B9))
         mixed ^= mixed >> np.uint64(32)
         cid[full] = (np.add.reduceat(mixed, first[full]) >> np.uint64(1)).astype(np.int64)
-        signs = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).view(np.int8) * 2 - 1
-        votes = np.add.reduceat(signs[line_codes], first[full], axis=0, dtype=np.int32)
-        sim[full] = np.packbits(votes > 0, axis=1).view(np.int64).ravel()
-    return n, cid, sim
-
-
-def edit_distance(a: str, b: str) -> int:
-    """Levenshtein distance, bit-parallel over the shorter string."""
+        telling = size[words] >= 4
+        some = np.bincount(line[telling], minlength=len(lines))
+        use = telling | (some < 4)[line]
+        words, line = words[use], line[use]
+        m = np.bincount(line, minlength=len(lines))
+        sim[full] = _simhash(hashes, words, (np.cumsum(m) - m)[full], m[full])
+    return n, length, cid, sim
+
+
+def edit_distance(a: str, b: str, most: int | None = None) -> int:
+    """Levenshtein distance, bit-parallel over the shorter string; any number above
+    ``most`` as soon as it must exceed that."""
     if len(a) > len(b):
         a, b = b, a
     if not a:
@@ -74,7 +105,11 @@ def edit_distance(a: str, b: str) -> int:
         at[c] = at.get(c, 0) | 1 << i
     mask, last = (1 << len(a)) - 1, 1 << (len(a) - 1)
     up, down, score = mask, 0, len(a)
+    left = len(b)
     for c in b:
+        left -= 1
+        if most is not None and score - left - 1 > most:
+            return score
         match = at.get(c, 0)
         flat = (((match & up) + up) ^ up) | match | down
         rise, fall = down | (mask & ~(flat | up)), up & flat
@@ -96,80 +131,112 @@ def similar(a: str, b: str, percent: int) -> bool:
     a, b = a[i:], b[i:]
     while a and b and a[-1] == b[-1]:
         a, b = a[:-1], b[:-1]
-    return max(len(a), len(b)) <= most or edit_distance(a, b) <= most
+    return max(len(a), len(b)) <= most or edit_distance(a, b, most) <= most
+
+
+def block_masks(blocks: int, distance: int) -> list[int]:
+    """Signed 64-bit masks of the choices of ``blocks - distance`` blocks."""
+    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
+    masks = [sum(((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in chosen)
+             for chosen in combinations(range(blocks), blocks - distance)]
+    return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
 
 
 def block_keys(sim: Column, blocks: int, distance: int) -> Column:
     """One key per choice of ``blocks - distance`` blocks of a 64-bit SimHash."""
-    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
-    keys = []
-    for number, chosen in enumerate(combinations(range(blocks), blocks - distance)):
-        mask = sum(((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in chosen)
-        signed = mask - (1 << 64) if mask >= 1 << 63 else mask
-        keys.append(F.xxhash64(F.lit(number), sim.bitwiseAND(F.lit(signed))))
-    return F.array(*keys)
+    return F.array(*(F.xxhash64(F.lit(i), sim.bitwiseAND(F.lit(m))) for i, m in enumerate(block_masks(blocks, distance))))
+
+
+def first_shared(a: Column, b: Column, blocks: int, distance: int) -> Column:
+    """Number of the first key that two SimHashes share."""
+    apart = a.bitwiseXOR(b)
+    return F.coalesce(*(F.when(apart.bitwiseAND(F.lit(m)) == 0, F.lit(i)) for i, m in enumerate(block_masks(blocks, distance))))
 
 
 def _occurrences(own: DataFrame) -> DataFrame:
-    """(doc, line, cid, sim) of every line with words."""
-    schema = pa.schema([("doc", pa.int64()), ("line", pa.int32()), ("cid", pa.int64()), ("sim", pa.int64())])
+    """(doc, line, length, cid, sim) of every line with words."""
+    schema = pa.schema([("doc", pa.int64()), ("line", pa.int32()), ("length", pa.int64()), ("cid", pa.int64()), ("sim", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches):
-            docs, split = b.column(0).to_numpy(), [(t or "").split("\n") for t in b.column(1).to_pylist()]
-            n, cid, sim = describe_lines([x for own in split for x in own])
-            lengths = np.array([len(x) for x in split])
+        for b in text_slices(batches, 1 << 20):
+            split = pc.split_pattern(pc.fill_null(b.column(1), ""), "\n")
+            n, length, cid, sim = describe_lines(split.flatten())
+            lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
             line = np.arange(len(cid)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            docs = np.repeat(b.column(0).to_numpy(), lengths)
             ok = n > 0
-            yield pa.record_batch([pa.array(np.repeat(docs, lengths)[ok]), pa.array(line[ok].astype(np.int32)),
-                                   pa.array(cid[ok]), pa.array(sim[ok])], schema=schema)
+            yield pa.record_batch([pa.array(docs[ok]), pa.array(line[ok].astype(np.int32)),
+                                   pa.array(length[ok]), pa.array(cid[ok]), pa.array(sim[ok])], schema=schema)
 
-    return own.mapInArrow(run, "doc long, line int, cid long, sim long")
+    return own.mapInArrow(run, "doc long, line int, length long, cid long, sim long")
 
 
-def _texts_of(own: DataFrame, wanted) -> DataFrame:
-    """(id, value): the normalised lines whose class may be wanted, once per task."""
+def _texts_of(own: DataFrame, places: DataFrame) -> DataFrame:
+    """(id, value): the normalised lines at ``places`` (id, doc, line). Only documents
+    that may hold one are moved."""
+    wanted = places.groupBy("doc").agg(F.collect_list(F.struct("id", "line")).alias("wanted"))
+    held = own.where(member(places.select(F.col("doc").alias("id")).distinct())("doc")).dropDuplicates(["doc"]).join(wanted.hint("merge"), "doc")
     schema = pa.schema([("id", pa.int64()), ("value", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = np.frombuffer(wanted.value, np.uint8), set()
         for b in text_slices(batches):
-            lines = [x for t in b.column(1).to_pylist() for x in (t or "").split("\n")]
-            n, cid, _ = describe_lines(lines)
-            ids, values = [], []
-            for i in np.nonzero((n > 0) & in_bitmap(cid, bits))[0].tolist():
-                c = int(cid[i])
-                if c not in seen:
-                    seen.add(c)
-                    ids.append(c)
-                    values.append(normalised(lines[i]).encode())
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(values, pa.binary())], schema=schema)
+            ids, found = [], []
+            for t, some in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                split = (t or "").split("\n")
+                ids += [x["id"] for x in some]
+                found += [split[x["line"]] for x in some]
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array([x.encode() for x in normalised(found)], pa.binary())],
+                                  schema=schema)
 
-    return own.mapInArrow(run, "id long, value binary").dropDuplicates(["id"])
+    return held.select("text", "wanted").mapInArrow(run, "id long, value binary")
 
 
 def removed_lines(own: DataFrame, percent: int, blocks: int, distance: int, rounds: int) -> DataFrame:
     """(doc, lines): numbers of the lines that go, per document (columns doc, text)."""
-    spark = own.sparkSession
     found = staged(_occurrences(own), "lines")
-    classes = found.groupBy("cid").agg(F.min("sim").alias("sim"))
-    postings = classes.select(F.explode(block_keys(F.col("sim"), blocks, distance)).alias("key"), F.col("cid").alias("id"), "sim")
-    many = F.count("*").over(Window.partitionBy("key"))
-    postings = staged(postings.withColumn("_many", many).where("_many > 1").drop("_many"), "line_postings")
-    wanted = spark.sparkContext.broadcast(bitmap(postings.select("id"), BITMAP_BITS))  # a fixed number of bits
-    texts = staged(_texts_of(own, wanted), "line_texts")
+    classes = staged(found.groupBy("cid").agg(F.min("sim").alias("sim"), F.min("length").alias("length"), F.min(F.struct("doc", "line")).alias("first"),
+                                              F.count("*").alias("n")), "line_classes")
+    postings = classes.select(F.posexplode(block_keys(F.col("sim"), blocks, distance)).alias("number", "key"),
+                              F.col("cid").alias("id"), "sim", "length", (-F.col("n")).alias("few"))
+
+    def near(sim: Column, other: Column, n: Column, m: Column) -> Column:
+        """SimHashes within the distance, and lengths that the edits allowed can bridge."""
+        return ((F.bit_count(sim.bitwiseXOR(other)) <= distance)
+                & (F.abs(n - m) <= F.floor((100 - percent) * F.greatest(n, m) / 100)))
+
+    # keys of one class go, and keys of two that are not near (most of those shared by chance)
+    of_key = Window.partitionBy("key")
+    both = near(F.min("sim").over(of_key), F.max("sim").over(of_key), F.min("length").over(of_key), F.max("length").over(of_key))
+    postings = postings.withColumn("_many", F.count("*").over(of_key)).withColumn("_both", both)
+    postings = staged(postings.where((F.col("_many") > 2) | (F.col("_many") == 2) & F.col("_both")).drop("_many", "_both"),
+                      "line_postings")
 
     def linked(a, b) -> bool:
         return similar(a.as_py().decode(), b.as_py().decode(), percent)
 
-    groups = linked_groups(
-        postings, lambda pairs: compare(pairs, texts, "a long, b long", linked), extras=["sim"], rounds=rounds,
-        admissible=lambda a, b: F.bit_count(F.col(f"{a}_sim").bitwiseXOR(F.col(f"{b}_sim"))) <= distance)
-    grouped = found.join(groups, found.cid == groups.id, "left").select(
-        "doc", "line", F.coalesce("component", "cid").alias("group"))
-    first = grouped.groupBy("group").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    gone = grouped.join(first, "group").where((F.col("doc") != F.col("first.doc")) | (F.col("line") != F.col("first.line")))
-    return gone.groupBy("doc").agg(F.collect_set("line").alias("lines"))
+    def verify(pairs: DataFrame) -> DataFrame:
+        if pairs.isEmpty():
+            return pairs
+        ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
+        places = staged(classes.join(ids.hint("merge"), "cid").select(F.col("cid").alias("id"), "first.doc", "first.line"), "line_places")
+        return compare(pairs, staged(_texts_of(own, places), "line_texts"), "a long, b long", linked)
+
+    def admissible(a: str, b: str) -> Column:
+        """Near, and met at the first key that the two share: every pair is made once."""
+        sims = F.col(f"{a}_sim"), F.col(f"{b}_sim")
+        return (near(*sims, F.col(f"{a}_length"), F.col(f"{b}_length"))
+                & (first_shared(*sims, blocks, distance) == F.col(f"{a}_number")))
+
+    groups = linked_groups(postings, verify, extras=["sim", "length", "few"], places=["number"], central=["few"],
+                           admissible=admissible, rounds=rounds)
+    # the first occurrence of every group of more than one line
+    named = classes.join(groups.hint("merge"), classes.cid == groups.id, "left").select("cid", "first", "n", F.col("component").alias("group"))
+    of_group = named.where("group is not null").groupBy("group").agg(F.min("first").alias("first"))
+    linked_classes = named.where("group is not null").select("cid", "group").join(of_group, "group").select("cid", "first")
+    repeated = named.where("group is null and n > 1").select("cid", "first").unionByName(linked_classes)
+    gone = found.join(staged(repeated, "line_repeats").hint("merge"), "cid").where(
+        (F.col("doc") != F.col("first.doc")) | (F.col("line") != F.col("first.line")))
+    return staged(gone.groupBy("doc").agg(F.collect_set("line").alias("lines")), "line_removals")
 
 
 def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 90, blocks: int = 5,
@@ -186,9 +253,11 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", per
     place = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
     own = docs.select(place.alias("doc"), F.col(text).cast("string").alias("text"))
     gone = removed_lines(own, percent, blocks, distance, rounds)
-    base = [c for c in docs.columns if c not in ("n_lines", "n_removed") or not counts]
-    joined = docs.select(*base).withColumn("_doc", place).join(
-        gone.select(F.col("doc").alias("_doc"), F.col("lines").alias("_gone")), "_doc", "left").drop("_doc")
+    base = docs.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed") or not counts]).withColumn("_doc", place)
+    some = member(gone.select(F.col("doc").alias("id")))("_doc")
+    removals = gone.select(F.col("doc").alias("_doc"), F.col("lines").alias("_gone")).hint("merge")  # grows with the corpus
+    joined = base.where(some).join(removals, "_doc", "left").unionByName(
+        base.where(~some).withColumn("_gone", F.lit(None).cast("array<int>"))).drop("_doc")
     split = F.split(F.col(text), "\n", -1)
     kept = F.filter(split, lambda x, i: ~F.array_contains(F.col("_gone"), i))
     out = joined.withColumn("_all", split).withColumn("_kept", F.when(F.col("_gone").isNull(), F.col("_all")).otherwise(kept))

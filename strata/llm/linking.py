@@ -6,21 +6,41 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import drop, staged
+from strata.llm.common import drop, member, staged
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over the partition's edges: each id with its least reachable one."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    for b in batches:
+        for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            u, v = find(u), find(v)
+            root[max(u, v)] = min(u, v)
+    pairs = [(x, find(x)) for x in root]
+    pairs = [(x, r) for x, r in pairs if x != r]
+    yield pa.record_batch([pa.array([x for x, _ in pairs], pa.int64()), pa.array([r for _, r in pairs], pa.int64())],
+                          names=["u", "v"])
+
+
+def connected_components(links: DataFrame, part_edges: int = 200_000) -> DataFrame:
     """(id, component) of the ids in ``links`` (a, b): the smallest id reachable.
 
-    Alternating large-star and small-star steps; every step is a grouped minimum and
-    a join, written to shared scratch, so no neighbourhood is gathered and the rounds
-    grow with the logarithm of the longest chain.
+    Parts of about ``part_edges`` links are first contracted by union-find, each in a
+    task of its own; what several parts leave goes through alternating large-star and
+    small-star steps, each a grouped minimum and a join written to shared scratch, so no
+    neighbourhood is gathered and the rounds grow with the logarithm of the longest chain.
     """
 
-    def star(edges: DataFrame) -> DataFrame:  # both directions: u, v
+    def star(edges: DataFrame) -> DataFrame:
         least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         return edges.join(least, "u")
 
@@ -31,10 +51,12 @@ def connected_components(links: DataFrame) -> DataFrame:
         return (small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                 .union(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
 
-    edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                   .where("u <> v").distinct(), "links")
+    raw = staged(links.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+    parts = max(1, -(-raw.count() // part_edges))
+    edges = staged(raw.coalesce(parts).mapInArrow(_contract, "u long, v long"), "links")
+    drop(raw)
     print_of = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    now = print_of(edges)
+    now = print_of(edges) if parts > 1 else (0,)
     while now[0]:
         new = staged(step(edges), "links")
         was, now = now, print_of(new)
@@ -53,11 +75,14 @@ def compare(pairs: DataFrame, items: DataFrame, ddl: str, linked: Callable, most
     dealt to several groups of about ``most``, each with its own copy of a's value, and
     streamed, so a hot a neither meets in one task nor is held in memory.
     """
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / most).alias("_parts"))
-    dealt = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("_parts")).alias("part"))
-    wanted = (dealt.select("a", "part").distinct().select("a", "part", F.lit(0).alias("kind"), F.col("a").alias("id"))
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / most).alias("parts"))
+    dealt = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), "b")
+    wanted = (sizes.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+                           F.lit(0).alias("kind"), F.col("a").alias("id"))
               .union(dealt.select("a", "part", F.lit(1).alias("kind"), F.col("b").alias("id"))))
-    rows = (wanted.join(items.select("id", "value"), "id").repartition("a", "part")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+    values = items.where(member(ids)("id")).select("id", "value")  # only those that may be asked for are moved
+    rows = (wanted.join(values.hint("merge"), "id").repartition("a", "part")
             .sortWithinPartitions("a", "part", "kind").select("a", "part", "kind", "id", "value"))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -79,35 +104,38 @@ def compare(pairs: DataFrame, items: DataFrame, ddl: str, linked: Callable, most
 
 def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], *, extras: list[str] = (),
                   admissible: Callable[[str, str], Column] | None = None,
-                  enough: Callable[[str, str, Column], Column] | None = None, rounds: int = 2) -> DataFrame:
+                  enough: Callable[[str, str, Column], Column] | None = None, central: list[str] = (),
+                  places: list[str] = (), rounds: int = 1) -> DataFrame:
     """(id, component) of linked ids, from postings (key, id, extras), one row per key and id.
 
     Two ids are candidates if they share a key, ``admissible(prefix of a, prefix of b)``
-    holds on their extras and ``enough(a, b, number of shared keys)`` does. First come
+    holds on their extras (and ``places``, columns of the single posting) and
+    ``enough(a, b, number of such keys)`` does. First come
     ``rounds`` in which every key's ids are only compared with one centre of the key
-    (a different one each round). Then every candidate pair whose two ids are still in
+    (the least by the extras ``central``, later ones by a hash). Then every candidate pair whose two ids are still in
     different components is compared, so no link between components is lost, while
     pairs inside a component, which cannot change the result, are never made.
     """
     extras = list(extras)
     links, groups = None, None
-    side = lambda p: [F.col("id").alias(p), F.col("comp").alias(f"{p}_comp"), *(F.col(x).alias(f"{p}_{x}") for x in extras)]
+    side = lambda p: [F.col("id").alias(p), F.col("comp").alias(f"{p}_comp"), *(F.col(x).alias(f"{p}_{x}") for x in [*extras, *places])]
     for turn in range(rounds + 1):
         if groups is None:
             rows = postings.withColumn("comp", F.col("id"))
         else:
-            rows = postings.join(groups, "id", "left").withColumn("comp", F.coalesce("component", "id"))
-        rows = rows.select("key", "id", "comp", *extras)
-        apart = rows.groupBy("key").agg(
-            F.min("comp").alias("_low"), F.max("comp").alias("_high"),
-            F.min_by(F.struct("id", "comp", *extras), F.struct(F.xxhash64("id", F.lit(turn)), "id")).alias("_centre"))
-        apart = apart.where("_low < _high")
+            rows = postings.join(groups.hint("merge"), "id", "left").withColumn("comp", F.coalesce("component", "id"))
+        family = Window.partitionBy("key")
+        centre = F.min_by(F.struct("id", "comp", *extras, *places), F.struct(
+            *(central if turn == 0 else ()), F.xxhash64("id", F.lit(turn)), "id")).over(family)
+        apart = F.min("comp").over(family) < F.max("comp").over(family)
+        rows = rows.select("key", "id", "comp", *extras, *places).withColumn("_apart", apart)
         if turn < rounds:
-            met = rows.join(apart, "key").select(*side("b"), F.col("_centre.id").alias("a"), F.col("_centre.comp").alias("a_comp"),
-                                                 *(F.col(f"_centre.{x}").alias(f"a_{x}") for x in extras))
+            met = rows.withColumn("_centre", centre).where("_apart").select(
+                *side("b"), F.col("_centre.id").alias("a"), F.col("_centre.comp").alias("a_comp"),
+                *(F.col(f"_centre.{x}").alias(f"a_{x}") for x in [*extras, *places]))
             met = met.where("a_comp <> b_comp")
         else:
-            own = rows.join(apart.select("key"), "key")
+            own = rows.where("_apart")
             met = own.select("key", *side("a")).join(own.select("key", *side("b")), "key").where("a_comp < b_comp")
         if admissible is not None:
             met = met.where(admissible("a", "b"))
