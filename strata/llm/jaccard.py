@@ -5,7 +5,10 @@ documents that share at least T = ceil(s * n) of them. Its inverted lists are ta
 in a global order from short to long and divided: the n - T + c shortest are merged
 (a partner must occur in at least c of them), the remaining long ones are not read,
 but probed by binary search for the partners that the merge returns; the search
-ends as soon as the required overlap is out of reach.
+ends as soon as the required overlap is out of reach. Two sets of sizes n and m that
+must share o shingles share c of the first n - o + c and m - o + c in the order, so only
+these lists count for the pair. Short lists that hold nobody else bound the overlap of a document with anyone, which keeps the copies of one
+text from being paired with each other where the sum of their edits is too much.
 
 Distributed: documents with equal sets are one class; the merge is a shuffle of the
 short lists by shingle and a count per pair; the probe runs on the sorted sets of
@@ -21,10 +24,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import drop, staged, text_slices
+from strata.llm.common import member, staged, text_slices, without
 from strata.llm.linking import compare, linked_groups
 
 BUCKETS = 1 << 18
@@ -115,13 +118,14 @@ def _describe(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _short_lists(docs: DataFrame, width: int, percent: int, frequency) -> DataFrame:
-    """(key, id, n): the short part of every class's lists, once per class and task."""
-    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64())])
+    """(key, id, n, place): the short part of every class's lists in order, once per
+    class and task."""
+    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("place", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, order = set(), frequency.value
         for b in text_slices(batches):
-            keys, ids, sizes = [], [], []
+            keys, ids, sizes, places = [], [], [], []
             for s in shingle_sets(b.column(1).to_pylist(), width):
                 n, cid = len(s), class_id(s)
                 if not n or cid in seen:
@@ -132,26 +136,31 @@ def _short_lists(docs: DataFrame, width: int, percent: int, frequency) -> DataFr
                 keys.append(s[by])
                 ids.append(np.full(short, cid))
                 sizes.append(np.full(short, n))
+                places.append(np.arange(short))
             if keys:
-                yield pa.record_batch([pa.array(np.concatenate(x).astype(np.int64)) for x in (keys, ids, sizes)], schema=schema)
+                yield pa.record_batch([pa.array(np.concatenate(x).astype(np.int64)) for x in (keys, ids, sizes, places)],
+                                      schema=schema)
 
-    return docs.mapInArrow(run, "key long, id long, n long")
+    return docs.mapInArrow(run, "key long, id long, n long, place long")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
+    """(id, value): the set of every class, once per task."""
     schema = pa.schema([("id", pa.int64()), ("value", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for b in text_slices(batches):
-            sets = shingle_sets(b.column(1).to_pylist(), width)
-            yield pa.record_batch([pa.array([class_id(s) for s in sets], pa.int64()),
-                                   pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+            new = {class_id(s): s.tobytes() for s in shingle_sets(b.column(1).to_pylist(), width)}
+            new = {k: v for k, v in new.items() if k not in seen}
+            seen.update(new)
+            yield pa.record_batch([pa.array(list(new), pa.int64()), pa.array(list(new.values()), pa.binary())], schema=schema)
 
     return docs.mapInArrow(run, "id long, value binary")
 
 
 def near_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80,
-                rounds: int = 2) -> DataFrame:
+                rounds: int = 1) -> DataFrame:
     """doc_id, n_shingles, component_id of every document.
 
     Documents link when 100 * shared >= percent * union over their distinct shingles of
@@ -174,26 +183,48 @@ def near_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wid
     lists = (_short_lists(own, width, percent, frequency).repartition("key").dropDuplicates(["key", "id"])
              .withColumn("_many", in_list).where("_many > 1").drop("_many"))
     lists = staged(lists, "jaccard_lists")
+    def merged(n: Column) -> Column:
+        """Short lists of a set of n shingles."""
+        return F.least(n, n - F.floor((n * percent + 99) / 100) + 1 + F.floor(n / 32))
+
     smallest = F.floor((F.col("n") * percent + 99) / 100)  # a partner has at least as many shingles
-    hopeful = lists.groupBy("id", "n").agg(F.count("*").alias("hits")).where(F.col("hits") >= 1 + F.floor(smallest / 32))
-    hopeful = staged(hopeful.select("id"), "jaccard_hopeful")
-    postings = lists.join(hopeful, "id", "left_semi")
-    reps = members.join(hopeful, members.cid == hopeful.id, "left_semi").groupBy("cid").agg(F.min("doc_id").alias("doc_id"))
-    texts = own.join(reps.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    sets = staged(_sets(texts, width).dropDuplicates(["id"]), "jaccard_sets")
+    hopeful = (lists.groupBy("id", "n").agg(F.count("*").alias("hits"))
+               .withColumn("own", merged(F.col("n")) - F.col("hits"))  # lists with nobody else: no partner shares these
+               .where(F.col("hits") >= 1 + F.floor(smallest / 32)))
+    hopeful = staged(hopeful.select("id", "own"), "jaccard_hopeful")
+    counted = lists.where(F.col("place") < F.col("n") - smallest + 1 + F.floor(F.col("n") / 64))  # those any pair counts
+    postings = staged(counted.join(hopeful.hint("merge"), "id"), "jaccard_postings")
+
+    def needed(a: str, b: str) -> Column:
+        """Shared shingles that the two sizes ask for."""
+        return F.floor(((F.col(f"{a}_n") + F.col(f"{b}_n")) * percent + 99 + percent) / (100 + percent))
+
+    def asked(a: str, b: str) -> Column:
+        return 1 + F.floor(F.least(f"{a}_n", f"{b}_n") / 64)
+
+    def admissible(a: str, b: str) -> Column:
+        """Can the sizes, less the shingles that only one of the two has, reach the
+        overlap, and does the shared list come early enough in both orders?"""
+        n, m = F.col(f"{a}_n"), F.col(f"{b}_n")
+        early = (F.col(f"{a}_place") < n - needed(a, b) + asked(a, b)) & (F.col(f"{b}_place") < m - needed(a, b) + asked(a, b))
+        return early & (F.least(n - F.col(f"{a}_own"), m - F.col(f"{b}_own")) >= needed(a, b))
+
+    reps = members.join(hopeful.hint("merge"), members.cid == hopeful.id, "left_semi").groupBy("cid").agg(F.min("doc_id").alias("id"))
+    one_of = member(reps.where("id is not null").select("id"))
+    texts = own.where(F.col("doc_id").isNull() | one_of(F.coalesce("doc_id", F.lit(0))))
+    sets = staged(_sets(texts, width), "jaccard_sets")
 
     def linked(a, b) -> bool:
         return overlap_reaches(np.frombuffer(a.as_buffer(), np.int64), np.frombuffer(b.as_buffer(), np.int64), percent)
 
     groups = linked_groups(
-        postings, lambda pairs: compare(pairs, sets, "a long, b long", linked), extras=["n"], rounds=rounds,
-        admissible=lambda a, b: F.least(f"{a}_n", f"{b}_n") * 100 >= F.greatest(f"{a}_n", f"{b}_n") * percent,
-        enough=lambda a, b, hits: hits >= 1 + F.floor(F.least(f"{a}_n", f"{b}_n") / 32))
-    named = members.join(groups, members.cid == groups.id, "left").select(
+        postings, lambda pairs: compare(pairs, sets, "a long, b long", linked), extras=["n", "own"],
+        places=["place"], admissible=admissible, enough=lambda a, b, hits: hits >= asked(a, b), central=["own"], rounds=rounds)
+    named = members.join(groups.hint("merge"), members.cid == groups.id, "left").select(
         "doc_id", "cid", "n", F.coalesce("component", "cid").alias("_group"))
     named = named.withColumn("_group", F.when(F.col("n") > 0, F.col("_group")))
     names = named.where("n > 0").groupBy("_group").agg(F.min("doc_id").alias("component_id"))
-    with_words = named.where("n > 0").join(names, "_group").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    with_words = named.where("n > 0").join(names.hint("merge"), "_group").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     without = named.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return with_words.unionByName(without)
 
@@ -203,5 +234,4 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **opti
     with the smallest key (its first row by text, if the key repeats); documents
     without words and rows with a NULL key stay."""
     groups = near_groups(docs, key=key, text=text, **options)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(key).cast("long") == F.col("_gone"), "left_anti")
+    return without(docs, key, staged(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("id")), "near_copies"))
