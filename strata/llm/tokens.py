@@ -40,7 +40,7 @@ class _Cache(dict):
 class ChunkEncoder:
     """Texts to little-endian unsigned 32-bit ids, with a bounded chunk cache."""
 
-    def __init__(self, path: str, joined: bool, max_cached: int = 700_000):
+    def __init__(self, path: str, joined: bool, max_cached: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 

@@ -22,7 +22,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import drop, id_remainder, staged, text_slices
+from strata.llm.common import drop, id_remainder, keyed, staged, text_slices, without
 
 SEED_LEXICON = frozenset("""
     ass asshole bastard bitch bullshit clown coward creep crap cretin cunt damn dick dickhead disgusting dumb dumbass
@@ -188,8 +188,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id",
 
 def keep_clean(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = 0.5,
                **options) -> DataFrame:
-    """``docs`` with all their columns, without the documents scored ``threshold`` or more."""
+    """``docs`` with all their columns, without the documents scored ``threshold`` or
+    more; rows with equal keys, or without one, share one fate."""
     own = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     model = fit(own, labels, **options)
-    bad = model.score(own).where(F.col("score") >= threshold).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(key).cast("long").eqNullSafe(F.col("_bad")), "left_anti")
+    bad = model.score(own).where(F.col("score") >= threshold).select(keyed(F.col("doc_id")).alias("id"))
+    return without(docs, key, staged(bad, "toxic_documents"))
