@@ -75,7 +75,7 @@ def features_of(text: str, learned: frozenset[str], near: int = 3) -> list[float
         if plain in SECOND_PERSON:
             you.add(w)
         if not plain.isalpha() or len(plain) > 5:
-            if plain not in SEED_LEXICON and undisguised(w) in SEED_LEXICON:
+            if plain not in SEED_LEXICON and (undisguised(w) in SEED_LEXICON or undisguised(plain) in SEED_LEXICON):
                 disguised.add(w)
             if not plain.isalpha() and any(c.isalpha() for c in plain):
                 mixed.add(w)
