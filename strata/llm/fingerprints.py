@@ -71,7 +71,7 @@ class Lexicon:
         own = own.astype(np.uint64)
         values = _mix(own + np.uint64(1))
         draws = _mix(own[None, :] ^ _SEEDS[:, None])
-        inside = ((draws[:, None, :] & _MASKS[None, :, None]) == 0).reshape(-1, len(own))
+        inside = ((draws[:, None, :] & _MASKS[None, :, None]) == 0).reshape(len(_SEEDS) * len(_MASKS), len(own))
         sums = np.where(inside, values, np.uint64(0)).sum(1, dtype=np.uint64) >> np.uint64(40)
         whole = int(values.sum(dtype=np.uint64) >> np.uint64(40)) if len(own) else None
         hashes = [f"{whole:06x}" if whole is not None else ""]
