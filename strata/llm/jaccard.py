@@ -8,7 +8,9 @@ but probed by binary search for the partners that the merge returns; the search
 ends as soon as the required overlap is out of reach. Two sets of sizes n and m that
 must share o shingles share c of the first n - o + c and m - o + c in the order, so only
 these lists count for the pair. Short lists that hold nobody else bound the overlap of a document with anyone, which keeps the copies of one
-text from being paired with each other where the sum of their edits is too much.
+text from being paired with each other where the sum of their edits is too much. A partner may
+hold such a shingle beyond its own short part only; then it has its whole short part before
+that shingle, of which it shares no more than the lists that hold others.
 
 Distributed: documents with equal sets are one class; the merge is a shuffle of the
 short lists by shingle and a count per pair; the probe runs on the sorted sets of
@@ -189,7 +191,7 @@ def near_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wid
 
     smallest = F.floor((F.col("n") * percent + 99) / 100)  # a partner has at least as many shingles
     hopeful = (lists.groupBy("id", "n").agg(F.count("*").alias("hits"))
-               .withColumn("own", merged(F.col("n")) - F.col("hits"))  # lists with nobody else: no partner shares these
+               .withColumn("own", merged(F.col("n")) - F.col("hits"))  # lists with nobody else in a short part
                .where(F.col("hits") >= 1 + F.floor(smallest / 32)))
     hopeful = staged(hopeful.select("id", "own"), "jaccard_hopeful")
     counted = lists.where(F.col("place") < F.col("n") - smallest + 1 + F.floor(F.col("n") / 64))  # those any pair counts
@@ -203,11 +205,16 @@ def near_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wid
         return 1 + F.floor(F.least(f"{a}_n", f"{b}_n") / 64)
 
     def admissible(a: str, b: str) -> Column:
-        """Can the sizes, less the shingles that only one of the two has, reach the
-        overlap, and does the shared list come early enough in both orders?"""
+        """Can the sizes, less the lists with nobody else, reach the overlap, and does the
+        shared list come early enough in both orders? Of n shingles at most n - own are
+        shared, or, if the partner holds one of these lists beyond its short part, all of its
+        long part and short(n) - own of its short part."""
         n, m = F.col(f"{a}_n"), F.col(f"{b}_n")
+        long_a, long_b = n - merged(n), m - merged(m)
+        most_a = n - F.col(f"{a}_own") + F.greatest(F.lit(0), long_b - long_a)
+        most_b = m - F.col(f"{b}_own") + F.greatest(F.lit(0), long_a - long_b)
         early = (F.col(f"{a}_place") < n - needed(a, b) + asked(a, b)) & (F.col(f"{b}_place") < m - needed(a, b) + asked(a, b))
-        return early & (F.least(n - F.col(f"{a}_own"), m - F.col(f"{b}_own")) >= needed(a, b))
+        return early & (F.least(most_a, most_b) >= needed(a, b))
 
     reps = members.join(hopeful.hint("merge"), members.cid == hopeful.id, "left_semi").groupBy("cid").agg(F.min("doc_id").alias("id"))
     one_of = member(reps.where("id is not null").select("id"))

@@ -54,6 +54,30 @@ def test_near_groups_equal_brute_force(copies, width, percent):
     assert len(set(expected.values())) < len(sets) - 20
 
 
+@pytest.mark.parametrize("width,percent", [(3, 90), (5, 80), (1, 90)])
+def test_near_groups_of_unequal_sizes_equal_brute_force(spark, width, percent):
+    """Appended, truncated and inserted passages, with groups of exact copies."""
+    rnd, texts = random.Random(11), []
+    fresh = iter(range(10 ** 6))
+    for family in range(12):
+        n = rnd.choice([40, 150, 400, 900])
+        words = [f"s{next(fresh)}" for _ in range(n)]
+        texts += [words] * rnd.randint(1, 3)
+        for share in (0.03, 0.08, 0.1, 0.11, 0.2, 0.24):
+            k, at = max(1, int(share * n)), rnd.randrange(n)
+            extra = [f"e{next(fresh)}" for _ in range(k)]
+            edited = rnd.choice([words + extra, extra + words, words[:n - k], words[k:], words[:at] + extra + words[at:]])
+            texts += [edited] * rnd.randint(1, 3)
+    shared = [f"a{i}" for i in range(900 + width - 1)]
+    texts += [shared, shared + [f"b{i}" for i in range(100)]]  # exactly 90 %, the extra shingles come first in the order
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    sets = {i: shingles(" ".join(t), width) for i, t in enumerate(texts)}
+    links = lambda a, b: 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    got = {r.doc_id: r.component_id for r in jaccard.near_groups(docs, width=width, percent=percent).collect()}
+    assert got == components(sorted(sets), links)
+    assert got[len(texts) - 1] == len(texts) - 2
+
+
 def test_near_groups_edges(edge_docs, no_docs):
     got = jaccard.near_groups(edge_docs, width=3, percent=90).collect()
     rows = edge_docs.select("doc_id", "text").collect()
