@@ -92,6 +92,26 @@ def without(docs: DataFrame, key: str, gone: DataFrame) -> DataFrame:
     return docs.where(~there).unionByName(moved)
 
 
+def identified(docs: DataFrame, key: str, text: str, numbered: bool = True) -> DataFrame:
+    """``docs`` with what tells their rows apart: _doc, the key (NULL keys last), and _part,
+    a hash of the text, so rows are one only if key and text are equal. With ``numbered``
+    the rows without a key are staged and _part is their number, so none is another's."""
+    doc, part = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.col(text).cast("string"))
+    if not numbered:
+        return docs.withColumns({"_doc": doc, "_part": part})
+    no_key = F.col(key).cast("long").isNull()
+    keyless = staged(docs.where(no_key).withColumns({"_doc": doc, "_part": F.monotonically_increasing_id()}), "keyless")
+    return docs.where(~no_key).withColumns({"_doc": doc, "_part": part}).unionByName(keyless)
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` (see ``identified``) less the rows in ``gone`` (_doc, _part). Only rows that may
+    be there are moved."""
+    there = member(gone.select(F.col("_doc").alias("id")))("_doc")
+    moved = docs.where(there).join(gone.distinct().hint("merge"), ["_doc", "_part"], "left_anti")
+    return docs.where(~there).unionByName(moved).drop("_doc", "_part")
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this library from where the driver has it, if
     it was put on the driver's ``sys.path`` only (installed packages and

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import member, staged, text_slices, without
+from strata.llm.common import identified, member, staged, text_slices, without_rows
 from strata.llm.linking import compare, linked_groups
 
 BUCKETS = 1 << 18
@@ -100,23 +100,23 @@ def overlap_reaches(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _describe(docs: DataFrame, width: int) -> DataFrame:
-    """Rows (doc_id, cid, n) of all documents, and (NULL, bucket, count) of all shingles."""
-    schema = pa.schema([("doc_id", pa.int64()), ("counts", pa.bool_()), ("cid", pa.int64()), ("n", pa.int64())])
+    """Rows (doc_id, part, cid, n) of all documents, and (NULL, NULL, bucket, count) of all shingles."""
+    schema = pa.schema([("doc_id", pa.int64()), ("part", pa.int64()), ("counts", pa.bool_()), ("cid", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
         for b in text_slices(batches):
-            sets = shingle_sets(b.column(1).to_pylist(), width)
+            sets = shingle_sets(b.column(2).to_pylist(), width)
             counts += np.bincount(np.concatenate(sets) & (BUCKETS - 1), minlength=BUCKETS)
-            yield pa.record_batch([b.column(0), pa.array([False] * len(sets)), pa.array([class_id(s) for s in sets], pa.int64()),
+            yield pa.record_batch([b.column(0), b.column(1), pa.array([False] * len(sets)), pa.array([class_id(s) for s in sets], pa.int64()),
                                    pa.array([len(s) for s in sets], pa.int64())], schema=schema)
         at = np.nonzero(counts)[0]
         for i in range(0, len(at), 50_000):
             own = at[i:i + 50_000]
-            yield pa.record_batch([pa.nulls(len(own), pa.int64()), pa.array([True] * len(own)), pa.array(own),
+            yield pa.record_batch([pa.nulls(len(own), pa.int64()), pa.nulls(len(own), pa.int64()), pa.array([True] * len(own)), pa.array(own),
                                    pa.array(counts[own])], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, counts boolean, cid long, n long")
+    return docs.mapInArrow(run, "doc_id long, part long, counts boolean, cid long, n long")
 
 
 def _short_lists(docs: DataFrame, width: int, percent: int, frequency) -> DataFrame:
@@ -172,9 +172,19 @@ def near_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wid
     empty table gives no rows; other columns are not read. Sets are compared by 64-bit
     hashes of shingles.
     """
-    spark = docs.sparkSession
-    own = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    described = staged(_describe(own, width), "jaccard_docs")
+    own = docs.select(F.col(key).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("part"), F.col(text).cast("string").alias("text"))
+    named = _grouped(own, width, percent, rounds)
+    names = named.where("n > 0").groupBy("_group").agg(F.min("doc_id").alias("component_id"))
+    with_words = named.where("n > 0").join(names.hint("merge"), "_group").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    without = named.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return with_words.unionByName(without)
+
+
+def _grouped(own: DataFrame, width: int, percent: int, rounds: int) -> DataFrame:
+    """(doc_id, part, cid, n, _group) of every row (columns doc_id, part, text); _group is NULL
+    without shingles."""
+    spark, described = own.sparkSession, staged(_describe(own, width), "jaccard_docs")
+    own = own.select("doc_id", "text")
     counts = described.where("counts").groupBy("cid").agg(F.sum("n").alias("n")).toPandas()  # at most BUCKETS rows
     order = np.zeros(BUCKETS, np.int64)
     order[counts["cid"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
@@ -228,17 +238,19 @@ def near_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", wid
         postings, lambda pairs: compare(pairs, sets, "a long, b long", linked), extras=["n", "own"],
         places=["place"], admissible=admissible, enough=lambda a, b, hits: hits >= asked(a, b), central=["own"], rounds=rounds)
     named = members.join(groups.hint("merge"), members.cid == groups.id, "left").select(
-        "doc_id", "cid", "n", F.coalesce("component", "cid").alias("_group"))
-    named = named.withColumn("_group", F.when(F.col("n") > 0, F.col("_group")))
-    names = named.where("n > 0").groupBy("_group").agg(F.min("doc_id").alias("component_id"))
-    with_words = named.where("n > 0").join(names.hint("merge"), "_group").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    without = named.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return with_words.unionByName(without)
+        "doc_id", "part", "cid", "n", F.coalesce("component", "cid").alias("_group"))
+    return named.withColumn("_group", F.when(F.col("n") > 0, F.col("_group")))
 
 
-def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80,
+             rounds: int = 1) -> DataFrame:
     """``docs`` with all their columns: one document of each group stays, the one
-    with the smallest key (its first row by text, if the key repeats); documents
-    without words and rows with a NULL key stay."""
-    groups = near_groups(docs, key=key, text=text, **options)
-    return without(docs, key, staged(groups.where("doc_id <> component_id").select(F.col("doc_id").alias("id")), "near_copies"))
+    with the smallest key (NULL keys last; of several texts under one key the first by
+    hash). Rows are one document only if key and text are equal; every row without a key
+    is one of its own; documents without words stay."""
+    rows = identified(docs, key, text)
+    own = rows.select(F.col("_doc").alias("doc_id"), F.col("_part").alias("part"), F.col(text).cast("string").alias("text"))
+    named = staged(_grouped(own, width, percent, rounds).where("n > 0").select("doc_id", "part", "_group"), "near_named")
+    first = named.groupBy("_group").agg(F.min(F.struct("doc_id", "part")).alias("first"))
+    copies = named.join(first.hint("merge"), "_group").where(F.struct("doc_id", "part") != F.col("first"))
+    return without_rows(rows, staged(copies.select(F.col("doc_id").alias("_doc"), F.col("part").alias("_part")), "near_copies"))

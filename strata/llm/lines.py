@@ -5,7 +5,8 @@ ones are one class. Classes get a 64-bit SimHash of their words; two classes wit
 ``distance`` bits agree on at least ``blocks - distance`` of the blocks the hash is
 cut into (pigeonhole), so they share a key made of that many blocks. Candidates are
 verified by edit similarity of the normalised lines, and of every connected group of
-lines one occurrence stays: the first by (doc_id, line number).
+lines one occurrence stays: the first by (doc_id, line number); of several texts under one
+doc_id, those with the lower hash come first.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import member, staged, text_slices
+from strata.llm.common import identified, member, staged, text_slices
 from strata.llm.linking import compare, linked_groups
 
 PUNCTUATION = ".,;:!?\"'()[]{}<>*_-`~/\\|#$%&@^+="
@@ -154,28 +155,29 @@ def first_shared(a: Column, b: Column, blocks: int, distance: int) -> Column:
 
 
 def _occurrences(own: DataFrame) -> DataFrame:
-    """(doc, line, length, cid, sim) of every line with words."""
-    schema = pa.schema([("doc", pa.int64()), ("line", pa.int32()), ("length", pa.int64()), ("cid", pa.int64()), ("sim", pa.int64())])
+    """(doc, part, line, length, cid, sim) of every line with words."""
+    schema = pa.schema([("doc", pa.int64()), ("part", pa.int64()), ("line", pa.int32()), ("length", pa.int64()), ("cid", pa.int64()), ("sim", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, 1 << 20):
-            split = pc.split_pattern(pc.fill_null(b.column(1), ""), "\n")
+            split = pc.split_pattern(pc.fill_null(b.column(2), ""), "\n")
             n, length, cid, sim = describe_lines(split.flatten())
             lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
             line = np.arange(len(cid)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            docs = np.repeat(b.column(0).to_numpy(), lengths)
+            docs, parts = (np.repeat(b.column(i).to_numpy(), lengths) for i in (0, 1))
             ok = n > 0
-            yield pa.record_batch([pa.array(docs[ok]), pa.array(line[ok].astype(np.int32)),
+            yield pa.record_batch([pa.array(docs[ok]), pa.array(parts[ok]), pa.array(line[ok].astype(np.int32)),
                                    pa.array(length[ok]), pa.array(cid[ok]), pa.array(sim[ok])], schema=schema)
 
-    return own.mapInArrow(run, "doc long, line int, length long, cid long, sim long")
+    return own.mapInArrow(run, "doc long, part long, line int, length long, cid long, sim long")
 
 
 def _texts_of(own: DataFrame, places: DataFrame) -> DataFrame:
-    """(id, value): the normalised lines at ``places`` (id, doc, line). Only documents
+    """(id, value): the normalised lines at ``places`` (id, doc, part, line). Only documents
     that may hold one are moved."""
-    wanted = places.groupBy("doc").agg(F.collect_list(F.struct("id", "line")).alias("wanted"))
-    held = own.where(member(places.select(F.col("doc").alias("id")).distinct())("doc")).dropDuplicates(["doc"]).join(wanted.hint("merge"), "doc")
+    wanted = places.groupBy("doc", "part").agg(F.collect_list(F.struct("id", "line")).alias("wanted"))
+    held = own.where(member(places.select(F.col("doc").alias("id")).distinct())("doc")).dropDuplicates(["doc", "part"]).join(
+        wanted.hint("merge"), ["doc", "part"])
     schema = pa.schema([("id", pa.int64()), ("value", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,9 +194,9 @@ def _texts_of(own: DataFrame, places: DataFrame) -> DataFrame:
 
 
 def removed_lines(own: DataFrame, percent: int, blocks: int, distance: int, rounds: int) -> DataFrame:
-    """(doc, lines): numbers of the lines that go, per document (columns doc, text)."""
+    """(doc, part, lines): numbers of the lines that go, per document (columns doc, part, text)."""
     found = staged(_occurrences(own), "lines")
-    classes = staged(found.groupBy("cid").agg(F.min("sim").alias("sim"), F.min("length").alias("length"), F.min(F.struct("doc", "line")).alias("first"),
+    classes = staged(found.groupBy("cid").agg(F.min("sim").alias("sim"), F.min("length").alias("length"), F.min(F.struct("doc", "part", "line")).alias("first"),
                                               F.count("*").alias("n")), "line_classes")
     postings = classes.select(F.posexplode(block_keys(F.col("sim"), blocks, distance)).alias("number", "key"),
                               F.col("cid").alias("id"), "sim", "length", (-F.col("n")).alias("few"))
@@ -218,7 +220,7 @@ def removed_lines(own: DataFrame, percent: int, blocks: int, distance: int, roun
         if pairs.isEmpty():
             return pairs
         ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-        places = staged(classes.join(ids.hint("merge"), "cid").select(F.col("cid").alias("id"), "first.doc", "first.line"), "line_places")
+        places = staged(classes.join(ids.hint("merge"), "cid").select(F.col("cid").alias("id"), "first.*"), "line_places")
         return compare(pairs, staged(_texts_of(own, places), "line_texts"), "a long, b long", linked)
 
     def admissible(a: str, b: str) -> Column:
@@ -235,8 +237,8 @@ def removed_lines(own: DataFrame, percent: int, blocks: int, distance: int, roun
     linked_classes = named.where("group is not null").select("cid", "group").join(of_group, "group").select("cid", "first")
     repeated = named.where("group is null and n > 1").select("cid", "first").unionByName(linked_classes)
     gone = found.join(staged(repeated, "line_repeats").hint("merge"), "cid").where(
-        (F.col("doc") != F.col("first.doc")) | (F.col("line") != F.col("first.line")))
-    return staged(gone.groupBy("doc").agg(F.collect_set("line").alias("lines")), "line_removals")
+        F.struct("doc", "part", "line") != F.col("first"))
+    return staged(gone.groupBy("doc", "part").agg(F.collect_set("line").alias("lines")), "line_removals")
 
 
 def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 90, blocks: int = 5,
@@ -247,17 +249,18 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", per
     With ``counts``, columns n_lines and n_removed are set (replacing any of that
     name). With ``drop_emptied``, documents that lost every line with words go. Lines
     without words always stay. NULL text stays NULL and has no lines; empty text has one
-    blank line; rows with equal keys count as one document, so their equal lines share
-    one fate; NULL keys come last in the order; an empty table gives no rows.
+    blank line; rows with equal keys and texts count as one document, so their lines share
+    one fate, and every row without a key as one of its own; NULL keys come last in the
+    order; an empty table gives no rows.
     """
-    place = F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1))
-    own = docs.select(place.alias("doc"), F.col(text).cast("string").alias("text"))
+    rows = identified(docs, key, text)
+    own = rows.select(F.col("_doc").alias("doc"), F.col("_part").alias("part"), F.col(text).cast("string").alias("text"))
     gone = removed_lines(own, percent, blocks, distance, rounds)
-    base = docs.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed") or not counts]).withColumn("_doc", place)
+    base = rows.drop(*("n_lines", "n_removed") if counts else ())
     some = member(gone.select(F.col("doc").alias("id")))("_doc")
-    removals = gone.select(F.col("doc").alias("_doc"), F.col("lines").alias("_gone")).hint("merge")  # grows with the corpus
-    joined = base.where(some).join(removals, "_doc", "left").unionByName(
-        base.where(~some).withColumn("_gone", F.lit(None).cast("array<int>"))).drop("_doc")
+    removals = gone.select(F.col("doc").alias("_doc"), F.col("part").alias("_part"), F.col("lines").alias("_gone")).hint("merge")  # grows with the corpus
+    joined = base.where(some).join(removals, ["_doc", "_part"], "left").unionByName(
+        base.where(~some).withColumn("_gone", F.lit(None).cast("array<int>"))).drop("_doc", "_part")
     split = F.split(F.col(text), "\n", -1)
     kept = F.filter(split, lambda x, i: ~F.array_contains(F.col("_gone"), i))
     out = joined.withColumn("_all", split).withColumn("_kept", F.when(F.col("_gone").isNull(), F.col("_all")).otherwise(kept))

@@ -22,7 +22,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import drop, id_remainder, keyed, staged, text_slices, without
+from strata.llm.common import drop, id_remainder, identified, staged, text_slices, without_rows
 
 SEED_LEXICON = frozenset("""
     ass asshole bastard bitch bullshit clown coward creep crap cretin cunt damn dick dickhead disgusting dumb dumbass
@@ -91,15 +91,15 @@ def features_of(text: str, learned: frozenset[str], near: int = 3) -> list[float
 
 
 def with_features(docs: DataFrame, learned: frozenset[str]) -> DataFrame:
-    """doc_id and features of every row (columns doc_id, text)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("values", pa.list_(pa.float64()))])
+    """doc_id (of any type) and features of every row (columns doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
             rows = [features_of(t or "", learned) for t in b.column(1).to_pylist()]
-            yield pa.record_batch([b.column(0), pa.array(rows, pa.list_(pa.float64()))], schema=schema)
+            yield pa.record_batch([b.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["doc_id", "values"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, values array<double>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, values array<double>")
 
 
 def learned_lexicon(sample: DataFrame, size: int, least: int, odds: float) -> frozenset[str]:
@@ -189,8 +189,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id",
 def keep_clean(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = 0.5,
                **options) -> DataFrame:
     """``docs`` with all their columns, without the documents scored ``threshold`` or
-    more; rows with equal keys, or without one, share one fate."""
+    more; every row goes by its own text, whatever its key."""
     own = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     model = fit(own, labels, **options)
-    bad = model.score(own).where(F.col("score") >= threshold).select(keyed(F.col("doc_id")).alias("id"))
-    return without(docs, key, staged(bad, "toxic_documents"))
+    rows = identified(docs, key, text, numbered=False)  # equal texts have equal scores
+    places = F.struct("_doc", "_part")
+    scored = model.score(rows.select(places.alias("doc_id"), F.col(text).cast("string").alias("text")))
+    bad = scored.where(F.col("score") >= threshold).select("doc_id._doc", "doc_id._part")
+    return without_rows(rows, staged(bad, "toxic_documents"))

@@ -93,6 +93,26 @@ def test_near_groups_edges(edge_docs, no_docs):
     assert jaccard.keep_one(no_docs).count() == 0
 
 
+def test_rows_without_a_key_or_with_a_repeated_one_are_documents_of_their_own(spark):
+    say = lambda tag, n: [" ".join(f"{tag}{i}word{j}" for j in range(12)) for i in range(n)]
+    a, b, c, d = say("ant", 3), say("bee", 3), say("cat", 4), say("dog", 1)
+    texts = [(None, [*a, b[0]]), (None, [b[0], *c]), (None, [a[0], d[0]]), (7, [d[0]]), (7, [*b, c[3]]), (3, [b[1], c[2], a[2]]),
+             (None, a), (None, a)]
+    docs = spark.createDataFrame([(k, "\n".join(t), i) for i, (k, t) in enumerate(texts)], "doc_id long, text string, row int")
+    got = {r.row: r for r in lines.dedup_lines(docs).collect()}
+    assert len(got) == len(texts)
+    held = sorted(x for r in got.values() for x in r.text.split("\n") if x)
+    assert held == sorted({x for _, t in texts for x in t})  # every line stays once
+    assert got[5].n_removed == 0 and got[3].text == d[0] and set(got[4].text.split("\n")) == {b[0], b[2], c[3]}
+
+    long = lambda tag: " ".join(f"{tag}{j}" for j in range(60))
+    texts = [(1, long("a")), (5, long("a")), (5, long("b")), (None, long("b")), (None, long("c")), (None, long("c") + " end"),
+             (None, None), (None, "")]
+    docs = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(texts)], "doc_id long, text string, row int")
+    kept = {r.row for r in jaccard.keep_one(docs).collect()}
+    assert kept - {4, 5} == {0, 2, 6, 7} and len(kept & {4, 5}) == 1
+
+
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a):

@@ -26,6 +26,18 @@ def test_held_out_accuracy_and_pipeline_filter(spark):
     assert got.score.between(0, 1).all() and (got.predicted == (got.score >= 0.5)).all()
 
 
+def test_every_row_goes_by_its_own_text(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    scores = toxicity.score_documents(docs, labels)
+    ends = scores.where("score >= 0.5").limit(3).union(scores.where("score < 0.2").limit(3)).select("doc_id", "score")
+    some = docs.join(ends, "doc_id").withColumn("row", F.col("doc_id")).collect()
+    odd = [(key, r.text, r.row) for r in some for key in (None, -5)]
+    model_docs = docs.select("doc_id", "text").withColumn("row", F.lit(None).cast("long"))
+    odd_docs = spark.createDataFrame(odd, "doc_id long, text string, row long")
+    kept = toxicity.keep_clean(model_docs.unionByName(odd_docs), labels).where("row is not null").collect()
+    assert sorted((str(r.doc_id), r.row) for r in kept) == sorted((str(k), r.row) for r in some if r.score < 0.5 for k in (None, -5))
+
+
 def test_edges(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(i, i % 2 if i < 9 else None) for i in range(11)] + [(None, 1), (3, 0)], "doc_id long, toxic int")
     got = toxicity.score_documents(edge_docs, labels).collect()
