@@ -4,9 +4,11 @@ A neighbour list per vector is started from random-projection buckets and refine
 by joins of neighbours with neighbours: at every vector, all vectors that list it or
 that it lists meet, and each keeps the nearest it has met. Recall is audited on
 sampled queries against all vectors; refinement goes on until it is high enough.
-Lists whose every entry is above the threshold are saturated: they are enlarged to
-the whole group, the vectors reachable over links, by comparing the group's vectors
-in blocks that return counts only. Edges at or above the threshold are kept.
+Lists whose every entry is above the threshold are saturated and may hide links to
+other groups (a group: the vectors reachable over links). So every vector then meets the
+nearest of other groups in new projection buckets, and groups are joined until no such
+link is found and the audit is passed; links that the audit finds are used as well.
+Links are counted by comparing a group's vectors in blocks that return counts only.
 
 Vectors with equal label and components are one class, so copies cost nothing.
 Cosines are computed in double precision; labels never mix.
@@ -51,32 +53,35 @@ def usable(vec: Column, label: Column, key: Column) -> Column:
     return F.coalesce(key.isNotNull() & label.isNotNull() & fine & F.exists(vec, lambda x: x != 0), F.lit(False))
 
 
-def start_lists(classes: DataFrame, trees: int, width: int, leaf: int) -> DataFrame:
+def start_lists(classes: DataFrame, trees: int, width: int, leaf: int, worst: float = -2.0, seed: int = 7) -> DataFrame:
     """(u, v, sim): up to ``width`` nearest per vector within its bucket of each of
-    ``trees`` random projections; buckets hold about ``leaf`` vectors, larger ones
-    are cut by hash."""
+    ``trees`` random projections, if nearer than ``worst`` and of another component (column
+    component); buckets hold about ``leaf`` vectors, larger ones are cut by hash."""
     most = int(classes.agg(F.max("bits")).first()[0] or 0)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _even(batches):
             x = _unit(_rows(b.column("vec")))
-            signs = x @ np.random.default_rng(7).standard_normal((x.shape[1], trees * max(1, most))) > 0
+            signs = x @ np.random.default_rng(seed).standard_normal((x.shape[1], trees * max(1, most))) > 0
             used = np.arange(max(1, most))[None, :] < b.column("bits").to_numpy()[:, None]
             for t in range(trees):
                 own = signs[:, t * max(1, most):(t + 1) * max(1, most)] & used
                 code = (own * (1 << np.arange(max(1, most), dtype=np.int64))).sum(1)
                 yield pa.record_batch([pa.array(np.full(len(x), t)), pa.array(code), b.column("id"), b.column("group"),
-                                       b.column("vec")], names=["tree", "code", "id", "group", "vec"])
+                                       b.column("component"), b.column("vec")],
+                                      names=["tree", "code", "id", "group", "component", "vec"])
 
-    coded = classes.select("id", "group", "bits", "vec").mapInArrow(
-        keys, "tree long, code long, id long, group string, vec array<float>")
+    coded = classes.select("id", "group", "bits", "component", "vec").mapInArrow(
+        keys, "tree long, code long, id long, group string, component long, vec array<float>")
     bucket = ["tree", "group", "code"]
     parts = coded.groupBy(*bucket).agg(F.ceil(F.count("*") / (4 * leaf)).alias("parts"))
-    dealt = coded.join(parts, bucket).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
+    dealt = coded.join(parts, bucket).withColumn("part", F.pmod(F.xxhash64("id", "tree", F.lit(seed)), F.col("parts")))
 
     def near(table: pa.Table) -> pa.Table:
         ids, x = table.column("id").to_numpy(), _unit(_rows(table.column("vec")))
-        return _nearest(ids, x @ x.T, np.full(len(ids), -2.0), width)
+        component, sims = table.column("component").to_numpy(), x @ x.T
+        sims[component[:, None] == component[None, :]] = -3.0
+        return _nearest(ids, sims, np.full(len(ids), worst), width)
 
     return dealt.groupBy(*bucket, "part").applyInArrow(near, "u long, v long, sim double")
 
@@ -121,13 +126,23 @@ def refine(classes: DataFrame, lists: DataFrame, width: int) -> DataFrame:
     return rows.select("w", "id", "vec", "worst").groupBy("w").applyInArrow(near, "u long, v long, sim double")
 
 
-def audit(classes: DataFrame, groups: DataFrame, threshold: float, queries: int) -> float:
-    """Share of the links of ``queries`` sampled vectors (lowest hash), found by
-    comparing them with all vectors of their label, whose ends are in one group."""
+def links_across(classes: DataFrame, groups: DataFrame, trees: int, width: int, leaf: int, threshold: float, seed: int) -> DataFrame:
+    """(a, b): links between groups that new projection buckets show."""
+    own = classes.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    return start_lists(own, trees, width, leaf, float(np.nextafter(threshold, -1)), seed).select(
+        F.col("u").alias("a"), F.col("v").alias("b"))
+
+
+def audit(classes: DataFrame, groups: DataFrame, threshold: float, queries: int, turn: int = 0) -> tuple[float, DataFrame]:
+    """Share of the sampled vectors with links that have all of them in their own group,
+    and the links (a, b) that leave it. Links are found by comparing the sample with all
+    vectors of the label; it has ``queries`` of all vectors and one vector each of
+    ``queries`` groups (lowest hashes)."""
     spark = classes.sparkSession
-    sample = classes.select("id", "group", "vec").orderBy(F.xxhash64("id"), "id").limit(queries).collect()
-    if not sample:
-        return 1.0
+    low = F.xxhash64("id", F.lit(turn))
+    some = classes.select("id").orderBy(low, "id").limit(queries)
+    of_groups = groups.groupBy("component").agg(F.min_by("id", low).alias("id")).select("id").orderBy(low, "id").limit(queries)
+    sample = classes.join(some.union(of_groups).distinct(), "id").select("id", "group", "vec").collect()
     of: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for g in {r.group for r in sample}:
         own = [r for r in sample if r.group == g]
@@ -145,10 +160,12 @@ def audit(classes: DataFrame, groups: DataFrame, threshold: float, queries: int)
                 yield pa.record_batch([pa.array(q[i][keep]), pa.array(ids[at][j][keep])], names=["a", "b"])
 
     true = classes.select("id", "group", "vec").mapInArrow(run, "a long, b long")
+    true = staged(true, "nn_audit")
     one = (true.join(groups.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a", "left")
            .join(groups.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b", "left"))
-    got = one.agg(F.count("*").alias("n"), F.count_if(F.col("ca") == F.col("cb")).alias("ok")).first()
-    return got.ok / got.n if got.n else 1.0
+    inside = F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))
+    got = one.groupBy("a").agg(F.bool_and(inside).alias("ok")).agg(F.count("*").alias("n"), F.count_if("ok").alias("ok")).first()
+    return got.ok / got.n if got.n else 1.0, one.where(~inside).select("a", "b")
 
 
 def links_within(classes: DataFrame, groups: DataFrame, threshold: float, block: int = 2048) -> DataFrame:
@@ -191,7 +208,7 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
     classes = staged(grouped.groupBy("group", "vec").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "nn_vectors")
     sizes = classes.groupBy("group").agg(F.greatest(F.lit(0), F.ceil(F.log2(F.count("*") / leaf))).cast("int").alias("bits"))
     classes = staged(classes.join(sizes, "group"), "nn_classes")
-    edges, lists, groups = start_lists(classes, trees, width, leaf), None, None
+    edges, lists, groups = start_lists(classes.withColumn("component", F.col("id")), trees, width, leaf), None, None
     for turn in range(rounds + 1):
         if lists is not None:
             edges = edges.union(lists.select("u", F.explode("near").alias("e")).select("u", F.col("e.v").alias("v"), F.col("e.sim").alias("sim")))
@@ -202,10 +219,18 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
             links = (lists.select("u", F.explode("near").alias("e")).where(F.col("e.sim") >= threshold)
                      .select(F.col("u").alias("a"), F.col("e.v").alias("b")))
             groups = staged(connected_components(links), "nn_groups")
-            if audit(classes, groups, threshold, queries) >= recall:
+            if audit(classes, groups, threshold, queries)[0] >= recall:
                 break
         if turn < rounds:
             edges = refine(classes, lists, width)
+    turn, share = 0, 0.0
+    while share < recall:  # every turn but the last joins groups
+        turn += 1
+        new = staged(links_across(classes, groups, trees, width, leaf, threshold, 7 + turn), "nn_across")
+        if new.isEmpty():
+            share, new = audit(classes, groups, threshold, queries, turn)
+        links = staged(links.union(new), "nn_links")
+        groups = staged(connected_components(links), "nn_groups")
     linked = links_within(classes, groups, threshold)
     named = classes.join(linked, "id", "left").join(groups, "id", "left").select(
         "group", "vec", F.coalesce("component", "id").alias("component_id"),

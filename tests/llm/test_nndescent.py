@@ -44,6 +44,21 @@ def test_links_equal_brute_force(spark, rows):
     assert got == want and max(n for n, _ in want.values()) > 4
 
 
+def test_links_between_saturated_clusters(spark):
+    """Pairs of tight clusters, all larger than the lists, linked to each other at about 0.94."""
+    rng, out = np.random.default_rng(5), []
+    for _ in range(12):
+        one, other = np.linalg.qr(rng.standard_normal((32, 2)))[0].T
+        for centre in (one, 0.94 * one + np.sqrt(1 - 0.94 ** 2) * other):
+            for _ in range(20):
+                v = centre + rng.standard_normal(32) * 0.004
+                out.append((len(out), [float(x) for x in v.astype(np.float32)], 0))
+    df = spark.createDataFrame(out, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nndescent.near_duplicates(df).collect()}
+    want = brute(out, 0.93)
+    assert got == want and len({c for _, c in want.values()}) == 12
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     odd = [(1, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (3, [2.0, 0.0], 0), (4, [1.0, 0.0], 1), (5, None, 0), (6, [], 0), (7, [0.0, 0.0], 0),
