@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (bitpack, fingerprints, jaccard, lines, mixing, nndescent, oracle_sql, packing, ppm, toxicity,
-                        urls)
+from strata.llm import (bitpack, fingerprints, jaccard, lines, mixing, nndescent, oracle_sql, packing, ppm, runs,
+                        toxicity, urls)
 from strata.llm.common import importable, table
 from strata.session import scratch_path
 
@@ -98,3 +100,21 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_fuzzy_line_dedup")
 def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def looped(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Places of the words to take: every tenth document (by checksum of its id) loops from
+    some word on. A document without an id stays as it is."""
+    if doc_id is None or n == 0 or (h := zlib.crc32(str(doc_id).encode())) % 10:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    i = np.arange(n)
+    return np.where(i < a, i, a + (i - a) % p)
+
+
+@register("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(table(spark, sf_dir, "documents"), min_length=6, repeats=4, word_order=looped)
+    return runs.run_digests(found)
