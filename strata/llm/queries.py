@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import (bitpack, fingerprints, jaccard, lines, mixing, nndescent, oracle_sql, packing, ppm, runs,
-                        toxicity, urls)
+from strata.llm import (bitpack, fingerprints, jaccard, language, lines, mixing, nndescent, oracle_sql, packing,
+                        ppm, prefixtrie, runs, toxicity, urls)
 from strata.llm.common import importable, table
 from strata.session import scratch_path
 
@@ -118,3 +118,14 @@ def looped(doc_id: int | None, n: int) -> np.ndarray | None:
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = runs.periodic_runs(table(spark, sf_dir, "documents"), min_length=6, repeats=4, word_order=looped)
     return runs.run_digests(found)
+
+
+@register("op12_string_kernel_language")
+def op12_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+@register("op13_conversation_trie")
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = prefixtrie.numbered_turns(table(spark, sf_dir, "conversations"))
+    return prefixtrie.prefix_trie(prefixtrie.grafted(turns, convs), convs)
