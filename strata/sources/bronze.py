@@ -13,16 +13,14 @@ footers only (schema inference), never data.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import (
-    CONTRACTS, SchemaContractError, check_contract, missing_columns, normalize_columns,
+    CONTRACTS, SchemaContractError, check_contract, missing_columns, normalize_columns, normalized_names,
 )
 from strata.session import scratch_path
-from strata.sources import fs
+from strata.sources import footers, fs
 
 YEARLY = {"comments", "posts", "post"}
 SINGLE = {"badges", "users"}
@@ -64,20 +62,27 @@ def _fits(df: DataFrame, dataset: str, mode: str) -> list[str]:
     return missing_columns(normalize_columns(df, mode).columns, dataset)
 
 
+def _sorted_out(spark: SparkSession, path: str, dataset: str, mode: str) -> tuple[list[str], list[str], int]:
+    """(conforming files, reports on the others, number of others) of a folder or file:
+    one job opens the footers, the contract is checked once for each schema class."""
+    good, reports, others = [], [], 0
+    for cls in footers.schema_classes(spark, path):
+        miss = [] if cls.error else missing_columns(normalized_names(cls.columns, mode), dataset)
+        if not cls.error and not miss:
+            good += cls.files
+            continue
+        others += len(cls.files)
+        why = f"unreadable: {cls.error}" if cls.error else f"contract: missing {miss}"
+        reports += [f"({why}) {f}" for f in cls.files]
+    return sorted(good), sorted(reports, key=lambda r: r.rsplit(") ", 1)[-1]), others
+
+
 def conforming_files(spark: SparkSession, path: str, dataset: str, mode: str = "standard"
                      ) -> tuple[list[str], list[str]]:
     """(files whose own columns satisfy the contract, reports on the others), in name
-    order. Only footers are read, by small Spark jobs, several at a time."""
-    files = sorted(spark.read.option("pathGlobFilter", "*.parquet").parquet(path).inputFiles())
-    good, other = [], []
-    with ThreadPoolExecutor(16) as pool:
-        missing = list(pool.map(lambda f: _fits(spark.read.parquet(f), dataset, mode), files))
-    for f, miss in zip(files, missing):
-        if miss:
-            other.append(f"(contract: missing {miss}) {f}")
-        else:
-            good.append(f)
-    return good, other
+    order. Only footers are read, by the tasks of one job."""
+    good, reports, _ = _sorted_out(spark, path, dataset, mode)
+    return good, reports
 
 
 def _probe(spark: SparkSession, path: str, dataset: str, mode: str) -> tuple[list[str], list[str]]:
@@ -90,40 +95,39 @@ def _probe(spark: SparkSession, path: str, dataset: str, mode: str) -> tuple[lis
         return ([], [f"(contract: missing {miss}) {path}"]) if miss else ([path], [])
     if not any(n.endswith(".parquet") for n in [path, *list_names(spark, path)]):
         return [], [f"(no Parquet file) {path}"]
-    good, other = conforming_files(spark, path, dataset, mode)
-    if good and not other:
-        return [path], []
-    return good, other
+    good, reports, others = _sorted_out(spark, path, dataset, mode)
+    return ([path] if good and not others else good), reports
 
 
-def resolve_bronze_path(spark: SparkSession, base: str, dataset: str,
-                        year: int | None = None, mode: str = "standard") -> str:
-    """First candidate path that holds a file satisfying the dataset contract;
-    the error lists every attempt. For a per-year dataset without a year the
-    whole dataset folder is read (every ``year=`` partition)."""
+def _resolve(spark: SparkSession, base: str, dataset: str, year: int | None, mode: str) -> tuple[str, list[str]]:
+    """The first candidate that holds a conforming file, and what to read of it."""
     tried = []
     for cand in candidate_paths(base, dataset, year):
         good, other = _probe(spark, cand, dataset, mode)
         if good:
-            return cand
+            return cand, good
         tried += other
     raise FileNotFoundError(
         f"no bronze path for dataset={dataset!r} year={year} under {base}:\n  - "
         + "\n  - ".join(tried))
 
 
+def resolve_bronze_path(spark: SparkSession, base: str, dataset: str,
+                        year: int | None = None, mode: str = "standard") -> str:
+    """First candidate path that holds a file satisfying the dataset contract;
+    the error lists every attempt. For a per-year dataset without a year the
+    whole dataset folder is read (every ``year=`` partition)."""
+    return _resolve(spark, base, dataset, year, mode)[0]
+
+
 def first_valid_file(spark: SparkSession, folder: str, dataset: str,
                      mode: str = "standard") -> str:
     """The first file of ``folder`` (in name order) whose columns satisfy the
-    contract — for loader folders that mix file kinds. Reads footers only, up to
-    the file found."""
-    notes = []
-    for f in sorted(spark.read.option("pathGlobFilter", "*.parquet").parquet(folder).inputFiles()):
-        miss = _fits(spark.read.parquet(f), dataset, mode)
-        if not miss:
-            return f
-        notes.append(f"(contract: missing {miss}) {f}")
-    raise FileNotFoundError(f"no valid {dataset} file in {folder}: {notes[:3]}")
+    contract — for loader folders that mix file kinds. One job reads the footers."""
+    good, notes = conforming_files(spark, folder, dataset, mode)
+    if not good:
+        raise FileNotFoundError(f"no valid {dataset} file in {folder}: {notes[:3]}")
+    return good[0]
 
 
 def read_bronze(spark: SparkSession, base: str, dataset: str, year: int | None = None,
@@ -138,14 +142,14 @@ def read_bronze(spark: SparkSession, base: str, dataset: str, year: int | None =
     first ``limit`` rows in ``order_by`` order (default: the ``id`` column
     when present), so the cap is deterministic.
     """
-    ds = dataset.lower()
+    ds, paths = dataset.lower(), None
     if path is None:
         if ds in SINGLE and year is not None:
             raise ValueError(f"dataset {dataset!r} takes no year")
-        path = resolve_bronze_path(spark, base, ds, year, mode)
+        path, paths = _resolve(spark, base, ds, year, mode)
     if pick == "first":
-        paths = [first_valid_file(spark, path, ds, mode)]
-    else:
+        paths = [first_valid_file(spark, path, ds, mode)] if paths in (None, [path]) else paths[:1]
+    elif paths is None:
         paths, others = _probe(spark, path, ds, mode)
         if not paths:
             raise SchemaContractError(f"{path}: {'; '.join(others)}")
