@@ -72,21 +72,15 @@ def lcp_array(symbols: np.ndarray, sa: np.ndarray, rank: np.ndarray) -> np.ndarr
 
 
 def nearest_smaller(values: np.ndarray) -> np.ndarray:
-    """The nearest place to the left with a smaller value (the first value is the least).
-    Pointers jump for all places at once; the few with longer ways go one after another."""
-    left = np.arange(len(values)) - 1
-    left[0] = 0
-    open_, turn = np.arange(1, len(values)), 0
-    while len(open_ := open_[values[left[open_]] >= values[open_]]):
-        if turn == 32:
-            v, to = memoryview(values), memoryview(left)
-            for i in open_.tolist():
-                while to[i] and v[to[i]] >= v[i]:
-                    to[i] = to[to[i]]
-            break
-        left[open_] = left[left[open_]]
-        open_ = open_[left[open_] > 0]
-        turn += 1
+    """The nearest place to the left with a smaller value (the first value is the least):
+    each place follows the pointers of those before it."""
+    left = np.zeros(len(values), np.int64)
+    v, to = memoryview(np.ascontiguousarray(values)), memoryview(left)
+    for i in range(1, len(values)):
+        own, j = v[i], i - 1
+        while j and v[j] >= own:
+            j = to[j]
+        to[i] = j
     return left
 
 
