@@ -77,8 +77,17 @@ class Presence:
         root of its text's n-grams."""
         out = np.zeros((len(self.sizes), matrix.shape[1]))
         full = np.nonzero(np.diff(self.starts))[0]
-        if len(full):
-            out[full] = np.add.reduceat(matrix[self.columns], self.starts[:-1][full], axis=0)
+        room = max(1, (1 << 22) // max(1, matrix.shape[1]))  # n-grams whose rows of the matrix are held at once
+        at = 0
+        while at < len(full):
+            begin = self.starts[full[at]]
+            to = max(at + 1, int(np.searchsorted(self.starts[full + 1], begin + room, "right")))
+            end = self.starts[full[to - 1] + 1]
+            if end - begin <= room:
+                out[full[at:to]] = np.add.reduceat(matrix[self.columns[begin:end]], self.starts[full[at:to]] - begin, axis=0)
+            else:  # one very long text
+                out[full[at]] = sum(matrix[self.columns[i:min(i + room, end)]].sum(0) for i in range(begin, end, room))
+            at = to
         return out / np.sqrt(np.maximum(self.sizes, 1))[:, None]
 
 
@@ -165,8 +174,7 @@ def fit(docs: DataFrame, *, rows: int = 2000, landmarks: int = 256, languages: i
              .where("some").orderBy("lang", "kernel").collect())
     shared.destroy()
     label = np.searchsorted(languages, [r.lang for r in taken])
-    among = marks.times(spectrum)  # kernel of the landmarks
-    size, basis = np.linalg.eigh((among + among.T) / 2)
+    size, basis = np.linalg.eigh(spectrum.T @ spectrum)  # of the landmarks' own kernel
     use = size > 1e-6 * size.max()
     basis = basis[:, use] / np.sqrt(size[use])  # Nyström map of a row of kernel values
     features = np.column_stack([np.array([r.kernel for r in taken]) @ basis, np.ones(len(taken))])

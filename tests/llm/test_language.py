@@ -47,6 +47,15 @@ def test_product_is_the_presence_kernel():
             assert abs(got[i, j] - (len(x & y) / (len(x) * len(y)) ** 0.5 if x and y else 0)) < 1e-12
 
 
+def test_product_in_pieces():
+    rng = np.random.default_rng(3)
+    known, matrix = np.arange(3000), rng.random((3000, 2000))  # 2097 n-grams at once
+    sets = [np.sort(rng.choice(4000, n, replace=False)) for n in (0, 900, 1200, 3900, 0, 5, 2500, 1)]
+    got = language.Presence.of(sets, known).times(matrix)
+    for s, row in zip(sets, got):
+        assert np.allclose(row, matrix[s[s < 3000]].sum(0) / max(1, len(s)) ** 0.5)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = queries.QUERIES["op12_string_kernel_language"](spark, "/root/testdata/sf0.01")
