@@ -17,6 +17,7 @@ A second small table, ``shards``, holds the ids before every shard.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,44 +59,65 @@ _BLOCK_DDL = ("shard int, block int, n_ids long, bits int, payload binary, doc_i
               "doc_starts array<long>")
 
 
+def shard_edges(own: DataFrame) -> list[tuple]:
+    """Last (key is set, key, hash of text) of every shard of ``own`` (doc_id, text), for shards
+    of about equal numbers of rows: range partitions of the keys alone, one row of each."""
+    keys = own.select("doc_id", F.xxhash64("text").alias("h"))
+    last = F.max(F.struct(F.col("doc_id").isNotNull().alias("set"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "h"))
+    parts = keys.repartitionByRange(F.asc_nulls_first("doc_id"), "h").groupBy(F.spark_partition_id()).agg(last.alias("last"))
+    return sorted(tuple(r["last"]) for r in parts.collect())
+
+
 def write_ids(docs: DataFrame, path: str, tokenizer_path: str, vocabulary: int, end_id: int, *,
               key: str = "doc_id", text: str = "text", block_ids: int = 1 << 16) -> None:
     """Encode whole texts and write them under ``path`` in ascending key order.
 
     NULL text is empty (only the end id); NULL keys come first; rows with equal keys
-    keep all their ids, in order of text; an empty table writes no block; other
-    columns are not read. Documents are range-partitioned by key, so writing is
-    parallel and shards are in key order.
+    keep all their ids, in order of a hash of text, and may lie in several shards; an empty
+    table writes no block; other columns are not read. Texts are encoded where they are
+    read; only ids, as machine integers, are moved to their shard, a range of keys.
     """
     bits, end = bits_for(vocabulary), int(end_id).to_bytes(4, "little")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        shard, block, enc = TaskContext.get().partitionId(), 0, encoder(tokenizer_path, False)
+    own = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    edges = shard_edges(own)
+    held_as = "<u2" if bits <= 16 else "<u4"
+    encoded_schema = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("h", pa.int64()), ("ids", pa.binary())])
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(tokenizer_path, False)
+        for b in text_slices(batches, 4 << 20):
+            made = [np.frombuffer(x + end, "<u4").astype(held_as).tobytes() for x in enc.encode(b.column(1))]
+            shard = [min(bisect_left(edges, (k is not None, k or 0, h)), len(edges) - 1)
+                     for k, h in zip(b.column(0).to_pylist(), b.column(2).to_pylist())]
+            yield pa.record_batch([pa.array(shard, pa.int32()), b.column(0), b.column(2), pa.array(made, pa.binary())], schema=encoded_schema)
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, block, n = -1, 0, 0
         held: list[bytes] = []
         ids_of: list[int | None] = []
-        starts, n = [], 0
+        starts: list[int] = []
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
+            ids = np.frombuffer(b"".join(held), held_as)
             return pa.record_batch([pa.array([x], t.type) for x, t in zip(
                 [shard, block, n, bits, pack_ids(ids, bits), ids_of, starts], _BLOCK)], schema=_BLOCK)
 
-        for b in text_slices(batches):
-            for doc, ids in zip(b.column(0).to_pylist(), enc.encode([t or "" for t in b.column(1).to_pylist()])):
-                ids_of.append(doc)
-                starts.append(n)
-                held.append(ids + end)
-                n += len(ids) // 4 + 1
-                if n >= block_ids:
+        for b in batches:
+            for own_shard, doc, ids in zip(*(b.column(i).to_pylist() for i in (0, 1, 3))):
+                if ids_of and (n >= block_ids or own_shard != shard):
                     yield flush()
                     held, ids_of, starts, n, block = [], [], [], 0, block + 1
+                shard = own_shard
+                ids_of.append(doc)
+                starts.append(n)
+                held.append(ids)
+                n += len(ids) // (2 if bits <= 16 else 4)
         if ids_of:
             yield flush()
 
-    own = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    ordered = own.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, _BLOCK_DDL).write.parquet(f"{path}/blocks")
+    encoded = own.withColumn("h", F.xxhash64("text")).mapInArrow(encode, "shard int, doc_id long, h long, ids binary")
+    ordered = encoded.repartitionById(max(1, len(edges)), "shard").sortWithinPartitions(F.asc_nulls_first("doc_id"), "h")
+    ordered.mapInArrow(blocks, _BLOCK_DDL).write.parquet(f"{path}/blocks")
     spark = docs.sparkSession
     sums = (spark.read.schema(_BLOCK_DDL).parquet(f"{path}/blocks").groupBy("shard").agg(F.sum("n_ids").alias("n_ids")))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard

@@ -16,6 +16,9 @@ from strata.session import scratch_path
 from strata.sources import fs
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
@@ -115,7 +118,10 @@ def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this library from where the driver has it, if
     it was put on the driver's ``sys.path`` only (installed packages and
-    ``--py-files`` need nothing)."""
+    ``--py-files`` need nothing), and bound the bytes of a batch that they are sent where
+    the session sets no bound (one row may still be larger)."""
+    if spark.conf.get(BATCH_BYTES, None) in (None, "67108864b"):  # Spark's default
+        spark.conf.set(BATCH_BYTES, str(8 << 20))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]

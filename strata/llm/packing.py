@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -217,9 +218,9 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id
         from pyspark import TaskContext
         part, enc = TaskContext.get().partitionId(), encoder(tokenizer_path, True)
         ranks: dict[int, int] = defaultdict(int)
-        for b in text_slices(batches):
+        for b in text_slices(batches, 4 << 20):
             cols: list[list] = [[] for _ in fields]
-            for doc, ids in zip(b.column(0).to_pylist(), enc.encode([t or "" for t in b.column(1).to_pylist()])):
+            for doc, ids in zip(b.column(0).to_pylist(), enc.encode(pc.fill_null(b.column(1), ""))):
                 ids = memoryview(ids + end)
                 for i, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     own = ids[4 * start:4 * (start + length)]

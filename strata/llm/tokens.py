@@ -17,6 +17,10 @@ import os
 import re
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 _RUN_AND_WORD = re.compile(r"\s*\S+|\s+")
 _OTHER_SPACE = re.compile(r"[^\S \n\t\r]")
 _LAST_SIMPLE = "\u012f"  # up to here letters are single NFC characters with plain lower case
@@ -45,8 +49,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
-        self.pieces, self.joined, self.max_cached = self.tokenizer.model.tokenize, joined, max_cached
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.pieces, self.joined = self.tokenizer.model.tokenize, joined
         self.cache = _Cache(self._chunk, max_cached)
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {i: as_bytes.pre_tokenize_str(chr(i))[0][0] for i in range(0x80, ord(_LAST_SIMPLE) + 1)}
@@ -57,12 +61,12 @@ class ChunkEncoder:
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _chunks(self, text: str) -> list[str] | None:
+    def _chunks(self, texts: pa.Array) -> pa.ListArray:
+        """Chunks of every text: cut before blanks and newlines, or at them."""
         if not self.joined:
-            return text.replace("\n", " ").split(" ")
-        if "\0" in text:
-            return None
-        return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+            return pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        marked = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n")
+        return pc.split_pattern(marked, "\0")
 
     def _safe(self, chunk: str) -> bool:
         """May this chunk stand next to any other chunk?"""
@@ -74,7 +78,7 @@ class ChunkEncoder:
     def _word(self, chunk: str) -> bytes | None:
         """Ids of [white space] letters [mark], which the pre-tokenizer cuts into just
         these parts; None for any other chunk."""
-        mark = self.marks.get(chunk[-1], b"")
+        mark = self.marks.get(chunk[-1])
         word, before, lead = chunk[:-1] if mark else chunk, b"", ""
         if self.joined:
             if word[:1] == " ":
@@ -83,30 +87,57 @@ class ChunkEncoder:
                 word, before = word[1:], self.newline
         if not word.isalpha():
             return None
-        if not word.isascii():
-            if max(word) > _LAST_SIMPLE:
-                return None
-            word = (word if self.joined else word.lower()).translate(self.letters)
-        elif not self.joined:
+        plain = word.isascii()
+        if not plain and max(word) > _LAST_SIMPLE:
+            return None
+        if not self.joined:
             word = word.lower()
-        return before + array("I", [t.id for t in self.pieces(lead + word)]).tobytes() + mark
+        same = " " + word if lead else word  # the same word where no mark or newline is
+        ids = None if same == chunk else self.cache.get(same)
+        if ids is None:
+            ids = array("I", [t.id for t in self.pieces(lead + (word if plain else word.translate(self.letters)))]).tobytes()
+            if same != chunk and len(self.cache) < self.cache.room:
+                self.cache[same] = ids
+        return before + ids + mark if mark else before + ids if before else ids
 
     def _chunk(self, chunk: str) -> bytes | None:
         ids = self._word(chunk)
         return ids if ids is not None else self._whole(chunk) if self._safe(chunk) else None
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        get, out = self.cache.__getitem__, []
-        for text in texts:
-            chunks = self._chunks(text)
-            try:
-                out.append(b"".join(map(get, chunks)) if chunks is not None else self._slow(text))
-            except TypeError:  # a chunk that may not stand alone
-                out.append(self._slow(text))
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of every text, as the tokenizer gives them for the whole of it. The distinct
+        chunks of all texts are looked up once; their ids are then gathered by place. Texts
+        with a chunk that may not stand alone, or with the content of an added token, are
+        encoded whole."""
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        lists = self._chunks(texts)
+        chunks = lists.flatten().dictionary_encode()
+        names = chunks.dictionary  # joined and split: the quickest way to Python strings
+        between = "\0" if self.joined else " "
+        every = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), between)[0].as_py()
+        known = list(map(self.cache.__getitem__, every.split(between) if len(names) else []))
+        alone = np.array([k is not None for k in known], bool)
+        codes = chunks.indices.to_numpy()
+        per_text = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))
+        whole = np.zeros(len(texts), bool)
+        for mark in [*self.added, *(["\0"] if self.joined else [])]:
+            whole |= pc.match_substring(texts, mark).to_numpy(zero_copy_only=False)
+        if not alone.all():
+            whole[np.searchsorted(per_text, np.nonzero(~alone[codes])[0], "right") - 1] = True
+        ids = np.frombuffer(b"".join(k or b"" for k in known), np.uint32)
+        counts = np.fromiter((len(k) if k else 0 for k in known), np.int64, len(known)) // 4
+        n = counts[codes]
+        ends = np.append(0, np.cumsum(n))
+        from_ = (np.cumsum(counts) - counts)[codes] - ends[:-1]
+        flat = ids[np.repeat(from_, n) + np.arange(ends[-1])].tobytes()
+        cuts = (4 * ends[per_text]).tolist()
+        out = [flat[a:b] for a, b in zip(cuts, cuts[1:])]
+        for i in np.nonzero(whole)[0].tolist():
+            out[i] = self._slow(texts[i].as_py())
         return out
 
     def _slow(self, text: str) -> bytes:
-        if _OTHER_SPACE.search(text):
+        if _OTHER_SPACE.search(text) or any(a in text for a in self.added):
             return self._whole(text)
         parts = [e.ids for e in self.tokenizer.encode_batch_fast(
             _RUN_AND_WORD.findall(text), add_special_tokens=False)]

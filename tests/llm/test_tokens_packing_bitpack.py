@@ -14,7 +14,6 @@ BYTES, WORDS = P.path("byte_bpe_50k.json"), P.path("word_bpe_49k.json")
 
 def whole(path, texts):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
 
 
