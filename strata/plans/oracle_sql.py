@@ -278,3 +278,8 @@ cte("null_year_target", ["upsert_target"],
     "SELECT * REPLACE (CASE WHEN post_id % 3 = 0 THEN NULL ELSE post_year END AS post_year) FROM upsert_target")
 cte("null_year_source", ["upsert_source"],
     "SELECT * REPLACE (CASE WHEN post_id % 5 = 1 THEN NULL ELSE post_year END AS post_year) FROM upsert_source")
+
+# one day's posts, changed: a batch that is small beside its table
+MERGE_DAY = "1996-05-15"
+cte("day_batch", ["silver_posts"],
+    f"SELECT * REPLACE (score + 1 AS score) FROM silver_posts WHERE CAST(creation_date AS DATE) = DATE '{MERGE_DAY}'")

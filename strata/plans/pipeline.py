@@ -97,11 +97,14 @@ def yearly_silver(spark: SparkSession, bronze_root: str, dataset: str, load_ts,
 
 def run_silver(spark: SparkSession, bronze_root: str, lake: Lakehouse, load_ts=None,
                as_of=None, years: list[int] | None = None, errors: str = "strict",
-               decoded_only: str = "valid") -> tuple[DataFrame, StageReport]:
-    """Comments (multi-year) then badges, users, posts, each merged into
-    ``silver``; returns the verification frame and the stage report.
-
-    The scheduled comments job is ``errors='ignore', decoded_only='none'``.
+               decoded_only: str = "valid", datasets: list[str] | None = None,
+               buckets: int = 16) -> tuple[DataFrame, StageReport]:
+    """Comments (multi-year) then badges, users, posts (or only ``datasets``), each merged
+    into ``silver``; returns the verification frame and the stage report.
+
+    Comments and posts are merged by year partition; badges and users, which have none,
+    by ``buckets`` hash buckets of their key, so a load rewrites only the buckets of its
+    keys. The scheduled comments job is ``errors='ignore', decoded_only='none'``.
     """
     report = StageReport()
     sources = scratch_path(spark, "silver_sources") if years is not None else None
@@ -117,11 +120,11 @@ def run_silver(spark: SparkSession, bronze_root: str, lake: Lakehouse, load_ts=N
                                        sources, errors=errors),
     }
     done = []
-    for ds, make in jobs.items():
+    for ds in datasets or jobs:
         try:
             parts = SILVER_PARTITIONS.get(ds)
-            res = lake.merge(make(), "silver", ds, SILVER_KEYS[ds], partition_by=parts,
-                             scope="partitions" if parts else "table")
+            res = lake.merge(jobs[ds](), "silver", ds, SILVER_KEYS[ds], partition_by=parts,
+                             scope="partitions" if parts else "buckets", buckets=buckets)
             report.ok(f"silver.{ds}", f"v{res.version} {res.operation} {res.total_records}")
             done.append(ds)
         except Exception as exc:  # one dataset failing must not stop the rest

@@ -379,6 +379,62 @@ def q_merge_upsert_partitioned(spark, sf):
     return lake.read("silver", "posts")
 
 
+def day_batch(spark, sf):
+    """A day's posts, changed: a batch that is small beside its table."""
+    day = F.col("creation_date").cast("date") == F.lit(O.MERGE_DAY).cast("date")
+    return silver_frame(spark, sf, "posts").where(day).withColumn("score", F.col("score") + 1)
+
+
+def _merged_by_bucket(spark, sf) -> Lakehouse:
+    lake = _lake(spark)
+    for rows in (silver_frame(spark, sf, "posts"), day_batch(spark, sf)):
+        lake.merge(rows, "silver", "posts", ["post_id"], scope="buckets", buckets=64)
+    return lake
+
+
+@register("merge_upsert_buckets", W(["silver_posts", "day_batch"], """
+SELECT * FROM day_batch UNION ALL
+SELECT * FROM silver_posts t WHERE NOT EXISTS (SELECT 1 FROM day_batch s WHERE s.post_id = t.post_id)"""))
+def q_merge_upsert_buckets(spark, sf):
+    """The upsert on a table without partitions of its own, laid out by hash buckets of the key."""
+    return _merged_by_bucket(spark, sf).read("silver", "posts")
+
+
+@register("merge_buckets_history", W(["silver_posts", "day_batch"], """
+SELECT CAST(2 AS BIGINT) AS version, 'merge' AS operation, (SELECT COUNT(*) FROM day_batch) AS added,
+       (SELECT COUNT(*) FROM silver_posts) AS total, TRUE AS read_the_touched_buckets_only"""))
+def q_merge_buckets_history(spark, sf):
+    """The history of that upsert: the records it read are those of the batch's buckets."""
+    lake = _merged_by_bucket(spark, sf)
+    bucket = F.pmod(F.xxhash64("post_id"), F.lit(64)).alias("bucket")
+    of_batch = day_batch(spark, sf).select(bucket).distinct()
+    should = lake.read("silver", "posts").select(bucket).join(of_batch, "bucket", "left_semi").agg(
+        F.count("*").alias("n_rows"), F.count_distinct("bucket").alias("buckets")).first()
+    s = F.col("summary")
+    only = ((s["read-records"].cast("long") == should["n_rows"])
+            & (s["rewritten-buckets"].cast("long") == should["buckets"]))
+    return lake.history("silver", "posts").where("version = 2").select(
+        "version", "operation", s["added-records"].cast("long").alias("added"),
+        s["total-records"].cast("long").alias("total"), only.alias("read_the_touched_buckets_only"))
+
+
+@register("merge_staged_view", W(["upsert_target", "upsert_source"], """
+SELECT s.post_year, COUNT(*) AS n_rows, COUNT(t.post_id) AS n_updates
+FROM upsert_source s LEFT JOIN upsert_target t ON s.post_id = t.post_id GROUP BY s.post_year"""))
+def q_merge_staged_view(spark, sf):
+    """What a staged batch is about to change, in SQL over its temporary view before the merge."""
+    lake, ns = _lake(spark), _private_layer()
+    lake.create(upsert_target(spark, sf), ns, "posts")
+    with lake.staged_view(upsert_source(spark, sf), f"batch_{ns}") as batch:
+        preview = spark.sql(f"""
+            SELECT s.post_year, count(*) AS n_rows, count(t.post_id) AS n_updates
+            FROM batch_{ns} s LEFT JOIN {ns}.posts t ON s.post_id = t.post_id GROUP BY s.post_year""")
+        path = scratch_path(spark, "previews")
+        preview.write.parquet(path)
+        lake.merge(batch, ns, "posts", ["post_id"])
+    return spark.read.parquet(path)
+
+
 @register("merge_upsert_partitioned_moved", W(["upsert_target", "upsert_source_moved"], """
 SELECT * FROM upsert_source_moved UNION ALL
 SELECT * FROM upsert_target t
@@ -1004,19 +1060,10 @@ def q_silver_comments_multi_source(spark, sf):
 @register("silver_other_datasets", _verify_sql({"badges": 9, "users": 15, "posts": 26}))
 def q_silver_other_datasets(spark, sf):
     root = pipeline.land_roles(spark, sf, scratch_path(spark, "bronze"))
-    lake = _lake(spark)
     years = B.partition_years(spark, root, "posts") + [MISSING_YEAR]
-    jobs = {
-        "badges": lambda: silver.badges_to_silver(B.read_bronze(spark, root, "badges"),
-                                                  load_ts=O.LOAD_TS),
-        "users": lambda: silver.users_to_silver(B.read_bronze(spark, root, "users"),
-                                                load_ts=O.LOAD_TS, as_of=O.AS_OF),
-        "posts": lambda: pipeline.yearly_silver(spark, root, "posts", O.LOAD_TS, years),
-    }
-    for t, make in jobs.items():
-        lake.merge(make(), "silver", t, pipeline.SILVER_KEYS[t],
-                   partition_by=pipeline.SILVER_PARTITIONS.get(t))
-    return lake.verify("silver", list(jobs))
+    verify, _ = pipeline.run_silver(spark, root, _lake(spark), O.LOAD_TS, O.AS_OF, years,
+                                    datasets=["badges", "users", "posts"])
+    return verify
 
 
 def _silver_lake(spark, sf, loads: tuple[str, ...] = (O.LOAD_TS,)) -> Lakehouse:

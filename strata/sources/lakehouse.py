@@ -10,11 +10,16 @@ Layout under ``root`` (any Hadoop path: hdfs://, s3a://, file:)::
   killed job leaves the current version untouched (the history row is appended
   only after the data commit), and two writers never share a folder.
 * The current version is read from the history before every commit.
-* **overwrite_partitions** and ``merge(scope='partitions')`` replace partitions
-  of the current folder in place: the cost follows the batch, no older state is
-  kept (``read(version=...)`` of a rewritten folder raises), one writer per table
-  at a time, and a job killed during the swap leaves some partitions replaced;
-  running it again completes it.
+* **overwrite_partitions** and ``merge`` with ``scope='partitions'`` or ``'buckets'`` replace
+  partitions of the current folder in place by Spark's dynamic partition overwrite:
+  the cost follows the batch, no older state is kept (``read(version=...)`` of a
+  rewritten folder raises), and a driver killed while Spark commits leaves some
+  partitions replaced; running it again completes it.
+* One writer per table at a time. A writer that finds the current version moved since
+  it read it raises ``ConcurrentCommitError`` and adds nothing to the history.
+* A table merged with ``scope='buckets'`` is laid out by ``key_bucket``, a hash bucket of
+  its keys, so a batch reads and rewrites only the buckets of its own keys. The column
+  belongs to the layout: ``read`` leaves it out.
 * Counts for the history come from ``Observation``s on the single write.
 * Each table is also registered in the session catalog as ``<layer>.<table>``
   (external, pointing at the current version) so ``spark.table`` and SQL work.
@@ -24,7 +29,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -61,6 +68,25 @@ class LoadResult:
     deleted_records: int
     total_records: int
     location: str
+    summary: dict[str, str] = field(default_factory=dict)
+
+
+class ConcurrentCommitError(RuntimeError):
+    """Another writer committed to the table after this one read its version."""
+
+
+BUCKET = "key_bucket"
+
+
+def bucket_of(keys: list[str], buckets: int):
+    """Hash bucket of the keys; rows with a NULL key, which never match, have one of their own."""
+    return F.when(any_null_key(keys), F.lit(buckets)).otherwise(F.pmod(F.xxhash64(*keys), F.lit(buckets))).cast("int").alias(BUCKET)
+
+
+def _folder():
+    """Folder of a row's file, as a path."""
+    uri = F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")
+    return F.regexp_replace(F.url_decode(uri), "/[^/]*$", "")
 
 
 def _any_null(parts: list[str]):
@@ -164,16 +190,22 @@ class Lakehouse:
         return (self.history(layer, table).select("version", "location", "committed_at")
                 .orderBy(F.desc("version"), F.desc("committed_at")).collect())
 
-    def _current(self, layer: str, table: str) -> tuple[int, str | None]:
-        """Newest version and its folder, read from the history each time, so
+    def _current(self, layer: str, table: str) -> tuple[int, str | None, dict[str, str]]:
+        """Newest version, its folder and summary, read from the history each time, so
         commits of other writers are seen."""
         if not self._has_history():
-            return 0, None
+            return 0, None, {}
         rows = (self.spark.read.schema(HISTORY_SCHEMA).parquet(self.history_path)
                 .where((F.col("layer") == layer) & (F.col("table_name") == table))
                 .orderBy(F.desc("version"), F.desc("committed_at"))
-                .select("version", "location").limit(1).collect())
-        return (rows[0]["version"], rows[0]["location"]) if rows else (0, None)
+                .select("version", "location", "summary").limit(1).collect())
+        return (rows[0]["version"], rows[0]["location"], rows[0]["summary"] or {}) if rows else (0, None, {})
+
+    def _expect(self, layer: str, table: str, version: int, cause: Exception | None = None) -> None:
+        now = self._current(layer, table)[0]
+        if now != version:
+            raise ConcurrentCommitError(f"{layer}.{table} is at version {now}; this writer started from "
+                                        f"version {version}. Run it again") from cause
 
     def exists(self, layer: str, table: str) -> bool:
         return self._current(layer, table)[1] is not None
@@ -192,12 +224,13 @@ class Lakehouse:
                                  f"version {min(later)}")
         if loc is None:
             raise FileNotFoundError(f"{layer}.{table} has no version {version or ''}".strip())
-        return self.spark.read.parquet(loc)
+        return self.spark.read.parquet(loc).drop(BUCKET)
 
     def _append_history(self, res: LoadResult, commit: str) -> None:
+        self._expect(res.layer, res.table, res.version - 1)
         summary = {"added-records": str(res.added_records),
                    "deleted-records": str(res.deleted_records),
-                   "total-records": str(res.total_records)}
+                   "total-records": str(res.total_records), **res.summary}
         row = (res.layer, res.table, res.version, dt.datetime.now(dt.timezone.utc)
                .replace(tzinfo=None), res.operation, res.added_records, res.deleted_records,
                res.total_records, res.location, summary, commit)
@@ -231,13 +264,13 @@ class Lakehouse:
 
     def _commit(self, df: DataFrame, layer: str, table: str, operation: str,
                 partition_by: list[str] | None, version: int,
-                properties: dict[str, str] | None = None) -> LoadResult:
+                properties: dict[str, str] | None = None, summary: dict[str, str] | None = None) -> LoadResult:
         commit = uuid.uuid4().hex[:12]
         path = self._version_path(layer, table, version, commit)
         obs = Observation(f"write_{layer}_{table}_{commit}")
         self._write(df, path, partition_by, obs)
         n = obs.get["rows"]
-        res = LoadResult(layer, table, version, operation, n, 0, n, path)
+        res = LoadResult(layer, table, version, operation, n, 0, n, path, summary or {})
         self._append_history(res, commit)
         self._bind(layer, table, path, properties)
         return res
@@ -263,7 +296,7 @@ class Lakehouse:
                              partition_by: list[str]) -> LoadResult:
         """Replace only the partitions present in ``df``, in place; others are
         kept. First load creates the table."""
-        version, loc = self._current(layer, table)
+        version, loc, _ = self._current(layer, table)
         if loc is None:
             return self._commit(df, layer, table, "append", partition_by, 1)
         commit = uuid.uuid4().hex[:12]
@@ -272,51 +305,49 @@ class Lakehouse:
                              .withColumn("in_scope", F.lit(True)), commit, "partitions")
         replaced = in_partitions(self.spark.read.parquet(loc), scope, partition_by).count()
         obs = Observation(f"ovw_{layer}_{table}_{commit}")
-        self._swap(batch, scope, loc, partition_by, commit, obs)
+        self._replace(batch, layer, table, version, loc, partition_by, obs)
+        self._clear(commit)
         return self._committed_in_place(layer, table, version + 1, "overwrite", obs.get["rows"],
                                         replaced, loc, commit)
 
-    def _swap(self, rows: DataFrame, scope: DataFrame, loc: str, parts: list[str], commit: str,
-              obs: Observation) -> None:
-        """Put ``rows`` in the place of the partitions of ``scope``: one write beside
-        the table, then a folder move per partition; partitions left empty go."""
-        beside = f"{self.root}/_batches/{commit}/new"
-        self._write(rows, beside, parts, obs)
-        folders = [""]
-        for _ in parts:
-            folders = [f"{f}/{n}" for f in folders for n in fs.list_names(self.spark, beside + f)
-                       if "=" in n]
-        left = scope.drop("in_scope")
-        if folders:
-            made = self.spark.read.parquet(beside).select(*parts).distinct()
-            left = in_partitions(left, made.withColumn("in_scope", F.lit(True)), parts, "left_anti")
-        utils = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        emptied = ["/".join(utils.getPartitionPathString(p, r[p]) for p in parts) for r in left.select(
-            *(F.col(p).cast("string").alias(p) for p in parts)).collect()]  # folders to delete
-        for f in folders:
-            fs.delete(self.spark, loc + f)
-            self._make_folder((loc + f).rsplit("/", 1)[0])
-            fs.rename(self.spark, beside + f, loc + f)
-        for f in emptied:
-            fs.delete(self.spark, f"{loc}/{f}")
-        self._clear(commit)
-
-    def _make_folder(self, path: str) -> None:
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    def _replace(self, rows: DataFrame, layer: str, table: str, version: int, loc: str,
+                 parts: list[str], obs: Observation) -> None:
+        """Put ``rows`` in the place of the partitions that they are in: one write, whose
+        commit swaps whole partitions once every task has ended (so ``rows`` may be made
+        from the partitions that they replace)."""
+        self._expect(layer, table, version)
+        w = rows.hint("rebalance", *parts).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        (w.option("partitionOverwriteMode", "dynamic").option("compression", self.compression)
+         .partitionBy(*parts).parquet(loc))
 
     def _committed_in_place(self, layer: str, table: str, version: int, operation: str, added: int,
-                            deleted: int, loc: str, commit: str) -> LoadResult:
+                            deleted: int, loc: str, commit: str,
+                            summary: dict[str, str] | None = None) -> LoadResult:
         total = self.spark.read.parquet(loc).count()  # from footers
-        res = LoadResult(layer, table, version, operation, added, deleted, total, loc)
+        res = LoadResult(layer, table, version, operation, added, deleted, total, loc, summary or {})
         self._append_history(res, commit)
         self._bind(layer, table, loc)
         return res
 
+    @contextmanager
+    def staged_view(self, source: DataFrame, view: str) -> Iterator[DataFrame]:
+        """``source`` written once and registered as the temporary view ``view``, so SQL can
+        read a batch before (or without) its merge; ``merge`` takes the frame without writing
+        it again. The view and the copy are gone afterwards."""
+        commit = uuid.uuid4().hex[:12]
+        batch = self._staged(source, commit, "rows")
+        batch._strata_batch = commit
+        batch.createOrReplaceTempView(view)
+        try:
+            yield batch
+        finally:
+            self.spark.catalog.dropTempView(view)
+            self._clear(commit)
+
     def merge(self, source: DataFrame, layer: str, table: str, keys: str | list[str],
               partition_by: list[str] | None = None, check_cardinality: bool = True,
               null_keys: str = "insert", scope: str = "table",
-              verify_partition_keys: bool = True) -> LoadResult:
+              verify_partition_keys: bool = True, buckets: int = 16) -> LoadResult:
         """Upsert ``source`` into the table by ``keys``; creates it on first
         load. Matched rows are replaced by the source row, unmatched source
         rows inserted, other target rows kept. The batch is written once and
@@ -329,33 +360,74 @@ class Lakehouse:
         partitions the source touches and those that matched keys leave (their
         partition value moved, to or from NULL as well); that search reads key
         and partition columns alone. ``verify_partition_keys=False`` skips it for
-        tables whose partition column derives from an immutable attribute. An
-        empty batch changes nothing and writes no version.
+        tables whose partition column derives from an immutable attribute.
+        ``scope='buckets'`` lays the table out by ``buckets`` hash buckets of the keys (the
+        first load's number stays) and replaces only those that the source's keys fall
+        into; the others are not read. In both, an empty batch changes nothing and
+        writes no version.
         """
         keys = [keys] if isinstance(keys, str) else list(keys)
-        if scope not in ("table", "partitions"):
-            raise ValueError("scope must be 'table' or 'partitions'")
-        version, loc = self._current(layer, table)
+        if scope not in ("table", "partitions", "buckets"):
+            raise ValueError("scope must be 'table', 'partitions' or 'buckets'")
+        version, loc, summary = self._current(layer, table)
+        if loc is not None and (scope == "buckets") != ("buckets" in summary):
+            raise ValueError(f"{layer}.{table} is{'' if 'buckets' in summary else ' not'} laid out by buckets; "
+                             f"it cannot be merged with scope={scope!r}")
+        if scope == "buckets":
+            if partition_by:
+                raise ValueError("a table laid out by buckets has no other partitions")
+            summary = {"buckets": summary.get("buckets", str(buckets)), "bucket-keys": summary.get("bucket-keys", ",".join(keys))}
+            if summary["bucket-keys"] != ",".join(keys):
+                raise ValueError(f"{layer}.{table} is laid out by buckets of {summary['bucket-keys']}")
         commit = uuid.uuid4().hex[:12]
-        src = source if loc is None else align_source(source, self.spark.read.parquet(loc).columns)
+        target = None if loc is None else self.spark.read.parquet(loc)
+        src = source if loc is None else align_source(source, [c for c in target.columns if c != BUCKET])
         if null_keys == "reject":
             src = src.where(~any_null_key(keys))
-        src = self._staged(src, commit, "rows")
+        if not hasattr(source, "_strata_batch"):
+            src = self._staged(src, commit, "rows")
+        if scope == "buckets":
+            src = src.withColumn(BUCKET, bucket_of(keys, int(summary["buckets"])))
         try:
             if loc is None:
                 if check_cardinality:
                     check_unique_keys(src, keys)
-                return self._commit(src, layer, table, "append", partition_by, 1)
-            target = self.spark.read.parquet(loc)
+                return self._commit(src, layer, table, "append", [BUCKET] if scope == "buckets" else partition_by, 1,
+                                    summary=summary if scope == "buckets" else None)
+            touched = None
+            if scope == "buckets":
+                touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())  # at most buckets + 1
+                if not touched:
+                    return LoadResult(layer, table, version, "merge", 0, 0, target.count(), loc)
+                target = target.where(F.col(BUCKET).isin(touched))  # prunes the other folders
             if check_cardinality:
                 check_merge_cardinality(src, target, keys)
+            if scope == "buckets":
+                return self._merge_buckets(src, target, layer, table, keys, touched, version, loc, commit, summary)
             if scope == "partitions" and partition_by:
                 return self._merge_partitions(src, target, layer, table, keys, partition_by,
                                               version, loc, commit, verify_partition_keys)
             return self._merge_table(src, target, layer, table, keys, partition_by, version, commit)
+        except ConcurrentCommitError:
+            raise
+        except Exception as exc:
+            self._expect(layer, table, version, exc)  # files that another writer replaced are gone
+            raise
         finally:
             self._clear(commit)
 
+    def _merge_buckets(self, src: DataFrame, target: DataFrame, layer: str, table: str, keys: list[str],
+                       touched: list[int], version: int, loc: str, commit: str, summary: dict[str, str]) -> LoadResult:
+        """``target``: the rows of the buckets ``touched``, all that is read of the table."""
+        seen = [Observation(f"bmerge_{x}_{commit}") for x in ("source", "target", "kept", "all")]
+        count = F.count(F.lit(1)).alias("rows")
+        kept = unmatched_target(target.observe(seen[1], count), src, keys).observe(seen[2], count)
+        self._replace(src.observe(seen[0], count).unionByName(kept), layer, table, version, loc, [BUCKET], seen[3])
+        n_source, n_target, n_kept = (o.get["rows"] for o in seen[:3])
+        return self._committed_in_place(
+            layer, table, version + 1, "merge", n_source, n_target - n_kept, loc, commit,
+            summary | {"rewritten-buckets": str(len(touched)), "read-records": str(n_target)})
+
     def _merge_table(self, src: DataFrame, target: DataFrame, layer: str, table: str, keys: list[str],
                      partition_by: list[str] | None, version: int, commit: str) -> LoadResult:
         seen = [Observation(f"merge_{x}_{commit}") for x in ("source", "target", "kept", "all")]
@@ -376,21 +448,33 @@ class Lakehouse:
         touched = src.select(*parts).distinct().withColumn("in_scope", F.lit(True))
         if touched.isEmpty():  # empty batch: nothing to change
             return LoadResult(layer, table, version, "merge", 0, 0, target.count(), loc)
-        touched = self._staged(touched, commit, "touched")
+        own = touched = self._staged(touched, commit, "touched")
+        emptied: list[str] = []
         if verify_keys:  # partitions that matched keys leave
             elsewhere = in_partitions(target.select(*dict.fromkeys([*keys, *parts])), touched, parts, "left_anti")
             left = (elsewhere.join(src.select(*keys).where(~any_null_key(keys)), keys, "left_semi")
                     .select(*parts).distinct().withColumn("in_scope", F.lit(True)))
-            touched = self._staged(touched.unionByName(left), commit, "partitions")
+            left = self._staged(left, commit, "left")
+            if not left.isEmpty():
+                touched = self._staged(own.unionByName(left), commit, "partitions")
+                emptied = self._emptied(src, target, left, keys, parts)
         seen = [Observation(f"pmerge_{x}_{commit}") for x in ("source", "target", "kept", "all")]
         count = F.count(F.lit(1)).alias("rows")
         within = in_partitions(target, touched, parts).observe(seen[1], count)
         kept = unmatched_target(within, src, keys).observe(seen[2], count)
-        self._swap(src.observe(seen[0], count).unionByName(kept), touched, loc, parts, commit, seen[3])
+        self._replace(src.observe(seen[0], count).unionByName(kept), layer, table, version, loc, parts, seen[3])
+        for folder in emptied:  # Spark's overwrite replaces partitions; it does not remove any
+            fs.delete(self.spark, folder)
         n_source, n_target, n_kept = (o.get["rows"] for o in seen[:3])
         return self._committed_in_place(layer, table, version + 1, "merge", n_source,
                                         n_target - n_kept, loc, commit)
 
+    def _emptied(self, src: DataFrame, target: DataFrame, left: DataFrame, keys: list[str], parts: list[str]) -> list[str]:
+        """Folders of the partitions ``left`` (which the source is not in) of whose rows none stays."""
+        rows = in_partitions(target.select(*dict.fromkeys([*keys, *parts]), _folder().alias("_folder")), left, parts)
+        stays = unmatched_target(rows, src, keys).select("_folder").distinct()
+        return [r[0] for r in rows.select("_folder").distinct().join(stays, "_folder", "left_anti").collect()]
+
     def compact_history(self) -> int:
         """Rewrite the load history (one small file per commit) as one file:
         append the consolidated rows, then delete the files they came from.

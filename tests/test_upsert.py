@@ -265,3 +265,85 @@ def test_compact_history_keeps_every_commit(lake, spark):
     assert len(spark.read.parquet(lake.history_path).inputFiles()) == 1
     lake.replace(spark.range(9), "gold", "c")  # commits continue after compaction
     assert lake.history("gold", "c").first().version == 5
+
+
+def _bucket_merge(spark, root, batch, n=2000, buckets=32):
+    from strata.sources.lakehouse import Lakehouse
+    lk = Lakehouse(spark, str(root))
+    old = spark.range(n).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    old = old.unionByName(spark.createDataFrame([(None, "t-null")], SCHEMA))
+    lk.merge(old, "silver", "b", "k", scope="buckets", buckets=buckets)
+    return lk, lk.merge(batch, "silver", "b", "k", scope="buckets")
+
+
+def test_bucket_merge_reads_and_writes_only_the_buckets_of_the_batch(spark, tmp_path):
+    import os
+    from strata.sources.lakehouse import BUCKET
+    lk, first = _bucket_merge(spark, tmp_path / "one", spark.createDataFrame([], SCHEMA))
+    assert (first.version, first.added_records, first.total_records) == (1, 0, 2001)  # nothing to do
+    loc = first.location
+    files = {f: os.stat(f).st_mtime_ns for f in (x.removeprefix("file:") for x in spark.read.parquet(loc).inputFiles())}
+    rows = spark.read.parquet(loc).where("k IN (5, 77)").select(BUCKET).distinct().collect()
+    touched = {r[0] for r in rows} | {r[0] for r in spark.createDataFrame([(5000,)], "k long").select(
+        F.pmod(F.xxhash64("k"), F.lit(32)).cast("int")).collect()}
+    r = lk.merge(spark.createDataFrame([(5, "new"), (77, "new"), (5000, "new")], SCHEMA), "silver", "b", "k", scope="buckets")
+    assert (r.version, r.added_records, r.deleted_records, r.total_records) == (2, 3, 2, 2002)
+    per = {x[BUCKET]: x["count"] for x in spark.range(2000).select(F.pmod(F.xxhash64("id"), F.lit(32)).cast("int").alias(BUCKET))
+           .groupBy(BUCKET).count().collect()}
+    h = lk.history("silver", "b").first().summary
+    assert h["rewritten-buckets"] == str(len(touched)) and h["read-records"] == str(sum(per[b] for b in touched))
+    after = {f: os.stat(f).st_mtime_ns for f in (x.removeprefix("file:") for x in spark.read.parquet(loc).inputFiles())}
+    same = [f for f in files if f in after and after[f] == files[f]]
+    assert {int(f.split(f"{BUCKET}=")[1].split("/")[0]) for f in files} - {int(f.split(f"{BUCKET}=")[1].split("/")[0]) for f in same} == touched
+    got = {(x.k, x.v) for x in lk.read("silver", "b").collect()}
+    assert lk.read("silver", "b").columns == ["k", "v"]
+    assert got == {(i, "new" if i in (5, 77) else "old") for i in range(2000)} | {(5000, "new"), (None, "t-null")}
+
+
+def test_bucket_merge_equals_the_whole_merge(spark, tmp_path):
+    batch = spark.range(1500, 2500).select(F.col("id").alias("k"), F.lit("new").alias("v")).unionByName(
+        spark.createDataFrame([(None, "s-null"), (None, "s-null")], SCHEMA))
+    lk, r = _bucket_merge(spark, tmp_path / "all", batch)
+    target = spark.range(2000).select(F.col("id").alias("k"), F.lit("old").alias("v")).unionByName(
+        spark.createDataFrame([(None, "t-null")], SCHEMA))
+    key = lambda x: (x.k is None, x.k or 0, x.v)
+    assert sorted(lk.read("silver", "b").collect(), key=key) == sorted(merge_upsert(target, batch, "k").collect(), key=key)
+    with pytest.raises(MergeCardinalityError):
+        lk.merge(spark.createDataFrame([(1, "x"), (1, "y")], SCHEMA), "silver", "b", "k", scope="buckets")
+    for wrong in ("table", "partitions"):
+        with pytest.raises(ValueError, match="laid out by buckets"):
+            lk.merge(batch, "silver", "b", "k", scope=wrong)
+    with pytest.raises(ValueError, match="buckets of k"):
+        lk.merge(batch, "silver", "b", "v", scope="buckets")
+
+
+@pytest.mark.parametrize("scope", ["table", "partitions", "buckets"])
+def test_a_commit_that_another_writer_overtook_raises(spark, tmp_path, monkeypatch, scope):
+    from strata.sources import lakehouse
+    root, ddl = str(tmp_path / scope), "k long, y int, v string"
+    parts = ["y"] if scope == "partitions" else None
+    a, b = (lakehouse.Lakehouse(spark, root, register=False) for _ in range(2))
+    a.merge(spark.createDataFrame([(1, 2020, "a")], ddl), "silver", "t", "k", partition_by=parts, scope=scope)
+    check = lakehouse.check_merge_cardinality
+
+    def overtaken(*args):  # b commits between a's read of the version and its write
+        monkeypatch.setattr(lakehouse, "check_merge_cardinality", check)
+        b.merge(spark.createDataFrame([(2, 2020, "b")], ddl), "silver", "t", "k", partition_by=parts, scope=scope)
+        return check(*args)
+
+    monkeypatch.setattr(lakehouse, "check_merge_cardinality", overtaken)
+    with pytest.raises(lakehouse.ConcurrentCommitError):
+        a.merge(spark.createDataFrame([(3, 2020, "c")], ddl), "silver", "t", "k", partition_by=parts, scope=scope)
+    assert sorted(r.k for r in a.read("silver", "t").collect()) == [1, 2]  # b's rows are not lost
+    a.merge(spark.createDataFrame([(3, 2020, "c")], ddl), "silver", "t", "k", partition_by=parts, scope=scope)
+    assert sorted(r.k for r in b.read("silver", "t").collect()) == [1, 2, 3]
+
+
+def test_a_staged_batch_is_a_view_until_it_is_merged(spark, lake):
+    lake.create(spark.createDataFrame([(1, "old"), (2, "old")], SCHEMA), "silver", "sv")
+    with lake.staged_view(spark.createDataFrame([(2, "new"), (3, "new")], SCHEMA), "batch_of_sv") as batch:
+        new = spark.sql("SELECT count(*) AS n FROM batch_of_sv b LEFT ANTI JOIN silver.sv t ON b.k = t.k").first().n
+        assert new == 1
+        lake.merge(batch, "silver", "sv", "k")
+    assert not spark.catalog.tableExists("batch_of_sv")
+    assert sorted(map(tuple, lake.read("silver", "sv").collect())) == [(1, "old"), (2, "new"), (3, "new")]
