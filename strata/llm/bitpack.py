@@ -60,11 +60,13 @@ _BLOCK_DDL = ("shard int, block int, n_ids long, bits int, payload binary, doc_i
 
 
 def shard_edges(own: DataFrame) -> list[tuple]:
-    """Last (key is set, key, hash of text) of every shard of ``own`` (doc_id, text), for shards
-    of about equal numbers of rows: range partitions of the keys alone, one row of each."""
+    """Last (key is set, key, hash of text) of every shard of ``own`` (doc_id, text): as many
+    as the session's shuffle partitions, with about equal numbers of rows. Only keys and
+    hashes are range-partitioned for it; the driver gets one row of each."""
+    shards = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = own.select("doc_id", F.xxhash64("text").alias("h"))
     last = F.max(F.struct(F.col("doc_id").isNotNull().alias("set"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "h"))
-    parts = keys.repartitionByRange(F.asc_nulls_first("doc_id"), "h").groupBy(F.spark_partition_id()).agg(last.alias("last"))
+    parts = keys.repartitionByRange(shards, F.asc_nulls_first("doc_id"), "h").groupBy(F.spark_partition_id()).agg(last.alias("last"))
     return sorted(tuple(r["last"]) for r in parts.collect())
 
 
