@@ -1,12 +1,16 @@
 """Fuzzy line de-duplication.
 
 Lines are normalised (lower case, words without surrounding punctuation) and equal
-ones are one class. Classes get a 64-bit SimHash of their words; two classes within
-``distance`` bits agree on at least ``blocks - distance`` of the blocks the hash is
-cut into (pigeonhole), so they share a key made of that many blocks. Candidates are
-verified by edit similarity of the normalised lines, and of every connected group of
-lines one occurrence stays: the first by (doc_id, line number); of several texts under one
-doc_id, those with the lower hash come first.
+ones are one class. A class is described by SIX SimHashes, its blocks: every word is dealt
+to a block by its hash, and a block is the 64-bit SimHash of its words. An edit touches
+the block of the word that goes and that of the word that comes, so (pigeonhole) lines
+that differ in k words agree on at least 6 - 2k blocks, whatever the words' number. Two
+classes are candidates if they agree on one block (24 words and more), on two (12 and
+more) or on three that hold two fifths of the line (shorter lines).
+
+Candidates are verified by edit similarity of the normalised lines, and of every
+connected group of lines one occurrence stays: the first by (doc_id, line number); of
+several texts under one doc_id, those with the lower hash come first.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 from strata.llm.common import identified, member, staged, text_slices
 from strata.llm.linking import compare, linked_groups
 
+BLOCKS = 6
 PUNCTUATION = ".,;:!?\"'()[]{}<>*_-`~/\\|#$%&@^+="
 
 
@@ -51,23 +56,31 @@ def normalised(lines: list[str]) -> list[str]:
 
 
 def _simhash(hashes: np.ndarray, words: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """64-bit majority vote over the word hashes of every line (``words`` index
-    ``hashes``; a line's words are n from first). Votes are byte counters, eight to a
-    machine word, so lines are summed in runs of at most 255 words."""
+    """64-bit majority vote over the word hashes of every group (``words`` index
+    ``hashes``; a group's words are n from first). Votes are byte counters, eight to a
+    machine word, so groups are summed in runs of at most 255 words."""
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1)
     lanes = np.ascontiguousarray(bits).view(np.uint64)  # (words, 8): a byte for each bit
     runs = -(-n // 255)
-    line = np.repeat(np.arange(len(n)), runs)
-    inside = np.arange(len(line)) - np.repeat(np.cumsum(runs) - runs, runs)
-    sums = np.add.reduceat(lanes[words], first[line] + 255 * inside, axis=0).view(np.uint8)
-    votes = np.add.reduceat(sums, np.cumsum(runs) - runs, axis=0, dtype=np.int32) if len(line) > len(n) else sums
+    group = np.repeat(np.arange(len(n)), runs)
+    inside = np.arange(len(group)) - np.repeat(np.cumsum(runs) - runs, runs)
+    sums = np.add.reduceat(lanes[words], first[group] + 255 * inside, axis=0).view(np.uint8)
+    votes = np.add.reduceat(sums, np.cumsum(runs) - runs, axis=0, dtype=np.int32) if len(group) > len(n) else sums
     return np.packbits(votes.astype(np.int32) * 2 > n[:, None], axis=1).view(np.int64).ravel()
 
 
-def describe_lines(lines: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words, length when normalised, class id (63-bit hash of the normalised words in order) and SimHash of
-    every line; lines without words have class -1. The SimHash is over the words of
-    four and more letters, which tell lines apart, where a line has four of these."""
+def halves(words: list[str]) -> list[int]:
+    """Hashes of the first and last half of the letters, for this length and the next lower."""
+    s = "".join(words)
+    cuts = len(s) // 2, (len(s) - 1) // 2
+    return [xxhash.xxh64_intdigest(x) >> 1 for h in cuts for x in (f"{h}<{s[:h]}", f"{h}>{s[-h:]}")]
+
+
+def describe_lines(lines: pa.Array | list[str]) -> tuple[np.ndarray, ...]:
+    """Words, length when normalised, class id (63-bit hash of the normalised words in order),
+    block SimHashes (lines x 6; 0 without words), the blocks' letters (6 x 10 bits, at
+    most 1023 each) and halves (lines x 4; 0 for lines of 12 words and more or of less than
+    10 letters, which no edit may change) of every line; lines without words have class -1."""
     plain, words, line = split_words(lines)
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, plain), np.uint64, len(plain))
     size = np.fromiter(map(len, plain), np.int32, len(plain))
@@ -77,7 +90,9 @@ def describe_lines(lines: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray,
     n = np.bincount(line, minlength=len(lines))
     length = (np.bincount(line, size[words], len(lines)) + np.maximum(n - 1, 0)).astype(np.int64)
     full = np.nonzero(n)[0]
-    cid, sim = np.full(len(lines), -1, np.int64), np.zeros(len(lines), np.int64)
+    cid = np.full(len(lines), -1, np.int64)
+    blocks, letters = np.zeros((len(lines), BLOCKS), np.int64), np.zeros(len(lines), np.int64)
+    half = np.zeros((len(lines), 4), np.int64)
     if len(full):
         first = np.cumsum(n) - n
         place = (np.arange(len(line)) - first[line]).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -85,13 +100,18 @@ def describe_lines(lines: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray,
         mixed = (mixed ^ (mixed >> np.uint64(29))) * (place * np.uint64(0xBF58476D1CE4E5B9))
         mixed ^= mixed >> np.uint64(32)
         cid[full] = (np.add.reduceat(mixed, first[full]) >> np.uint64(1)).astype(np.int64)
-        telling = size[words] >= 4
-        some = np.bincount(line[telling], minlength=len(lines))
-        use = telling | (some < 4)[line]
-        words, line = words[use], line[use]
-        m = np.bincount(line, minlength=len(lines))
-        sim[full] = _simhash(hashes, words, (np.cumsum(m) - m)[full], m[full])
-    return n, length, cid, sim
+        dealt = ((hashes >> np.uint64(40)) % np.uint64(BLOCKS)).astype(np.int8)[words]
+        for b in range(BLOCKS):
+            own = np.nonzero(dealt == b)[0]
+            own, of = words[own], line[own]
+            m = np.bincount(of, minlength=len(lines))
+            some = np.nonzero(m)[0]
+            if len(some):
+                blocks[some, b] = _simhash(hashes, own, (np.cumsum(m) - m)[some], m[some])
+                letters |= np.minimum(np.bincount(of, size[own], len(lines)), 1023).astype(np.int64) << 10 * b
+        for i in np.nonzero((n > 0) & (n <= 13) & (length - n + 1 >= 10))[0].tolist():
+            half[i] = halves([plain[w] for w in words[first[i]:first[i] + n[i]].tolist()])
+    return n, length, cid, blocks, letters, half
 
 
 def edit_distance(a: str, b: str, most: int | None = None) -> int:
@@ -135,41 +155,50 @@ def similar(a: str, b: str, percent: int) -> bool:
     return max(len(a), len(b)) <= most or edit_distance(a, b, most) <= most
 
 
-def block_masks(blocks: int, distance: int) -> list[int]:
-    """Signed 64-bit masks of the choices of ``blocks - distance`` blocks."""
-    edges = [round(64 * i / blocks) for i in range(blocks + 1)]
-    masks = [sum(((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in chosen)
-             for chosen in combinations(range(blocks), blocks - distance)]
-    return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
+#: Columns that describe a line: number of words, letters and SimHashes of the blocks, halves.
+SIGNATURE = ["words", "letters", *(f"b{i}" for i in range(BLOCKS)), *(f"half{i}" for i in range(4))]
 
 
-def block_keys(sim: Column, blocks: int, distance: int) -> Column:
-    """One key per choice of ``blocks - distance`` blocks of a 64-bit SimHash."""
-    return F.array(*(F.xxhash64(F.lit(i), sim.bitwiseAND(F.lit(m))) for i, m in enumerate(block_masks(blocks, distance))))
+def line_keys() -> Column:
+    """The keys of a line (columns SIGNATURE): one for each block, each two or each three
+    blocks, if these hold enough of the line to be its own, and the halves of short lines.
+    Lines near a limit of their numbers of words have the keys of both sides."""
+    n, letters = F.col("words"), F.col("letters")
+    held = [F.shiftright(letters, 10 * b).bitwiseAND(1023) for b in range(BLOCKS)]
 
+    def keys(r: int, enough) -> Column:
+        made = []
+        for chosen in combinations(range(BLOCKS), r):
+            own = sum((held[b] for b in chosen), F.lit(0))
+            made.append(F.when(enough(own), F.xxhash64(F.lit(r), *(F.lit(b) for b in chosen), *(F.col(f"b{b}") for b in chosen))))
+        return F.array(*made)
 
-def first_shared(a: Column, b: Column, blocks: int, distance: int) -> Column:
-    """Number of the first key that two SimHashes share."""
-    apart = a.bitwiseXOR(b)
-    return F.coalesce(*(F.when(apart.bitwiseAND(F.lit(m)) == 0, F.lit(i)) for i, m in enumerate(block_masks(blocks, distance))))
+    own_text = lambda own: own >= 16  # noqa: E731  letters
+    much = lambda own: 5 * own >= 2 * sum(held, F.lit(0))
+    none = F.array().cast("array<bigint>")
+    schemes = ((1, own_text, n >= 23), (2, own_text, n.between(11, 25)), (3, much, n <= 13))
+    parts = F.array(*(F.nullif(F.col(f"half{i}"), F.lit(0)) for i in range(4)))
+    made = [F.when(use, keys(r, enough)).otherwise(none) for r, enough, use in schemes]
+    return F.array_distinct(F.array_compact(F.concat(*made, F.when(n <= 13, parts).otherwise(none))))
 
 
 def _occurrences(own: DataFrame) -> DataFrame:
-    """(doc, part, line, length, cid, sim) of every line with words."""
-    schema = pa.schema([("doc", pa.int64()), ("part", pa.int64()), ("line", pa.int32()), ("length", pa.int64()), ("cid", pa.int64()), ("sim", pa.int64())])
+    """(doc, part, line, length, cid, SIGNATURE) of every line with words."""
+    small = ("line", "words")
+    schema = pa.schema([(x, pa.int32() if x in small else pa.int64()) for x in ("doc", "part", "line", "length", "cid", *SIGNATURE)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches, 1 << 20):
             split = pc.split_pattern(pc.fill_null(b.column(2), ""), "\n")
-            n, length, cid, sim = describe_lines(split.flatten())
+            n, length, cid, blocks, letters, half = describe_lines(split.flatten())
             lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
             line = np.arange(len(cid)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             docs, parts = (np.repeat(b.column(i).to_numpy(), lengths) for i in (0, 1))
             ok = n > 0
-            yield pa.record_batch([pa.array(docs[ok]), pa.array(parts[ok]), pa.array(line[ok].astype(np.int32)),
-                                   pa.array(length[ok]), pa.array(cid[ok]), pa.array(sim[ok])], schema=schema)
+            columns = [docs, parts, line.astype(np.int32), length, cid, n.astype(np.int32), letters, *blocks.T, *half.T]
+            yield pa.record_batch([pa.array(x[ok], t.type) for x, t in zip(columns, schema)], schema=schema)
 
-    return own.mapInArrow(run, "doc long, part long, line int, length long, cid long, sim long")
+    return own.mapInArrow(run, ", ".join(f"{f.name} {'int' if f.name in small else 'long'}" for f in schema))
 
 
 def _texts_of(own: DataFrame, places: DataFrame) -> DataFrame:
@@ -193,22 +222,21 @@ def _texts_of(own: DataFrame, places: DataFrame) -> DataFrame:
     return held.select("text", "wanted").mapInArrow(run, "id long, value binary")
 
 
-def removed_lines(own: DataFrame, percent: int, blocks: int, distance: int, rounds: int) -> DataFrame:
+def removed_lines(own: DataFrame, percent: int, rounds: int) -> DataFrame:
     """(doc, part, lines): numbers of the lines that go, per document (columns doc, part, text)."""
     found = staged(_occurrences(own), "lines")
-    classes = staged(found.groupBy("cid").agg(F.min("sim").alias("sim"), F.min("length").alias("length"), F.min(F.struct("doc", "part", "line")).alias("first"),
-                                              F.count("*").alias("n")), "line_classes")
-    postings = classes.select(F.posexplode(block_keys(F.col("sim"), blocks, distance)).alias("number", "key"),
-                              F.col("cid").alias("id"), "sim", "length", (-F.col("n")).alias("few"))
+    classes = staged(found.groupBy("cid").agg(*(F.min(c).alias(c) for c in (*SIGNATURE, "length")),  # equal in a class
+                                              F.min(F.struct("doc", "part", "line")).alias("first"), F.count("*").alias("n")),
+                     "line_classes")
+    postings = classes.select(F.explode(line_keys()).alias("key"), F.col("cid").alias("id"), "length", (-F.col("n")).alias("few"))
 
-    def near(sim: Column, other: Column, n: Column, m: Column) -> Column:
-        """SimHashes within the distance, and lengths that the edits allowed can bridge."""
-        return ((F.bit_count(sim.bitwiseXOR(other)) <= distance)
-                & (F.abs(n - m) <= F.floor((100 - percent) * F.greatest(n, m) / 100)))
+    def near(n: Column, m: Column) -> Column:
+        """Lengths that the edits allowed can bridge."""
+        return F.abs(n - m) <= F.floor((100 - percent) * F.greatest(n, m) / 100)
 
-    # keys of one class go, and keys of two that are not near (most of those shared by chance)
+    # keys of one class go, and keys of two that are too different in length
     of_key = Window.partitionBy("key")
-    both = near(F.min("sim").over(of_key), F.max("sim").over(of_key), F.min("length").over(of_key), F.max("length").over(of_key))
+    both = near(F.min("length").over(of_key), F.max("length").over(of_key))
     postings = postings.withColumn("_many", F.count("*").over(of_key)).withColumn("_both", both)
     postings = staged(postings.where((F.col("_many") > 2) | (F.col("_many") == 2) & F.col("_both")).drop("_many", "_both"),
                       "line_postings")
@@ -223,14 +251,8 @@ def removed_lines(own: DataFrame, percent: int, blocks: int, distance: int, roun
         places = staged(classes.join(ids.hint("merge"), "cid").select(F.col("cid").alias("id"), "first.*"), "line_places")
         return compare(pairs, staged(_texts_of(own, places), "line_texts"), "a long, b long", linked)
 
-    def admissible(a: str, b: str) -> Column:
-        """Near, and met at the first key that the two share: every pair is made once."""
-        sims = F.col(f"{a}_sim"), F.col(f"{b}_sim")
-        return (near(*sims, F.col(f"{a}_length"), F.col(f"{b}_length"))
-                & (first_shared(*sims, blocks, distance) == F.col(f"{a}_number")))
-
-    groups = linked_groups(postings, verify, extras=["sim", "length", "few"], places=["number"], central=["few"],
-                           admissible=admissible, rounds=rounds)
+    groups = linked_groups(postings, verify, extras=["length", "few"], central=["few"], rounds=rounds, centres=16,
+                           admissible=lambda a, b: near(F.col(f"{a}_length"), F.col(f"{b}_length")))
     # the first occurrence of every group of more than one line
     named = classes.join(groups.hint("merge"), classes.cid == groups.id, "left").select("cid", "first", "n", F.col("component").alias("group"))
     of_group = named.where("group is not null").groupBy("group").agg(F.min("first").alias("first"))
@@ -241,8 +263,8 @@ def removed_lines(own: DataFrame, percent: int, blocks: int, distance: int, roun
     return staged(gone.groupBy("doc", "part").agg(F.collect_set("line").alias("lines")), "line_removals")
 
 
-def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 90, blocks: int = 5,
-                distance: int = 3, rounds: int = 1, counts: bool = True, drop_emptied: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 90,
+                rounds: int = 1, counts: bool = True, drop_emptied: bool = False) -> DataFrame:
     """``docs`` with all their columns and ``text`` without the lines that repeat
     elsewhere, exactly after normalisation or nearly (edit similarity of ``percent``).
 
@@ -255,14 +277,15 @@ def dedup_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", per
     """
     rows = identified(docs, key, text)
     own = rows.select(F.col("_doc").alias("doc"), F.col("_part").alias("part"), F.col(text).cast("string").alias("text"))
-    gone = removed_lines(own, percent, blocks, distance, rounds)
+    gone = removed_lines(own, percent, rounds)
     base = rows.drop(*("n_lines", "n_removed") if counts else ())
     some = member(gone.select(F.col("doc").alias("id")))("_doc")
     removals = gone.select(F.col("doc").alias("_doc"), F.col("part").alias("_part"), F.col("lines").alias("_gone")).hint("merge")  # grows with the corpus
     joined = base.where(some).join(removals, ["_doc", "_part"], "left").unionByName(
         base.where(~some).withColumn("_gone", F.lit(None).cast("array<int>"))).drop("_doc", "_part")
     split = F.split(F.col(text), "\n", -1)
-    kept = F.filter(split, lambda x, i: ~F.array_contains(F.col("_gone"), i))
+    places = F.array_except(F.sequence(F.lit(0), F.size("_all") - 1), "_gone")
+    kept = F.transform(places, lambda i: F.get("_all", i))
     out = joined.withColumn("_all", split).withColumn("_kept", F.when(F.col("_gone").isNull(), F.col("_all")).otherwise(kept))
     if drop_emptied:
         blank = F.forall("_kept", lambda x: F.trim(x) == "")

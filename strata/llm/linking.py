@@ -105,14 +105,15 @@ def compare(pairs: DataFrame, items: DataFrame, ddl: str, linked: Callable, most
 def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], *, extras: list[str] = (),
                   admissible: Callable[[str, str], Column] | None = None,
                   enough: Callable[[str, str, Column], Column] | None = None, central: list[str] = (),
-                  places: list[str] = (), rounds: int = 1) -> DataFrame:
+                  places: list[str] = (), rounds: int = 1, centres: int = 1) -> DataFrame:
     """(id, component) of linked ids, from postings (key, id, extras), one row per key and id.
 
     Two ids are candidates if they share a key, ``admissible(prefix of a, prefix of b)``
     holds on their extras (and ``places``, columns of the single posting) and
     ``enough(a, b, number of such keys)`` does. First come
     ``rounds`` in which every key's ids are only compared with one centre of the key
-    (the least by the extras ``central``, later ones by a hash). Then every candidate pair whose two ids are still in
+    (the least by the extras ``central``, later ones by a hash), or with ``centres`` of them,
+    the least of as many parts of the key's ids. Then every candidate pair whose two ids are still in
     different components is compared, so no link between components is lost, while
     pairs inside a component, which cannot change the result, are never made.
     """
@@ -129,7 +130,11 @@ def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
             *(central if turn == 0 else ()), F.xxhash64("id", F.lit(turn)), "id")).over(family)
         apart = F.min("comp").over(family) < F.max("comp").over(family)
         rows = rows.select("key", "id", "comp", *extras, *places).withColumn("_apart", apart)
-        if turn < rounds:
+        if turn < rounds and centres > 1:
+            own = rows.where("_apart").withColumn("_deal", F.pmod(F.xxhash64(F.lit(turn), "id"), F.lit(centres)))
+            heads = own.groupBy("key", "_deal").agg(F.min_by(F.struct(*side("a")), F.struct(*central, "id")).alias("_centre"))
+            met = own.select("key", *side("b")).join(heads.select("key", "_centre.*"), "key").where("a_comp <> b_comp")
+        elif turn < rounds:
             met = rows.withColumn("_centre", centre).where("_apart").select(
                 *side("b"), F.col("_centre.id").alias("a"), F.col("_centre.comp").alias("a_comp"),
                 *(F.col(f"_centre.{x}").alias(f"a_{x}") for x in [*extras, *places]))

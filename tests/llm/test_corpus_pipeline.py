@@ -3,9 +3,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
-from strata.llm import lines, toxicity
+from strata.llm import toxicity
 from strata.llm.common import staged, table
-from test_jaccard_lines import components, shingles
+from test_jaccard_lines import components, deduped, shingles
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -40,19 +40,9 @@ def test_every_stage_equals_brute_force_on_its_own_input(spark):
 
     apart = staged(C.without_repeated_lines(spark, clean, SF), "test_lines")
     places = [(d, i, x) for d, r in sorted(rows_of(clean).items()) for i, x in enumerate((r.text or "").split("\n"))]
-    n, _, cid, sim = lines.describe_lines([x for _, _, x in places])
-    plain = lines.normalised([x for _, _, x in places])
-    text_of = {int(c): (t, int(s)) for t, k, c, s in zip(plain, n, cid, sim) if k}
-    group = components(sorted(text_of), lambda a, b: bin((text_of[a][1] ^ text_of[b][1]) & (2 ** 64 - 1)).count("1") <= 3
-                       and lines.similar(text_of[a][0], text_of[b][0], 90))
-    first, left, lost = {}, {}, set()
-    for (d, i, x), k, c in zip(places, n, cid):
-        if not k or first.setdefault(group[int(c)], (d, i)) == (d, i):
-            left.setdefault(d, []).append(x)
-        else:
-            lost.add(d)
-    expected = {d: "\n".join(left.get(d, [])) for d, _, _ in places
-                if d not in lost or any(x.strip(" ") for x in left.get(d, []))}
+    left = deduped(places)
+    whole = {d: (r.text or "").split("\n") for d, r in rows_of(clean).items()}
+    expected = {d: "\n".join(left[d]) for d in whole if len(left[d]) == len(whole[d]) or any(x.strip(" ") for x in left[d])}
     got = rows_of(apart)
     assert {d: r.text for d, r in got.items()} == expected
     assert all(r.n_chars == len(r.text) for r in got.values())

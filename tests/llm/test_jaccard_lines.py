@@ -1,9 +1,14 @@
+import hashlib
 import random
+import textwrap
+import time
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from line_recall import found_share
+
 from strata.llm import jaccard, lines
 
 
@@ -133,19 +138,52 @@ def test_edit_distance():
             assert lines.similar(a, b, p) == (levenshtein(a, b) <= (100 - p) * max(len(a), len(b)) // 100)
 
 
-def test_block_keys_find_every_pair_within_the_distance(spark):
-    rng = np.random.default_rng(1)
-    base = rng.integers(-2 ** 62, 2 ** 62, 50)
-    rows = [(int(b), int(b ^ sum(1 << int(x) for x in rng.choice(63, k, replace=False)))) for b in base for k in (1, 2, 3)]
-    df = spark.createDataFrame(rows, "a long, b long")
-    shared = F.size(F.array_intersect(lines.block_keys(F.col("a"), 5, 3), lines.block_keys(F.col("b"), 5, 3)))
-    assert df.where(shared == 0).count() == 0
+def line_groups(texts):
+    """Smallest member of every normalised line's group by edit similarity of 90 % alone: all
+    pairs but those that their numbers of each character already tell apart."""
+    texts = sorted(set(texts))
+    known = {c: i for i, c in enumerate(sorted(set("".join(texts))))}
+    bags = np.zeros((len(texts), len(known) + 1), np.int32)
+    for i, t in enumerate(texts):
+        np.add.at(bags[i], [known[c] for c in t], 1)
+    size, root = bags.sum(1), list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for i in range(len(texts)):
+        apart = np.abs(bags[i + 1:] - bags[i])
+        low = (apart.sum(1) + np.abs(size[i + 1:] - size[i])) // 2  # no fewer edits
+        for j in (np.nonzero(low <= np.maximum(size[i + 1:], size[i]) // 10)[0] + i + 1).tolist():
+            if find(i) != find(j) and lines.similar(texts[i], texts[j], 90):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    return {t: texts[find(i)] for i, t in enumerate(texts)}
+
+
+def deduped(places):
+    """(document, lines that stay) of (document, number, line) by the definition."""
+    plain = lines.normalised([x for _, _, x in places])
+    group, first, left = line_groups([t for t in plain if t]), {}, {}
+    for (d, i, x), t in sorted(zip(places, plain), key=lambda z: z[0][:2]):
+        left.setdefault(d, [])
+        if not t or first.setdefault(group[t], (d, i)) == (d, i):
+            left[d].append(x)
+    return left
+
+
+@pytest.mark.parametrize("words", [3, 4, 6, 10, 12, 20, 24, 40, 80, 160])
+def test_one_edit_is_found_whatever_the_length(spark, words):
+    assert found_share(spark, words, 1, n=300) >= 0.97
+    if words >= 12:
+        assert found_share(spark, words, 2, n=300) >= 0.85
 
 
 def test_dedup_lines_equals_brute_force(spark):
     rnd, rows = random.Random(8), []
-    stock = [" ".join(f"term{rnd.randint(0, 400)}" for _ in range(rnd.randint(3, 40))) for _ in range(60)]
-    for d in range(60):
+    stock = [" ".join(f"{rnd.choice('abcdefghij')}term{rnd.randint(0, 400)}" for _ in range(rnd.randint(3, 60))) for _ in range(80)]
+    for d in range(100):
         own = []
         for _ in range(rnd.randint(0, 8)):
             line = rnd.choice(stock)
@@ -154,22 +192,29 @@ def test_dedup_lines_equals_brute_force(spark):
                 line = line[:at] + rnd.choice("xyz ") + line[at + 1:]
             own.append(rnd.choice([line, line.upper(), line + "!", ""]))
         rows.append((d, "\n".join(own)))
+    rows.append((100, "\n".join(stock)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     places = [(d, i, x) for d, t in rows for i, x in enumerate(t.split("\n"))]
-    n, _, cid, sim = lines.describe_lines([x for _, _, x in places])
-    plain = lines.normalised([x for _, _, x in places])
-    of = {int(c): (x, int(s)) for x, k, c, s in zip(plain, n, cid, sim) if k}
-    assert len({t for t, _ in of.values()}) == len(of)
-    group = components(sorted(of), lambda a, b: bin((of[a][1] ^ of[b][1]) & (2 ** 64 - 1)).count("1") <= 3
-                       and lines.similar(of[a][0], of[b][0], 90))
-    first, expected = {}, {d: [] for d, _ in rows}
-    for (d, i, x), k, c in zip(places, n, cid):
-        if not k or first.setdefault(group[int(c)], (d, i)) == (d, i):
-            expected[d].append(x)
+    expected = deduped(places)
     got = {r.doc_id: r for r in lines.dedup_lines(docs).collect()}
     assert {d: got[d].text for d in got} == {d: "\n".join(x) for d, x in expected.items()}
     assert all(got[d].n_lines - got[d].n_removed == len(x) for d, x in expected.items())
-    assert len(set(group.values())) < len(group)  # some were only nearly equal
+
+
+def test_lines_of_one_pattern_are_grouped_without_all_their_pairs(spark):
+    """4000 classes share their keys; most are found alike by way of a few centres."""
+    docs = spark.createDataFrame([(i, f"entry {i:04d} of the long alphabetical register of names") for i in range(4000)],
+                                 "doc_id long, text string")
+    assert lines.dedup_lines(docs, drop_emptied=True).count() == 1
+
+
+def test_a_text_of_many_lines_takes_time_in_proportion(spark):
+    text = "\n".join(" ".join(textwrap.wrap(hashlib.md5(str(i % 60_000).encode()).hexdigest(), 7)) for i in range(80_000))
+    docs = spark.createDataFrame([(1, text), (2, "a short one")], "doc_id long, text string")
+    begin = time.time()
+    got = {r.doc_id: r for r in lines.dedup_lines(docs).collect()}
+    assert (got[1].n_lines, got[1].n_removed, got[2].n_removed) == (80_000, 20_000, 0)
+    assert time.time() - begin < 60
 
 
 def test_dedup_lines_edges(edge_docs, no_docs):
