@@ -165,23 +165,19 @@ class SourceOutcome:
 
 
 def union_sources(sources: Iterable[tuple[str, Callable[[], DataFrame]]],
-                  empty: Callable[[], DataFrame] | None = None,
-                  stage: Callable[[DataFrame, str], DataFrame] | None = None
+                  empty: Callable[[], DataFrame] | None = None
                   ) -> tuple[DataFrame | None, list[SourceOutcome]]:
     """Union the frames of several sources by column name, keeping duplicates.
 
-    A source whose reader raises (missing path, failed contract) is skipped
-    and reported; when every source fails the ``empty`` frame is returned.
-    Without ``stage`` only plans are built. With ``stage`` (frame, source name)
-    -> frame, each source is written and read back first, so one that fails
-    while it is read (a corrupt file) is skipped and reported as well.
+    A source whose reader raises (missing path, failed contract, no sound file) is skipped
+    and reported; when every source fails the ``empty`` frame is returned. Only plans
+    are built.
     """
     frames: list[DataFrame] = []
     outcomes: list[SourceOutcome] = []
     for name, make in sources:
         try:
-            df = make()
-            frames.append(stage(df, name) if stage else df)
+            frames.append(make())
             outcomes.append(SourceOutcome(name, True))
         except Exception as exc:  # a failing source must not stop the others
             outcomes.append(SourceOutcome(name, False, f"{type(exc).__name__}: {exc}"))

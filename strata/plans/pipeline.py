@@ -16,9 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import gold, silver
-from strata.session import scratch_path
 from strata.sources import roles
-from strata.sources.bronze import land, read_bronze
+from strata.sources.bronze import land, read_bronze, read_files, sound_files
 from strata.sources.lakehouse import Lakehouse
 
 SILVER_KEYS = {"comments": ["comment_id"], "badges": ["badge_id"], "users": ["user_id"],
@@ -53,40 +52,45 @@ def land_roles(spark: SparkSession, sf_dir: str, bronze_root: str) -> str:
 
 def yearly_silver(spark: SparkSession, bronze_root: str, dataset: str, load_ts,
                   years: list[int] | None = None, report: StageReport | None = None,
-                  stage_root: str | None = None, **options) -> DataFrame:
+                  isolate: bool = False, **options) -> DataFrame:
     """Silver frame of a per-year dataset (``comments`` or ``posts``).
 
     Without ``years``: one scan of the whole dataset, the source year taken
     from the ``year=`` partition column (one file listing, one scan however
     many years). With ``years``: one source per year, each with its year as
     a literal, unioned; missing or invalid years are skipped and reported.
-    With ``stage_root`` each of these sources is written there first, so one
-    that fails while it is read is skipped too. ``options`` go to the transform
-    (``errors``, and ``decoded_only`` for comments).
+    With ``isolate`` the files of all years are read through once first, and those
+    that cannot be read whole are left out and named in the report. ``options`` go to
+    the transform (``errors``, and ``decoded_only`` for comments).
     """
     transform = silver.comments_to_silver if dataset == "comments" else silver.posts_to_silver
 
     def to_silver(df, **kw):
         return transform(df, **kw, **options)
 
-    def stage(df, name):
-        path = f"{stage_root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
     if years is None:
         df = to_silver(read_bronze(spark, bronze_root, dataset), year="year", load_ts=load_ts)
         if report is not None:
             report.ok(f"{dataset}_all_years")
         return df
 
+    files, bad = sound_files(spark, bronze_root, dataset, years) if isolate else ({}, [])
+
     def source(y):
-        return lambda: to_silver(read_bronze(spark, bronze_root, dataset, year=y), year=y,
-                                 load_ts=load_ts)
+        def make():
+            if not isolate:
+                rows = read_bronze(spark, bronze_root, dataset, year=y)
+            elif y in files:
+                rows = read_files(spark, files[y], dataset)
+            else:
+                raise FileNotFoundError("; ".join(f"{f}: {e}" for at, f, e in bad if at == y))
+            return to_silver(rows, year=y, load_ts=load_ts)
+        return make
 
     empty = (lambda: silver.empty_comments(spark)) if dataset == "comments" else None
-    df, outcomes = silver.union_sources(((f"{dataset}_{y}", source(y)) for y in years), empty,
-                                        stage if stage_root else None)
+    df, outcomes = silver.union_sources(((f"{dataset}_{y}", source(y)) for y in years), empty)
+    if report is not None:
+        report.stages += [(f"{dataset}_{y}: {f}", False, e) for y, f, e in bad if y in files]
     if report is not None:
         for o in outcomes:
             report.stages.append((o.name, o.ok, o.error or ""))
@@ -107,17 +111,16 @@ def run_silver(spark: SparkSession, bronze_root: str, lake: Lakehouse, load_ts=N
     keys. The scheduled comments job is ``errors='ignore', decoded_only='none'``.
     """
     report = StageReport()
-    sources = scratch_path(spark, "silver_sources") if years is not None else None
     lake.ensure_namespace("silver")
     jobs = {
         "comments": lambda: yearly_silver(spark, bronze_root, "comments", load_ts, years, report,
-                                          sources, errors=errors, decoded_only=decoded_only),
+                                          True, errors=errors, decoded_only=decoded_only),
         "badges": lambda: silver.badges_to_silver(
             read_bronze(spark, bronze_root, "badges"), load_ts=load_ts, errors=errors),
         "users": lambda: silver.users_to_silver(
             read_bronze(spark, bronze_root, "users"), load_ts=load_ts, as_of=as_of, errors=errors),
         "posts": lambda: yearly_silver(spark, bronze_root, "posts", load_ts, years, report,
-                                       sources, errors=errors),
+                                       True, errors=errors),
     }
     done = []
     for ds in datasets or jobs:

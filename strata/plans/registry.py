@@ -1054,7 +1054,7 @@ def q_silver_comments_multi_source(spark, sf):
     b = roles.bronze(spark, sf, "comments").withColumn("year", F.year("CreationDate"))
     B.land(b, f"{root}/comments", partition_by=["year"])
     years = B.partition_years(spark, root, "comments") + [MISSING_YEAR]  # one source missing
-    return pipeline.yearly_silver(spark, root, "comments", O.LOAD_TS, years)
+    return pipeline.yearly_silver(spark, root, "comments", O.LOAD_TS, years, isolate=True)
 
 
 @register("silver_other_datasets", _verify_sql({"badges": 9, "users": 15, "posts": 26}))

@@ -40,21 +40,27 @@ def test_medallion_raises_when_a_silver_stage_fails(spark, tmp_path, monkeypatch
         pipeline.run_medallion(spark, SF, str(tmp_path / "m"), "2024-06-01 00:00:00", "2001-12-31")
 
 
-def test_a_corrupt_source_is_skipped_and_reported(spark, tmp_path):
-    from strata.operators import silver
-    good = spark.createDataFrame([(1,)], "k long")
-    good.write.parquet(str(tmp_path / "bad"))
-    bad = spark.read.parquet(str(tmp_path / "bad"))
-    for f in (tmp_path / "bad").glob("*.parquet"):
-        f.write_bytes(b"PAR1 not a footer PAR1")
-
-    def stage(df, name):
-        df.write.mode("overwrite").parquet(str(tmp_path / f"staged_{name}"))
-        return spark.read.parquet(str(tmp_path / f"staged_{name}"))
-
-    out, outcomes = silver.union_sources([("good", lambda: good), ("bad", lambda: bad)], stage=stage)
-    assert [(o.name, o.ok) for o in outcomes] == [("good", True), ("bad", False)]
-    assert out.count() == 1
+def test_damaged_files_of_a_year_are_left_out_and_named(spark, tmp_path):
+    root = pipeline.land_roles(spark, SF, str(tmp_path / "bronze"))
+    years = sorted(int(p.name[5:]) for p in (tmp_path / "bronze" / "comments").glob("year=*"))
+    one, gone = years[1], years[2]
+    whole = pipeline.yearly_silver(spark, root, "comments", "2024-06-01 00:00:00", years)
+    per_year = {r.comment_year: r["count"] for r in whole.groupBy("comment_year").count().collect()}
+    folder = tmp_path / "bronze" / "comments" / f"year={one}"
+    good = sorted(folder.glob("*.parquet"))
+    (folder / "broken.parquet").write_bytes(b"PAR1 not a footer PAR1")
+    data = good[0].read_bytes()
+    n = len(data) // 3
+    (folder / "torn.parquet").write_bytes(data[:n // 4] + b"\xff" * 2 * n + data[2 * n + n // 4:])  # pages, not the footer
+    for f in (tmp_path / "bronze" / "comments" / f"year={gone}").glob("*.parquet"):
+        f.write_bytes(b"PAR1")
+    report = pipeline.StageReport()
+    got = pipeline.yearly_silver(spark, root, "comments", "2024-06-01 00:00:00", [*years, 1990], report, True)
+    assert {r.comment_year: r["count"] for r in got.groupBy("comment_year").count().collect()} == {
+        y: n for y, n in per_year.items() if y != gone}
+    failed = {name.rsplit("/", 1)[-1]: note for name, ok, note in report.stages if not ok}
+    assert set(failed) == {"broken.parquet", "torn.parquet", f"comments_{gone}", "comments_1990"}
+    assert "readable rows" in failed["torn.parquet"]
 
 
 def test_cli_keeps_the_sessions_settings(spark):
