@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import gold, silver
+from strata.session import scratch_path
 from strata.sources import roles
 from strata.sources.bronze import land, read_bronze, read_files, sound_files
-from strata.sources.lakehouse import Lakehouse
+from strata.sources.lakehouse import Lakehouse, in_partitions
 
 SILVER_KEYS = {"comments": ["comment_id"], "badges": ["badge_id"], "users": ["user_id"],
                "posts": ["post_id"]}
@@ -141,17 +142,20 @@ def _silver(lake: Lakehouse) -> dict[str, DataFrame]:
     return {t: lake.read("silver", t) for t in ("users", "posts", "comments", "badges")}
 
 
+#: How each gold table is made from the silver tables.
+GOLD_BUILDERS = {
+    "user_post_metrics": lambda s, run_ts: gold.user_post_metrics(s["posts"], run_ts),
+    "badges_summary": lambda s, run_ts: gold.badges_summary(s["badges"]),
+    "user_engagement": lambda s, run_ts: gold.user_engagement_score(s["users"], s["posts"], s["comments"], s["badges"], run_ts),
+    "comment_activity": lambda s, run_ts: gold.comment_activity(s["comments"]),
+    "user_comment_engagement": lambda s, run_ts: gold.user_comment_engagement(s["comments"], s["users"]),
+    "post_summary": lambda s, run_ts: gold.post_summary(s["posts"]),
+    "badge_distribution": lambda s, run_ts: gold.badge_distribution(s["badges"]),
+}
+
+
 def gold_frames(s: dict[str, DataFrame], run_ts=None) -> dict[str, DataFrame]:
-    return {
-        "user_post_metrics": gold.user_post_metrics(s["posts"], run_ts),
-        "badges_summary": gold.badges_summary(s["badges"]),
-        "user_engagement": gold.user_engagement_score(s["users"], s["posts"], s["comments"],
-                                                      s["badges"], run_ts),
-        "comment_activity": gold.comment_activity(s["comments"]),
-        "user_comment_engagement": gold.user_comment_engagement(s["comments"], s["users"]),
-        "post_summary": gold.post_summary(s["posts"]),
-        "badge_distribution": gold.badge_distribution(s["badges"]),
-    }
+    return {name: make(s, run_ts) for name, make in GOLD_BUILDERS.items()}
 
 
 def _run_gold(lake: Lakehouse, names: list[str], run_ts) -> DataFrame:
@@ -191,6 +195,83 @@ def _run_gold(lake: Lakehouse, names: list[str], run_ts) -> DataFrame:
     return lake.verify("gold", names)
 
 
+# ---- refresh by changed keys ------------------------------------------------
+
+#: Columns of a silver row that decide which gold rows it is counted in.
+CHANGE_COLUMNS = {"users": ["user_id"], "posts": ["owner_user_id", "post_year", "post_month", "post_type_id"],
+                  "comments": ["user_id", "comment_year", "comment_month"],
+                  "badges": ["user_id", "badge_name", "badge_year"]}
+#: Keys of every gold table, and of which silver columns they come.
+GOLD_KEYS = {
+    "user_post_metrics": {"posts": {"user_id": "owner_user_id"}},
+    "badges_summary": {"badges": {"user_id": "user_id"}},
+    "user_engagement": {"users": {"user_id": "user_id"}, "posts": {"user_id": "owner_user_id"},
+                        "comments": {"user_id": "user_id"}, "badges": {"user_id": "user_id"}},
+    "comment_activity": {"comments": {"comment_year": "comment_year", "comment_month": "comment_month"}},
+    "user_comment_engagement": {"comments": {"user_id": "user_id"}, "users": {"user_id": "user_id"}},
+    "post_summary": {"posts": {c: c for c in ("post_year", "post_month", "post_type_id")}},
+    "badge_distribution": {"badges": {"badge_name": "badge_name", "badge_year": "badge_year"}},
+}
+
+
+def load_tracked(lake: Lakehouse, dataset: str, batch: DataFrame, buckets: int = 16) -> DataFrame:
+    """Merge a batch into a silver table; returns what it changed: CHANGE_COLUMNS of its rows
+    and of the rows that they replace, each once, written before the merge."""
+    spark, key = lake.spark, SILVER_KEYS[dataset]
+    parts, columns = SILVER_PARTITIONS.get(dataset), CHANGE_COLUMNS[dataset]
+    path = scratch_path(spark, "changes", dataset)
+    with lake.staged_view(batch, f"batch_{dataset}") as staged:
+        changed = staged.select(*columns)
+        if lake.exists("silver", dataset):
+            old = lake.read("silver", dataset).select(*dict.fromkeys([*key, *columns]))
+            changed = changed.unionByName(old.join(staged.select(*key), key, "left_semi").select(*columns))
+        changed.distinct().write.parquet(path)
+        lake.merge(staged, "silver", dataset, key, partition_by=parts, scope="partitions" if parts else "buckets", buckets=buckets)
+    return spark.read.schema(changed.schema).parquet(path)
+
+
+def changed_keys(changes: dict[str, DataFrame], table: str) -> DataFrame | None:
+    """The keys of a gold table that the changes of silver tables may alter."""
+    out = None
+    for dataset, columns in GOLD_KEYS[table].items():
+        if dataset in changes:
+            own = changes[dataset].select(*(F.col(c).alias(k) for k, c in columns.items()))
+            out = own if out is None else out.unionByName(own)
+    return None if out is None else out.distinct()
+
+
+def _of(rows: DataFrame, keys: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """The rows of a silver table whose ``columns`` hold one of the keys (NULL is a key too)."""
+    scope = keys.select(*(F.col(k).alias(c) for k, c in columns.items())).withColumn("in_scope", F.lit(True))
+    return in_partitions(rows, scope, list(columns.values()))
+
+
+def refresh_gold(lake: Lakehouse, changes: dict[str, DataFrame], tables: list[str] | None = None, run_ts=None,
+                 buckets: int = 16) -> DataFrame:
+    """Bring gold tables up to date after loads (``changes``: silver table -> what
+    ``load_tracked`` returned). Only the groups of changed keys are recomputed, from the
+    silver rows of these keys, and put in the place of the old ones; a group that has no
+    row any more goes. A table that is not there yet is built whole. Rows of other groups
+    keep their ``fecha_cargue``."""
+    lake.ensure_namespace("gold")
+    tables = tables or GOLD_USER_METRICS + GOLD_ACTIVITY
+    spark = lake.spark
+    s = {d: lake.read("silver", d) for d in dict.fromkeys(d for t in tables for d in GOLD_KEYS[t])}
+    for table in tables:
+        keys = list(next(iter(GOLD_KEYS[table].values())))
+        first = not lake.exists("gold", table)
+        changed = changed_keys(changes, table)
+        if first:
+            lake.replace_keys(GOLD_BUILDERS[table](s, run_ts), None, "gold", table, keys, buckets)
+        elif changed is not None:
+            path = scratch_path(spark, "changed_keys", table)
+            changed.write.parquet(path)
+            changed = spark.read.schema(changed.schema).parquet(path)
+            own = s | {d: _of(s[d], changed, columns) for d, columns in GOLD_KEYS[table].items()}
+            lake.replace_keys(GOLD_BUILDERS[table](own, run_ts), changed, "gold", table, keys, buckets)
+    return lake.verify("gold", tables)
+
+
 def run_gold_user_metrics(lake: Lakehouse, run_ts=None) -> DataFrame:
     return _run_gold(lake, GOLD_USER_METRICS, run_ts)
 

@@ -20,6 +20,10 @@ Layout under ``root`` (any Hadoop path: hdfs://, s3a://, file:)::
 * A table merged with ``scope='buckets'`` is laid out by ``key_bucket``, a hash bucket of
   its keys, so a batch reads and rewrites only the buckets of its own keys. The column
   belongs to the layout: ``read`` leaves it out.
+* ``replace(cluster_by=(column, n))`` writes Spark buckets of a column and registers them,
+  so aggregates by it and joins of tables that share it need no exchange;
+  ``replace(sort_by=column)`` orders the rows by it over all files, with Bloom filters, so a
+  look-up by its value reads few row groups.
 * Counts for the history come from ``Observation``s on the single write.
 * Each table is also registered in the session catalog as ``<layer>.<table>``
   (external, pointing at the current version) so ``spark.table`` and SQL work.
@@ -137,8 +141,8 @@ class Lakehouse:
         rows = self.spark.sql(f"SHOW TBLPROPERTIES `{layer}`.`{table}`").collect()
         return {r["key"]: r["value"] for r in rows if not r["key"].startswith("spark.")}
 
-    def _bind(self, layer: str, table: str, location: str,
-              properties: dict[str, str] | None = None) -> None:
+    def _bind(self, layer: str, table: str, location: str, properties: dict[str, str] | None = None,
+              summary: dict[str, str] | None = None) -> None:
         """Point catalog table ``layer.table`` at ``location``.
 
         The entry is re-created on every commit: a moved location would keep
@@ -152,12 +156,17 @@ class Lakehouse:
         self.ensure_namespace(layer)
         name = f"`{layer}`.`{table}`"
         props = self.properties(layer, table) | (properties or {})
-        tbl = ""
+        tbl = columns = clustered = ""
+        if "clusters" in (summary or {}):
+            by, n = summary["clustered-by"], summary["clusters"]
+            columns = " (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                                       for f in self.spark.read.parquet(location).schema.fields) + ")"
+            clustered = f" CLUSTERED BY (`{by}`) INTO {n} BUCKETS"
         if props:
             tbl = " TBLPROPERTIES (" + ", ".join(
                 f"'{k}' = '{v}'" for k, v in sorted(props.items())) + ")"
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'{tbl}")
+        self.spark.sql(f"CREATE TABLE {name}{columns} USING parquet{clustered} LOCATION '{location}'{tbl}")
 
     # ---- history ---------------------------------------------------------
 
@@ -214,7 +223,9 @@ class Lakehouse:
         """Current (or a given) version of a table. A version whose folder a later
         partition-scoped commit rewrote in place no longer exists and raises."""
         if version is None:
-            loc = self._current(layer, table)[1]
+            _, loc, summary = self._current(layer, table)
+            if loc and self.register and "clusters" in summary:
+                return self.spark.table(f"`{layer}`.`{table}`")  # knows its buckets
         else:
             commits = self._commits(layer, table)
             loc = next((r["location"] for r in commits if r["version"] == version), None)
@@ -253,6 +264,23 @@ class Lakehouse:
             w = w.partitionBy(*partition_by)
         w.parquet(path)
 
+    def _write_clustered(self, df: DataFrame, path: str, by: str, n: int, commit: str, obs: Observation) -> None:
+        """Spark buckets of ``by``. Spark writes these as a table; a name of the commit's own
+        holds it until the table itself is bound to the folder. A hot key's bucket is
+        written by several tasks."""
+        name = f"default.strata_{commit}"
+        rows = df.hint("rebalance", n, by).observe(obs, F.count(F.lit(1)).alias("rows"))
+        (rows.write.format("parquet").option("path", path).option("compression", self.compression)
+         .bucketBy(n, by).saveAsTable(name))
+        self.spark.sql(f"DROP TABLE {name}")  # external: the files stay
+
+    def _write_sorted(self, df: DataFrame, path: str, by: str, obs: Observation) -> None:
+        """Range partitions of ``by`` (equal values are spread by a hash of the row), sorted."""
+        spread = F.xxhash64(*df.columns)
+        rows = df.repartitionByRange(F.col(by), spread).sortWithinPartitions(by).observe(obs, F.count(F.lit(1)).alias("rows"))
+        (rows.write.mode("overwrite").option("compression", self.compression)
+         .option(f"parquet.bloom.filter.enabled#{by}", "true").option("parquet.block.size", str(32 << 20)).parquet(path))
+
     def _staged(self, df: DataFrame, commit: str, name: str) -> DataFrame:
         """``df`` written once under the table root, for plans that read it several times."""
         path = f"{self.root}/_batches/{commit}/{name}"
@@ -268,11 +296,16 @@ class Lakehouse:
         commit = uuid.uuid4().hex[:12]
         path = self._version_path(layer, table, version, commit)
         obs = Observation(f"write_{layer}_{table}_{commit}")
-        self._write(df, path, partition_by, obs)
+        if "clusters" in (summary or {}):
+            self._write_clustered(df, path, summary["clustered-by"], int(summary["clusters"]), commit, obs)
+        elif "sorted-by" in (summary or {}):
+            self._write_sorted(df, path, summary["sorted-by"], obs)
+        else:
+            self._write(df, path, partition_by, obs)
         n = obs.get["rows"]
         res = LoadResult(layer, table, version, operation, n, 0, n, path, summary or {})
         self._append_history(res, commit)
-        self._bind(layer, table, path, properties)
+        self._bind(layer, table, path, properties, summary)
         return res
 
     def create(self, df: DataFrame, layer: str, table: str,
@@ -285,12 +318,20 @@ class Lakehouse:
         return self._commit(df, layer, table, "append", partition_by, 1,
                             {str(k): str(v) for k, v in (properties or {}).items()})
 
-    def replace(self, df: DataFrame, layer: str, table: str,
-                partition_by: list[str] | None = None) -> LoadResult:
+    def replace(self, df: DataFrame, layer: str, table: str, partition_by: list[str] | None = None,
+                cluster_by: tuple[str, int] | None = None, sort_by: str | None = None) -> LoadResult:
         """Full rebuild; the new version takes the frame's schema (so added
-        columns appear — the merge-schema request of a full replace)."""
+        columns appear — the merge-schema request of a full replace).
+        ``cluster_by`` (column, number) writes Spark buckets, which need the catalog;
+        ``sort_by`` orders the rows by a column."""
+        if sum(x is not None for x in (partition_by, cluster_by, sort_by)) > 1:
+            raise ValueError("a table has one layout: partition_by, cluster_by or sort_by")
+        if cluster_by and not self.register:
+            raise ValueError("cluster_by needs tables registered in the catalog")
+        summary = {"clustered-by": cluster_by[0], "clusters": str(cluster_by[1])} if cluster_by else {}
+        summary |= {"sorted-by": sort_by} if sort_by else {}
         return self._commit(df, layer, table, "overwrite", partition_by,
-                            self._current(layer, table)[0] + 1)
+                            self._current(layer, table)[0] + 1, summary=summary)
 
     def overwrite_partitions(self, df: DataFrame, layer: str, table: str,
                              partition_by: list[str]) -> LoadResult:
@@ -416,6 +457,48 @@ class Lakehouse:
         finally:
             self._clear(commit)
 
+    def replace_keys(self, rows: DataFrame, changed: DataFrame, layer: str, table: str,
+                     keys: list[str], buckets: int = 16) -> LoadResult:
+        """Put ``rows`` in the place of all rows whose ``keys`` are in ``changed`` (the keys, NULL
+        being a value like any other); keys that ``rows`` lacks are gone. The table is laid
+        out by ``buckets`` hash buckets of the keys, of which only those of changed keys
+        are read and rewritten; the first load creates it."""
+        version, loc, summary = self._current(layer, table)
+        if loc is not None and summary.get("bucket-keys") != ",".join(keys):
+            raise ValueError(f"{layer}.{table} is not laid out by buckets of {', '.join(keys)}")
+        n = int(summary.get("buckets", buckets))
+        summary = {"buckets": str(n), "bucket-keys": ",".join(keys)}
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(n)).cast("int").alias(BUCKET)
+        if loc is None:
+            return self._commit(rows.select("*", bucket), layer, table, "append", [BUCKET], 1, summary=summary)
+        commit = uuid.uuid4().hex[:12]
+        try:
+            target = self.spark.read.parquet(loc)
+            scope = self._staged(changed.select(*keys).distinct().select("*", bucket), commit, "changed")
+            touched = sorted(r[0] for r in scope.select(BUCKET).distinct().collect())
+            if not touched:
+                return LoadResult(layer, table, version, "refresh", 0, 0, target.count(), loc)
+            new = self._staged(rows.select(*[c for c in target.columns if c != BUCKET]), commit, "rows").select("*", bucket)
+            seen = [Observation(f"refresh_{x}_{commit}") for x in ("new", "target", "kept", "all")]
+            count = F.count(F.lit(1)).alias("rows")
+            within = target.where(F.col(BUCKET).isin(touched)).observe(seen[1], count)
+            other = scope.select(*(F.col(k).alias(f"_{k}") for k in keys))
+            same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+            kept = within.join(other, same, "left_anti").observe(seen[2], count)
+            # a bucket that is left without a row is not in the write, so it goes by hand
+            left = new.select(BUCKET).union(target.where(F.col(BUCKET).isin(touched)).join(other, same, "left_anti").select(BUCKET))
+            emptied = sorted(set(touched) - {r[0] for r in left.distinct().collect()})
+            folders = [] if not emptied else [r[0] for r in target.where(F.col(BUCKET).isin(emptied)).select(_folder().alias("f")).distinct().collect()]
+            self._replace(new.observe(seen[0], count).unionByName(kept), layer, table, version, loc, [BUCKET], seen[3])
+            for folder in folders:
+                fs.delete(self.spark, folder)
+            n_new, n_target, n_kept = (o.get["rows"] for o in seen[:3])
+            return self._committed_in_place(
+                layer, table, version + 1, "refresh", n_new, n_target - n_kept, loc, commit,
+                summary | {"rewritten-buckets": str(len(touched)), "read-records": str(n_target)})
+        finally:
+            self._clear(commit)
+
     def _merge_buckets(self, src: DataFrame, target: DataFrame, layer: str, table: str, keys: list[str],
                        touched: list[int], version: int, loc: str, commit: str, summary: dict[str, str]) -> LoadResult:
         """``target``: the rows of the buckets ``touched``, all that is read of the table."""

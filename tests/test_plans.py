@@ -56,3 +56,47 @@ def test_sort_merge_shapes_exchange_each_side_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_colocated_tables_need_no_exchange(spark):
+    """Broadcast off, as for large data: tables bucketed by user are aggregated and joined in place."""
+    from strata.operators import gold
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        s = R.colocated_silver(spark, SF)
+        apart = R.silvers(spark, SF)
+        score = lambda x: gold.user_engagement_score(x["users"], x["posts"], x["comments"], x["badges"], "2024-01-01 00:00:00")
+        for adaptive in ("true", "false"):
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            for make in (score, R.left_join_using):
+                assert "Exchange" not in plan(make(s)) and "Exchange" in plan(make(apart))
+        df = score(s)
+        assert sorted(map(tuple, df.drop("fecha_cargue").collect()), key=str) == sorted(
+            map(tuple, score(apart).drop("fecha_cargue").collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_look_up_on_sorted_rows_reads_few_of_them(spark, lake):
+    from pyspark.sql import functions as F
+
+    from strata.plans import analytics
+    rows = spark.range(400_000).select((F.xxhash64("id") % 5_000).alias("k"), "id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    rows = rows.withColumn("k", F.when(F.col("id") % 3 == 0, 77).otherwise(F.col("k")))  # a third of all under one key
+
+    def read_rows(df):
+        df.collect()
+        p = df._jdf.queryExecution().executedPlan()
+        leaves = (p.executedPlan() if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else p).collectLeaves()
+        return leaves.apply(0).metrics().apply("numOutputRows").value()
+
+    want = sorted(r.id for r in rows.where("k = 4321").collect())
+    lake.create(rows, "silver", "heap")
+    lake.replace(rows, "silver", "ordered", sort_by="k")
+    assert lake.history("silver", "ordered").first().summary["sorted-by"] == "k"
+    found = {t: analytics.browse_by_key(lake.read("silver", t), "k", 4321, 1000, "id") for t in ("heap", "ordered")}
+    assert [r.id for r in found["heap"].collect()] == [r.id for r in found["ordered"].collect()] == want
+    assert read_rows(found["heap"]) == 400_000 and read_rows(found["ordered"]) < 60_000
+    files = lake.read("silver", "ordered").withColumn("f", F.input_file_name())
+    assert files.where("k = 77").select("f").distinct().count() > 1  # the hot key is not one task's
