@@ -2,7 +2,7 @@
 
 Lines are normalised (lower case, words without surrounding punctuation) and equal
 ones are one class. A class is described by SIX SimHashes, its blocks: every word is dealt
-to a block by its hash, and a block is the 64-bit SimHash of its words. An edit touches
+to a block by its hash, and a block is the 64-bit SimHash of its distinct words. An edit touches
 the block of the word that goes and that of the word that comes, so (pigeonhole) lines
 that differ in k words agree on at least 6 - 2k blocks, whatever the words' number. Two
 classes are candidates if they agree on one block (24 words and more), on two (12 and
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import identified, member, staged, text_slices
-from strata.llm.linking import compare, linked_groups
+from strata.llm.linking import compare_by, linked_groups
 
 BLOCKS = 6
 PUNCTUATION = ".,;:!?\"'()[]{}<>*_-`~/\\|#$%&@^+="
@@ -40,7 +40,9 @@ def split_words(lines: pa.Array | list[str]) -> tuple[list[str], np.ndarray, np.
         lines = pa.array(lines, pa.string())
     split = pc.ascii_split_whitespace(pc.utf8_lower(lines))
     words = split.flatten().dictionary_encode()
-    plain = [w if w.isalnum() else w.strip(PUNCTUATION) for w in words.dictionary.to_pylist()]
+    names = words.dictionary  # joined and split: the quickest way to Python strings
+    every = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), " ")[0].as_py()
+    plain = [w if w.isalnum() else w.strip(PUNCTUATION) for w in (every.split(" ") if len(names) else [])]
     lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
     return plain, words.indices.to_numpy(), np.repeat(np.arange(len(lines), dtype=np.int32), lengths)
 
@@ -101,9 +103,11 @@ def describe_lines(lines: pa.Array | list[str]) -> tuple[np.ndarray, ...]:
         mixed ^= mixed >> np.uint64(32)
         cid[full] = (np.add.reduceat(mixed, first[full]) >> np.uint64(1)).astype(np.int64)
         dealt = ((hashes >> np.uint64(40)) % np.uint64(BLOCKS)).astype(np.int8)[words]
+        pairs = line * np.int64(len(plain)) + words
         for b in range(BLOCKS):
-            own = np.nonzero(dealt == b)[0]
-            own, of = words[own], line[own]
+            own = np.sort(pairs[dealt == b])  # every word of a line votes once, so none that it repeats decides alone
+            own = own[np.append(True, own[1:] != own[:-1])] if len(own) else own
+            of, own = np.divmod(own, len(plain))
             m = np.bincount(of, minlength=len(lines))
             some = np.nonzero(m)[0]
             if len(some):
@@ -188,7 +192,7 @@ def _occurrences(own: DataFrame) -> DataFrame:
     schema = pa.schema([(x, pa.int32() if x in small else pa.int64()) for x in ("doc", "part", "line", "length", "cid", *SIGNATURE)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches, 1 << 20):
+        for b in text_slices(batches, 4 << 20):
             split = pc.split_pattern(pc.fill_null(b.column(2), ""), "\n")
             n, length, cid, blocks, letters, half = describe_lines(split.flatten())
             lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
@@ -207,7 +211,7 @@ def _texts_of(own: DataFrame, places: DataFrame) -> DataFrame:
     wanted = places.groupBy("doc", "part").agg(F.collect_list(F.struct("id", "line")).alias("wanted"))
     held = own.where(member(places.select(F.col("doc").alias("id")).distinct())("doc")).dropDuplicates(["doc", "part"]).join(
         wanted.hint("merge"), ["doc", "part"])
-    schema = pa.schema([("id", pa.int64()), ("value", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("value", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in text_slices(batches):
@@ -216,10 +220,10 @@ def _texts_of(own: DataFrame, places: DataFrame) -> DataFrame:
                 split = (t or "").split("\n")
                 ids += [x["id"] for x in some]
                 found += [split[x["line"]] for x in some]
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array([x.encode() for x in normalised(found)], pa.binary())],
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(normalised(found), pa.string())],
                                   schema=schema)
 
-    return held.select("text", "wanted").mapInArrow(run, "id long, value binary")
+    return held.select("text", "wanted").mapInArrow(run, "id long, value string")
 
 
 def removed_lines(own: DataFrame, percent: int, rounds: int) -> DataFrame:
@@ -241,15 +245,15 @@ def removed_lines(own: DataFrame, percent: int, rounds: int) -> DataFrame:
     postings = staged(postings.where((F.col("_many") > 2) | (F.col("_many") == 2) & F.col("_both")).drop("_many", "_both"),
                       "line_postings")
 
-    def linked(a, b) -> bool:
-        return similar(a.as_py().decode(), b.as_py().decode(), percent)
+    most = f"cast((100 - {int(percent)}) * greatest(length(v_a), length(v_b)) div 100 as int)"
+    linked = F.expr(f"levenshtein(v_a, v_b, {most}) >= 0")
 
     def verify(pairs: DataFrame) -> DataFrame:
         if pairs.isEmpty():
             return pairs
         ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
         places = staged(classes.join(ids.hint("merge"), "cid").select(F.col("cid").alias("id"), "first.*"), "line_places")
-        return compare(pairs, staged(_texts_of(own, places), "line_texts"), "a long, b long", linked)
+        return compare_by(pairs, staged(_texts_of(own, places), "line_texts"), linked)
 
     groups = linked_groups(postings, verify, extras=["length", "few"], central=["few"], rounds=rounds, centres=16,
                            admissible=lambda a, b: near(F.col(f"{a}_length"), F.col(f"{b}_length")))

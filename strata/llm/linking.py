@@ -102,6 +102,23 @@ def compare(pairs: DataFrame, items: DataFrame, ddl: str, linked: Callable, most
     return rows.mapInArrow(run, ddl)
 
 
+def _with_value(pairs: DataFrame, items: DataFrame, side: str, most: int) -> DataFrame:
+    """``pairs`` with the value of their ``side`` as v_<side>; the pairs of one id are dealt to
+    parts of about ``most``, each with its own copy of the value, so no task has all of a hot id's."""
+    sizes = pairs.groupBy(side).agg(F.ceil(F.count("*") / most).alias("_parts"))
+    other = "b" if side == "a" else "a"
+    dealt = pairs.join(sizes, side).withColumn("_part", F.pmod(F.xxhash64(other), F.col("_parts"))).drop("_parts")
+    copies = sizes.select(F.col(side).alias("id"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_part"))
+    values = items.select("id", "value").join(copies, "id").select(F.col("id").alias(side), "_part", F.col("value").alias(f"v_{side}"))
+    return dealt.join(values.hint("merge"), [side, "_part"]).drop("_part")
+
+
+def compare_by(pairs: DataFrame, items: DataFrame, linked: Column, most: int = 5_000) -> DataFrame:
+    """The pairs (a, b) for which ``linked`` (of the columns v_a and v_b, the values of ``items``)
+    holds, by DataFrame functions alone."""
+    return _with_value(_with_value(pairs, items, "a", most), items, "b", most).where(linked).select("a", "b")
+
+
 def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], *, extras: list[str] = (),
                   admissible: Callable[[str, str], Column] | None = None,
                   enough: Callable[[str, str, Column], Column] | None = None, central: list[str] = (),
@@ -112,8 +129,8 @@ def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
     holds on their extras (and ``places``, columns of the single posting) and
     ``enough(a, b, number of such keys)`` does. First come
     ``rounds`` in which every key's ids are only compared with one centre of the key
-    (the least by the extras ``central``, later ones by a hash), or with ``centres`` of them,
-    the least of as many parts of the key's ids. Then every candidate pair whose two ids are still in
+    (the least by the extras ``central``, later ones by a hash); keys of more than 64 ids have
+    ``centres``, the least of as many parts of their ids. Then every candidate pair whose two ids are still in
     different components is compared, so no link between components is lost, while
     pairs inside a component, which cannot change the result, are never made.
     """
@@ -131,7 +148,8 @@ def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame],
         apart = F.min("comp").over(family) < F.max("comp").over(family)
         rows = rows.select("key", "id", "comp", *extras, *places).withColumn("_apart", apart)
         if turn < rounds and centres > 1:
-            own = rows.where("_apart").withColumn("_deal", F.pmod(F.xxhash64(F.lit(turn), "id"), F.lit(centres)))
+            parts = F.when(F.count("*").over(family) > 64, centres).otherwise(1)
+            own = rows.withColumn("_deal", F.pmod(F.xxhash64(F.lit(turn), "id"), parts)).where("_apart")
             heads = own.groupBy("key", "_deal").agg(F.min_by(F.struct(*side("a")), F.struct(*central, "id")).alias("_centre"))
             met = own.select("key", *side("b")).join(heads.select("key", "_centre.*"), "key").where("a_comp <> b_comp")
         elif turn < rounds:

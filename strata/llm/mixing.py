@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import staged
+from strata.llm.common import NO_KEY, staged
 
 Weights = dict[str, dict[str, int]]
 
@@ -72,8 +72,11 @@ def budgets(leaves: DataFrame, levels: list[str], weights: Weights, tokens: int,
 
 
 def mix(docs: DataFrame, levels: dict[str, Column], weights: Weights, *, share_of_tokens: float | None = None,
-        tokens: int | None = None, epochs: int = 1, seed: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows doc_id, levels, n_tokens, passes, taken of the documents in the mixture.
+        tokens: int | None = None, epochs: int = 1, seed: int = 0, key: str = "doc_id", text: str = "text",
+        n_tokens: Column | None = None, identity: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows doc_id, levels, n_tokens, passes, taken of the documents in the mixture, and the
+    columns ``keep``. ``n_tokens`` gives the tokens where they are known; documents are
+    drawn by ``identity`` (default: the key).
 
     ``levels`` names the tree's levels from the top and gives their columns; NULL there
     is a node named ''. The budget is ``tokens``, or ``share_of_tokens`` of all tokens,
@@ -84,9 +87,11 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: Weights, *, share_o
     not read.
     """
     names = list(levels)
-    own = staged(docs.select(F.col(key).cast("long").alias("doc_id"),
+    drawn_by = F.coalesce(F.col(key).cast("long").cast("string") if identity is None else identity, F.lit(""))
+    own = staged(docs.select(F.col(key).cast("long").alias("doc_id"), *keep, drawn_by.alias("_identity"),
                              *(F.coalesce(c.cast("string"), F.lit("")).alias(n) for n, c in levels.items()),
-                             word_count(F.col(text)).alias("n_tokens")).where("n_tokens > 0"), "mix_documents")
+                             (word_count(F.col(text)) if n_tokens is None else n_tokens).alias("n_tokens")).where("n_tokens > 0"),
+                 "mix_documents")
     leaves = staged(own.groupBy(*names).agg(F.sum("n_tokens").alias("available")), "mix_leaves")
     total = int(leaves.agg(F.sum("available")).first()[0] or 0)
     wanted = int(tokens if tokens is not None else share_in_tokens(total, share_of_tokens if share_of_tokens is not None else 1.0))
@@ -95,7 +100,7 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: Weights, *, share_o
     quotas = quotas.select(*names, whole.alias("whole"), (F.col("quota") - whole * F.col("available")).alias("rest"))
     drawn = own.join(quotas, names)  # one row per leaf; AQE splits a hot leaf
     drawn = drawn.withColumn("_draw", F.md5(F.concat_ws(":", F.lit(str(seed)), (F.col("whole") + 1).cast("string"),
-                                                        F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary")))
+                                                        F.col("_identity")).cast("binary")))
     drawn = staged(drawn.withColumn("_bucket", F.substring("_draw", 1, 3)), "mix_drawn")
     order = Window.partitionBy(*names).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = drawn.groupBy(*names, "_bucket").agg(F.sum("n_tokens").alias("_sum"))
@@ -105,10 +110,39 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: Weights, *, share_o
     before = F.col("_start") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))
     last = F.greatest(F.lit(0), F.least("n_tokens", F.col("rest") - F.col("_before")))
     placed = placed.withColumn("_before", before).withColumn("_last", last)
-    return placed.select("doc_id", *names, "n_tokens", (F.col("whole") + (F.col("_last") > 0).cast("int")).alias("passes"),
+    return placed.select("doc_id", *keep, *names, "n_tokens", (F.col("whole") + (F.col("_last") > 0).cast("int")).alias("passes"),
                          (F.col("whole") * F.col("n_tokens") + F.col("_last")).alias("taken")).where("taken > 0")
 
 
+def keep_mixture(docs: DataFrame, levels: dict[str, Column], weights: Weights, *, key: str = "doc_id", text: str = "text",
+                 **options) -> DataFrame:
+    """The rows of ``docs`` that one pass of the mixture takes, with their columns.
+
+    Every row is drawn and kept on its own: by its key if no other row has it, else by
+    key, a hash of all its columns and its number among the rows that are equal in all
+    columns. Of such rows as many stay as are drawn, whichever. Rows without words go.
+    """
+    docs = docs.select("*", F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("_doc"), F.xxhash64(*docs.columns).alias("_part"))
+    named = {f"_l{i}": F.coalesce(c.cast("string"), F.lit("")) for i, c in enumerate(levels.values())}
+    rows = docs.select("_doc", "_part", F.col(key).cast("long").alias("doc_id"), *(c.alias(n) for n, c in named.items()),
+                       word_count(F.col(text)).alias("_tokens")).where("_tokens > 0")
+    own = staged(rows.groupBy(*rows.columns).agg(F.count("*").alias("_copies")), "mix_rows")
+    shared = own.groupBy("_doc").agg(F.sum("_copies").alias("_of_key")).where((F.col("_of_key") > 1) & (F.col("_doc") != NO_KEY))
+    marked = own.where(F.col("_doc") != NO_KEY).join(shared, "_doc", "left").unionByName(
+        own.where(F.col("_doc") == NO_KEY).withColumn("_of_key", F.lit(2).cast("long")))
+    each = marked.withColumn("_number", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    alone = F.col("doc_id").cast("string")
+    identity = F.when(F.col("_of_key").isNull(), alone).otherwise(F.concat_ws(":", alone, F.col("_part"), F.col("_number")))
+    taken = mix(each, dict(zip(levels, map(F.col, named))), weights, key="doc_id", n_tokens=F.col("_tokens"), identity=identity,
+                keep=("_doc", "_part"), epochs=1, **options)
+    counts = taken.groupBy("_doc", "_part").agg(F.count("*").alias("_taken"))
+    kept = staged(own.select("_doc", "_part", "_copies").join(counts, ["_doc", "_part"]), "mixture")
+    whole = docs.join(kept.where("_taken = _copies").select("_doc", "_part"), ["_doc", "_part"], "left_semi")
+    some = docs.join(kept.where("_taken < _copies").select("_doc", "_part", "_taken"), ["_doc", "_part"])
+    some = some.groupBy(*some.columns).agg(F.count("*").alias("_n")).withColumn("_again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_taken"))))
+    return whole.unionByName(some.select(*docs.columns)).drop("_doc", "_part")
+
+
 def share_in_tokens(total: int, share: float) -> int:
     """Tokens of a share given to a millionth, in whole numbers."""
     return total * round(share * 1_000_000) // 1_000_000

@@ -152,7 +152,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column | None = None, *, samp
              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(F.length("text") <= longest)
     ids = own.select("doc_id").join(toxic, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = staged(own.join(ids, "doc_id").dropDuplicates(["doc_id"])
+    one = F.min_by(F.struct("text", "toxic"), F.struct(F.xxhash64("text"), "text"))  # of several texts under one key
+    rows = staged(own.join(ids, "doc_id").groupBy("doc_id").agg(one.alias("one")).select("doc_id", "one.*")
                   .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(4))), "toxicity_sample")
     counts = rows.agg(F.count("*").alias("n"), F.sum("toxic").alias("bad")).first()
     fold = {(r.calibrates, r.toxic): r.n for r in rows.groupBy((F.col("fold") == 0).alias("calibrates"), "toxic")

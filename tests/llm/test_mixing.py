@@ -63,3 +63,15 @@ def test_epochs_and_empty_tables(spark, no_docs):
     assert mixing.mix(no_docs, mix_levels(), MIX_WEIGHTS, share_of_tokens=0.5).count() == 0
     plan = mixing.mix(docs, mix_levels(), MIX_WEIGHTS)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_without_a_key_or_with_a_repeated_one_are_drawn_on_their_own(spark):
+    text = "ten words are in every one of these short texts"
+    for rows in ([(None, f"{text} {i}") for i in range(400)], [(5, f"{text} {i}") for i in range(400)],
+                 [(i // 2, f"{text} {i}") for i in range(400)], [(None, f"{text} same")] * 400, [(7, f"{text} same")] * 400,
+                 [(i, f"{text} {i}") for i in range(400)]):
+        docs = spark.createDataFrame([(k, t, "en", "src0", i % 1) for i, (k, t) in enumerate(rows)],
+                                     "doc_id long, text string, lang string, source string, n_chars long")
+        kept = mixing.keep_mixture(docs, mix_levels(), MIX_WEIGHTS, share_of_tokens=0.9, seed=1)
+        assert kept.columns == docs.columns and kept.count() in (360, 361)
+        assert kept.exceptAll(docs).count() == 0
