@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import jaccard, lines, mixing, packing, toxicity
-from strata.llm.common import importable, keyed, staged, table, without
+from strata.llm.common import importable, staged, table
 from strata.llm.queries import MIX_WEIGHTS, mix_levels
 
 ORACLE_SQL = None  # SQL cannot express the trained model, edit distance or packing
@@ -41,10 +41,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the target mixture takes, in one pass over 90 % of the tokens."""
     importable(spark)
-    taken = mixing.mix(docs, mix_levels(), MIX_WEIGHTS, share_of_tokens=0.9, epochs=1, seed=1)
-    kept = staged(taken.select(keyed(F.col("doc_id")).alias("id")), "mixture")
-    left_out = docs.select(keyed(F.col("doc_id")).alias("id")).join(kept.hint("merge"), "id", "left_anti")
-    return without(docs, "doc_id", staged(left_out, "left_out"))
+    return mixing.keep_mixture(docs, mix_levels(), MIX_WEIGHTS, share_of_tokens=0.9, seed=1)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
