@@ -2,10 +2,13 @@
 
 A neighbour list per vector is started from random-projection buckets and refined
 by joins of neighbours with neighbours: at every vector, all vectors that list it or
-that it lists meet, and each keeps the nearest it has met. Recall is audited on
-sampled queries against all vectors; refinement goes on until it is high enough.
-Lists whose every entry is above the threshold are saturated and may hide links to
-other groups (a group: the vectors reachable over links). So every vector then meets the
+that it lists meet, and each keeps the nearest it has met. A list whose every entry is
+above the threshold is saturated and may hide more links: it becomes twice as wide and
+its vector is refined again, until its last entry is no link or it is ``widest`` wide
+(in a large group of copies lists as long as the group would be its square). Recall is
+audited on sampled queries against all vectors; refinement goes on until it is high
+enough. Lists that are saturated even so may hide links to other groups (a group: the
+vectors reachable over links). So every vector then meets the
 nearest of other groups in new projection buckets, and groups are joined until no such
 link is found and the audit is passed; links that the audit finds are used as well.
 Links are counted by comparing a group's vectors in blocks that return counts only.
@@ -72,7 +75,7 @@ def start_lists(classes: DataFrame, trees: int, width: int, leaf: int, worst: fl
                                       names=["tree", "code", "id", "group", "component", "vec"])
 
     coded = classes.select("id", "group", "bits", "component", "vec").mapInArrow(
-        keys, "tree long, code long, id long, group string, component long, vec array<float>")
+        keys, "tree long, code long, id long, group string, component long, vec array<double>")
     bucket = ["tree", "group", "code"]
     parts = coded.groupBy(*bucket).agg(F.ceil(F.count("*") / (4 * leaf)).alias("parts"))
     dealt = coded.join(parts, bucket).withColumn("part", F.pmod(F.xxhash64("id", "tree", F.lit(seed)), F.col("parts")))
@@ -81,49 +84,63 @@ def start_lists(classes: DataFrame, trees: int, width: int, leaf: int, worst: fl
         ids, x = table.column("id").to_numpy(), _unit(_rows(table.column("vec")))
         component, sims = table.column("component").to_numpy(), x @ x.T
         sims[component[:, None] == component[None, :]] = -3.0
-        return _nearest(ids, sims, np.full(len(ids), worst), width)
+        return _nearest(ids, sims, np.full(len(ids), worst), np.full(len(ids), width))
 
     return dealt.groupBy(*bucket, "part").applyInArrow(near, "u long, v long, sim double")
 
 
-def _nearest(ids: np.ndarray, sims: np.ndarray, worst: np.ndarray, width: int) -> pa.Table:
-    """The ``width`` nearest others per row, if nearer than ``worst``."""
+def _nearest(ids: np.ndarray, sims: np.ndarray, worst: np.ndarray, widths: np.ndarray) -> pa.Table:
+    """The nearest others per row, at most ``widths`` of them, if nearer than ``worst``."""
     np.fill_diagonal(sims, -3.0)
-    k = min(width, len(ids) - 1)
+    k = min(int(widths.max(initial=0)), len(ids) - 1)
     if k < 1:
         return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64()), "sim": pa.array([], pa.float64())})
     at = np.argpartition(-sims, k - 1, axis=1)[:, :k]
     s = np.take_along_axis(sims, at, 1)
-    ok = s > worst[:, None]
+    order = np.argsort(-s, axis=1)
+    at, s = np.take_along_axis(at, order, 1), np.take_along_axis(s, order, 1)
+    ok = (s > worst[:, None]) & (np.arange(k)[None, :] < widths[:, None])
     return pa.table({"u": np.repeat(ids, k)[ok.ravel()], "v": ids[at].ravel()[ok.ravel()], "sim": s.ravel()[ok.ravel()]})
 
 
-def best(edges: DataFrame, width: int) -> DataFrame:
-    """One row per vector: its ``width`` nearest as an array of (sim, v), nearest first."""
+def best(edges: DataFrame, width: int, widths: DataFrame | None = None) -> DataFrame:
+    """One row per vector: its nearest as an array of (sim, v), nearest first, and the
+    ``width`` of the list, which ``widths`` (u, width) gives for the vectors that it names."""
     one = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"))
+    one = one.withColumn("width", F.lit(width)) if widths is None else one.join(widths, "u", "left").withColumn(
+        "width", F.coalesce("width", F.lit(width)))
     place = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v"))
-    top = one.withColumn("place", place).where(F.col("place") <= width)
-    lists = top.groupBy("u").agg(F.collect_list(F.struct("sim", "v")).alias("near"))
-    return lists.select("u", F.sort_array("near", asc=False).alias("near"))
+    top = one.withColumn("place", place).where(F.col("place") <= F.col("width"))
+    lists = top.groupBy("u").agg(F.collect_list(F.struct("sim", "v")).alias("near"), F.max("width").alias("width"))
+    return lists.select("u", F.sort_array("near", asc=False).alias("near"), "width")
 
 
-def refine(classes: DataFrame, lists: DataFrame, width: int) -> DataFrame:
-    """New (u, v, sim) found by joining neighbours with neighbours: every vector
-    gathers the vectors it lists and, lowest hash first, ``width`` that list it."""
+def enlarged(lists: DataFrame, threshold: float, most: int) -> DataFrame:
+    """Widths (u, width) for the next round: twice as wide where every entry of a full list is
+    a link (a saturated list may hide more), up to ``most``."""
+    full = (F.size("near") >= F.col("width")) & (F.element_at("near", -1)["sim"] >= threshold)
+    return lists.select("u", F.when(full, F.least(2 * F.col("width"), F.lit(most))).otherwise(F.col("width")).alias("width"))
+
+
+def refine(classes: DataFrame, lists: DataFrame, widths: DataFrame) -> DataFrame:
+    """New (u, v, sim) found by joining neighbours with neighbours: every vector gathers the
+    vectors it lists and, lowest hash first, as many that list it as its list is wide
+    (``widths``: of the lists to come)."""
     forward = lists.select("u", F.explode("near").alias("e")).select(F.col("u").alias("w"), F.col("e.v").alias("id"))
     back = forward.select(F.col("id").alias("w"), F.col("w").alias("id"))
     place = F.row_number().over(Window.partitionBy("w").orderBy(F.xxhash64("w", "id"), "id"))
-    back = back.withColumn("place", place).where(F.col("place") <= width).select("w", "id")
+    room = widths.select(F.col("u").alias("w"), "width")
+    back = back.withColumn("place", place).join(room, "w").where(F.col("place") <= F.col("width")).select("w", "id")
     met = forward.union(back).union(lists.select(F.col("u").alias("w"), F.col("u").alias("id"))).distinct()
-    worst = lists.select(F.col("u").alias("id"), F.when(F.size("near") >= width, F.element_at("near", -1)["sim"])
-                         .otherwise(-2.0).alias("worst"))
-    rows = met.join(classes.select("id", "vec").join(worst, "id", "left"), "id")
+    own = lists.select("u", "near").join(widths, "u").select(
+        F.col("u").alias("id"), "width", F.when(F.size("near") >= F.col("width"), F.element_at("near", -1)["sim"]).otherwise(-2.0).alias("worst"))
+    rows = met.join(classes.select("id", "vec").join(own, "id", "left"), "id")
 
     def near(table: pa.Table) -> pa.Table:
         ids, x = table.column("id").to_numpy(), _unit(_rows(table.column("vec")))
-        return _nearest(ids, x @ x.T, table.column("worst").fill_null(-2.0).to_numpy(), width)
+        return _nearest(ids, x @ x.T, table.column("worst").fill_null(-2.0).to_numpy(), table.column("width").fill_null(1).to_numpy())
 
-    return rows.select("w", "id", "vec", "worst").groupBy("w").applyInArrow(near, "u long, v long, sim double")
+    return rows.select("w", "id", "vec", "worst", "width").groupBy("w").applyInArrow(near, "u long, v long, sim double")
 
 
 def links_across(classes: DataFrame, groups: DataFrame, trees: int, width: int, leaf: int, threshold: float, seed: int) -> DataFrame:
@@ -146,7 +163,7 @@ def audit(classes: DataFrame, groups: DataFrame, threshold: float, queries: int,
     of: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for g in {r.group for r in sample}:
         own = [r for r in sample if r.group == g]
-        of[g] = np.array([r.id for r in own]), _unit(np.array([r.vec for r in own], np.float32).astype(np.float64))
+        of[g] = np.array([r.id for r in own]), _unit(np.array([r.vec for r in own], np.float64))
     shared = spark.sparkContext.broadcast(of)  # at most ``queries`` vectors
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,8 +208,8 @@ def links_within(classes: DataFrame, groups: DataFrame, threshold: float, block:
 
 
 def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", label: str = "label",
-                    threshold: float = 0.93, width: int = 8, trees: int = 8, leaf: int = 64, recall: float = 0.98,
-                    rounds: int = 4, queries: int = 256) -> DataFrame:
+                    threshold: float = 0.93, width: int = 8, widest: int = 64, trees: int = 8, leaf: int = 64,
+                    recall: float = 0.98, rounds: int = 4, queries: int = 256) -> DataFrame:
     """vec_id, n_links, component_id, kept of every vector.
 
     Vectors of one label and length link at cosine >= ``threshold``; a component is
@@ -202,27 +219,35 @@ def near_duplicates(vectors: DataFrame, *, key: str = "vec_id", vector: str = "e
     gives no rows; other columns are not read.
     """
     own = vectors.select(F.col(key).cast("long").alias("id"), F.col(label).cast("string").alias("label"),
-                         F.col(vector).cast("array<float>").alias("vec"))
+                         F.col(vector).cast("array<double>").alias("vec"))
     own = own.withColumn("usable", usable(F.col("vec"), F.col("label"), F.col("id")))
     grouped = own.where("usable").withColumn("group", F.concat_ws("|", F.size("vec").cast("string"), "label"))
     classes = staged(grouped.groupBy("group", "vec").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "nn_vectors")
     sizes = classes.groupBy("group").agg(F.greatest(F.lit(0), F.ceil(F.log2(F.count("*") / leaf))).cast("int").alias("bits"))
     classes = staged(classes.join(sizes, "group"), "nn_classes")
-    edges, lists, groups = start_lists(classes.withColumn("component", F.col("id")), trees, width, leaf), None, None
+    edges, lists, groups, widths = start_lists(classes.withColumn("component", F.col("id")), trees, width, leaf), None, None, None
     for turn in range(rounds + 1):
         if lists is not None:
             edges = edges.union(lists.select("u", F.explode("near").alias("e")).select("u", F.col("e.v").alias("v"), F.col("e.sim").alias("sim")))
-        old, lists = lists, staged(best(edges, width), "nn_lists")
+        old, lists = lists, staged(best(edges, width, widths), "nn_lists")
         if old is not None:
             drop(old)
+            drop(widths)
+        widths = staged(enlarged(lists, threshold, widest), "nn_widths")
+        grown = staged(lists.select("u", F.col("width").alias("was")).join(widths, "u").where("width > was").select("u"), "nn_grown")
+        grows = not grown.isEmpty()
         if turn:
             links = (lists.select("u", F.explode("near").alias("e")).where(F.col("e.sim") >= threshold)
                      .select(F.col("u").alias("a"), F.col("e.v").alias("b")))
             groups = staged(connected_components(links), "nn_groups")
-            if audit(classes, groups, threshold, queries)[0] >= recall:
+            if not grows and audit(classes, groups, threshold, queries)[0] >= recall:
                 break
         if turn < rounds:
-            edges = refine(classes, lists, width)
+            edges = refine(classes, lists, widths)
+            if grows:  # what a list let go while it was too short is met again in new buckets
+                wide = min(widest, width << (turn + 1))
+                again = start_lists(classes.withColumn("component", F.col("id")), 2, wide, leaf, seed=70 + turn)
+                edges = edges.union(again.join(grown, "u", "left_semi"))
     turn, share = 0, 0.0
     while share < recall:  # every turn but the last joins groups
         turn += 1

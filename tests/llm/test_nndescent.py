@@ -6,7 +6,7 @@ from strata.llm import nndescent
 
 def brute(rows, threshold):
     n, root = {}, {}
-    usable = [(i, l, np.array(v, np.float32).astype(float)) for i, v, l in rows if i is not None and l is not None and v
+    usable = [(i, l, np.array(v, float)) for i, v, l in rows if i is not None and l is not None and v
               and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     ids = [i for i, *_ in usable]
     root = {i: i for i in ids}
@@ -59,6 +59,39 @@ def test_links_between_saturated_clusters(spark):
     assert got == want and len({c for _, c in want.values()}) == 12
 
 
+def test_enlarged_lists_show_the_links_that_saturated_ones_hide(spark, monkeypatch):
+    """The same kind of clusters by the lists alone: the search across groups finds nothing."""
+    rng, out = np.random.default_rng(9), []
+    for _ in range(6):
+        one, other = np.linalg.qr(rng.standard_normal((32, 2)))[0].T
+        for centre in (one, 0.94 * one + np.sqrt(1 - 0.94 ** 2) * other):
+            for _ in range(14):
+                out.append((len(out), [float(x) for x in centre + rng.standard_normal(32) * 0.004], 0))
+    df = spark.createDataFrame(out, "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(nndescent, "links_across", lambda classes, *a: classes.select("id", "id").toDF("a", "b").limit(0))
+    monkeypatch.setattr(nndescent, "audit", lambda classes, *a: (1.0, classes.select("id", "id").toDF("a", "b").limit(0)))
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nndescent.near_duplicates(df, width=4, rounds=6).collect()}
+    assert got == brute(out, 0.93)
+
+
+def test_cosines_of_doubles(spark):
+    """Vectors whose cosine is on different sides of the threshold as floats and as doubles."""
+    rng, out = np.random.default_rng(4), []
+    while len(out) < 40:
+        a = rng.standard_normal(8)
+        b = rng.standard_normal(8)
+        b -= a * (a @ b) / (a @ a)
+        c = 0.93 + float(rng.choice([-1, 1])) * 10 ** rng.uniform(-12, -9)
+        v = c * a / np.linalg.norm(a) + np.sqrt(1 - c * c) * b / np.linalg.norm(b)
+        cosine = lambda x, y: x @ y / np.linalg.norm(x) / np.linalg.norm(y)
+        as_float = cosine(*(np.float32(x).astype(float) for x in (a, v)))
+        if (cosine(a, v) >= 0.93) != (as_float >= 0.93) and abs(cosine(a, v) - 0.93) > 1e-13:
+            out += [(len(out), a.tolist(), len(out)), (len(out) + 1, v.tolist(), len(out))]
+    df = spark.createDataFrame(out, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in nndescent.near_duplicates(df).collect()}
+    assert got == brute(out, 0.93)
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     odd = [(1, [1.0, 0.0], 0), (2, [1.0, 0.0], 0), (3, [2.0, 0.0], 0), (4, [1.0, 0.0], 1), (5, None, 0), (6, [], 0), (7, [0.0, 0.0], 0),
