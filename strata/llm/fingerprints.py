@@ -14,6 +14,7 @@ words the corpus has; frequencies are exact counts of those ids over all documen
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import bitmap, drop, in_bitmap, staged, text_slices
+from strata.llm.common import bitmap, drop, in_bitmap, member, staged, text_slices
 
 PUNCTUATION = ".,;:!?\"'()[]{}<>*_-`~/\\|"
 BUCKETS = 1 << 22
@@ -37,10 +38,24 @@ def terms_of(text: str) -> set[str]:
     return {w.strip(PUNCTUATION) for w in set(text.lower().split())} - {""}
 
 
+class _Ids(dict):
+    """Ids of terms; the first ``room`` distinct ones are kept."""
+
+    room = 300_000
+
+    def __missing__(self, term: str) -> int:
+        found = xxhash.xxh64_intdigest(term) % BUCKETS
+        if len(self) < self.room:
+            self[term] = found
+        return found
+
+
+_IDS = _Ids()
+
+
 def term_ids(terms: set[str]) -> np.ndarray:
     """Sorted distinct ids of the terms."""
-    n = len(terms)
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(t) % BUCKETS for t in terms), np.int64, n))
+    return np.unique(np.fromiter(map(_IDS.__getitem__, terms), np.int64, len(terms)))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -98,10 +113,9 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
         for b in text_slices(batches):
             texts = [t or "" for t in b.column(0).to_pylist()]
             n, chars = n + len(texts), chars + sum(map(len, texts))
-            sets = [terms_of(t) for t in texts]
-            id_of = {t: xxhash.xxh64_intdigest(t) % BUCKETS for t in set().union(*sets)}
-            ids = [np.unique(np.fromiter((id_of[t] for t in x), np.int64, len(x))) for x in sets]
-            counts += np.bincount(np.concatenate(ids), minlength=BUCKETS).astype(np.int32)
+            ids = np.sort(np.concatenate([term_ids(terms_of(t)) for t in texts]))
+            heads = np.nonzero(np.append(True, ids[1:] != ids[:-1]))[0] if len(ids) else ids
+            counts[ids[heads]] += np.diff(np.append(heads, len(ids))).astype(np.int32)
         at = np.nonzero(counts)[0]
         yield pa.record_batch([pa.array(np.append(at, [-1, -2])), pa.array(np.append(counts[at], [n, chars]).astype(np.int64))],
                               schema=schema)
@@ -121,24 +135,33 @@ def fit_lexicon(docs: DataFrame, least_df: int, most_share: float) -> tuple[Lexi
 
 
 def in_key_order(docs: DataFrame, buckets: int) -> DataFrame:
-    """Rows (bucket, tail, doc_id, text): every bucket holds a range of keys, and
-    after it, with ``tail``, the first document of the next range (after the last:
-    of the first), so a task that reads a bucket in order sees each document's successor."""
-    spark = docs.sparkSession
-    marks = docs.approxQuantile("order_key", [i / buckets for i in range(1, buckets)], 0.001) if buckets > 1 else []
-    edges = np.unique(np.array(marks, np.float64))
+    """Rows (bucket, tail, order_key, h, doc_id, text) of ``docs`` (order_key, h, doc_id, text):
+    every bucket holds a range of (key, hash of text), about as many rows as any other,
+    and after it, with ``tail``, the first document of the next range (after the last:
+    of the first), so a task that reads a bucket in order sees each document's successor.
+
+    The ranges are Spark's range partitions of keys and hashes alone, of which the driver
+    gets the first and last; rows without a key or with a repeated one are split by hash."""
+    place = F.struct("order_key", "h")
+    parts = (docs.select("order_key", "h").repartitionByRange(buckets, "order_key", "h").groupBy(F.spark_partition_id())
+             .agg(F.min(place).alias("first"), F.max(place).alias("last")).collect())
+    parts = sorted((tuple(r["first"]), tuple(r["last"])) for r in parts)
+    ends = [last for _, last in parts]
 
     @F.pandas_udf(T.IntegerType())
-    def bucket_of(keys: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, keys.to_numpy(np.float64), "right").astype(np.int32))
+    def bucket_of(keys: pd.Series, hashes: pd.Series) -> pd.Series:
+        most = len(ends) - 1
+        return pd.Series([min(bisect_left(ends, x), most) for x in zip(keys.tolist(), hashes.tolist())], dtype=np.int32)
 
-    own = docs.withColumn("bucket", bucket_of("order_key"))
-    heads = [(r.bucket, r.head) for r in own.select("bucket", "order_key").groupBy("bucket")
-             .agg(F.min("order_key").alias("head")).orderBy("bucket").collect()]  # one row per bucket
-    before = [(head, heads[i - 1][0]) for i, (_, head) in enumerate(heads)]
-    tails = spark.createDataFrame(before, "order_key long, bucket int")
-    again = own.drop("bucket").join(F.broadcast(tails), "order_key").select("bucket", F.lit(True).alias("tail"), "order_key", "doc_id", "text")
-    return own.select("bucket", F.lit(False).alias("tail"), "order_key", "doc_id", "text").unionByName(again)
+    own = docs.withColumn("bucket", bucket_of("order_key", "h"))
+    spark = docs.sparkSession
+    before = [(first[0], first[1], (i - 1) % len(parts)) for i, (first, _) in enumerate(parts)]
+    tails = spark.createDataFrame(before, "order_key long, h long, bucket int")
+    some = member(tails.select(F.xxhash64("order_key", "h").alias("id")))(F.xxhash64("order_key", "h"))
+    heads = docs.where(some).dropDuplicates(["order_key", "h"])  # equal keys and hashes: equal texts
+    again = heads.join(tails.hint("merge"), ["order_key", "h"])
+    columns = ["bucket", "tail", "order_key", "h", "doc_id", "text"]
+    return own.withColumn("tail", F.lit(False)).select(*columns).unionByName(again.withColumn("tail", F.lit(True)).select(*columns))
 
 
 def fingerprint_edits(docs: DataFrame, *, key: str = "doc_id", text: str = "text", least_df: int = 2,
@@ -148,7 +171,7 @@ def fingerprint_edits(docs: DataFrame, *, key: str = "doc_id", text: str = "text
 
     NULL text is empty; a text without any term has the fingerprint of no terms;
     NULL keys come first in the order; rows with equal keys follow each other in
-    order of text; a single document is its own successor; an empty table gives no
+    order of a hash of text; a single document is its own successor; an empty table gives no
     rows; other columns are not read.
     """
     spark = docs.sparkSession
@@ -156,10 +179,10 @@ def fingerprint_edits(docs: DataFrame, *, key: str = "doc_id", text: str = "text
                       F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     lexicon, chars = fit_lexicon(own, least_df, most_share)
     shared = spark.sparkContext.broadcast(lexicon)  # a bitmap of BUCKETS bits
-    keyed = own.withColumn("order_key", F.coalesce("doc_id", F.lit(-(1 << 62))))
+    keyed = own.withColumns({"order_key": F.coalesce("doc_id", F.lit(-(1 << 62))), "h": F.xxhash64("text")})
     rows = in_key_order(keyed, max(1, -(-chars // bucket_chars)))
     ordered = (rows.repartitionById(max(1, -(-chars // bucket_chars)), "bucket")
-               .sortWithinPartitions("bucket", "tail", "order_key", "text"))
+               .sortWithinPartitions("bucket", "tail", "order_key", "h"))
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
                         ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
                         ("near_edited", pa.float64()), ("near_next", pa.float64())])

@@ -5,7 +5,7 @@ ones are one class. A class is described by SIX SimHashes, its blocks: every wor
 to a block by its hash, and a block is the 64-bit SimHash of its distinct words. An edit touches
 the block of the word that goes and that of the word that comes, so (pigeonhole) lines
 that differ in k words agree on at least 6 - 2k blocks, whatever the words' number. Two
-classes are candidates if they agree on one block (24 words and more), on two (12 and
+classes are candidates if they agree on one block (20 words and more), on two (12 and
 more) or on three that hold two fifths of the line (shorter lines).
 
 Candidates are verified by edit similarity of the normalised lines, and of every
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import identified, member, staged, text_slices
-from strata.llm.linking import compare_by, linked_groups
+from strata.llm.linking import compare, linked_groups
 
 BLOCKS = 6
 PUNCTUATION = ".,;:!?\"'()[]{}<>*_-`~/\\|#$%&@^+="
@@ -113,7 +114,7 @@ def describe_lines(lines: pa.Array | list[str]) -> tuple[np.ndarray, ...]:
             if len(some):
                 blocks[some, b] = _simhash(hashes, own, (np.cumsum(m) - m)[some], m[some])
                 letters |= np.minimum(np.bincount(of, size[own], len(lines)), 1023).astype(np.int64) << 10 * b
-        for i in np.nonzero((n > 0) & (n <= 13) & (length - n + 1 >= 10))[0].tolist():
+        for i in np.nonzero((n > 0) & (n <= 12) & (length - n + 1 >= 10))[0].tolist():
             half[i] = halves([plain[w] for w in words[first[i]:first[i] + n[i]].tolist()])
     return n, length, cid, blocks, letters, half
 
@@ -146,17 +147,25 @@ def edit_distance(a: str, b: str, most: int | None = None) -> int:
 
 
 def similar(a: str, b: str, percent: int) -> bool:
-    """Is the edit distance at most (100 - percent) % of the longer string?"""
+    """Is the edit distance at most (100 - percent) % of the longer string? Bounds that are
+    quick to have decide most pairs; they never differ from the distance."""
     most = (100 - percent) * max(len(a), len(b)) // 100
     if abs(len(a) - len(b)) > most:
         return False
-    i = 0
-    while i < min(len(a), len(b)) and a[i] == b[i]:
-        i += 1
-    a, b = a[i:], b[i:]
-    while a and b and a[-1] == b[-1]:
-        a, b = a[:-1], b[:-1]
-    return max(len(a), len(b)) <= most or edit_distance(a, b, most) <= most
+    x, y = a.split(" "), b.split(" ")
+    if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y) if p != q) <= most:
+        return True  # words changed in their places
+    front = len(commonprefix((a, b)))
+    a, b = a[front:], b[front:]
+    back = len(commonprefix((a[::-1], b[::-1])))
+    a, b = a[:len(a) - back], b[:len(b) - back]
+    if max(len(a), len(b)) <= most:
+        return True
+    # an edit touches three of the three-letter pieces of a; the others are in b
+    pieces = {b[i:i + 3] for i in range(len(b) - 2)}
+    if sum(a[i:i + 3] not in pieces for i in range(len(a) - 2)) > 3 * most:
+        return False
+    return edit_distance(a, b, most) <= most
 
 
 #: Columns that describe a line: number of words, letters and SimHashes of the blocks, halves.
@@ -180,10 +189,10 @@ def line_keys() -> Column:
     own_text = lambda own: own >= 16  # noqa: E731  letters
     much = lambda own: 5 * own >= 2 * sum(held, F.lit(0))
     none = F.array().cast("array<bigint>")
-    schemes = ((1, own_text, n >= 23), (2, own_text, n.between(11, 25)), (3, much, n <= 13))
+    schemes = ((1, own_text, n >= 19), (2, own_text, n.between(11, 20)), (3, much, n <= 12))
     parts = F.array(*(F.nullif(F.col(f"half{i}"), F.lit(0)) for i in range(4)))
     made = [F.when(use, keys(r, enough)).otherwise(none) for r, enough, use in schemes]
-    return F.array_distinct(F.array_compact(F.concat(*made, F.when(n <= 13, parts).otherwise(none))))
+    return F.array_distinct(F.array_compact(F.concat(*made, F.when(n <= 12, parts).otherwise(none))))
 
 
 def _occurrences(own: DataFrame) -> DataFrame:
@@ -245,17 +254,17 @@ def removed_lines(own: DataFrame, percent: int, rounds: int) -> DataFrame:
     postings = staged(postings.where((F.col("_many") > 2) | (F.col("_many") == 2) & F.col("_both")).drop("_many", "_both"),
                       "line_postings")
 
-    most = f"cast((100 - {int(percent)}) * greatest(length(v_a), length(v_b)) div 100 as int)"
-    linked = F.expr(f"levenshtein(v_a, v_b, {most}) >= 0")
+    def linked(a, b) -> bool:
+        return similar(a.as_py(), b.as_py(), percent)
 
     def verify(pairs: DataFrame) -> DataFrame:
         if pairs.isEmpty():
             return pairs
         ids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
         places = staged(classes.join(ids.hint("merge"), "cid").select(F.col("cid").alias("id"), "first.*"), "line_places")
-        return compare_by(pairs, staged(_texts_of(own, places), "line_texts"), linked)
+        return compare(pairs, staged(_texts_of(own, places), "line_texts"), "a long, b long", linked)
 
-    groups = linked_groups(postings, verify, extras=["length", "few"], central=["few"], rounds=rounds, centres=16,
+    groups = linked_groups(postings, verify, extras=["length", "few"], central=["few"], rounds=rounds, centres=4,
                            admissible=lambda a, b: near(F.col(f"{a}_length"), F.col(f"{b}_length")))
     # the first occurrence of every group of more than one line
     named = classes.join(groups.hint("merge"), classes.cid == groups.id, "left").select("cid", "first", "n", F.col("component").alias("group"))

@@ -102,23 +102,6 @@ def compare(pairs: DataFrame, items: DataFrame, ddl: str, linked: Callable, most
     return rows.mapInArrow(run, ddl)
 
 
-def _with_value(pairs: DataFrame, items: DataFrame, side: str, most: int) -> DataFrame:
-    """``pairs`` with the value of their ``side`` as v_<side>; the pairs of one id are dealt to
-    parts of about ``most``, each with its own copy of the value, so no task has all of a hot id's."""
-    sizes = pairs.groupBy(side).agg(F.ceil(F.count("*") / most).alias("_parts"))
-    other = "b" if side == "a" else "a"
-    dealt = pairs.join(sizes, side).withColumn("_part", F.pmod(F.xxhash64(other), F.col("_parts"))).drop("_parts")
-    copies = sizes.select(F.col(side).alias("id"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_part"))
-    values = items.select("id", "value").join(copies, "id").select(F.col("id").alias(side), "_part", F.col("value").alias(f"v_{side}"))
-    return dealt.join(values.hint("merge"), [side, "_part"]).drop("_part")
-
-
-def compare_by(pairs: DataFrame, items: DataFrame, linked: Column, most: int = 5_000) -> DataFrame:
-    """The pairs (a, b) for which ``linked`` (of the columns v_a and v_b, the values of ``items``)
-    holds, by DataFrame functions alone."""
-    return _with_value(_with_value(pairs, items, "a", most), items, "b", most).where(linked).select("a", "b")
-
-
 def linked_groups(postings: DataFrame, verify: Callable[[DataFrame], DataFrame], *, extras: list[str] = (),
                   admissible: Callable[[str, str], Column] | None = None,
                   enough: Callable[[str, str, Column], Column] | None = None, central: list[str] = (),

@@ -202,8 +202,8 @@ def test_dedup_lines_equals_brute_force(spark):
 
 
 def test_lines_of_one_pattern_are_grouped_without_all_their_pairs(spark):
-    """4000 classes share their keys; most are found alike by way of a few centres."""
-    docs = spark.createDataFrame([(i, f"entry {i:04d} of the long alphabetical register of names") for i in range(4000)],
+    """2000 classes share their keys; most are found alike by way of a few centres."""
+    docs = spark.createDataFrame([(i, f"entry {i:04d} of the long alphabetical register of names") for i in range(2000)],
                                  "doc_id long, text string")
     assert lines.dedup_lines(docs, drop_emptied=True).count() == 1
 
