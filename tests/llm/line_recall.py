@@ -5,7 +5,6 @@ Run as a script for the table of the README."""
 import random
 
 import pandas as pd
-from pyspark.sql import functions as F
 
 from strata.llm import lines
 

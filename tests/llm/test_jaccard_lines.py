@@ -5,7 +5,6 @@ import time
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from line_recall import found_share
 
