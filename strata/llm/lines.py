@@ -201,7 +201,7 @@ def _occurrences(own: DataFrame) -> DataFrame:
     schema = pa.schema([(x, pa.int32() if x in small else pa.int64()) for x in ("doc", "part", "line", "length", "cid", *SIGNATURE)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in text_slices(batches, 4 << 20):
+        for b in text_slices(batches, 2 << 20):
             split = pc.split_pattern(pc.fill_null(b.column(2), ""), "\n")
             n, length, cid, blocks, letters, half = describe_lines(split.flatten())
             lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
