@@ -47,7 +47,7 @@ def land_roles(spark: SparkSession, sf_dir: str, bronze_root: str) -> str:
         land(roles.bronze(spark, sf_dir, ds), f"{bronze_root}/{ds}")
     for ds in ("comments", "posts"):
         b = roles.bronze(spark, sf_dir, ds).withColumn("year", F.year("CreationDate"))
-        land(b, f"{bronze_root}/{ds}", partition_by=["year"])
+        land(b, f"{bronze_root}/{ds}", partition_by=["year"], gather=False)
     return bronze_root
 
 
@@ -109,7 +109,8 @@ def run_silver(spark: SparkSession, bronze_root: str, lake: Lakehouse, load_ts=N
 
     Comments and posts are merged by year partition; badges and users, which have none,
     by ``buckets`` hash buckets of their key, so a load rewrites only the buckets of its
-    keys. The scheduled comments job is ``errors='ignore', decoded_only='none'``.
+    keys. Their sources are projections of bronze files, which the checks and the write read
+    where they are, so the files must stay as they are until the job ends. The scheduled comments job is ``errors='ignore', decoded_only='none'``.
     """
     report = StageReport()
     lake.ensure_namespace("silver")
@@ -128,7 +129,7 @@ def run_silver(spark: SparkSession, bronze_root: str, lake: Lakehouse, load_ts=N
         try:
             parts = SILVER_PARTITIONS.get(ds)
             res = lake.merge(jobs[ds](), "silver", ds, SILVER_KEYS[ds], partition_by=parts,
-                             scope="partitions" if parts else "buckets", buckets=buckets)
+                             scope="partitions" if parts else "buckets", buckets=buckets, stage=False)
             report.ok(f"silver.{ds}", f"v{res.version} {res.operation} {res.total_records}")
             done.append(ds)
         except Exception as exc:  # one dataset failing must not stop the rest

@@ -21,6 +21,7 @@ from strata.functions.columns import (
 )
 from strata.session import scratch_path
 from strata.sources import footers, fs
+from strata.sources.partitioned import few_partitions, write_partitioned
 
 YEARLY = {"comments", "posts", "post"}
 SINGLE = {"badges", "users"}
@@ -206,19 +207,19 @@ def sound_files(spark: SparkSession, base: str, dataset: str, years: list[int],
 
 def land(df: DataFrame, dest: str, batch_rows: int | None = None,
          partition_by: list[str] | None = None, mode: str = "overwrite",
-         compression: str = "snappy") -> str:
+         compression: str = "snappy", gather: bool = True) -> str:
     """Write a source into bronze with disposition ``replace`` (default) or
     ``append``. ``batch_rows`` caps rows per output file (default: none, files
     follow the tasks). Rows of a partitioned landing are brought together by
-    partition first, with large partitions split and small ones merged by AQE."""
-    if partition_by:
-        df = df.hint("rebalance", *partition_by)
-    w = df.write.mode(mode).option("compression", compression)
+    partition first; with ``gather=False`` only if the partitions are many, which is
+    found by a scan of the partition columns."""
+    options = {"compression": compression}
     if batch_rows:
-        w = w.option("maxRecordsPerFile", int(batch_rows))
+        options["maxRecordsPerFile"] = str(int(batch_rows))
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(dest)
+        write_partitioned(df, dest, partition_by, not gather and few_partitions(df, partition_by), mode, **options)
+    else:
+        df.write.mode(mode).options(**options).parquet(dest)
     return dest
 
 

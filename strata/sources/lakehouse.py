@@ -43,9 +43,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.upsert import (
-    align_source, any_null_key, check_merge_cardinality, check_unique_keys, unmatched_target,
+    MergeCardinalityError, align_source, any_null_key, check_merge_cardinality, check_unique_keys, unmatched_target,
 )
 from strata.sources import fs
+from strata.sources.partitioned import FEW, few_partitions, write_partitioned
 
 HISTORY_SCHEMA = T.StructType([
     T.StructField("layer", T.StringType()),
@@ -80,6 +81,9 @@ class ConcurrentCommitError(RuntimeError):
 
 
 BUCKET = "key_bucket"
+#: Fixed value: rows from which a batch counts as large, so the keys of both sides meet
+#: before any whole row is moved.
+LARGE_BATCH = 500_000
 
 
 def bucket_of(keys: list[str], buckets: int):
@@ -252,17 +256,14 @@ class Lakehouse:
     # ---- writes ----------------------------------------------------------
 
     def _write(self, df: DataFrame, path: str, partition_by: list[str] | None,
-               obs: Observation) -> None:
-        """One write. Rows of a partitioned table are first brought together by
-        partition (AQE splits large partitions and merges small ones), so a
-        partition gets a few large files, not one from every task."""
+               obs: Observation, few: bool = False) -> None:
+        """One write. Rows of a partitioned table are first brought together by partition,
+        unless it has ``few``: then every task writes its own (``sources.partitioned``)."""
         if partition_by:
-            df = df.hint("rebalance", *partition_by)
-        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-        w = w.option("compression", self.compression)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
+            write_partitioned(df, path, partition_by, few, obs=obs, compression=self.compression)
+        else:
+            (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+             .option("compression", self.compression).parquet(path))
 
     def _write_clustered(self, df: DataFrame, path: str, by: str, n: int, commit: str, obs: Observation) -> None:
         """Spark buckets of ``by``. Spark writes these as a table; a name of the commit's own
@@ -292,7 +293,8 @@ class Lakehouse:
 
     def _commit(self, df: DataFrame, layer: str, table: str, operation: str,
                 partition_by: list[str] | None, version: int,
-                properties: dict[str, str] | None = None, summary: dict[str, str] | None = None) -> LoadResult:
+                properties: dict[str, str] | None = None, summary: dict[str, str] | None = None,
+                few: bool = False) -> LoadResult:
         commit = uuid.uuid4().hex[:12]
         path = self._version_path(layer, table, version, commit)
         obs = Observation(f"write_{layer}_{table}_{commit}")
@@ -301,7 +303,7 @@ class Lakehouse:
         elif "sorted-by" in (summary or {}):
             self._write_sorted(df, path, summary["sorted-by"], obs)
         else:
-            self._write(df, path, partition_by, obs)
+            self._write(df, path, partition_by, obs, few)
         n = obs.get["rows"]
         res = LoadResult(layer, table, version, operation, n, 0, n, path, summary or {})
         self._append_history(res, commit)
@@ -352,14 +354,12 @@ class Lakehouse:
                                         replaced, loc, commit)
 
     def _replace(self, rows: DataFrame, layer: str, table: str, version: int, loc: str,
-                 parts: list[str], obs: Observation) -> None:
+                 parts: list[str], obs: Observation, few: bool = False) -> None:
         """Put ``rows`` in the place of the partitions that they are in: one write, whose
         commit swaps whole partitions once every task has ended (so ``rows`` may be made
         from the partitions that they replace)."""
         self._expect(layer, table, version)
-        w = rows.hint("rebalance", *parts).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-        (w.option("partitionOverwriteMode", "dynamic").option("compression", self.compression)
-         .partitionBy(*parts).parquet(loc))
+        write_partitioned(rows, loc, parts, few, obs=obs, partitionOverwriteMode="dynamic", compression=self.compression)
 
     def _committed_in_place(self, layer: str, table: str, version: int, operation: str, added: int,
                             deleted: int, loc: str, commit: str,
@@ -388,11 +388,16 @@ class Lakehouse:
     def merge(self, source: DataFrame, layer: str, table: str, keys: str | list[str],
               partition_by: list[str] | None = None, check_cardinality: bool = True,
               null_keys: str = "insert", scope: str = "table",
-              verify_partition_keys: bool = True, buckets: int = 16) -> LoadResult:
+              verify_partition_keys: bool = True, buckets: int = 16, stage: bool = True) -> LoadResult:
         """Upsert ``source`` into the table by ``keys``; creates it on first
         load. Matched rows are replaced by the source row, unmatched source
         rows inserted, other target rows kept. The batch is written once and
-        every check and join reads that copy.
+        every check and join reads that copy; with ``stage=False`` they read the
+        source itself, which must give the same rows each time (a projection of files).
+
+        The keys of a large batch (``LARGE_BATCH`` rows) first meet those of the target in one
+        exchange without other columns; whole target rows are only moved if many of
+        them are kept.
 
         ``check_cardinality`` raises when several source rows match one target
         row, and on the first load when a key occurs twice.
@@ -425,7 +430,7 @@ class Lakehouse:
         src = source if loc is None else align_source(source, [c for c in target.columns if c != BUCKET])
         if null_keys == "reject":
             src = src.where(~any_null_key(keys))
-        if not hasattr(source, "_strata_batch"):
+        if stage and not hasattr(source, "_strata_batch"):
             src = self._staged(src, commit, "rows")
         if scope == "buckets":
             src = src.withColumn(BUCKET, bucket_of(keys, int(summary["buckets"])))
@@ -433,21 +438,25 @@ class Lakehouse:
             if loc is None:
                 if check_cardinality:
                     check_unique_keys(src, keys)
+                few = int(summary["buckets"]) < FEW if scope == "buckets" else bool(partition_by) and few_partitions(src, partition_by)
                 return self._commit(src, layer, table, "append", [BUCKET] if scope == "buckets" else partition_by, 1,
-                                    summary=summary if scope == "buckets" else None)
+                                    summary=summary if scope == "buckets" else None, few=few)
             touched = None
             if scope == "buckets":
                 touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())  # at most buckets + 1
                 if not touched:
                     return LoadResult(layer, table, version, "merge", 0, 0, target.count(), loc)
                 target = target.where(F.col(BUCKET).isin(touched))  # prunes the other folders
-            if check_cardinality:
+            by_key = scope == "buckets" or scope == "partitions" and bool(partition_by) and verify_partition_keys
+            large = by_key and src.count() >= LARGE_BATCH
+            if check_cardinality and not large:
                 check_merge_cardinality(src, target, keys)
             if scope == "buckets":
-                return self._merge_buckets(src, target, layer, table, keys, touched, version, loc, commit, summary)
+                met = self._meet(src, target, keys, commit, check_cardinality) if large else None
+                return self._merge_buckets(src, target, layer, table, keys, touched, version, loc, commit, summary, met)
             if scope == "partitions" and partition_by:
                 return self._merge_partitions(src, target, layer, table, keys, partition_by,
-                                              version, loc, commit, verify_partition_keys)
+                                              version, loc, commit, verify_partition_keys, large, check_cardinality)
             return self._merge_table(src, target, layer, table, keys, partition_by, version, commit)
         except ConcurrentCommitError:
             raise
@@ -499,16 +508,54 @@ class Lakehouse:
         finally:
             self._clear(commit)
 
+    def _meet(self, src: DataFrame, target: DataFrame, keys: list[str], commit: str, check_cardinality: bool,
+              touched: DataFrame | None = None, parts: list[str] = ()) -> tuple[DataFrame, int]:
+        """Target keys that no source row matches, and those that match outside of the
+        partitions ``touched`` (keys, ``parts``, _in, _n: number of source rows or NULL),
+        staged, and how many target rows match. Raises if several source rows match one.
+        One exchange of the keys of both sides finds all of it."""
+        counts = src.where(~any_null_key(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        rows = target.select(*dict.fromkeys([*keys, *parts])).where(~any_null_key(keys))
+        if touched is None:
+            rows = rows.withColumn("_in", F.lit(True))
+        else:
+            own = touched.select(*(F.col(p).alias(f"_{p}") for p in parts), F.lit(True).alias("_in"))
+            same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in parts])
+            rows = rows.join(own, same, "left").select(*rows.columns, F.coalesce("_in", F.lit(False)).alias("_in"))
+        obs = Observation(f"meet_{commit}")
+        met = rows.join(counts, keys, "left").observe(obs, F.count("_n").alias("rows"))
+        met = self._staged(met.where("_n IS NULL AND _in OR _n > 1 OR _n IS NOT NULL AND NOT _in"), commit, "met")
+        bad = met.where("_n > 1").select(*keys, F.col("_n").alias("n_source_rows")).distinct().limit(5).collect() if check_cardinality else []
+        if bad:
+            raise MergeCardinalityError(f"several source rows match one target row for keys {keys}: {[r.asDict() for r in bad]}")
+        return met, obs.get["rows"]
+
+    def _kept(self, src: DataFrame, target: DataFrame, keys: list[str], met: tuple[DataFrame, int] | None, commit: str):
+        """(target rows that stay, number of those that go, once the write has ended). Of a
+        large batch that replaces nearly all of the target only the few rows that stay are looked up."""
+        seen = [Observation(f"kept_{x}_{commit}") for x in ("target", "kept")]
+        count = F.count(F.lit(1)).alias("rows")
+        stay = None if met is None else self._staged(met[0].where("_n IS NULL").select(*keys).distinct(), commit, "stay")
+        n = 0 if stay is None else stay.count()
+        if stay is None or n >= LARGE_BATCH:
+            kept = unmatched_target(target.observe(seen[0], count), src, keys).observe(seen[1], count)
+            return kept, lambda: (seen[0].get["rows"], seen[1].get["rows"])
+        kept = target.where(any_null_key(keys))
+        if n:
+            kept = kept.unionByName(target.join(stay, keys, "left_semi").select(*target.columns))
+        return kept.observe(seen[1], count), lambda: (met[1] + seen[1].get["rows"], seen[1].get["rows"])
+
     def _merge_buckets(self, src: DataFrame, target: DataFrame, layer: str, table: str, keys: list[str],
-                       touched: list[int], version: int, loc: str, commit: str, summary: dict[str, str]) -> LoadResult:
+                       touched: list[int], version: int, loc: str, commit: str, summary: dict[str, str],
+                       met: tuple[DataFrame, int] | None = None) -> LoadResult:
         """``target``: the rows of the buckets ``touched``, all that is read of the table."""
-        seen = [Observation(f"bmerge_{x}_{commit}") for x in ("source", "target", "kept", "all")]
-        count = F.count(F.lit(1)).alias("rows")
-        kept = unmatched_target(target.observe(seen[1], count), src, keys).observe(seen[2], count)
-        self._replace(src.observe(seen[0], count).unionByName(kept), layer, table, version, loc, [BUCKET], seen[3])
-        n_source, n_target, n_kept = (o.get["rows"] for o in seen[:3])
+        seen = [Observation(f"bmerge_{x}_{commit}") for x in ("source", "all")]
+        kept, counted = self._kept(src, target, keys, met, commit)
+        self._replace(src.observe(seen[0], F.count(F.lit(1)).alias("rows")).unionByName(kept), layer, table, version, loc,
+                      [BUCKET], seen[1], few=met is not None and len(touched) <= FEW)
+        n_target, n_kept = counted()
         return self._committed_in_place(
-            layer, table, version + 1, "merge", n_source, n_target - n_kept, loc, commit,
+            layer, table, version + 1, "merge", seen[0].get["rows"], n_target - n_kept, loc, commit,
             summary | {"rewritten-buckets": str(len(touched)), "read-records": str(n_target)})
 
     def _merge_table(self, src: DataFrame, target: DataFrame, layer: str, table: str, keys: list[str],
@@ -527,13 +574,16 @@ class Lakehouse:
 
     def _merge_partitions(self, src: DataFrame, target: DataFrame, layer: str, table: str,
                           keys: list[str], parts: list[str], version: int, loc: str, commit: str,
-                          verify_keys: bool) -> LoadResult:
+                          verify_keys: bool, large: bool = False, check_cardinality: bool = True) -> LoadResult:
         touched = src.select(*parts).distinct().withColumn("in_scope", F.lit(True))
         if touched.isEmpty():  # empty batch: nothing to change
             return LoadResult(layer, table, version, "merge", 0, 0, target.count(), loc)
         own = touched = self._staged(touched, commit, "touched")
         emptied: list[str] = []
-        if verify_keys:  # partitions that matched keys leave
+        met = self._meet(src, target, keys, commit, check_cardinality, touched, parts) if large else None
+        if met is not None and not met[0].where("NOT _in AND _n IS NOT NULL").isEmpty():
+            met = None
+        if verify_keys and met is None:  # partitions that matched keys leave
             elsewhere = in_partitions(target.select(*dict.fromkeys([*keys, *parts])), touched, parts, "left_anti")
             left = (elsewhere.join(src.select(*keys).where(~any_null_key(keys)), keys, "left_semi")
                     .select(*parts).distinct().withColumn("in_scope", F.lit(True)))
@@ -541,15 +591,14 @@ class Lakehouse:
             if not left.isEmpty():
                 touched = self._staged(own.unionByName(left), commit, "partitions")
                 emptied = self._emptied(src, target, left, keys, parts)
-        seen = [Observation(f"pmerge_{x}_{commit}") for x in ("source", "target", "kept", "all")]
-        count = F.count(F.lit(1)).alias("rows")
-        within = in_partitions(target, touched, parts).observe(seen[1], count)
-        kept = unmatched_target(within, src, keys).observe(seen[2], count)
-        self._replace(src.observe(seen[0], count).unionByName(kept), layer, table, version, loc, parts, seen[3])
+        seen = [Observation(f"pmerge_{x}_{commit}") for x in ("source", "all")]
+        kept, counted = self._kept(src, in_partitions(target, touched, parts), keys, met, commit)
+        self._replace(src.observe(seen[0], F.count(F.lit(1)).alias("rows")).unionByName(kept), layer, table, version, loc, parts,
+                      seen[1], few=large and touched.limit(FEW + 1).count() <= FEW)
         for folder in emptied:  # Spark's overwrite replaces partitions; it does not remove any
             fs.delete(self.spark, folder)
-        n_source, n_target, n_kept = (o.get["rows"] for o in seen[:3])
-        return self._committed_in_place(layer, table, version + 1, "merge", n_source,
+        n_target, n_kept = counted()
+        return self._committed_in_place(layer, table, version + 1, "merge", seen[0].get["rows"],
                                         n_target - n_kept, loc, commit)
 
     def _emptied(self, src: DataFrame, target: DataFrame, left: DataFrame, keys: list[str], parts: list[str]) -> list[str]:
