@@ -13,8 +13,10 @@ hold such a shingle beyond its own short part only; then it has its whole short
 that shingle, of which it shares no more than the lists that hold others.
 
 Distributed: documents with equal sets are one class; the merge is a shuffle of the
-short lists by shingle and a count per pair; the probe runs on the sorted sets of
-the pairs that passed. The order comes from counts of hashed shingles over all
+short lists by shingle, of which a pair must share one (c = 1: further lists of a large
+group of near copies would be the text that all of it has, and make its pairs by the square
+of its size); the longer short part, c = 1 + n // 32, bounds the overlap; the probe runs on
+the sorted sets of the pairs that passed. The order comes from counts of hashed shingles over all
 documents (a table of fixed size); any order is exact, a good one keeps very common
 shingles out of the short lists.
 """
@@ -25,11 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import identified, member, staged, text_slices, without_rows
+from strata.llm.common import bitmap, identified, in_bitmap, staged, text_slices, without_rows
 from strata.llm.linking import compare, linked_groups
 
 BUCKETS = 1 << 18
@@ -146,13 +149,23 @@ def _short_lists(docs: DataFrame, width: int, percent: int, frequency) -> DataFr
     return docs.mapInArrow(run, "key long, id long, n long, place long")
 
 
-def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """(id, value): the set of every class, once per task."""
+def _sets(docs: DataFrame, width: int, ids: DataFrame) -> DataFrame:
+    """(id, value): the set of every class, once per task, of the rows (doc_id, text) without a
+    doc_id or with one that may be among ``ids`` (column id). The bitmap is read where the sets
+    are made: a filter before it would keep a second Python worker for every task."""
     schema = pa.schema([("id", pa.int64()), ("value", pa.binary())])
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(ids, 1 << 25))
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
+        for b in batches:
+            doc = b.column(0)
+            own = pc.fill_null(doc, 0).to_numpy(zero_copy_only=False)
+            yield b.filter(pa.array(in_bitmap(own, bits) | doc.is_null().to_numpy(zero_copy_only=False)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
-        for b in text_slices(batches):
+        for b in text_slices(asked(batches)):
             new = {class_id(s): s.tobytes() for s in shingle_sets(b.column(1).to_pylist(), width)}
             new = {k: v for k, v in new.items() if k not in seen}
             seen.update(new)
@@ -204,16 +217,13 @@ def _grouped(own: DataFrame, width: int, percent: int, rounds: int) -> DataFrame
                .withColumn("own", merged(F.col("n")) - F.col("hits"))  # lists with nobody else in a short part
                .where(F.col("hits") >= 1 + F.floor(smallest / 32)))
     hopeful = staged(hopeful.select("id", "own"), "jaccard_hopeful")
-    counted = lists.where(F.col("place") < F.col("n") - smallest + 1 + F.floor(F.col("n") / 64))  # those any pair counts
+    counted = lists.where(F.col("place") < F.col("n") - smallest + 1)  # those any pair may share first
     postings = staged(counted.join(hopeful.hint("merge"), "id"), "jaccard_postings")
 
     def needed(a: str, b: str) -> Column:
         """Shared shingles that the two sizes ask for."""
         return F.floor(((F.col(f"{a}_n") + F.col(f"{b}_n")) * percent + 99 + percent) / (100 + percent))
 
-    def asked(a: str, b: str) -> Column:
-        return 1 + F.floor(F.least(f"{a}_n", f"{b}_n") / 64)
-
     def admissible(a: str, b: str) -> Column:
         """Can the sizes, less the lists with nobody else, reach the overlap, and does the
         shared list come early enough in both orders? Of n shingles at most n - own are
@@ -223,20 +233,18 @@ def _grouped(own: DataFrame, width: int, percent: int, rounds: int) -> DataFrame
         long_a, long_b = n - merged(n), m - merged(m)
         most_a = n - F.col(f"{a}_own") + F.greatest(F.lit(0), long_b - long_a)
         most_b = m - F.col(f"{b}_own") + F.greatest(F.lit(0), long_a - long_b)
-        early = (F.col(f"{a}_place") < n - needed(a, b) + asked(a, b)) & (F.col(f"{b}_place") < m - needed(a, b) + asked(a, b))
+        early = (F.col(f"{a}_place") <= n - needed(a, b)) & (F.col(f"{b}_place") <= m - needed(a, b))
         return early & (F.least(most_a, most_b) >= needed(a, b))
 
     reps = members.join(hopeful.hint("merge"), members.cid == hopeful.id, "left_semi").groupBy("cid").agg(F.min("doc_id").alias("id"))
-    one_of = member(reps.where("id is not null").select("id"))
-    texts = own.where(F.col("doc_id").isNull() | one_of(F.coalesce("doc_id", F.lit(0))))
-    sets = staged(_sets(texts, width), "jaccard_sets")
+    sets = staged(_sets(own, width, reps.where("id is not null").select("id")), "jaccard_sets")
 
     def linked(a, b) -> bool:
         return overlap_reaches(np.frombuffer(a.as_buffer(), np.int64), np.frombuffer(b.as_buffer(), np.int64), percent)
 
     groups = linked_groups(
         postings, lambda pairs: compare(pairs, sets, "a long, b long", linked), extras=["n", "own"],
-        places=["place"], admissible=admissible, enough=lambda a, b, hits: hits >= asked(a, b), central=["own"], rounds=rounds)
+        places=["place"], admissible=admissible, central=["own"], rounds=rounds)
     named = members.join(groups.hint("merge"), members.cid == groups.id, "left").select(
         "doc_id", "part", "cid", "n", F.coalesce("component", "cid").alias("_group"))
     return named.withColumn("_group", F.when(F.col("n") > 0, F.col("_group")))
