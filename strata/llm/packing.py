@@ -38,6 +38,9 @@ from strata.llm.common import staged, text_slices
 from strata.llm.tokens import encoder
 
 Contents = tuple[tuple[int, int], ...]  # (length, copies), in order of place
+#: Bytes of text encoded at a time and distinct chunks kept by a Python worker, which
+#: shares its executor's memory with all that came before in a chain of operators.
+SLICE, CACHED = 1 << 20, 250_000
 
 
 # ---- plan on the histogram (driver; at most ``capacity`` entries) ------------
@@ -216,9 +219,9 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        part, enc = TaskContext.get().partitionId(), encoder(tokenizer_path, True)
+        part, enc = TaskContext.get().partitionId(), encoder(tokenizer_path, True, CACHED)
         ranks: dict[int, int] = defaultdict(int)
-        for b in text_slices(batches, 4 << 20):
+        for b in text_slices(batches, SLICE):
             cols: list[list] = [[] for _ in fields]
             for doc, ids in zip(b.column(0).to_pylist(), enc.encode(pc.fill_null(b.column(1), ""))):
                 ids = memoryview(ids + end)

@@ -144,9 +144,9 @@ class ChunkEncoder:
         return array("I", [i for ids in parts for i in ids]).tobytes()
 
 
-def encoder(path: str, joined: bool) -> ChunkEncoder:
+def encoder(path: str, joined: bool, max_cached: int = 500_000) -> ChunkEncoder:
     """One encoder per Python worker and vocabulary."""
     key = (path, joined)
     if key not in _ENCODERS:
-        _ENCODERS[key] = ChunkEncoder(path, joined)
+        _ENCODERS[key] = ChunkEncoder(path, joined, max_cached)
     return _ENCODERS[key]

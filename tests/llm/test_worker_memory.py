@@ -1,9 +1,12 @@
 import subprocess
 import sys
 
+import public_tokenizers
 import pytest
 
+from strata.llm import packing
 from strata.llm.common import member
+from strata.llm.tokens import encoder
 
 
 @pytest.mark.parametrize("module", ["lines", "jaccard"])
@@ -18,3 +21,11 @@ def test_member_is_never_false_for_one_that_is(spark):
     rows = spark.range(0, 50).selectExpr("id").union(ids)
     found = {r.id for r in rows.where(member(ids)("id")).collect()}
     assert {1, -5, 1 << 40, -(1 << 63)} <= found and not found & set(range(6, 50))
+
+
+def test_a_packing_worker_keeps_a_bounded_number_of_chunks():
+    enc = encoder(public_tokenizers.path("byte_bpe_50k.json"), True, packing.CACHED)
+    words = [f" {chr(97 + i % 26)}{i}" for i in range(packing.CACHED + 20_000)]
+    for i in range(0, len(words), 10_000):
+        enc.encode(["".join(words[i:i + 10_000])])
+    assert len(enc.cache) <= packing.CACHED <= 250_000 and packing.SLICE <= 1 << 20
