@@ -33,24 +33,24 @@ BLOCKS = 6
 PUNCTUATION = ".,;:!?\"'()[]{}<>*_-`~/\\|#$%&@^+="
 
 
-def split_words(lines: pa.Array | list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Normalised words of lines: the distinct ones ('' for punctuation only), and for
-    every word of every line its place among them and its line. Words are lower-cased,
+def split_words(lines: pa.Array | list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Normalised words of lines: the distinct ones ('' for punctuation only), their letters, and
+    for every word of every line its place among them and its line. Words are lower-cased,
     between ASCII white space, without surrounding punctuation."""
     if isinstance(lines, list):
         lines = pa.array(lines, pa.string())
     split = pc.ascii_split_whitespace(pc.utf8_lower(lines))
     words = split.flatten().dictionary_encode()
-    names = words.dictionary  # joined and split: the quickest way to Python strings
+    names = pc.utf8_trim(words.dictionary, PUNCTUATION)  # joined and split: the quickest way to Python strings
     every = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), " ")[0].as_py()
-    plain = [w if w.isalnum() else w.strip(PUNCTUATION) for w in (every.split(" ") if len(names) else [])]
+    plain = every.split(" ") if len(names) else []
     lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
-    return plain, words.indices.to_numpy(), np.repeat(np.arange(len(lines), dtype=np.int32), lengths)
+    return plain, pc.utf8_length(names).to_numpy(), words.indices.to_numpy(), np.repeat(np.arange(len(lines), dtype=np.int32), lengths)
 
 
 def normalised(lines: list[str]) -> list[str]:
     """The normalised words of each line, joined by blanks."""
-    plain, words, line = split_words(lines)
+    plain, _, words, line = split_words(lines)
     out: list[list[str]] = [[] for _ in lines]
     for i, w in zip(line.tolist(), words.tolist()):
         if plain[w]:
@@ -84,9 +84,8 @@ def describe_lines(lines: pa.Array | list[str]) -> tuple[np.ndarray, ...]:
     block SimHashes (lines x 6; 0 without words), the blocks' letters (6 x 10 bits, at
     most 1023 each) and halves (lines x 4; 0 for lines of 12 words and more or of less than
     10 letters, which no edit may change) of every line; lines without words have class -1."""
-    plain, words, line = split_words(lines)
+    plain, size, words, line = split_words(lines)
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, plain), np.uint64, len(plain))
-    size = np.fromiter(map(len, plain), np.int32, len(plain))
     keep = size[words] > 0
     if not keep.all():
         words, line = words[keep], line[keep]
@@ -146,6 +145,26 @@ def edit_distance(a: str, b: str, most: int | None = None) -> int:
     return score
 
 
+def word_edits(x: list[str], y: list[str], most: int) -> int:
+    """No less than the edit distance of two lines of words: unequal runs between equal words
+    that are at most eight words on cost their longer side. Ends above ``most``."""
+    i = j = cost = 0
+    while cost <= most:
+        while i < len(x) and j < len(y) and x[i] == y[j]:
+            i, j = i + 1, j + 1
+        left, right = x[i:], y[j:]
+        if left and right:
+            meets = ((d, s - d) for s in range(1, 9) for d in range(s + 1)
+                     if d < len(left) and s - d < len(right) and left[d] == right[s - d])
+            d, e = next(meets, (len(left), len(right)))
+            left, right = left[:d], right[:e]
+        if not left and not right:
+            return cost
+        cost += max(sum(map(len, left)) + len(left), sum(map(len, right)) + len(right))
+        i, j = i + len(left), j + len(right)
+    return cost
+
+
 def similar(a: str, b: str, percent: int) -> bool:
     """Is the edit distance at most (100 - percent) % of the longer string? Bounds that are
     quick to have decide most pairs; they never differ from the distance."""
@@ -163,8 +182,11 @@ def similar(a: str, b: str, percent: int) -> bool:
         return True
     # an edit touches three of the three-letter pieces of a; the others are in b
     pieces = {b[i:i + 3] for i in range(len(b) - 2)}
-    if sum(a[i:i + 3] not in pieces for i in range(len(a) - 2)) > 3 * most:
+    missing = sum(a[i:i + 3] not in pieces for i in range(len(a) - 2))
+    if missing > 3 * most:
         return False
+    if 2 * missing <= 3 * most and word_edits(x, y, most) <= most:
+        return True  # words that came or went
     return edit_distance(a, b, most) <= most
 
 

@@ -229,3 +229,59 @@ def test_dedup_lines_edges(edge_docs, no_docs):
     ids = [r.doc_id for r in left.collect()]
     assert 7 not in ids and 8 not in ids and {1, 2, 3} <= set(ids)
     assert lines.dedup_lines(no_docs).count() == 0
+
+
+def test_near_copies_that_do_not_link_make_no_rows_by_their_square(spark, monkeypatch):
+    """Two edits of its own and one shared with one other: the rare shingles come first, and
+    beyond them lies the text that the whole group has."""
+    rnd, texts = random.Random(3), []
+    base = [f"w{i}" for i in range(150)]
+    for i in range(120):
+        w = list(base)
+        places = rnd.sample(range(5, 145, 5), 3)
+        for place, new in zip(places, (f"a{i}", f"b{i}", None)):
+            w[place] = new or w[place]
+        partner = random.Random(1000 + i // 2).choice(range(7, 147, 5))
+        w[partner] = f"p{i // 2}"
+        texts.append((i, " ".join(w)))
+    seen, real = [], jaccard.linked_groups
+
+    def spy(postings, verify, **kw):
+        a, b = (postings.select("key", *[postings[c].alias(f"{p}_{c}") for c in ("id", "n", "own", "place")]) for p in "ab")
+        met = a.join(b, "key").where("a_id < b_id").where(kw["admissible"]("a", "b"))
+        seen.append(met.count())
+        return real(postings, verify, **kw)
+    monkeypatch.setattr(jaccard, "linked_groups", spy)
+    got = jaccard.near_groups(spark.createDataFrame(texts, "doc_id long, text string"), width=3, percent=90)
+    assert {r.doc_id: r.component_id for r in got.collect()} == components(range(120), lambda a, b: (
+        lambda x, y: 100 * len(x & y) >= 90 * len(x | y))(shingles(texts[a][1], 3), shingles(texts[b][1], 3)))
+    assert seen[0] <= 5 * len(texts)
+
+
+def test_the_sets_are_made_by_one_python_worker_a_task(spark):
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "e f g h"), (None, "i j k l")], "doc_id long, text string")
+    made = jaccard._sets(docs, 3, spark.createDataFrame([(1,)], "id long"))
+    assert {r.id for r in made.collect()} == {jaccard.class_id(s) for s in jaccard.shingle_sets(["a b c d", "i j k l"], 3)}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+
+
+def test_lines_whose_words_come_or_go_need_no_edit_distance(monkeypatch):
+    rnd, pairs = random.Random(9), []
+    word = lambda: "".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 7)))
+    for _ in range(400):
+        x = [word() for _ in range(rnd.randint(4, 40))]
+        y = list(x)
+        for _ in range(rnd.randint(0, 5)):
+            at = rnd.randrange(len(y))
+            y[at:at + rnd.randint(0, 1)] = [word() for _ in range(rnd.randint(0, 1))]
+            y = y or [word()]
+        pairs.append((x, y))
+    for x, y in pairs:
+        a, b = " ".join(x), " ".join(y)
+        d = lines.edit_distance(a, b)
+        assert d <= lines.word_edits(x, y, 10**6)
+        assert lines.similar(a, b, 90) == (d <= max(len(a), len(b)) // 10)
+    monkeypatch.setattr(lines, "edit_distance", None)
+    words = [f"word{i}" for i in range(40)]
+    assert lines.similar(" ".join(words), " ".join([*words[:9], "new", *words[9:30], *words[31:]]), 90)
