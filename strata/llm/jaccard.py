@@ -239,8 +239,8 @@ def _grouped(own: DataFrame, width: int, percent: int, rounds: int) -> DataFrame
     reps = members.join(hopeful.hint("merge"), members.cid == hopeful.id, "left_semi").groupBy("cid").agg(F.min("doc_id").alias("id"))
     sets = staged(_sets(own, width, reps.where("id is not null").select("id")), "jaccard_sets")
 
-    def linked(a, b) -> bool:
-        return overlap_reaches(np.frombuffer(a.as_buffer(), np.int64), np.frombuffer(b.as_buffer(), np.int64), percent)
+    def linked(a: list[pa.Scalar], b: list[pa.Scalar]) -> list[bool]:
+        return [overlap_reaches(np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64), percent) for x, y in zip(a, b)]
 
     groups = linked_groups(
         postings, lambda pairs: compare(pairs, sets, "a long, b long", linked), extras=["n", "own"],

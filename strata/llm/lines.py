@@ -103,11 +103,11 @@ def describe_lines(lines: pa.Array | list[str]) -> tuple[np.ndarray, ...]:
         mixed ^= mixed >> np.uint64(32)
         cid[full] = (np.add.reduceat(mixed, first[full]) >> np.uint64(1)).astype(np.int64)
         dealt = ((hashes >> np.uint64(40)) % np.uint64(BLOCKS)).astype(np.int8)[words]
-        pairs = line * np.int64(len(plain)) + words
+        pairs = line.astype(np.int64) << 32 | words
         for b in range(BLOCKS):
             own = np.sort(pairs[dealt == b])  # every word of a line votes once, so none that it repeats decides alone
             own = own[np.append(True, own[1:] != own[:-1])] if len(own) else own
-            of, own = np.divmod(own, len(plain))
+            of, own = own >> 32, own & 0xFFFFFFFF
             m = np.bincount(of, minlength=len(lines))
             some = np.nonzero(m)[0]
             if len(some):
@@ -190,31 +190,134 @@ def similar(a: str, b: str, percent: int) -> bool:
     return edit_distance(a, b, most) <= most
 
 
+def _within(left: list[str], right: list[str], most: np.ndarray) -> np.ndarray:
+    """Which pairs, longest ``right`` first, have an edit distance of at most ``most``: the bit-parallel
+    columns of all pairs at once, 64 letters of ``left`` to a word, and of these only the words
+    near the diagonal, as a path that leaves it by more than ``most`` costs more."""
+    m, n = (np.fromiter(map(len, x), np.int64, len(x)) for x in (left, right))
+    count, band, columns, words = len(m), int(most.max()), int(n[0]), max(1, -(-int(m.max()) // 64))
+    x, y = (np.frombuffer("".join(t).encode("utf-32-le", "surrogatepass"), np.uint32) for t in (left, right))
+    seen = np.zeros(0x110000, bool)
+    seen[x] = seen[y] = True
+    alphabet, rank = int(seen.sum()), np.cumsum(seen) - 1
+
+    def placed(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths), np.repeat(np.arange(count), lengths)
+
+    place, pair = placed(m)
+    masks = np.zeros((words, count * alphabet), np.uint64)
+    np.bitwise_or.at(masks, (place >> 6, pair * alphabet + rank[x]), np.uint64(1) << (place & 63).astype(np.uint64))
+    place, pair = placed(n)
+    letter = np.zeros((columns, count), np.int32)
+    letter[place, pair] = pair * alphabet + rank[y]
+    up, down = np.full((words, count), ~np.uint64(0)), np.zeros((words, count), np.uint64)
+    one, last = np.uint64(1), np.uint64(63)
+    score, above, first = m.copy(), np.zeros(count, np.int64), 0  # above: distance over the first word
+    for j in range(columns):
+        while first < words - 1 and 64 * (first + 1) <= j - band:
+            above += np.bitwise_count(up[first]).astype(np.int64) - np.bitwise_count(down[first])
+            first += 1
+        own, left_over = (int(np.searchsorted(-n, -i)) for i in (j, j + 1))
+        near = range(first, min(words, (j + band) // 64 + 1))
+        plus, minus = one, np.uint64(0)
+        for w in near:
+            u, d = up[w, :own], down[w, :own]
+            match = masks[w][letter[j, :own]]
+            flat = match | d
+            match |= minus
+            across = (((match & u) + u) ^ u) | match
+            rise, fall = d | ~(across | u), u & across
+            after = rise >> last, fall >> last
+            rise, fall = rise << one | plus, fall << one | minus
+            up[w, :own], down[w, :own] = fall | ~(flat | rise), rise & flat
+            plus, minus = after
+        above += 1
+        if left_over < own:
+            ended = slice(left_over, own)
+            score[ended] = above[ended]
+            for w in near:
+                held = np.clip(m[ended] - 64 * w, 0, 64).astype(np.uint64)
+                bits = np.where(held == 64, ~np.uint64(0), (one << (held & last)) - one)
+                score[ended] += np.bitwise_count(up[w, ended] & bits).astype(np.int64) - np.bitwise_count(down[w, ended] & bits)
+    return score <= most
+
+
+#: Letters up to which lines are compared many at once, pairs that make this worth while, and the
+#: letters, and words of their bit masks, that such a batch of pairs may have.
+LONG, SEVERAL, LETTERS, MASKS = 2_000, 16, 1 << 20, 1 << 21
+
+
+def similar_pairs(left: list[str], right: list[str], percent: int) -> list[bool]:
+    """``similar`` of each pair. Pairs that their lengths or the words in their places do not
+    decide are compared many at once."""
+    found, rest = [False] * len(left), []
+    for i, (a, b) in enumerate(zip(left, right)):
+        long = max(len(a), len(b))
+        most = (100 - percent) * long // 100
+        if long > LONG:
+            found[i] = similar(a, b, percent)
+        elif abs(len(a) - len(b)) <= most:
+            x, y = a.split(" "), b.split(" ")
+            if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y) if p != q) <= most:
+                found[i] = True
+            else:
+                rest.append((long, most, i))
+    rest.sort(reverse=True)
+    while rest:
+        long = max(rest[0][0], 1)
+        alphabet = len(set().union(*(left[i] + right[i] for _, _, i in rest[:LETTERS // long]))) if len(rest) >= SEVERAL else 1
+        n = max(1, min(LETTERS // long, MASKS // (alphabet * (long // 64 + 1))))
+        some, rest = rest[:n], rest[n:]
+        if len(some) < SEVERAL:
+            for _, _, i in some:
+                found[i] = similar(left[i], right[i], percent)
+            continue
+        pairs = [sorted((left[i], right[i]), key=len) for _, _, i in some]
+        for (_, _, i), ok in zip(some, _within([a for a, _ in pairs], [b for _, b in pairs], np.array([x for _, x, _ in some])).tolist()):
+            found[i] = ok
+    return found
+
+
 #: Columns that describe a line: number of words, letters and SimHashes of the blocks, halves.
 SIGNATURE = ["words", "letters", *(f"b{i}" for i in range(BLOCKS)), *(f"half{i}" for i in range(4))]
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers, every bit of which hangs on all those of ``x`` (uint64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def keys_of(n: np.ndarray, letters: np.ndarray, blocks: list[np.ndarray], half: list[np.ndarray]) -> pa.ListArray:
+    """The keys of every line, see ``line_keys``."""
+    held = [letters >> 10 * b & 1023 for b in range(BLOCKS)]
+    whole = 2 * sum(held)
+    own = [_mixed(x.view(np.uint64) + np.uint64((b + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) for b, x in enumerate(blocks)]
+    schemes = ((1, lambda x: x >= 16, n >= 19), (2, lambda x: x >= 16, (n >= 11) & (n <= 20)), (3, lambda x: 5 * x >= whole, n <= 12))
+    made, there = [], []
+    for r, enough, use in schemes:
+        for chosen in combinations(range(BLOCKS), r):
+            made.append(_mixed(sum((own[b] for b in chosen), np.uint64(r))).view(np.int64))
+            there.append(use & enough(sum(held[b] for b in chosen)))
+    for i, x in enumerate(half):
+        made.append(x)
+        there.append((n <= 12) & (x != 0) & np.logical_and.reduce([x != y for y in half[:i]] or [True]))
+    there = np.stack(there, axis=1)
+    ends = np.append(0, np.cumsum(there.sum(axis=1)))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.stack(made, axis=1)[there]))
+
+
 def line_keys() -> Column:
     """The keys of a line (columns SIGNATURE): one for each block, each two or each three
     blocks, if these hold enough of the line to be its own, and the halves of short lines.
     Lines near a limit of their numbers of words have the keys of both sides."""
-    n, letters = F.col("words"), F.col("letters")
-    held = [F.shiftright(letters, 10 * b).bitwiseAND(1023) for b in range(BLOCKS)]
-
-    def keys(r: int, enough) -> Column:
-        made = []
-        for chosen in combinations(range(BLOCKS), r):
-            own = sum((held[b] for b in chosen), F.lit(0))
-            made.append(F.when(enough(own), F.xxhash64(F.lit(r), *(F.lit(b) for b in chosen), *(F.col(f"b{b}") for b in chosen))))
-        return F.array(*made)
+    @F.arrow_udf("array<bigint>")
+    def keys(*columns: pa.Array) -> pa.Array:
+        n, letters, *rest = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+        return keys_of(n, letters, rest[:BLOCKS], rest[BLOCKS:])
 
-    own_text = lambda own: own >= 16  # noqa: E731  letters
-    much = lambda own: 5 * own >= 2 * sum(held, F.lit(0))
-    none = F.array().cast("array<bigint>")
-    schemes = ((1, own_text, n >= 19), (2, own_text, n.between(11, 20)), (3, much, n <= 12))
-    parts = F.array(*(F.nullif(F.col(f"half{i}"), F.lit(0)) for i in range(4)))
-    made = [F.when(use, keys(r, enough)).otherwise(none) for r, enough, use in schemes]
-    return F.array_distinct(F.array_compact(F.concat(*made, F.when(n <= 12, parts).otherwise(none))))
+    return keys(*SIGNATURE)
 
 
 def _occurrences(own: DataFrame) -> DataFrame:
@@ -276,8 +379,8 @@ def removed_lines(own: DataFrame, percent: int, rounds: int) -> DataFrame:
     postings = staged(postings.where((F.col("_many") > 2) | (F.col("_many") == 2) & F.col("_both")).drop("_many", "_both"),
                       "line_postings")
 
-    def linked(a, b) -> bool:
-        return similar(a.as_py(), b.as_py(), percent)
+    def linked(a: list[pa.Scalar], b: list[pa.Scalar]) -> list[bool]:
+        return similar_pairs([x.as_py() for x in a], [x.as_py() for x in b], percent)
 
     def verify(pairs: DataFrame) -> DataFrame:
         if pairs.isEmpty():

@@ -69,7 +69,7 @@ def connected_components(links: DataFrame, part_edges: int = 200_000) -> DataFra
 
 
 def compare(pairs: DataFrame, items: DataFrame, ddl: str, linked: Callable, most: int = 5_000) -> DataFrame:
-    """The pairs (a, b) for which ``linked(value of a, value of b)``.
+    """The pairs (a, b) for which ``linked(values of a, values of b)``, given many pairs at once, says so.
 
     ``items`` (id, value) are moved to the pairs of their a; the pairs of one a are
     dealt to several groups of about ``most``, each with its own copy of a's value, and
@@ -89,14 +89,19 @@ def compare(pairs: DataFrame, items: DataFrame, ddl: str, linked: Callable, most
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, value = None, None
         for b in batches:
-            left, right = [], []
+            left, right, own, others = [], [], [], []
+            values = b.column(4)
             for i, (a, kind, other) in enumerate(zip(b.column(0).to_pylist(), b.column(2).to_pylist(),
                                                      b.column(3).to_pylist())):
                 if kind == 0:
-                    first, value = a, b.column(4)[i]
-                elif first == a and linked(value, b.column(4)[i]):
+                    first, value = a, values[i]
+                elif first == a:
                     left.append(a)
                     right.append(other)
+                    own.append(value)
+                    others.append(values[i])
+            same = linked(own, others)
+            left, right = ([x for x, ok in zip(ids, same) if ok] for ids in (left, right))
             yield pa.record_batch([pa.array(left, pa.int64()), pa.array(right, pa.int64())], schema=schema)
 
     return rows.mapInArrow(run, ddl)

@@ -285,3 +285,48 @@ def test_lines_whose_words_come_or_go_need_no_edit_distance(monkeypatch):
     monkeypatch.setattr(lines, "edit_distance", None)
     words = [f"word{i}" for i in range(40)]
     assert lines.similar(" ".join(words), " ".join([*words[:9], "new", *words[9:30], *words[31:]]), 90)
+
+
+def test_pairs_of_lines_are_compared_many_at_once(monkeypatch):
+    """Pairs that no quick bound decides need no edit distance of their own."""
+    rng = random.Random(7)
+    left, right = [], []
+    for n in (1, 20, 63, 64, 65, 127, 128, 129, 200, 300) * 40:
+        a = [rng.choice("abcd é漢😀") for _ in range(n)]
+        b = list(a)
+        for _ in range(int(rng.choice((0, .02, .08, .1, .12, .2)) * n)):
+            i = rng.randrange(len(b) + 1)
+            b[i:i + rng.choice((0, 1))] = rng.choice(("", "x", "y"))
+        pair = "".join(a), "".join(b)
+        left.append(pair[rng.random() < 0.5])
+        right.append(pair[left[-1] == pair[0]])
+    expected = {p: [lines.similar(a, b, p) for a, b in zip(left, right)] for p in (90, 80)}
+    assert 50 < sum(expected[90]) < 390
+    monkeypatch.setattr(lines, "edit_distance", None)
+    for p in (90, 80):
+        assert lines.similar_pairs(left, right, p) == expected[p]
+    assert lines.similar_pairs([], [], 90) == []
+
+
+def test_few_or_long_pairs_are_compared_one_by_one():
+    long = "word " * 500
+    assert lines.similar_pairs([long, "abcdefghij", "", "ab cd ef gh ij"], [long + "x", "abcdefghiX", "abc", "cd ab gh ef"], 90) == [
+        True, True, False, False]
+
+
+def test_line_keys_are_made_outside_of_interpreted_expressions(spark):
+    """One vectorised function makes the keys, with the words' limits and without repeats."""
+    n = np.array([25, 19, 15, 11, 5, 5])
+    letters = np.full(6, sum(20 << 10 * b for b in range(6)))
+    blocks = [np.arange(6) % 4 + b for b in range(6)]
+    half = [np.array([0, 0, 0, 7, 7, 0]), np.array([0, 0, 0, 8, 8, 0]), np.array([0, 0, 0, 7, 9, 0]), np.array([0, 0, 0, 8, 8, 0])]
+    made = lines.keys_of(n, letters, blocks, half).to_pylist()
+    keys = [set(x) for x in made]
+    assert [len(x) for x in made] == [len(x) for x in keys] == [6, 6 + 15, 15, 15 + 20 + 2, 20 + 3, 20]
+    assert keys[0] & keys[1] == set() and len(keys[0] & keys[4]) == 0 and len(keys[1] & keys[5]) == 0
+    same = lines.keys_of(n[[0, 0]], letters[:2], [np.array([1, 1 + (b > 2)]) for b in range(6)], [np.zeros(2, int)] * 4).to_pylist()
+    assert len(set(same[0]) & set(same[1])) == 3
+    rows = [tuple(int(c[i]) for c in (n, letters, *blocks, *half)) for i in range(6)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in lines.SIGNATURE)).select(lines.line_keys().alias("keys"))
+    assert "xxhash64" not in df._jdf.queryExecution().toString()
+    assert sorted(map(sorted, (r.keys for r in df.collect()))) == sorted(map(sorted, made))
