@@ -9,9 +9,12 @@ unique keys per non-null key (what the sink maintains) this equals MERGE
 exactly.
 
 Cost: the anti-join moves only the source *keys*; source payload columns are
-not shuffled. The planner broadcasts the key set when its measured size is
-under the broadcast threshold (then the target is filtered map-side and
-never shuffled); otherwise both sides hash-partition on the keys. NULL-key
+not shuffled. The planner broadcasts the key set when its size is under the
+broadcast threshold (then the target is filtered map-side and never
+shuffled); otherwise both sides hash-partition on the keys. That size is an
+estimate from file sizes and column widths, which for the keys of a wide, well
+compressed table is far too low, so a source known to be large is kept
+out of the driver by a hint (``large``). NULL-key
 target rows cannot match and are salted across partitions, so a hot NULL
 key does not pile into one task.
 """
@@ -65,14 +68,14 @@ def check_merge_cardinality(source: DataFrame, target: DataFrame,
                             keys: str | list[str]) -> None:
     """Raise ``MergeCardinalityError`` when a target row would be matched
     by several source rows. Reads the target keys only if the source has
-    duplicate keys at all."""
+    duplicate keys at all; however many there are, they are not broadcast."""
     ks = _keys(keys)
     dup = (source.where(~any_null_key(ks)).groupBy(*ks)
            .agg(F.count(F.lit(1)).alias("n_source_rows"))
            .where(F.col("n_source_rows") > 1))
     if dup.isEmpty():
         return
-    bad = dup.join(target.select(*ks), ks, "left_semi").limit(5).collect()
+    bad = dup.join(target.select(*ks).hint("merge"), ks, "left_semi").limit(5).collect()
     if bad:
         raise MergeCardinalityError(
             f"several source rows match one target row for keys {ks}: "
@@ -89,14 +92,17 @@ def check_unique_keys(df: DataFrame, keys: str | list[str]) -> None:
 
 
 def unmatched_target(target: DataFrame, source: DataFrame,
-                     keys: str | list[str]) -> DataFrame:
+                     keys: str | list[str], large: bool = False) -> DataFrame:
     """Target rows no source row matches (NULL keys never match).
 
     One scan of the target; NULL-key target rows are salted across the
     anti-join's partitions instead of hashing into one (``joins.salted_join``).
+    The keys of a ``large`` source are never broadcast.
     """
     ks = _keys(keys)
     src_keys = source.select(*ks).where(~any_null_key(ks))
+    if large:
+        src_keys = src_keys.hint("merge")
     return salted_join(target, src_keys, ks, "left_anti")
 
 

@@ -82,7 +82,8 @@ class ConcurrentCommitError(RuntimeError):
 
 BUCKET = "key_bucket"
 #: Fixed value: rows from which a batch counts as large, so the keys of both sides meet
-#: before any whole row is moved.
+#: before any whole row is moved, and no keys pass through the driver in a broadcast (the
+#: planner's estimate for the keys of a wide table may be far too low).
 LARGE_BATCH = 500_000
 
 
@@ -448,7 +449,8 @@ class Lakehouse:
                     return LoadResult(layer, table, version, "merge", 0, 0, target.count(), loc)
                 target = target.where(F.col(BUCKET).isin(touched))  # prunes the other folders
             by_key = scope == "buckets" or scope == "partitions" and bool(partition_by) and verify_partition_keys
-            large = by_key and src.count() >= LARGE_BATCH
+            many = src.count() >= LARGE_BATCH
+            large = by_key and many
             if check_cardinality and not large:
                 check_merge_cardinality(src, target, keys)
             if scope == "buckets":
@@ -456,8 +458,8 @@ class Lakehouse:
                 return self._merge_buckets(src, target, layer, table, keys, touched, version, loc, commit, summary, met)
             if scope == "partitions" and partition_by:
                 return self._merge_partitions(src, target, layer, table, keys, partition_by,
-                                              version, loc, commit, verify_partition_keys, large, check_cardinality)
-            return self._merge_table(src, target, layer, table, keys, partition_by, version, commit)
+                                              version, loc, commit, verify_partition_keys, large, check_cardinality, many)
+            return self._merge_table(src, target, layer, table, keys, partition_by, version, commit, many)
         except ConcurrentCommitError:
             raise
         except Exception as exc:
@@ -523,14 +525,15 @@ class Lakehouse:
             same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_{p}")) for p in parts])
             rows = rows.join(own, same, "left").select(*rows.columns, F.coalesce("_in", F.lit(False)).alias("_in"))
         obs = Observation(f"meet_{commit}")
-        met = rows.join(counts, keys, "left").observe(obs, F.count("_n").alias("rows"))
+        met = rows.join(counts.hint("merge"), keys, "left").observe(obs, F.count("_n").alias("rows"))
         met = self._staged(met.where("_n IS NULL AND _in OR _n > 1 OR _n IS NOT NULL AND NOT _in"), commit, "met")
         bad = met.where("_n > 1").select(*keys, F.col("_n").alias("n_source_rows")).distinct().limit(5).collect() if check_cardinality else []
         if bad:
             raise MergeCardinalityError(f"several source rows match one target row for keys {keys}: {[r.asDict() for r in bad]}")
         return met, obs.get["rows"]
 
-    def _kept(self, src: DataFrame, target: DataFrame, keys: list[str], met: tuple[DataFrame, int] | None, commit: str):
+    def _kept(self, src: DataFrame, target: DataFrame, keys: list[str], met: tuple[DataFrame, int] | None, commit: str,
+              many: bool = False):
         """(target rows that stay, number of those that go, once the write has ended). Of a
         large batch that replaces nearly all of the target only the few rows that stay are looked up."""
         seen = [Observation(f"kept_{x}_{commit}") for x in ("target", "kept")]
@@ -538,7 +541,7 @@ class Lakehouse:
         stay = None if met is None else self._staged(met[0].where("_n IS NULL").select(*keys).distinct(), commit, "stay")
         n = 0 if stay is None else stay.count()
         if stay is None or n >= LARGE_BATCH:
-            kept = unmatched_target(target.observe(seen[0], count), src, keys).observe(seen[1], count)
+            kept = unmatched_target(target.observe(seen[0], count), src, keys, many).observe(seen[1], count)
             return kept, lambda: (seen[0].get["rows"], seen[1].get["rows"])
         kept = target.where(any_null_key(keys))
         if n:
@@ -550,7 +553,7 @@ class Lakehouse:
                        met: tuple[DataFrame, int] | None = None) -> LoadResult:
         """``target``: the rows of the buckets ``touched``, all that is read of the table."""
         seen = [Observation(f"bmerge_{x}_{commit}") for x in ("source", "all")]
-        kept, counted = self._kept(src, target, keys, met, commit)
+        kept, counted = self._kept(src, target, keys, met, commit, met is not None)
         self._replace(src.observe(seen[0], F.count(F.lit(1)).alias("rows")).unionByName(kept), layer, table, version, loc,
                       [BUCKET], seen[1], few=met is not None and len(touched) <= FEW)
         n_target, n_kept = counted()
@@ -559,10 +562,10 @@ class Lakehouse:
             summary | {"rewritten-buckets": str(len(touched)), "read-records": str(n_target)})
 
     def _merge_table(self, src: DataFrame, target: DataFrame, layer: str, table: str, keys: list[str],
-                     partition_by: list[str] | None, version: int, commit: str) -> LoadResult:
+                     partition_by: list[str] | None, version: int, commit: str, many: bool = False) -> LoadResult:
         seen = [Observation(f"merge_{x}_{commit}") for x in ("source", "target", "kept", "all")]
         count = F.count(F.lit(1)).alias("rows")
-        kept = unmatched_target(target.observe(seen[1], count), src, keys).observe(seen[2], count)
+        kept = unmatched_target(target.observe(seen[1], count), src, keys, many).observe(seen[2], count)
         path = self._version_path(layer, table, version + 1, commit)
         self._write(src.observe(seen[0], count).unionByName(kept), path, partition_by, seen[3])
         n_source, n_target, n_kept = (o.get["rows"] for o in seen[:3])
@@ -574,7 +577,7 @@ class Lakehouse:
 
     def _merge_partitions(self, src: DataFrame, target: DataFrame, layer: str, table: str,
                           keys: list[str], parts: list[str], version: int, loc: str, commit: str,
-                          verify_keys: bool, large: bool = False, check_cardinality: bool = True) -> LoadResult:
+                          verify_keys: bool, large: bool = False, check_cardinality: bool = True, many: bool = False) -> LoadResult:
         touched = src.select(*parts).distinct().withColumn("in_scope", F.lit(True))
         if touched.isEmpty():  # empty batch: nothing to change
             return LoadResult(layer, table, version, "merge", 0, 0, target.count(), loc)
@@ -585,14 +588,15 @@ class Lakehouse:
             met = None
         if verify_keys and met is None:  # partitions that matched keys leave
             elsewhere = in_partitions(target.select(*dict.fromkeys([*keys, *parts])), touched, parts, "left_anti")
-            left = (elsewhere.join(src.select(*keys).where(~any_null_key(keys)), keys, "left_semi")
+            own_keys = src.select(*keys).where(~any_null_key(keys))
+            left = (elsewhere.join(own_keys.hint("merge") if many else own_keys, keys, "left_semi")
                     .select(*parts).distinct().withColumn("in_scope", F.lit(True)))
             left = self._staged(left, commit, "left")
             if not left.isEmpty():
                 touched = self._staged(own.unionByName(left), commit, "partitions")
-                emptied = self._emptied(src, target, left, keys, parts)
+                emptied = self._emptied(src, target, left, keys, parts, many)
         seen = [Observation(f"pmerge_{x}_{commit}") for x in ("source", "all")]
-        kept, counted = self._kept(src, in_partitions(target, touched, parts), keys, met, commit)
+        kept, counted = self._kept(src, in_partitions(target, touched, parts), keys, met, commit, many)
         self._replace(src.observe(seen[0], F.count(F.lit(1)).alias("rows")).unionByName(kept), layer, table, version, loc, parts,
                       seen[1], few=large and touched.limit(FEW + 1).count() <= FEW)
         for folder in emptied:  # Spark's overwrite replaces partitions; it does not remove any
@@ -601,10 +605,11 @@ class Lakehouse:
         return self._committed_in_place(layer, table, version + 1, "merge", seen[0].get["rows"],
                                         n_target - n_kept, loc, commit)
 
-    def _emptied(self, src: DataFrame, target: DataFrame, left: DataFrame, keys: list[str], parts: list[str]) -> list[str]:
+    def _emptied(self, src: DataFrame, target: DataFrame, left: DataFrame, keys: list[str], parts: list[str],
+                 many: bool = False) -> list[str]:
         """Folders of the partitions ``left`` (which the source is not in) of whose rows none stays."""
         rows = in_partitions(target.select(*dict.fromkeys([*keys, *parts]), _folder().alias("_folder")), left, parts)
-        stays = unmatched_target(rows, src, keys).select("_folder").distinct()
+        stays = unmatched_target(rows, src, keys, many).select("_folder").distinct()
         return [r[0] for r in rows.select("_folder").distinct().join(stays, "_folder", "left_anti").collect()]
 
     def compact_history(self) -> int:

@@ -61,3 +61,34 @@ def test_few_partitions_are_written_without_an_exchange(spark, tmp_path, monkeyp
     assert spark.read.parquet(bronze.land(many, str(tmp_path / "many"), partition_by=["y"], gather=False)).count() == 1000
     assert seen == [("rebalance", "y")]
     assert spark.conf.get(partitioned.WRITERS, "0") == "0"
+
+
+def broadcast_ids(spark, monkeypatch, scope, batch, large):
+    """Joins of a merge whose plans broadcast ids."""
+    seen, frame = [], type(spark.range(1))
+    join = frame.join
+
+    def joined(self, other, *a):
+        out = join(self, other, *a)
+        if "id" in self.columns and "id" in other.columns:
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            seen.extend(x for x in plan.split("\n") if "BroadcastHashJoin" in x and "[id#" in x)
+        return out
+
+    with monkeypatch.context() as m:
+        m.setattr(frame, "join", joined)
+        merged(spark, batch, scope, m, large)
+    return seen
+
+
+@pytest.mark.parametrize("scope", ["partitions", "buckets", "table"])
+@pytest.mark.parametrize("batch", [
+    [(i, y, "z") for i, y, _ in OLD],  # a full reload
+    [(5, 1, "moved"), (4, 2, "moved"), (1, 1, "A")],  # partitions are left
+    [(1, 1, "A"), (2, 1, "B"), (7, 2, "new"), (8, 2, "new"), (9, 3, "new")],  # rows stay beside the batch's
+])
+def test_the_keys_of_a_large_batch_are_not_broadcast(spark, monkeypatch, scope, batch):
+    """The files are small, so the planner would, as it would the keys of wide tables, whose
+    size it takes from compressed files, at any number of rows."""
+    assert broadcast_ids(spark, monkeypatch, scope, batch, 10**9)
+    assert not broadcast_ids(spark, monkeypatch, scope, batch, 2)
